@@ -1,0 +1 @@
+"""Intentionally empty: the analyses are batch rebuilds, there is no streaming operator to offer."""
