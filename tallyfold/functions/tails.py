@@ -22,71 +22,61 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
-_ERFC_STEP = 0.5
-_ERFC_TERMS = 14
-_SERIES_TERMS = 24
-_SERIES_BELOW = 0.75
+ERFC_STEP = 0.5
+ERFC_TERMS = 13
+SERIES_TERMS = 24
+SERIES_BELOW = 0.75
 DE_STEP = 0.1
 DE_FIRST, DE_LAST = -37, 46
 
 
-def _sum(terms: list[Column]) -> Column:
-    """Pairwise sum: keeps the expression tree shallow."""
-    while len(terms) > 1:
-        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i]
-                 for i in range(0, len(terms), 2)]
-    return terms[0]
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` bound to ``value``, evaluated once per row."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _erfc_nonnegative(x: Column) -> Column:
-    squared = x * x
-    # erf(x) = 2x/sqrt(pi) exp(-x^2) sum (2x^2)^n / (1 3 5 .. (2n+1)), by Horner's rule.
-    series = F.lit(1.0)
-    for n in range(_SERIES_TERMS, 0, -1):
-        series = F.lit(1.0) + squared * F.lit(2.0 / (2 * n + 1)) * series
-    near = F.lit(1.0) - x * F.exp(-squared) * series * F.lit(2.0 / math.sqrt(math.pi))
-    step = _ERFC_STEP
-    nodes = [F.lit(2.0 * math.exp(-(k * step) ** 2)) / (squared + F.lit((k * step) ** 2))
-             for k in range(1, _ERFC_TERMS)]
-    trapezoid = x * F.exp(-squared) * F.lit(step / math.pi) * (F.lit(1.0) / squared + _sum(nodes))
-    pole = F.when(x < math.pi / step,
-                  F.lit(2.0) / (F.exp(x * F.lit(2 * math.pi / step)) - F.lit(1.0))).otherwise(0.0)
-    return F.when(x < _SERIES_BELOW, near).otherwise(trapezoid - pole)
+# erf(x) = 2x/sqrt(pi) exp(-x^2) sum (2x^2)^n / (1 3 5 .. (2n+1)), by Horner's rule.
+_ERFC_NEAR = (
+    f"1D - {2.0 / math.sqrt(math.pi)!r}D * x * exp(-x * x) * aggregate("
+    f"sequence({SERIES_TERMS}, 1), 1D, (s, n) -> 1D + x * x * 2D / (2 * n + 1) * s)")
+_ERFC_FAR = (
+    f"x * exp(-x * x) * {ERFC_STEP / math.pi!r}D * aggregate("
+    f"sequence(1, {ERFC_TERMS}), 1D / (x * x), (s, k) -> "
+    f"s + 2D * exp(-k * k * {ERFC_STEP ** 2}D) / (x * x + k * k * {ERFC_STEP ** 2}D)) "
+    f"- if(x < {math.pi / ERFC_STEP!r}D, "
+    f"2D / (exp(x * {2 * math.pi / ERFC_STEP!r}D) - 1D), 0D)")
+_UPPER_TAIL = _let("x", f"abs(z) / {math.sqrt(2.0)!r}D",
+                   f"0.5D * if(x < {SERIES_BELOW}D, {_ERFC_NEAR}, {_ERFC_FAR})")
 
 
-def normal_sf(z: Column) -> Column:
-    """P(Z > z) of the standard normal distribution."""
-    x = z / F.lit(math.sqrt(2.0))
-    upper = _erfc_nonnegative(F.abs(x)) * F.lit(0.5)
-    return F.when(z >= 0, upper).otherwise(F.lit(1.0) - upper)
+def normal_sf(z: str) -> Column:
+    """P(Z > z) of the standard normal distribution; ``z`` is a column name or SQL expression."""
+    return F.expr(_let("z", z, f"if(z >= 0D, {_UPPER_TAIL}, 1D - {_UPPER_TAIL})"))
 
 
-def _log_cosh(u: Column) -> Column:
-    return F.log1p(F.sinh(u) * F.sinh(u)) * F.lit(0.5)
+def _log_cosh(u: str) -> str:
+    return f"0.5D * log1p(sinh({u}) * sinh({u}))"
 
 
-def _sech_tail(start: Column, df: Column) -> Column:
-    """Integral of (cosh(start)/cosh(u))**df over u from start to infinity."""
-    scale = F.lit(1.0) / (F.sqrt(df) + df * F.tanh(start))
-    floor = _log_cosh(start)
+def _sech_tail(start: str) -> str:
+    """Integral of (cosh(start)/cosh(u))**d.df over u from start to infinity."""
+    y, shrink = f"exp(k * {DE_STEP}D - exp(-k * {DE_STEP}D))", f"exp(-k * {DE_STEP}D)"
+    drop = f"{_log_cosh(f'{start} + f.scale * {y}')} - f.floor"
+    nodes = (f"aggregate(sequence({DE_FIRST}, {DE_LAST}), 0D, (s, k) -> "
+             f"s + exp(-d.df * ({drop})) * {y} * (1D + {shrink}))")
+    fixed = (f"named_struct('scale', 1D / (sqrt(d.df) + d.df * tanh({start})), "
+             f"'floor', {_log_cosh(start)})")
+    return _let("f", fixed, f"{nodes} * f.scale * {DE_STEP}D")
 
-    def node(total: Column, k: Column) -> Column:
-        w = k * F.lit(DE_STEP)
-        shrink = F.exp(-w)
-        y = F.exp(w - shrink)
-        height = F.exp(-df * (_log_cosh(start + scale * y) - floor))
-        return total + height * y * (F.lit(1.0) + shrink)
 
-    nodes = F.aggregate(F.sequence(F.lit(DE_FIRST), F.lit(DE_LAST)), F.lit(0.0), node)
-    return nodes * scale * F.lit(DE_STEP)
-
-
-def student_t_two_sided(t: Column, df: Column) -> Column:
-    """P(|T| > |t|) for real-valued ``df``; 0 for an infinite t."""
-    size = F.abs(t)
-    start = F.asinh(F.least(size, F.lit(1e150)) / F.sqrt(df))
-    tail = F.exp(-df * _log_cosh(start)) * _sech_tail(start, df) / _sech_tail(F.lit(0.0), df)
-    return F.when(size == float("inf"), F.lit(0.0)).otherwise(F.least(tail, F.lit(1.0)))
+def student_t_two_sided(t: str, df: str) -> Column:
+    """P(|T| > |t|) for real-valued ``df``; 0 for an infinite t. Names or SQL expressions."""
+    bound = (f"named_struct('t', abs(CAST({t} AS DOUBLE)), 'df', CAST({df} AS DOUBLE), "
+             f"'u', asinh(least(abs({t}), 1e150D) / sqrt({df})))")
+    tail = f"exp(-d.df * ({_log_cosh('d.u')})) * {_sech_tail('d.u')} / {_sech_tail('0D')}"
+    return F.expr(_let("d", bound, "CASE WHEN d.t = double('Infinity') THEN 0D "
+                                   "WHEN d.t IS NOT NULL AND d.df IS NOT NULL "
+                                   f"THEN least({tail}, 1D) END"))
 
 
 # --- exact rank-sum tail -------------------------------------------------------------------

@@ -19,14 +19,14 @@ def boxplot_input(cohort: DataFrame, study: Study) -> DataFrame:
 
 
 def _boxes(ranked: DataFrame, keys: list[str]) -> DataFrame:
-    reach = F.lit(WHISKER_REACH) * (F.col("q3") - F.col("q1"))
     return (
         ranked.groupBy(*keys)
         .agg(F.max("total_all").alias("n"),
              quantile("_value", "all", 0.25).alias("q1"),
              quantile("_value", "all", 0.5).alias("median"),
              quantile("_value", "all", 0.75).alias("q3"))
-        .withColumn("_low", F.col("q1") - reach).withColumn("_high", F.col("q3") + reach))
+        .selectExpr("*", f"q1 - {WHISKER_REACH}D * (q3 - q1) AS _low",
+                    f"q3 + {WHISKER_REACH}D * (q3 - q1) AS _high"))
 
 
 def boxplot_tables(df: DataFrame, keys: dict[str, list], value: str, *,
@@ -45,22 +45,21 @@ def boxplot_tables(df: DataFrame, keys: dict[str, list], value: str, *,
     for name, listed in keys.items():
         drawn = drawn.where(F.col(name).isin(list(listed)))
     rows = drawn.select(*names, F.col(value).cast("double").alias("_value"))
-    ranked = ranked_histogram(rows, names, "_value", {"all": F.lit(True)},
+    ranked = ranked_histogram(rows, names, "_value", {"all": "true"},
                               max_group_rows=max_group_rows, rows_per_range=rows_per_range)
     against = ranked.select(*names, "_value", "n_all").join(
         F.broadcast(_boxes(ranked, names)), names)
-    v = F.col("_value")
-    inside = v.between(F.col("_low"), F.col("_high"))
-    box = ["n", "q1", "median", "q3"]
+    inside = "_value BETWEEN _low AND _high"
     summary = (
         against.groupBy(*names)
-        .agg(*[F.max(c).alias(c) for c in box],
-             F.min(F.when(v >= F.col("_low"), v)).alias("_lowest"),
-             F.max(F.when(v <= F.col("_high"), v)).alias("_highest"),
-             F.sum(F.when(inside, F.lit(0)).otherwise(F.col("n_all"))).alias("n_outliers"))
-        .select(*names, "n", F.least("_lowest", "q1").alias("whisker_low"), "q1", "median", "q3",
-                F.greatest("_highest", "q3").alias("whisker_high"), "n_outliers"))
-    outliers = against.where(~inside).select(*names, v.alias(value), F.col("n_all").alias("n"))
+        .agg(*[F.max(c).alias(c) for c in ("n", "q1", "median", "q3")],
+             F.expr("min(IF(_value >= _low, _value, NULL))").alias("_lowest"),
+             F.expr("max(IF(_value <= _high, _value, NULL))").alias("_highest"),
+             F.expr(f"sum(IF({inside}, 0, n_all))").alias("n_outliers"))
+        .selectExpr(*names, "n", "least(_lowest, q1) AS whisker_low", "q1", "median", "q3",
+                    "greatest(_highest, q3) AS whisker_high", "n_outliers"))
+    outliers = against.where(f"NOT ({inside})").selectExpr(
+        *names, f"_value AS `{value}`", "n_all AS n")
     return summary, outliers
 
 

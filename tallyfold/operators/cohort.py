@@ -69,15 +69,20 @@ def subject_total(by_response: DataFrame, column: str = "n_subjects") -> DataFra
     return by_response.agg(F.coalesce(F.sum(column), F.lit(0)).alias("total_subjects"))
 
 
+def scopes_of_row(timepoints: Iterable[int]) -> Column:
+    """The scopes a row belongs to: ``pooled``, and ``t=<time>`` for a listed time."""
+    listed = ", ".join(str(int(time)) for time in timepoints)
+    own = f"IF({TIME} IN ({listed}), concat('t=', {TIME}), NULL)" if listed else "NULL"
+    return F.expr(f"array_compact(array('pooled', {own}))")
+
+
 def cohort_profile(df: DataFrame, study: Study) -> DataFrame:
     """Per scope (pooled and each time point): samples, subjects, subjects per response.
 
     Subjects are grouped before they are counted, so no task holds a whole scope.
     """
-    own = F.when(F.col(TIME).isin(list(study.timepoints)), F.concat(F.lit("t="), F.col(TIME)))
-    tagged = df.select(
-        "sample", "subject", "response",
-        F.explode(F.array_compact(F.array(F.lit("pooled"), own))).alias("scope"))
+    tagged = df.select("sample", "subject", "response",
+                       F.explode(scopes_of_row(study.timepoints)).alias("scope"))
     subjects = tagged.groupBy("scope", "subject").agg(
         F.min_by(F.struct("response"), F.col("sample")).alias("_first"),
         F.count(F.lit(1)).alias("n"))

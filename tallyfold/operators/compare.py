@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyfold.functions.scalars import component_rank
 from tallyfold.functions.tails import exact_rank_sum_p, normal_sf, student_t_two_sided
+from tallyfold.operators.cohort import scopes_of_row
 from tallyfold.operators.fdr import bh_adjust, significance_flags
 from tallyfold.operators.ranks import ROWS_PER_RANGE, quantile, ranked_histogram
-from tallyfold.study import STATS_COLUMNS, TIME, Study
+from tallyfold.study import STATS_COLUMNS, Study
 
 # The exact rank distribution is used while one group has at most this many rows and no ties.
 EXACT_UP_TO = 8
@@ -21,23 +22,19 @@ EXACT_UP_TO = 8
 def group_summary(ranked: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Per key, from a ranked histogram of the named rows ``a`` and ``b``: sizes, means, medians,
     variances, 2U of ``a`` and the tie sum. 2U is an integer, held exactly up to 2**53."""
-    v = F.col(value)
-    n_a, n_b = F.col("n_a").cast("double"), F.col("n_b").cast("double")
-    tied = n_a + n_b
-
-    def variance(name: str) -> Column:
-        n = F.col(f"n_{name}")
-        off = v - F.col(f"mean_{name}")
-        return F.try_divide(F.sum(n * off * off), F.max(f"total_{name}") - 1)
-
-    return ranked.groupBy(*keys).agg(
-        F.max("total_a").alias("n_a"), F.max("total_b").alias("n_b"),
-        quantile(value, "a", 0.5).alias("median_a"), quantile(value, "b", 0.5).alias("median_b"),
-        F.max("mean_a").alias("mean_a"), F.max("mean_b").alias("mean_b"),
-        variance("a").alias("variance_a"), variance("b").alias("variance_b"),
-        F.sum(n_a * (F.lit(2.0) * F.col("before_b") + n_b)).alias("u_doubled"),
-        F.sum(tied * tied * tied - tied).alias("tie_sum"),
-        F.max(tied).alias("largest_tie"))
+    tied = "CAST(n_a + n_b AS DOUBLE)"
+    out = {}
+    for name in ("a", "b"):
+        out[f"n_{name}"] = F.expr(f"max(total_{name})")
+        out[f"median_{name}"] = quantile(value, name, 0.5)
+        out[f"mean_{name}"] = F.expr(f"max(mean_{name})")
+        out[f"variance_{name}"] = F.expr(
+            f"try_divide(sum(n_{name} * ({value} - mean_{name}) * ({value} - mean_{name})), "
+            f"max(total_{name}) - 1)")
+    out["u_doubled"] = F.expr("sum(CAST(n_a AS DOUBLE) * (2D * before_b + n_b))")
+    out["tie_sum"] = F.expr(f"sum({tied} * {tied} * {tied} - {tied})")
+    out["largest_tie"] = F.expr("max(n_a + n_b)")
+    return ranked.groupBy(*keys).agg(*[column.alias(name) for name, column in out.items()])
 
 
 def welch_t(summary: DataFrame) -> DataFrame:
@@ -46,20 +43,17 @@ def welch_t(summary: DataFrame) -> DataFrame:
     With no variance in either group t is infinite for different means and NULL for equal ones;
     a group of fewer than two rows gives NULL.
     """
-    spread_a = F.col("variance_a") / F.col("n_a")
-    spread_b = F.col("variance_b") / F.col("n_b")
-    spread = spread_a + spread_b
-    gap = F.col("mean_a") - F.col("mean_b")
-    t = (F.when(spread > 0, gap / F.sqrt(F.when(spread > 0, spread)))
-         .when(spread.isNotNull() & (gap != 0), F.signum(gap) * F.lit(float("inf"))))
-    df = F.when(spread > 0, F.try_divide(
-        spread * spread,
-        spread_a * spread_a / (F.col("n_a") - 1) + spread_b * spread_b / (F.col("n_b") - 1))
-    ).when(spread.isNotNull(), F.lit(1.0))
-    usable = (F.col("n_a") > 1) & (F.col("n_b") > 1)
-    return (summary.withColumn("t_stat", F.when(usable, t))
-            .withColumn("t_df", F.when(usable, df))
-            .withColumn("t_p_raw", student_t_two_sided(F.col("t_stat"), F.col("t_df"))))
+    return summary.selectExpr(
+        "*", "IF(n_a > 1, variance_a / n_a, NULL) AS _sa", "IF(n_b > 1, variance_b / n_b, NULL) AS _sb",
+    ).selectExpr(
+        "*",
+        """CASE WHEN _sa + _sb > 0 THEN (mean_a - mean_b) / sqrt(_sa + _sb)
+                WHEN _sa + _sb = 0 AND mean_a <> mean_b
+                THEN signum(mean_a - mean_b) * double('Infinity') END AS t_stat""",
+        """CASE WHEN _sa + _sb > 0 THEN (_sa + _sb) * (_sa + _sb)
+                  / (_sa * _sa / (n_a - 1) + _sb * _sb / (n_b - 1))
+                WHEN _sa + _sb = 0 THEN 1D END AS t_df""",
+    ).withColumn("t_p_raw", student_t_two_sided("t_stat", "t_df")).drop("_sa", "_sb")
 
 
 def mann_whitney(summary: DataFrame, exact: bool = True) -> DataFrame:
@@ -68,24 +62,25 @@ def mann_whitney(summary: DataFrame, exact: bool = True) -> DataFrame:
     The p-value is the tie- and continuity-corrected normal tail, or with ``exact`` the exact
     distribution where a group has at most ``EXACT_UP_TO`` rows and there are no ties.
     """
-    n_a, n_b = F.col("n_a").cast("double"), F.col("n_b").cast("double")
-    both = (F.col("n_a") > 0) & (F.col("n_b") > 0)
-    u = F.when(both, F.col("u_doubled") / 2.0)
-    pairs = n_a * n_b
-    n = n_a + n_b
-    larger = F.greatest(u, pairs - u)
-    deviation = F.sqrt(pairs / 12.0 * (n + 1.0 - F.try_divide(F.col("tie_sum"), n * (n - 1.0))))
-    excess = larger - pairs / 2.0 - 0.5
-    z = F.try_divide(excess, deviation)
-    # Everything tied: no spread, nothing against equality.
-    normal = F.when(deviation > 0, F.least(F.lit(1.0), F.lit(2.0) * normal_sf(z))).otherwise(1.0)
-    p = F.when(both, normal)
+    shaped = summary.selectExpr(
+        "*", "IF(n_a > 0 AND n_b > 0, CAST(n_a AS DOUBLE) * n_b, NULL) AS _pairs",
+        "CAST(n_a AS DOUBLE) + n_b AS _n",
+    ).selectExpr(
+        "*", "IF(_pairs IS NULL, NULL, u_doubled / 2D) AS mwu_stat",
+        "sqrt(_pairs / 12D * (_n + 1D - try_divide(tie_sum, _n * (_n - 1D)))) AS _deviation",
+    ).selectExpr("*", "greatest(mwu_stat, _pairs - mwu_stat) AS _larger")
+    # Without spread everything is tied: nothing speaks against equality.
+    p = F.when(F.expr("_deviation > 0"), F.least(F.lit(1.0), F.lit(2.0) * normal_sf(
+        "(_larger - _pairs / 2D - 0.5D) / nullif(_deviation, 0D)"))
+    ).when(F.col("_pairs").isNotNull(), F.lit(1.0))
     if exact:
-        small = both & (F.least("n_a", "n_b") <= EXACT_UP_TO) & (F.col("largest_tie") <= 1)
-        tail = exact_rank_sum_p(F.when(small, pairs - larger), F.col("n_a"), F.col("n_b"))
-        p = F.when(small, tail).otherwise(p)
-    return (summary.withColumn("mwu_stat", u).withColumn("mwu_p_raw", p)
-            .withColumn("rank_biserial", F.lit(2.0) * u / F.when(both, pairs) - F.lit(1.0)))
+        small = f"_pairs IS NOT NULL AND least(n_a, n_b) <= {EXACT_UP_TO} AND largest_tie <= 1"
+        tail = exact_rank_sum_p(F.expr(f"IF({small}, _pairs - _larger, NULL)"), F.col("n_a"),
+                                F.col("n_b"))
+        p = F.coalesce(tail, p)
+    return (shaped.withColumn("mwu_p_raw", p)
+            .withColumn("rank_biserial", F.expr("2D * mwu_stat / _pairs - 1D"))
+            .drop("_pairs", "_n", "_deviation", "_larger"))
 
 
 def two_group_compare(df: DataFrame, keys: list[str], group: str, value: str, a, b, *,
@@ -98,18 +93,15 @@ def two_group_compare(df: DataFrame, keys: list[str], group: str, value: str, a,
     """
     rows = df.where(F.col(group).isin(a, b)).select(
         *keys, F.col(value).cast("double").alias("_value"), (F.col(group) == a).alias("_is_a"))
-    ranked = ranked_histogram(
-        rows, keys, "_value", {"a": F.col("_is_a"), "b": ~F.col("_is_a")},
-        max_group_rows=max_group_rows, rows_per_range=rows_per_range)
-    out = mann_whitney(welch_t(group_summary(ranked, keys, "_value")), exact)
-    return (out.withColumn("mean_difference", F.col("mean_a") - F.col("mean_b"))
-            .withColumn("median_difference", F.col("median_a") - F.col("median_b")))
+    ranked = ranked_histogram(rows, keys, "_value", {"a": "_is_a", "b": "NOT _is_a"},
+                              max_group_rows=max_group_rows, rows_per_range=rows_per_range)
+    return mann_whitney(welch_t(group_summary(ranked, keys, "_value")), exact).selectExpr(
+        "*", "mean_a - mean_b AS mean_difference", "median_a - median_b AS median_difference")
 
 
 def tag_scopes(df: DataFrame, timepoints: tuple[int, ...]) -> DataFrame:
     """One row per scope a row belongs to: ``pooled`` always, ``t=<time>`` for listed times."""
-    own = F.when(F.col(TIME).isin(list(timepoints)), F.concat(F.lit("t="), F.col(TIME)))
-    return df.withColumn("scope", F.explode(F.array_compact(F.array(F.lit("pooled"), own))))
+    return df.withColumn("scope", F.explode(scopes_of_row(timepoints)))
 
 
 def compare_scopes(df: DataFrame, study: Study, *, exact: bool = True,
@@ -126,23 +118,19 @@ def compare_scopes(df: DataFrame, study: Study, *, exact: bool = True,
     compared = two_group_compare(
         tag_scopes(known, study.timepoints), ["scope", "population"], "response", "percentage",
         a, b, exact=exact, max_group_rows=max_group_rows, rows_per_range=rows_per_range)
-    named = compared.select(
-        "scope", "population",
-        F.col("n_a").alias("n_responder"), F.col("n_b").alias("n_nonresponder"),
-        F.col("median_a").alias("median_responder"), F.col("median_b").alias("median_nonresponder"),
-        F.col("mean_a").alias("mean_responder"), F.col("mean_b").alias("mean_nonresponder"),
+    named = compared.selectExpr(
+        "scope", "population", "n_a AS n_responder", "n_b AS n_nonresponder",
+        "median_a AS median_responder", "median_b AS median_nonresponder",
+        "mean_a AS mean_responder", "mean_b AS mean_nonresponder",
         "mean_difference", "median_difference", "rank_biserial", "t_stat", "t_p_raw",
         "mwu_stat", "mwu_p_raw")
     adjusted = significance_flags(
         bh_adjust(named, ["scope"], {"t_p_raw": "t_p_bh", "mwu_p_raw": "mwu_p_bh"}), study.alpha)
-    first = F.lit(f"t={study.baseline}")
-    shown = F.when(F.col("scope") == first, F.array(F.lit("baseline"), first)).otherwise(
-        F.array("scope"))
-    tagged = adjusted.withColumn("scope", F.explode(shown))
-    return tagged.withColumn(
-        "timepoint", F.when(F.col("scope").startswith("t="),
-                            F.expr("substring(scope, 3)").cast("int"))
-    ).select("scope", "timepoint", *STATS_COLUMNS)
+    shown = F.explode(F.expr(
+        f"IF(scope = 't={study.baseline}', array('baseline', scope), array(scope))"))
+    timepoint = F.expr("IF(startswith(scope, 't='), CAST(substring(scope, 3) AS INT), NULL)")
+    return (adjusted.withColumn("scope", shown).withColumn("timepoint", timepoint)
+            .select("scope", "timepoint", *STATS_COLUMNS))
 
 
 def stats_order(study: Study) -> list[Column]:

@@ -2,38 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 
 def bh_adjust(df: DataFrame, family: list[str], p_columns: dict[str, str]) -> DataFrame:
     """Add one adjusted column per (raw column -> adjusted column) entry.
 
     Running minimum of p / (i / m) from the largest p down, capped at 1. A family has one row
-    per component, so its size is bounded by the component list. A NULL p stays NULL and does
-    not count towards m.
+    per component, so its size is bounded by the component list; all windows share the one
+    partitioning by family. A NULL p stays NULL and does not count towards m.
     """
-    out = df
-    for raw, adjusted in p_columns.items():
-        p = F.col(raw)
-        group = Window.partitionBy(*family, p.isNull())
-        rank = F.row_number().over(group.orderBy(p.asc())).cast("double")
-        size = F.count(F.lit(1)).over(group).cast("double")
-        out = out.withColumn("_scaled", p / (rank / size))
-        downward = group.orderBy(p.desc(), F.col("_scaled").asc()).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        out = out.withColumn(
-            adjusted, F.least(F.min("_scaled").over(downward), F.lit(1.0))).drop("_scaled")
-        out = out.withColumn(adjusted, F.when(p.isNotNull(), F.col(adjusted)))
-    return out
+    within = "PARTITION BY " + ", ".join(f"`{name}`" for name in family)
+    out = df.selectExpr("*", *[
+        f"{p} / (CAST(row_number() OVER ({within} ORDER BY {p} NULLS LAST) AS DOUBLE) "
+        f"/ count({p}) OVER ({within})) AS _scaled_{i}"
+        for i, p in enumerate(p_columns)])
+    return out.selectExpr(*[f"`{name}`" for name in df.columns], *[
+        f"IF({p} IS NULL, NULL, least(1D, min(_scaled_{i}) OVER ({within} "
+        f"ORDER BY {p} DESC NULLS FIRST, _scaled_{i} ROWS UNBOUNDED PRECEDING))) AS {adjusted}"
+        for i, (p, adjusted) in enumerate(p_columns.items())])
 
 
 def significance_flags(df: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Primary: rank test below alpha. High confidence: both tests below alpha (strictly)."""
-    rank_test = F.coalesce(F.col("mwu_p_bh") < alpha, F.lit(False))
-    t_test = F.coalesce(F.col("t_p_bh") < alpha, F.lit(False))
-    return (df.withColumn("significant_primary", rank_test)
-            .withColumn("significant_high_confidence", t_test & rank_test))
+    rank_test = f"coalesce(mwu_p_bh < {alpha}D, false)"
+    return df.selectExpr(
+        "*", f"{rank_test} AS significant_primary",
+        f"{rank_test} AND coalesce(t_p_bh < {alpha}D, false) AS significant_high_confidence")
 
 
 def flagged(df: DataFrame, flag: str = "significant_primary") -> DataFrame:
-    return df.where(F.col(flag))
+    return df.where(flag)

@@ -11,7 +11,7 @@ groups): one row of cut points per large group is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 4096
@@ -34,12 +34,11 @@ def group_cut_points(df: DataFrame, keys: list[str], value: str, rows_per_range:
     return found
 
 
-def _range_number(value: Column, cuts: Column, size: int) -> Column:
+def _range_number(value: str, cuts: str, size: int) -> Column:
     """How many cut points lie below the value: binary search over an array padded with inf."""
-    steps = F.array(*[F.lit(size >> i) for i in range(1, size.bit_length())])
-    return F.aggregate(
-        steps, F.lit(0),
-        lambda at, step: at + F.when(F.element_at(cuts, at + step) < value, step).otherwise(0))
+    steps = ", ".join(str(size >> i) for i in range(1, size.bit_length()))
+    return F.expr(f"aggregate(array({steps}), 0, "
+                  f"(at, step) -> at + IF({cuts}[at + step - 1] < {value}, step, 0))")
 
 
 def _with_ranges(hist: DataFrame, keys: list[str], value: str, cut_rows: list) -> DataFrame:
@@ -47,88 +46,72 @@ def _with_ranges(hist: DataFrame, keys: list[str], value: str, cut_rows: list) -
     while size <= max(len(row[-1]) for row in cut_rows):
         size *= 2
     padded = [(*row[:-1], row[-1] + [float("inf")] * (size - len(row[-1]))) for row in cut_rows]
-    schema = hist.select(*keys).schema.add("_cuts", "array<double>")
+    schema = hist.select(*keys).schema.add("_cuts", T.ArrayType(T.DoubleType()))
     cuts = hist.sparkSession.createDataFrame(padded, schema)
     return (
         # At most one row of MAX_RANGES doubles per large group.
         hist.join(F.broadcast(cuts), keys, "left")
-        .withColumn("_range", F.coalesce(_range_number(F.col(value), F.col("_cuts"), size),
-                                         F.lit(0)))
+        .withColumn("_range", F.coalesce(_range_number(f"`{value}`", "_cuts", size), F.lit(0)))
         .drop("_cuts"))
 
 
-def ranked_histogram(df: DataFrame, keys: list[str], value: str, counts: dict[str, Column], *,
+def ranked_histogram(df: DataFrame, keys: list[str], value: str, counts: dict[str, str], *,
                      max_group_rows: int | None = None,
                      rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """One row per (keys, value), with exact cumulative counts for every named row condition.
 
-    For each name in ``counts`` the result has ``n_`` (rows at this value), ``before_`` (rows
-    below it), ``total_`` (rows in the group) and ``mean_``. NULL values and NULL keys are left
-    out. ``max_group_rows`` is an upper bound on the rows of any group, when the caller has one:
-    a bound within ``rows_per_range`` spares the pass that looks for cut points.
+    ``counts`` maps names to SQL conditions. For each name the result has ``n_`` (rows at this
+    value), ``before_`` (rows below it), ``total_`` (rows in the group) and ``mean_``. NULL
+    values and NULL keys are left out. ``max_group_rows`` is an upper bound on the rows of any
+    group, when the caller has one: a bound within ``rows_per_range`` spares the pass that looks
+    for cut points.
     """
-    present = F.col(value).isNotNull()
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    df = df.where(present)
+    df = df.dropna(subset=[*keys, value])
     names = list(counts)
     hist = df.groupBy(*keys, value).agg(
-        *[F.count(F.when(cond, 1)).alias(f"n_{name}") for name, cond in counts.items()])
+        *[F.expr(f"count_if({cond})").alias(f"n_{name}") for name, cond in counts.items()])
 
     cut_rows = []
     if max_group_rows is None or max_group_rows > rows_per_range:
         cut_rows = group_cut_points(df, keys, value, rows_per_range)
 
+    v, group = f"`{value}`", ", ".join(f"`{k}`" for k in keys)
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     if not cut_rows:
-        group = Window.partitionBy(*keys)
-        running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        columns = []
-        for name in names:
-            n = F.col(f"n_{name}")
-            total = F.sum(n).over(group)
-            columns += [
-                (F.sum(n).over(running) - n).alias(f"before_{name}"),
-                total.alias(f"total_{name}"),
-                F.try_divide(F.sum(n * F.col(value)).over(group), total).alias(f"mean_{name}")]
-        return hist.select("*", *columns)
+        return hist.selectExpr("*", *[column for name in names for column in (
+            f"sum(n_{name}) OVER (PARTITION BY {group} ORDER BY {v} {so_far}) - n_{name} "
+            f"AS before_{name}",
+            f"sum(n_{name}) OVER (PARTITION BY {group}) AS total_{name}",
+            f"try_divide(sum(n_{name} * {v}) OVER (PARTITION BY {group}), "
+            f"sum(n_{name}) OVER (PARTITION BY {group})) AS mean_{name}")])
 
     ranged = _with_ranges(hist, keys, value, cut_rows)
-    in_range = [*keys, "_range"]
-    sums = ranged.groupBy(*in_range).agg(
-        *[F.sum(f"n_{name}").alias(f"_rows_{name}") for name in names],
-        *[F.sum(F.col(f"n_{name}") * F.col(value)).alias(f"_sum_{name}") for name in names])
+    sums = ranged.groupBy(*keys, "_range").agg(*[column for name in names for column in (
+        F.expr(f"sum(n_{name})").alias(f"_rows_{name}"),
+        F.expr(f"sum(n_{name} * {v})").alias(f"_sum_{name}"))])
     # One row per range from here on: at most MAX_RANGES per group.
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = sums.select(
-        *in_range,
-        *[(F.sum(f"_rows_{name}").over(earlier) - F.col(f"_rows_{name}")).alias(f"_offset_{name}")
-          for name in names],
-        *[F.sum(f"_rows_{name}").over(group).alias(f"total_{name}") for name in names],
-        *[F.try_divide(F.sum(f"_sum_{name}").over(group), F.sum(f"_rows_{name}").over(group))
-          .alias(f"mean_{name}") for name in names])
-    running = (Window.partitionBy(*in_range).orderBy(value)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select(
-        "*", *[(F.sum(f"n_{name}").over(running) - F.col(f"n_{name}")).alias(f"_local_{name}")
-               for name in names])
-    return local.join(offsets, in_range).select(
+    offsets = sums.selectExpr(*keys, "_range", *[column for name in names for column in (
+        f"sum(_rows_{name}) OVER (PARTITION BY {group} ORDER BY _range {so_far}) - _rows_{name} "
+        f"AS _offset_{name}",
+        f"sum(_rows_{name}) OVER (PARTITION BY {group}) AS total_{name}",
+        f"try_divide(sum(_sum_{name}) OVER (PARTITION BY {group}), "
+        f"sum(_rows_{name}) OVER (PARTITION BY {group})) AS mean_{name}")])
+    local = ranged.selectExpr("*", *[
+        f"sum(n_{name}) OVER (PARTITION BY {group}, _range ORDER BY {v} {so_far}) - n_{name} "
+        f"AS _local_{name}" for name in names])
+    return local.join(offsets, [*keys, "_range"]).selectExpr(
         *keys, value, *[f"n_{name}" for name in names],
         *[column for name in names for column in (
-            (F.col(f"_local_{name}") + F.col(f"_offset_{name}")).alias(f"before_{name}"),
-            F.col(f"total_{name}"), F.col(f"mean_{name}"))])
-
-
-def value_at_rank(value: str, name: str, rank: Column) -> Column:
-    """Aggregate over a ranked histogram: the value at a 1-based rank among the named rows."""
-    reached = F.col(f"before_{name}") + F.col(f"n_{name}") >= rank
-    return F.min(F.when(reached, F.col(value)))
+            f"_local_{name} + _offset_{name} AS before_{name}", f"total_{name}",
+            f"mean_{name}")])
 
 
 def quantile(value: str, name: str, q: float) -> Column:
-    """Aggregate over a ranked histogram: linearly interpolated quantile of the named rows."""
-    position = (F.col(f"total_{name}") - 1) * F.lit(q)
-    low = value_at_rank(value, name, F.floor(position) + 1)
-    high = value_at_rank(value, name, F.ceil(position) + 1)
-    weight = F.max(position - F.floor(position))
-    return low + (high - low) * weight
+    """Aggregate over a ranked histogram: linearly interpolated quantile of the named rows.
+
+    The value at a rank is the smallest one whose cumulative count reaches it.
+    """
+    position = f"((total_{name} - 1) * {float(q)!r}D)"
+    low, high = (f"min(IF(before_{name} + n_{name} >= {side}({position}) + 1, {value}, NULL))"
+                 for side in ("floor", "ceil"))
+    return F.expr(f"{low} + ({high} - {low}) * max({position} - floor({position}))")

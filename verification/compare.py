@@ -19,7 +19,8 @@ from verification.queries import ORACLES, QUERIES
 
 def local_session(cores: str = "8") -> SparkSession:
     return (SparkSession.builder.master(f"local[{cores}]").appName("verification")
-            .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+            .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
             .config("spark.sql.shuffle.partitions", "8")
             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
 

@@ -42,9 +42,9 @@ def query(oracle: str | None = None):
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, without a negative zero: distributed sums differ in the last bits."""
-    return df.select(*[
-        (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
-        if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema])
+    return df.selectExpr(*[
+        f"round(`{name}`, {digits}) + 0D AS `{name}`" if kind == "double" else f"`{name}`"
+        for name, kind in df.dtypes])
 
 
 def ranked(df: DataFrame) -> DataFrame:
@@ -518,7 +518,7 @@ SELECT l_returnflag, price, n_all, CAST(sum(n_all) OVER (PARTITION BY l_returnfl
   CAST(sum(n_all) OVER (PARTITION BY l_returnflag) AS BIGINT) AS total_all FROM hist""")
 def value_ranks(spark, sf_dir):
     line = star.table(spark, sf_dir, "lineitem").withColumnRenamed("l_extendedprice", "price")
-    found = ranked_histogram(line, ["l_returnflag"], "price", {"all": F.lit(True)},
+    found = ranked_histogram(line, ["l_returnflag"], "price", {"all": "true"},
                              rows_per_range=4000)
     return found.select("l_returnflag", "price", "n_all", "before_all", "total_all")
 
@@ -536,33 +536,29 @@ def adjusted_p_values(spark, sf_dir):
     """Mean quantity per supplier against the overall one, adjusted within each line status."""
     means = star.table(spark, sf_dir, "lineitem").groupBy("l_linestatus", "l_suppkey").agg(
         F.avg("l_quantity").alias("m"), F.count(F.lit(1)).alias("n"))
-    p = normal_sf((F.col("m") - 25.5) / (F.lit(14.43) / F.sqrt("n")))
-    raw = means.select("l_linestatus", "l_suppkey", p.alias("p"))
+    raw = means.select("l_linestatus", "l_suppkey",
+                       normal_sf("(m - 25.5D) / (14.43D / sqrt(n))").alias("p"))
     return rounded(bh_adjust(raw, ["l_linestatus"], {"p": "p_bh"}))
 
 
 @query(f"""SELECT c_custkey, {sql.r(sql.normal_sf('((c_acctbal - 4500) / 1500)'), 8)} AS upper_tail
 FROM customer""")
 def normal_tail(spark, sf_dir):
-    z = (F.col("c_acctbal") - 4500.0) / 1500.0
-    customers = star.table(spark, sf_dir, "customer")
-    return rounded(customers.select("c_custkey", normal_sf(z).alias("upper_tail")), 8)
+    tail = normal_sf("(c_acctbal - 4500) / 1500").alias("upper_tail")
+    return rounded(star.table(spark, sf_dir, "customer").select("c_custkey", tail), 8)
 
 
 @query(f"""SELECT c_custkey, {sql.r(sql.student_t('(c_acctbal / 2500)',
   '(c_custkey % 97 + 1.25::DOUBLE)'), 8)} AS two_sided FROM customer""")
 def student_t_tail(spark, sf_dir):
-    p = student_t_two_sided(F.col("c_acctbal") / 2500.0, F.col("c_custkey") % 97 + 1.25)
-    return rounded(star.table(spark, sf_dir, "customer").select("c_custkey",
-                                                                p.alias("two_sided")), 8)
+    p = student_t_two_sided("c_acctbal / 2500", "c_custkey % 97 + 1.25D").alias("two_sided")
+    return rounded(star.table(spark, sf_dir, "customer").select("c_custkey", p), 8)
 
 
 @query()
 def summary_text(spark, sf_dir):
-    cohort = star.cohort(spark, sf_dir)
-    text = significance_summary(_stats(spark, sf_dir), cohorts.cohort_profile(
-        cohorts.comparison_cohort(star.metadata(spark, sf_dir), STAR), STAR), STAR)
-    del cohort
+    chosen = cohorts.comparison_cohort(star.metadata(spark, sf_dir), STAR)
+    text = significance_summary(_stats(spark, sf_dir), cohorts.cohort_profile(chosen, STAR), STAR)
     return spark.createDataFrame(list(enumerate(text.split("\n"), 1)), "line_no int, line string")
 
 

@@ -180,10 +180,11 @@ fences AS (
   FROM quartiles),
 boxes AS (
   SELECT {named}, f.n, f.q1, f.median, f.q3,
-    least(min(percentage) FILTER (percentage >= low), f.q1) AS whisker_low,
-    greatest(max(percentage) FILTER (percentage <= high), f.q3) AS whisker_high,
+    least(min(percentage) FILTER (percentage >= low), any_value(f.q1)) AS whisker_low,
+    greatest(max(percentage) FILTER (percentage <= high), any_value(f.q3)) AS whisker_high,
     count(*) FILTER (percentage < low OR percentage > high) AS n_outliers
-  FROM {source} s JOIN fences f ON {on} GROUP BY ALL)"""
+  FROM {source} s JOIN fences f ON {on}
+  GROUP BY {named}, f.n, f.q1, f.median, f.q3)"""
 
 
 LABELLED = f"""{COHORT}, labelled AS (

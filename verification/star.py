@@ -6,8 +6,6 @@ counts the quantities per (return flag, line status) of its line items.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.operators.cohort import comparison_cohort
@@ -32,27 +30,23 @@ def order_count(spark: SparkSession, sf_dir: str) -> int:
 
 
 def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("project"))
-    return (
-        table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
-        .join(nations, "n_nationkey")
-        .select(
-            "c_custkey", key.cast("string").alias("subject"), "project",
-            segment.alias("condition"), (key % 50 + 20).cast("int").alias("age"),
-            F.when(key % 2 == 0, "F").otherwise("M").alias("sex"),
-            F.when(segment == "FURNITURE", "none").when(key % 3 == 0, "phauximab")
-            .otherwise("miraclib").alias("treatment"),
-            F.when((segment == "FURNITURE") | (key % 7 == 0), F.lit(None).cast("string"))
-            .when(F.col("c_acctbal") >= 4500, "yes").otherwise("no").alias("response")))
+    nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey",
+                                                       "n_name AS project")
+    return table(spark, sf_dir, "customer").join(nations, "c_nationkey").selectExpr(
+        "c_custkey", "CAST(c_custkey AS STRING) AS subject", "project",
+        "c_mktsegment AS condition", "CAST(c_custkey % 50 + 20 AS INT) AS age",
+        "IF(c_custkey % 2 = 0, 'F', 'M') AS sex",
+        """CASE WHEN c_mktsegment = 'FURNITURE' THEN 'none'
+                WHEN c_custkey % 3 = 0 THEN 'phauximab' ELSE 'miraclib' END AS treatment""",
+        """CASE WHEN c_mktsegment = 'FURNITURE' OR c_custkey % 7 = 0 THEN NULL
+                WHEN c_acctbal >= 4500 THEN 'yes' ELSE 'no' END AS response""")
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_custkey").alias("c_custkey"), key.cast("string").alias("sample"),
-        F.when(F.col("o_orderstatus") == "F", "WB").otherwise("PBMC").alias("sample_type"),
-        (key % 3 * 7).cast("int").alias(TIME))
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey AS c_custkey", "CAST(o_orderkey AS STRING) AS sample",
+        "IF(o_orderstatus = 'F', 'WB', 'PBMC') AS sample_type",
+        f"CAST(o_orderkey % 3 * 7 AS INT) AS {TIME}")
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,13 +54,16 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = []
     for name in STAR.components:
         flag, status = name.split("_")
-        mine = (F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status)
-        sums.append(F.sum(F.when(mine, F.col("l_quantity")).otherwise(0.0))
-                    .cast("bigint").alias(name))
+        mine = f"l_returnflag = '{flag}' AND l_linestatus = '{status}'"
+        sums.append(F.expr(f"CAST(sum(IF({mine}, l_quantity, 0D)) AS BIGINT)").alias(name))
     return (table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
             .agg(*sums))
 
 
+def _filled() -> list[str]:
+    return [f"coalesce({c}, 0L) AS {c}" for c in STAR.components]
+
+
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sample metadata and the order key."""
     facts = samples(spark, sf_dir)
@@ -77,8 +74,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_counts(meta: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = meta.join(counts(spark, sf_dir), "o_orderkey", "left")
-    return joined.select(*METADATA, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                                      for c in STAR.components])
+    return joined.selectExpr(*METADATA, *_filled())
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +83,7 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filled_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The samples the loader accepts: a total above zero."""
-    total = reduce(lambda a, b: a + b, [F.col(c) for c in STAR.components])
-    return wide(spark, sf_dir).where(total > 0)
+    return wide(spark, sf_dir).where(" + ".join(STAR.components) + " > 0")
 
 
 def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,20 +95,18 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four normalised tables, straight from the star tables."""
-    people, taken = subjects(spark, sf_dir), samples(spark, sf_dir)
-    counted = taken.select("o_orderkey", F.col("sample").alias("sample_id")).join(
-        counts(spark, sf_dir), "o_orderkey", "left")
-    filled = counted.select("sample_id", *[
-        F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in STAR.components])
+    taken = samples(spark, sf_dir)
+    counted = taken.join(counts(spark, sf_dir), "o_orderkey", "left").selectExpr(
+        "sample AS sample_id", *_filled())
     return {
-        "projects": table(spark, sf_dir, "nation").select(F.col("n_name").alias("project_id")),
-        "subjects": people.select(
-            F.col("subject").alias("subject_id"), F.col("project").alias("project_id"),
-            "condition", "age", "sex", "treatment", "response"),
-        "samples": taken.select(
-            F.col("sample").alias("sample_id"), F.col("c_custkey").cast("string")
-            .alias("subject_id"), "sample_type", TIME),
-        "cell_counts": filled.unpivot("sample_id", list(STAR.components), "population", "count"),
+        "projects": table(spark, sf_dir, "nation").selectExpr("n_name AS project_id"),
+        "subjects": subjects(spark, sf_dir).selectExpr(
+            "subject AS subject_id", "project AS project_id", "condition", "age", "sex",
+            "treatment", "response"),
+        "samples": taken.selectExpr("sample AS sample_id",
+                                    "CAST(c_custkey AS STRING) AS subject_id", "sample_type",
+                                    TIME),
+        "cell_counts": counted.unpivot("sample_id", list(STAR.components), "population", "count"),
     }
 
 
