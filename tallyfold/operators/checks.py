@@ -29,83 +29,63 @@ MESSAGES = {
 VIOLATION_COLUMNS = ("rule", "key", "column", "detail")
 
 
-def _finding(rule: str, key: Column, column: Column, detail: Column, major: int = 0,
-             minor: int = 0) -> Column:
-    """One finding; (rule_no, major, key, minor) is the reporting order."""
-    return F.struct(
-        F.lit(RULES.index(rule)).alias("rule_no"), F.lit(major).alias("major"),
-        F.lit(rule).alias("rule"), key.cast("string").alias("key"),
-        column.cast("string").alias("column"), detail.cast("string").alias("detail"),
-        F.lit(minor).alias("minor"))
-
-
-def _no_text() -> Column:
-    return F.lit(None).cast("string")
+def _finding(rule: str, key: str = "`sample`", column: str = "NULL", detail: str = "NULL",
+             major: str = "0", minor: str = "0") -> str:
+    """SQL of one finding; (rule_no, major, key, minor) is the reporting order."""
+    parts = {"rule_no": RULES.index(rule), "major": f"CAST({major} AS INT)", "rule": f"'{rule}'",
+             "key": f"CAST({key} AS STRING)", "column": f"CAST({column} AS STRING)",
+             "detail": f"CAST({detail} AS STRING)", "minor": f"CAST({minor} AS INT)"}
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
 
 
 def duplicate_samples(df: DataFrame) -> DataFrame:
-    found = duplicate_keys(df, ["sample"])
-    return found.select(_finding("duplicate_sample", F.col("sample"), F.lit("sample"),
-                                 F.col("n")).alias("f")).select("f.*")
+    finding = _finding("duplicate_sample", column="'sample'", detail="n")
+    return duplicate_keys(df, ["sample"]).selectExpr(f"{finding} AS f").select("f.*")
 
 
 def row_violations(df: DataFrame, study: Study) -> DataFrame:
     """Negative counts, zero totals, uncastable integers and missing keys, in one pass."""
-    sample = F.col("sample")
-    findings = []
-    for rank, name in enumerate(study.components):
-        findings.append(F.when(F.col(name) < 0, _finding(
-            "negative_count", sample, F.lit(name), F.col(name), major=rank)))
-    total = sum((F.coalesce(F.col(c), F.lit(0)) for c in study.components), F.lit(0))
-    findings.append(F.when(total == 0, _finding("zero_total", sample, _no_text(), _no_text())))
-    for rank, name in enumerate(("project", "subject", "sample")):
-        findings.append(F.when(F.col(name).isNull(), _finding(
-            "missing_key", sample, F.lit(name), _no_text(), major=rank)))
-    found = F.array_compact(F.array(*findings))
+    findings = [
+        f"IF(`{c}` < 0, {_finding('negative_count', column=repr(c), detail=f'`{c}`', major=i)}, "
+        "NULL)" for i, c in enumerate(study.components)]
+    total = " + ".join(f"coalesce(`{c}`, 0L)" for c in study.components)
+    findings.append(f"IF({total} = 0, {_finding('zero_total')}, NULL)")
+    findings += [
+        f"IF(`{c}` IS NULL, {_finding('missing_key', column=repr(c), major=i)}, NULL)"
+        for i, c in enumerate(("project", "subject", "sample"))]
+    found = f"array_compact(array({', '.join(findings)}))"
     if UNCASTABLE in df.columns:
-        uncast = F.transform(UNCASTABLE, lambda name, i: F.struct(
-            F.lit(RULES.index("not_integer")).alias("rule_no"), i.alias("major"),
-            F.lit("not_integer").alias("rule"), sample.cast("string").alias("key"),
-            name.alias("column"), _no_text().alias("detail"), F.lit(0).alias("minor")))
-        found = F.concat(found, uncast)
-    return df.select(F.explode(found).alias("f")).select("f.*")
+        uncast = _finding("not_integer", column="name", major="i")
+        found = f"concat({found}, transform({UNCASTABLE}, (name, i) -> {uncast}))"
+    # The outer form keeps the optimizer from repeating the whole array in a pre-filter.
+    return df.selectExpr(f"explode_outer({found}) AS f").where("f IS NOT NULL").select("f.*")
 
 
 def drift(df: DataFrame, owner: str, columns: Iterable[str],
           blank_as_value: Iterable[str] = ()) -> DataFrame:
     """(owner, column) pairs with more than one value.
 
-    NULL is no value, except in the ``blank_as_value`` columns. Repeated combinations are dropped
-    before the shuffle; min < max per column then finds every drift in one aggregate.
+    NULL is no value, except in the ``blank_as_value`` columns. min < max per column finds every
+    drift in one aggregate, combined before the shuffle.
     """
     blanks, columns = set(blank_as_value), list(columns)
-
-    def seen(name: str) -> Column:
-        column = F.col(name)
-        if name in blanks:
-            # A flag first keeps a blank apart from every text.
-            return F.struct(column.isNull(), column)
-        return column
-
-    sides = [side(seen(c)).alias(f"{at}_{c}") for c in columns
-             for at, side in (("_lo", F.min), ("_hi", F.max))]
-    bounds = df.select(owner, *columns).distinct().groupBy(owner).agg(*sides)
-    drifted = F.array_compact(F.array(*[
-        F.when(F.col(f"_lo_{c}") < F.col(f"_hi_{c}"),
-               F.struct(F.lit(c).alias("column"), F.lit(i).alias("position")))
-        for i, c in enumerate(columns)]))
-    return bounds.select(owner, F.explode(drifted).alias("d")).select(
-        owner, "d.column", "d.position")
+    # A flag in front keeps a blank apart from every text.
+    seen = {c: f"struct(`{c}` IS NULL, `{c}`)" if c in blanks else f"`{c}`" for c in columns}
+    bounds = df.groupBy(owner).agg(*[
+        F.expr(f"{side}({seen[c]})").alias(f"_{side}_{c}")
+        for c in columns for side in ("min", "max")])
+    drifted = ", ".join(
+        f"IF(`_min_{c}` < `_max_{c}`, named_struct('column', '{c}', 'position', {i}), NULL)"
+        for i, c in enumerate(columns))
+    found = bounds.selectExpr(f"`{owner}`", f"explode_outer(array_compact(array({drifted}))) AS d")
+    return found.where("d IS NOT NULL").select(owner, "d.column", "d.position")
 
 
 def subject_drift(df: DataFrame) -> DataFrame:
-    found = drift(df.where(F.col("subject").isNotNull()), "subject", SUBJECT_INVARIANTS,
+    found = drift(df.where("subject IS NOT NULL"), "subject", SUBJECT_INVARIANTS,
                   blank_as_value=["response"])
-    finding = F.struct(
-        F.lit(RULES.index("subject_drift")).alias("rule_no"), F.lit(0).alias("major"),
-        F.lit("subject_drift").alias("rule"), F.col("subject").cast("string").alias("key"),
-        F.col("column"), _no_text().alias("detail"), F.col("position").alias("minor"))
-    return found.select(finding.alias("f")).select("f.*")
+    finding = _finding("subject_drift", key="subject", column="`column`", minor="position")
+    return found.selectExpr(f"{finding} AS f").select("f.*")
 
 
 def violations(df: DataFrame, study: Study) -> DataFrame:

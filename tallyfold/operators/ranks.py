@@ -14,22 +14,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 4096
-_ACCURACY = 100_000
-
-
-def group_cut_points(df: DataFrame, keys: list[str], value: str, rows_per_range: int) -> list:
-    """Collected (keys.., cuts) rows of the groups larger than one range; cuts are ascending."""
-    grid = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    sketches = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"),
-             F.percentile_approx(value, grid, _ACCURACY).alias("_grid"))
-        .where(F.col("_n") > rows_per_range))
+MAX_RANGES = 1024
+
+
+def group_cut_points(df: DataFrame, keys: list[str], value: str, rows_per_range: int,
+                     max_group_rows: int | None = None) -> list:
+    """Collected (keys.., cuts) rows of the groups larger than one range; cuts are ascending.
+
+    The quantile sketches are only as fine as the number of ranges asks for, so that the one per
+    task and group stays small in the shuffle.
+    """
+    ranges = MAX_RANGES
+    if max_group_rows is not None:
+        ranges = min(ranges, -(-max_group_rows // rows_per_range))
+    grid = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
+    sketches = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.expr(f"percentile_approx(`{value}`, array({grid}), {4 * ranges})").alias("_grid"))
     found = []
-    for row in sketches.collect():
-        ranges = min(MAX_RANGES, -(-row["_n"] // rows_per_range))
-        picked = {float(row["_grid"][i * MAX_RANGES // ranges - 1]) for i in range(1, ranges)}
+    for row in sketches.where(F.col("_n") > rows_per_range).collect():
+        wanted = min(ranges, -(-row["_n"] // rows_per_range))
+        picked = {float(row["_grid"][i * ranges // wanted - 1]) for i in range(1, wanted)}
         found.append((*[row[k] for k in keys], sorted(picked)))
     return found
 
@@ -73,7 +78,7 @@ def ranked_histogram(df: DataFrame, keys: list[str], value: str, counts: dict[st
 
     cut_rows = []
     if max_group_rows is None or max_group_rows > rows_per_range:
-        cut_rows = group_cut_points(df, keys, value, rows_per_range)
+        cut_rows = group_cut_points(df, keys, value, rows_per_range, max_group_rows)
 
     v, group = f"`{value}`", ", ".join(f"`{k}`" for k in keys)
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"

@@ -16,7 +16,8 @@ from tallyfold.operators.composition import composition
 from tallyfold.operators.normalize import normalize, sample_metadata, with_metadata
 from tallyfold.plans.summary import significance_summary
 from tallyfold.sources.tables import (
-    new_run, publish, published_run, read_optional, read_tables, write_table, write_tables)
+    new_run, publish, published_run, read_optional, read_tables, write_table, write_tables,
+    write_together)
 from tallyfold.sources.wide_csv import read_wide
 from tallyfold.study import CLINICAL, Study
 
@@ -91,8 +92,8 @@ def statistics_job(cohort: DataFrame, out_dir: str, study: Study = CLINICAL, fmt
                 f"{out_dir}/stats", fmt, partition_by="scope")
     written = read_optional(spark, f"{out_dir}/stats", fmt, stats.schema)
     summary = significance_summary(written, cohort_profile(cohort, study), study)
-    lines = spark.createDataFrame([(line,) for line in summary.split("\n")], "value string")
-    lines.coalesce(1).write.mode("overwrite").text(f"{out_dir}/stats_summary")
+    text = spark.range(1).select(F.lit(summary).alias("value"))
+    text.coalesce(1).write.mode("overwrite").text(f"{out_dir}/stats_summary")
     return written, summary
 
 
@@ -109,8 +110,7 @@ def boxplot_job(cohort: DataFrame, stats: DataFrame, out_dir: str, study: Study
         "boxplots_per_timepoint": timed.orderBy(*boxplot_order(study, by_time=True)),
         "boxplot_outliers_per_timepoint": timed_outliers,
     }
-    for name, df in made.items():
-        write_table(df, f"{out_dir}/{name}", fmt)
+    write_together(made, out_dir, fmt)
     return made
 
 
@@ -124,8 +124,7 @@ def cohort_job(metadata: DataFrame, out_dir: str, study: Study = CLINICAL,
         "part4_by_response": breakdown(chosen, "response", one_per="subject"),
         "part4_by_sex": breakdown(chosen, "sex", one_per="subject"),
     }
-    for name, df in made.items():
-        write_table(df, f"{out_dir}/{name}", fmt)
+    write_together(made, out_dir, fmt)
     return made
 
 
@@ -137,14 +136,13 @@ def analyse(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
     metadata = sample_metadata(tables, keys_checked=True)
     write_table(cohort_frequencies(tables, study, metadata), f"{out_dir}/cohort_frequencies")
     cohort = spark.read.parquet(f"{out_dir}/cohort_frequencies")
-    n_rows = cohort.count()
     kept = join_cardinality(
-        cohort.select("sample").distinct(),
-        comparison_cohort(metadata, study).select("sample")).first()
+        comparison_cohort(metadata, study).select("sample"),
+        cohort.select("sample").distinct()).first()
     if not kept["complete"]:
-        raise ValueError(f"cohort join lost or repeated samples: {kept.asDict()}")
+        raise ValueError(f"the cohort join lost samples: {kept.asDict()}")
     # A group holds at most one row per sample of the cohort.
-    bound = -(-n_rows // len(study.components))
+    bound = kept["n_facts"]
     stats, _ = statistics_job(cohort, out_dir, study, fmt, bound)
     made["stats"] = stats
     made.update(boxplot_job(cohort, stats, out_dir, study, fmt, bound))

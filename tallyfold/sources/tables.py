@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -68,7 +69,7 @@ def new_run(out_dir: str) -> tuple[str, str]:
 
 def publish(spark: SparkSession, out_dir: str, run: str) -> None:
     """Make a finished run the current one, by one appended row."""
-    pointer = spark.createDataFrame([(run,)], "value string").coalesce(1)
+    pointer = spark.range(1).select(F.lit(run).alias("value")).coalesce(1)
     pointer.write.mode("append").text(f"{out_dir.rstrip('/')}/{POINTERS}")
 
 
@@ -82,9 +83,17 @@ def published_run(spark: SparkSession, out_dir: str) -> str | None:
     return None if run is None else f"{root}/run={run}"
 
 
+def write_together(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
+    """Write independent tables as concurrent Spark jobs, so small ones fill idle executors."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = [pool.submit(write_table, df, f"{folder}/{name}", fmt)
+                   for name, df in tables.items()]
+        for job in running:
+            job.result()
+
+
 def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    for name in TABLES:
-        write_table(tables[name], f"{folder}/{name}")
+    write_together({name: tables[name] for name in TABLES}, folder)
 
 
 def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -116,19 +116,16 @@ LINES = Study(components=("price_gap", "tax_percent"), cohort={})
 
 
 def faulty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem")
-    gap = F.round(F.col("l_extendedprice") * (F.col("l_discount") - 0.05), 0).cast("bigint")
     columns = {
-        "project": F.col("l_linestatus"), "subject": F.col("l_orderkey"),
-        "condition": F.col("l_returnflag"),
-        "age": F.when(F.col("l_quantity") == 50, "n/a")
-        .when(F.col("l_quantity") == 49, "unknown").otherwise(F.col("l_quantity").cast("string")),
-        "sex": F.when(F.col("l_suppkey") % 2 == 0, "F").otherwise("M"),
-        "treatment": F.lit("none"),
-        "response": F.when(F.col("l_partkey") % 3 == 0, "yes")
-        .when(F.col("l_partkey") % 3 == 1, "no").otherwise(""),
-        "sample": F.concat_ws("-", "l_orderkey", "l_linenumber"),
-        "sample_type": F.lit("PBMC"), TIME: F.col("l_linenumber"),
-        "price_gap": gap, "tax_percent": F.round(F.col("l_tax") * 100, 0).cast("bigint"),
+        "project": "l_linestatus", "subject": "l_orderkey", "condition": "l_returnflag",
+        "age": "CASE l_quantity WHEN 50 THEN 'n/a' WHEN 49 THEN 'unknown' "
+               "ELSE CAST(l_quantity AS STRING) END",
+        "sex": "IF(l_suppkey % 2 = 0, 'F', 'M')", "treatment": "'none'",
+        "response": "CASE l_partkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE '' END",
+        "sample": "concat_ws('-', l_orderkey, l_linenumber)", "sample_type": "'PBMC'",
+        TIME: "l_linenumber",
+        "price_gap": "CAST(round(l_extendedprice * (l_discount - 0.05D), 0) AS BIGINT)",
+        "tax_percent": "CAST(round(l_tax * 100, 0) AS BIGINT)",
     }
-    return line.select(*[c.cast("string").alias(name) for name, c in columns.items()])
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *[f"CAST({expression} AS STRING) AS {name}" for name, expression in columns.items()])
