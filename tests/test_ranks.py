@@ -1,0 +1,74 @@
+import random
+from bisect import bisect_left, bisect_right
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyfold.operators.ranks import group_cut_points, quantile, ranked_histogram
+
+COUNTS = {"a": "is_a", "b": "NOT is_a"}
+
+
+def data(seed, n=3000, hot=0.34):
+    """One group with most rows, a third of them at one value; a small and a one-row group."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        key = "big" if rng.random() < 0.9 else "small"
+        value = 0.0 if rng.random() < hot else round(rng.gauss(10, 5), 2)
+        rows.append((key, value, rng.random() < 0.4))
+    return rows + [("single", 7.0, True), ("small", None, True), (None, 1.0, False)]
+
+
+def expected(rows):
+    out = {}
+    for key in {r[0] for r in rows if r[0]}:
+        mine = [r for r in rows if r[0] == key and r[1] is not None]
+        a = sorted(r[1] for r in mine if r[2])
+        b = sorted(r[1] for r in mine if not r[2])
+        for v in {r[1] for r in mine}:
+            out[key, v] = tuple(
+                x for side in (a, b) for x in (
+                    bisect_right(side, v) - bisect_left(side, v), bisect_left(side, v),
+                    len(side)))
+    return out
+
+
+@pytest.mark.parametrize("rows_per_range", [3, 40, 500, 10 ** 6])
+@pytest.mark.parametrize("bound", [None, 3000])
+def test_ranks_are_exact_however_the_groups_are_cut(spark, rows_per_range, bound):
+    rows = data(rows_per_range)
+    df = spark.createDataFrame(rows, "k string, v double, is_a boolean").repartition(7)
+    ranked = ranked_histogram(df, ["k"], "v", COUNTS, max_group_rows=bound,
+                              rows_per_range=rows_per_range)
+    got = {(r.k, r.v): (r.n_a, r.before_a, r.total_a, r.n_b, r.before_b, r.total_b)
+           for r in ranked.collect()}
+    assert got == expected(rows)
+
+
+@pytest.mark.parametrize("rows_per_range", [25, 10 ** 6])
+def test_quantiles_equal_numpy(spark, rows_per_range):
+    rows = data(5)
+    df = spark.createDataFrame(rows, "k string, v double, is_a boolean")
+    ranked = ranked_histogram(df, ["k"], "v", COUNTS, rows_per_range=rows_per_range)
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    out = ranked.groupBy("k").agg(*[quantile("v", "a", q).alias(str(q)) for q in qs],
+                                  F.max("mean_a").alias("mean"))
+    for row in out.collect():
+        values = [r[1] for r in rows if r[0] == row.k and r[1] is not None and r[2]]
+        assert [row[str(q)] for q in qs] == pytest.approx(list(np.quantile(values, qs)))
+        assert row.mean == pytest.approx(np.mean(values))
+
+
+def test_only_large_groups_are_cut(spark):
+    df = spark.createDataFrame(data(1), "k string, v double, is_a boolean").dropna()
+    cuts = group_cut_points(df, ["k"], "v", 1000)
+    assert [row[0] for row in cuts] == ["big"] and cuts[0][1] == sorted(set(cuts[0][1]))
+
+
+def test_one_value_for_the_whole_group(spark):
+    df = spark.createDataFrame([("k", 1.5, i % 2 == 0) for i in range(100)],
+                               "k string, v double, is_a boolean")
+    rows = ranked_histogram(df, ["k"], "v", COUNTS, rows_per_range=10).collect()
+    assert len(rows) == 1 and rows[0].n_a == rows[0].total_a == 50 and rows[0].before_b == 0

@@ -1,0 +1,38 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tallyfold.operators.skew import heavy_keys, lookup_join
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    """A third of all rows under one key, one key without a match, some NULL keys."""
+    return spark.range(300).select(
+        "id", F.expr("CASE WHEN id < 100 THEN 'hot' WHEN id < 103 THEN NULL "
+                     "WHEN id < 106 THEN 'lost' ELSE concat('k', id % 40) END").alias("k"))
+
+
+@pytest.fixture(scope="module")
+def lookup(spark):
+    return spark.createDataFrame([("hot", -1)] + [(f"k{i}", i) for i in range(40)],
+                                 "k string, v int")
+
+
+def test_heavy_keys_come_heaviest_first_and_are_bounded(facts):
+    assert heavy_keys(facts, "k", min_rows=50) == ["hot"]
+    assert heavy_keys(facts, "k", min_rows=1, limit=3)[0] == "hot"
+    assert len(heavy_keys(facts, "k", min_rows=1, limit=3)) == 3
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("min_rows", [1, 4, 50, 1000])
+def test_split_join_equals_plain_join(facts, lookup, how, min_rows):
+    plain = facts.join(lookup, "k", how)
+    split = lookup_join(facts, lookup, "k", how=how, min_rows=min_rows)
+    assert split.columns == plain.columns
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_without_heavy_keys_the_plan_is_one_join(facts, lookup):
+    plan = lookup_join(facts, lookup, "k", heavy=[])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" not in plan
