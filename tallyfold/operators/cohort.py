@@ -77,7 +77,8 @@ def scopes_of_row(timepoints: Iterable[int]) -> Column:
 
 
 def cohort_profile(df: DataFrame, study: Study) -> DataFrame:
-    """Per scope (pooled and each time point): samples, subjects, subjects per response.
+    """Per scope (pooled and each time point): samples, subjects, subjects per response, from
+    one row per sample.
 
     Subjects are grouped before they are counted, so no task holds a whole scope.
     """

@@ -67,7 +67,8 @@ def mann_whitney(summary: DataFrame, exact: bool = True) -> DataFrame:
         "CAST(n_a AS DOUBLE) + n_b AS _n",
     ).selectExpr(
         "*", "IF(_pairs IS NULL, NULL, u_doubled / 2D) AS mwu_stat",
-        "sqrt(_pairs / 12D * (_n + 1D - try_divide(tie_sum, _n * (_n - 1D)))) AS _deviation",
+        "sqrt(_pairs / 12D * greatest(0D, _n + 1D - try_divide(tie_sum, _n * (_n - 1D)))) "
+        "AS _deviation",
     ).selectExpr("*", "greatest(mwu_stat, _pairs - mwu_stat) AS _larger")
     # Without spread everything is tied: nothing speaks against equality.
     p = F.when(F.expr("_deviation > 0"), F.least(F.lit(1.0), F.lit(2.0) * normal_sf(

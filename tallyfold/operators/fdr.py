@@ -15,7 +15,7 @@ def bh_adjust(df: DataFrame, family: list[str], p_columns: dict[str, str]) -> Da
     within = "PARTITION BY " + ", ".join(f"`{name}`" for name in family)
     out = df.selectExpr("*", *[
         f"{p} / (CAST(row_number() OVER ({within} ORDER BY {p} NULLS LAST) AS DOUBLE) "
-        f"/ count({p}) OVER ({within})) AS _scaled_{i}"
+        f"/ nullif(count({p}) OVER ({within}), 0)) AS _scaled_{i}"
         for i, p in enumerate(p_columns)])
     return out.selectExpr(*[f"`{name}`" for name in df.columns], *[
         f"IF({p} IS NULL, NULL, least(1D, min(_scaled_{i}) OVER ({within} "

@@ -19,7 +19,7 @@ from tallyfold.sources.tables import (
     new_run, publish, published_run, read_optional, read_tables, write_table, write_tables,
     write_together)
 from tallyfold.sources.wide_csv import read_wide
-from tallyfold.study import CLINICAL, Study
+from tallyfold.study import CLINICAL, TIME, Study
 
 
 def load(spark: SparkSession, path: str, out_dir: str, study: Study = CLINICAL,
@@ -91,7 +91,8 @@ def statistics_job(cohort: DataFrame, out_dir: str, study: Study = CLINICAL, fmt
     write_table(stats.coalesce(1).sortWithinPartitions(*stats_order(study)),
                 f"{out_dir}/stats", fmt, partition_by="scope")
     written = read_optional(spark, f"{out_dir}/stats", fmt, stats.schema)
-    summary = significance_summary(written, cohort_profile(cohort, study), study)
+    samples = cohort.select("sample", "subject", "response", TIME).distinct()
+    summary = significance_summary(written, cohort_profile(samples, study), study)
     text = spark.range(1).select(F.lit(summary).alias("value"))
     text.coalesce(1).write.mode("overwrite").text(f"{out_dir}/stats_summary")
     return written, summary

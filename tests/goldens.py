@@ -1,0 +1,38 @@
+"""Published statistics of the clinical data set.
+
+Columns: scope, population, n_responder, n_nonresponder, U, MWU p, its BH adjustment, t, t p, its
+BH adjustment, rank-biserial correlation.
+"""
+
+ROWS = """
+pooled b_cell 993 975 459971.0 0.055702309738266245 0.1392557743456656 -1.3688187995764836 0.17121261689054976 0.3210811538044072 -0.04981847290004393
+pooled cd8_t_cell 993 975 478176.0 0.6390858847346418 0.6390858847346418 -0.2944204277176178 0.768467982670155 0.768467982670155 -0.012211635293206236
+pooled cd4_t_cell 993 975 515276.0 0.013344218813937624 0.06672109406968811 2.809399676599306 0.005012665969050725 0.025063329845253626 0.06442740207090658
+pooled nk_cell 993 975 464546.0 0.1210507982042857 0.20175133034047618 -1.3032329155580753 0.1926486922826443 0.3210811538044072 -0.040367702119967985
+pooled monocyte 993 975 466510.0 0.16315013268752876 0.20393766585941095 -0.7294016499956464 0.4658442984158958 0.5823053730198697 -0.03631058434683809
+t=0 b_cell 331 325 55244.0 0.5485408675112389 0.8853281081905569 1.2505906465552112 0.21153737727963615 0.8447276380250429 0.02707878224494542
+t=0 cd8_t_cell 331 325 52203.0 0.5139556861462278 0.8853281081905569 -0.49689496353051854 0.6194340047717293 0.8750971044179123 -0.02945851731350224
+t=0 cd4_t_cell 331 325 54414.0 0.7964495929763914 0.8853281081905569 0.3740391272200862 0.7084989426566358 0.8750971044179123 0.011647687659772199
+t=0 nk_cell 331 325 53437.0 0.8853281081905569 0.8853281081905569 0.15725108268052848 0.8750971044179123 0.8750971044179123 -0.006516383918196644
+t=0 monocyte 331 325 50754.0 0.21138928177193006 0.8853281081905569 -0.9590690686145373 0.33789105521001717 0.8447276380250429 -0.05639786195677432
+t=7 b_cell 331 325 50240.0 0.14386477481769383 0.2397746246961564 -1.4420342367898118 0.14977151621610382 0.27104444359543245 -0.06595398559144783
+t=7 cd8_t_cell 331 325 52644.0 0.637658094967041 0.637658094967041 -0.28994600242092183 0.7719508175118192 0.7719508175118192 -0.021259586335115044
+t=7 cd4_t_cell 331 325 59064.0 0.029706072054571857 0.1485303602728593 2.584600537178671 0.009964900008184006 0.049824500040920025 0.09809900069718802
+t=7 nk_cell 331 325 50185.0 0.1377526593743302 0.2397746246961564 -1.3978697850247388 0.16262666615725946 0.27104444359543245 -0.06697652800371834
+t=7 monocyte 331 325 52089.0 0.48413674295382403 0.60517092869228 -0.40562426849264377 0.6851523658098047 0.7719508175118192 -0.0315779688589356
+t=14 b_cell 331 325 47849.0 0.014414435042203688 0.07207217521101844 -2.1619939048657972 0.030980971717597908 0.15075119159504227 -0.11040669300488026
+t=14 cd8_t_cell 331 325 54591.0 0.7407366897157915 0.7407366897157915 0.2689556459639389 0.7880486429014204 0.9360288461875095 0.014938415059261079
+t=14 cd4_t_cell 331 325 58102.0 0.0754706770446271 0.18867669261156772 1.8818482399968233 0.060300476638016916 0.15075119159504227 0.08021380432256575
+t=14 nk_cell 331 325 51347.0 0.3147007071269343 0.5245011785448905 -1.0099160552080044 0.3129090046356948 0.5215150077261581 -0.04537299558447594
+t=14 monocyte 331 325 52676.0 0.6471033071525258 0.7407366897157915 0.08029328146818804 0.9360288461875095 0.9360288461875095 -0.020664652567975783
+"""
+
+
+def golden_rows():
+    """(scope, population, n1, n2, U, mwu p, mwu bh, t, t p, t bh, rank-biserial) tuples."""
+    out = []
+    for line in ROWS.split("\n"):
+        if line:
+            scope, population, n1, n2, *rest = line.split()
+            out.append((scope, population, int(n1), int(n2), *map(float, rest)))
+    return out
