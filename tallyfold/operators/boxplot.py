@@ -47,8 +47,10 @@ def boxplot_tables(df: DataFrame, keys: dict[str, list], value: str, *,
     rows = drawn.select(*names, F.col(value).cast("double").alias("_value"))
     ranked = ranked_histogram(rows, names, "_value", {"all": "true"},
                               max_group_rows=max_group_rows, rows_per_range=rows_per_range)
+    # Every group has its box. A left join, because an inner one would add filters to one of the
+    # two readings of the histogram, whose shuffle could then not be shared.
     against = ranked.select(*names, "_value", "n_all").join(
-        F.broadcast(_boxes(ranked, names)), names)
+        F.broadcast(_boxes(ranked, names)), names, "left")
     inside = "_value BETWEEN _low AND _high"
     summary = (
         against.groupBy(*names)
@@ -65,13 +67,21 @@ def boxplot_tables(df: DataFrame, keys: dict[str, list], value: str, *,
 
 def study_boxes(cohort: DataFrame, study: Study, by_time: bool = False,
                 **options) -> tuple[DataFrame, DataFrame]:
-    """Box-plot tables of a study's cohort rows, optionally per time point."""
-    keys: dict[str, list] = {"population": list(study.components),
-                             "response_label": list(study.group_labels.values())}
+    """Box-plot tables of a study's cohort rows, optionally per time point.
+
+    Groups are labelled at the end, on the few result rows.
+    """
+    keys: dict[str, list] = {"population": list(study.components)}
     if by_time:
-        keys = {"population": keys["population"], TIME: list(study.timepoints),
-                "response_label": keys["response_label"]}
-    return boxplot_tables(boxplot_input(cohort, study), keys, "percentage", **options)
+        keys[TIME] = list(study.timepoints)
+    keys["response"] = list(study.groups)
+    label = lookup_label(F.col("response"), study.group_labels).alias("response_label")
+
+    def labelled(table: DataFrame) -> DataFrame:
+        return table.select(*[label if name == "response" else name for name in table.columns])
+
+    summary, outliers = boxplot_tables(cohort, keys, "percentage", **options)
+    return labelled(summary), labelled(outliers)
 
 
 def annotate(summary: DataFrame, stats: DataFrame, study: Study) -> DataFrame:

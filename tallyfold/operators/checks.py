@@ -45,20 +45,22 @@ def duplicate_samples(df: DataFrame) -> DataFrame:
 
 def row_violations(df: DataFrame, study: Study) -> DataFrame:
     """Negative counts, zero totals, uncastable integers and missing keys, in one pass."""
-    findings = [
-        f"IF(`{c}` < 0, {_finding('negative_count', column=repr(c), detail=f'`{c}`', major=i)}, "
-        "NULL)" for i, c in enumerate(study.components)]
     total = " + ".join(f"coalesce(`{c}`, 0L)" for c in study.components)
-    findings.append(f"IF({total} = 0, {_finding('zero_total')}, NULL)")
-    findings += [
-        f"IF(`{c}` IS NULL, {_finding('missing_key', column=repr(c), major=i)}, NULL)"
-        for i, c in enumerate(("project", "subject", "sample"))]
-    found = f"array_compact(array({', '.join(findings)}))"
+    broken = {f"`{c}` < 0": _finding("negative_count", column=repr(c), detail=f"`{c}`", major=i)
+              for i, c in enumerate(study.components)}
+    broken[f"{total} = 0"] = _finding("zero_total")
+    broken.update({f"`{c}` IS NULL": _finding("missing_key", column=repr(c), major=i)
+                   for i, c in enumerate(("project", "subject", "sample"))})
+    found = ", ".join(f"IF({condition}, {finding}, NULL)" for condition, finding in broken.items())
+    found, suspect = f"array_compact(array({found}))", " OR ".join(broken)
     if UNCASTABLE in df.columns:
         uncast = _finding("not_integer", column="name", major="i")
         found = f"concat({found}, transform({UNCASTABLE}, (name, i) -> {uncast}))"
-    # The outer form keeps the optimizer from repeating the whole array in a pre-filter.
-    return df.selectExpr(f"explode_outer({found}) AS f").where("f IS NOT NULL").select("f.*")
+        suspect += f" OR size({UNCASTABLE}) > 0"
+    # Valid rows are dropped before any finding is built for them. The outer form keeps the
+    # optimizer from repeating the whole array in a filter of its own.
+    return (df.where(suspect).selectExpr(f"explode_outer({found}) AS f")
+            .where("f IS NOT NULL").select("f.*"))
 
 
 def drift(df: DataFrame, owner: str, columns: Iterable[str],

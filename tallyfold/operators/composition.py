@@ -13,15 +13,15 @@ FREQUENCY_COLUMNS = ("sample", "total_count", "population", "count", "percentage
 
 
 def composition(df: DataFrame, entity: str = "sample", component: str = "population",
-                value: str = "count", *, max_rows_per_entity: int | None = None,
-                min_rows: int = HEAVY_ROWS) -> DataFrame:
+                value: str = "count", *, keep: Iterable[str] = (),
+                max_rows_per_entity: int | None = None, min_rows: int = HEAVY_ROWS) -> DataFrame:
     """Total per entity and each component's percentage, from one row per (entity, component).
 
     Entities small enough for one task are totalled by a window (one shuffle). Unless the caller
     knows a bound on the rows of an entity, entities of ``min_rows`` rows or more are looked for
     first; their totals (at most ``HEAVY_LIMIT`` rows) are broadcast to their unmoved rows.
     """
-    shape = [entity, "total_count", component, value, "percentage"]
+    shape = [entity, "total_count", component, value, "percentage", *keep]
     percentage = relative_frequency(F.col(value), F.col("total_count"))
     heavy = []
     if max_rows_per_entity is None or max_rows_per_entity > min_rows:

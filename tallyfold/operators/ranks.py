@@ -71,7 +71,7 @@ def ranked_histogram(df: DataFrame, keys: list[str], value: str, counts: dict[st
     group, when the caller has one: a bound within ``rows_per_range`` spares the pass that looks
     for cut points.
     """
-    df = df.dropna(subset=[*keys, value])
+    df = df.where(" AND ".join(f"`{name}` IS NOT NULL" for name in [*keys, value]))
     names = list(counts)
     hist = df.groupBy(*keys, value).agg(
         *[F.expr(f"count_if({cond})").alias(f"n_{name}") for name, cond in counts.items()])
@@ -104,7 +104,8 @@ def ranked_histogram(df: DataFrame, keys: list[str], value: str, counts: dict[st
     local = ranged.selectExpr("*", *[
         f"sum(n_{name}) OVER (PARTITION BY {group}, _range ORDER BY {v} {so_far}) - n_{name} "
         f"AS _local_{name}" for name in names])
-    return local.join(offsets, [*keys, "_range"]).selectExpr(
+    # Every range has its offset; the left join leaves both readings of the histogram alike.
+    return local.join(offsets, [*keys, "_range"], "left").selectExpr(
         *keys, value, *[f"n_{name}" for name in names],
         *[column for name in names for column in (
             f"_local_{name} + _offset_{name} AS before_{name}", f"total_{name}",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,7 +20,7 @@ from tallyfold.sources.tables import (
     new_run, publish, published_run, read_optional, read_tables, write_table, write_tables,
     write_together)
 from tallyfold.sources.wide_csv import read_wide
-from tallyfold.study import CLINICAL, TIME, Study
+from tallyfold.study import CLINICAL, METADATA, TIME, Study
 
 
 def load(spark: SparkSession, path: str, out_dir: str, study: Study = CLINICAL,
@@ -63,16 +64,16 @@ def cohort_frequencies(tables: dict[str, DataFrame], study: Study,
                        metadata: DataFrame | None = None) -> DataFrame:
     """Frequency rows with metadata of the comparison cohort.
 
-    The cohort is chosen before anything is totalled. Totals are per sample, so leaving out
-    whole samples first changes no percentage, and one partitioning by sample serves the join
-    and the totals.
+    The cohort is chosen before anything is totalled: totals are per sample, so leaving out whole
+    samples first changes no percentage, and one partitioning by sample serves the join and the
+    totals.
     """
     if metadata is None:
         metadata = sample_metadata(tables, keys_checked=True)
     chosen = comparison_cohort(metadata, study)
     counts = tables["cell_counts"].withColumnRenamed("sample_id", "sample")
-    kept = counts.join(chosen.select("sample"), "sample", "left_semi")
-    return with_metadata(composition(kept, max_rows_per_entity=len(study.components)), chosen)
+    return composition(with_metadata(counts, chosen), keep=METADATA[1:],
+                       max_rows_per_entity=len(study.components))
 
 
 def frequencies_job(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
@@ -131,24 +132,27 @@ def cohort_job(metadata: DataFrame, out_dir: str, study: Study = CLINICAL,
 
 def analyse(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
             fmt: str = "csv") -> dict[str, DataFrame]:
-    """Everything after the load. The cohort's rows are written once and then shared."""
+    """Everything after the load. The cohort's rows are written once and then shared; the
+    frequency table and the cohort tables, which nothing waits for, are written meanwhile."""
     spark = tables["samples"].sparkSession
-    made = {"cell_frequencies": frequencies_job(tables, out_dir, study, fmt)}
     metadata = sample_metadata(tables, keys_checked=True)
-    write_table(cohort_frequencies(tables, study, metadata), f"{out_dir}/cohort_frequencies")
-    cohort = spark.read.parquet(f"{out_dir}/cohort_frequencies")
-    kept = join_cardinality(
-        comparison_cohort(metadata, study).select("sample"),
-        cohort.select("sample").distinct()).first()
-    if not kept["complete"]:
-        raise ValueError(f"the cohort join lost samples: {kept.asDict()}")
-    # A group holds at most one row per sample of the cohort.
-    bound = kept["n_facts"]
-    stats, _ = statistics_job(cohort, out_dir, study, fmt, bound)
-    made["stats"] = stats
-    made.update(boxplot_job(cohort, stats, out_dir, study, fmt, bound))
-    made.update(cohort_job(metadata, out_dir, study, fmt))
-    return made
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        frequencies = pool.submit(frequencies_job, tables, out_dir, study, fmt)
+        breakdowns = pool.submit(cohort_job, metadata, out_dir, study, fmt)
+
+        write_table(cohort_frequencies(tables, study, metadata), f"{out_dir}/cohort_frequencies")
+        cohort = spark.read.parquet(f"{out_dir}/cohort_frequencies")
+        kept = join_cardinality(
+            comparison_cohort(metadata, study).select("sample"),
+            cohort.select("sample").distinct()).first()
+        if not kept["complete"]:
+            raise ValueError(f"the cohort join lost samples: {kept.asDict()}")
+        # A group holds at most one row per sample of the cohort.
+        bound = kept["n_facts"]
+        stats, _ = statistics_job(cohort, out_dir, study, fmt, bound)
+        boxes = boxplot_job(cohort, stats, out_dir, study, fmt, bound)
+        return {"cell_frequencies": frequencies.result(), "stats": stats, **boxes,
+                **breakdowns.result()}
 
 
 def run_study(spark: SparkSession, path: str, out_dir: str, study: Study = CLINICAL,
