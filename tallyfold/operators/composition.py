@@ -50,7 +50,14 @@ def composition_of_wide(df: DataFrame, components: Iterable[str], entity: str =
     ).select(entity, "total_count", "population", "count", "percentage", *keep)
 
 
-def composition_of_events(df: DataFrame, entity: str, component: str, **options) -> DataFrame:
-    """Composition of raw event rows: count per (entity, component) first."""
+def composition_of_events(df: DataFrame, entity: str, component: str,
+                          min_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Composition of raw event rows: count per (entity, component) first.
+
+    An entity has at most one count per distinct component. Counting those reads one column and
+    mostly proves every entity small enough for one task.
+    """
     counted = df.groupBy(entity, component).agg(F.count(F.lit(1)).alias("count"))
-    return composition(counted, entity, component, "count", **options)
+    n_components = df.select(component).distinct().limit(min_rows + 1).count()
+    return composition(counted, entity, component, "count", max_rows_per_entity=n_components,
+                       min_rows=min_rows)

@@ -456,11 +456,6 @@ def statistics_by_table_write(spark, sf_dir):
     return rounded(back.where(F.col("scope") != "baseline").select(*stats.columns))
 
 
-def _shown(digits_by_column: dict[str, int]) -> str:
-    return ", ".join(f"printf('%.{digits_by_column[c]}f', {c}) AS {c}"
-                     if c in digits_by_column else c for c in STATS_COLUMNS)
-
-
 @query(f"""{sql.STATS} SELECT population, printf('%.4f', mwu_p_bh) AS mwu_p_bh,
   printf('%.4f', t_p_bh) AS t_p_bh, printf('%.4f', mwu_p_raw) AS mwu_p_raw,
   printf('%.4f', t_p_raw) AS t_p_raw, printf('%.3f', rank_biserial) AS rank_biserial,
@@ -523,21 +518,22 @@ def value_ranks(spark, sf_dir):
     return found.select("l_returnflag", "price", "n_all", "before_all", "total_all")
 
 
-SUPPLIER_P = f"""WITH z AS (SELECT l_linestatus, l_suppkey,
+LINE_P = f"""WITH z AS (SELECT l_linestatus, l_returnflag, l_linenumber,
   (avg(l_quantity) - 25.5::DOUBLE) / (14.43::DOUBLE / sqrt(count(*))) AS z
   FROM lineitem GROUP BY ALL),
 raw AS (SELECT *, {sql.normal_sf('z')} AS p FROM z),
 {sql.adjusted('p', 'p_bh', 'raw', 'done', 'l_linestatus')}"""
 
 
-@query(f"{SUPPLIER_P} SELECT l_linestatus, l_suppkey, {sql.r('p')} AS p, {sql.r('p_bh')} AS p_bh "
-       "FROM done")
+@query(f"SELECT l_linestatus, l_returnflag, l_linenumber, {sql.r('p')} AS p, "
+       f"{sql.r('p_bh')} AS p_bh FROM ({LINE_P} SELECT * FROM done)")
 def adjusted_p_values(spark, sf_dir):
-    """Mean quantity per supplier against the overall one, adjusted within each line status."""
-    means = star.table(spark, sf_dir, "lineitem").groupBy("l_linestatus", "l_suppkey").agg(
+    """Mean quantity of each flag and line number against the overall one, adjusted within each
+    line status. A family has as many members as there are flags and line numbers."""
+    members = ["l_linestatus", "l_returnflag", "l_linenumber"]
+    means = star.table(spark, sf_dir, "lineitem").groupBy(*members).agg(
         F.avg("l_quantity").alias("m"), F.count(F.lit(1)).alias("n"))
-    raw = means.select("l_linestatus", "l_suppkey",
-                       normal_sf("(m - 25.5D) / (14.43D / sqrt(n))").alias("p"))
+    raw = means.select(*members, normal_sf("(m - 25.5D) / (14.43D / sqrt(n))").alias("p"))
     return rounded(bh_adjust(raw, ["l_linestatus"], {"p": "p_bh"}))
 
 
