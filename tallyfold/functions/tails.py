@@ -87,10 +87,11 @@ def _partition_numerator(n: int) -> tuple[int, list[int]]:
     period = math.lcm(*range(1, n + 1))
     poly = [1]
     for part in (1, *range(1, n + 1)):
-        out = [0] * (len(poly) + period - part)
-        for shift in range(0, period, part):
-            for i, c in enumerate(poly):
-                out[i + shift] += c
+        # Times (1 - q^L) / (1 - q^part), the quotient being a polynomial.
+        out = poly + [0] * (period - part)
+        for i in range(len(out)):
+            out[i] -= poly[i - period] if period <= i else 0
+            out[i] += out[i - part] if part <= i else 0
         poly = out
     return period, poly
 

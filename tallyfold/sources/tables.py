@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import lru_cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +16,11 @@ from tallyfold.study import TABLES
 POINTERS = "published"
 
 
+@lru_cache(maxsize=1)
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="tallyfold-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -24,8 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallyfold-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/tallyfold-{uuid.uuid4().hex}"
 
 

@@ -63,10 +63,10 @@ def test_t_tail_lies_between_neighbouring_whole_df(spark):
 @pytest.mark.parametrize("n1,n2", [(1, 1), (1, 6), (3, 3), (3, 5), (8, 8), (5, 9)])
 def test_exact_rank_distribution_against_enumeration(n1, n2):
     seen = Counter(sum(c) - n1 * (n1 - 1) // 2 for c in combinations(range(n1 + n2), n1))
-    total, so_far = sum(seen.values()), 0
+    total, so_far, numerators = sum(seen.values()), 0, {}
     for u in range(n1 * n2 + 1):
         so_far += seen[u]
-        assert rank_sum_cdf(u, n1, n2) == pytest.approx(so_far / total, rel=1e-15)
+        assert rank_sum_cdf(u, n1, n2, numerators) == pytest.approx(so_far / total, rel=1e-15)
 
 
 def test_exact_rank_distribution_of_a_huge_group():

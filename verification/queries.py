@@ -215,7 +215,11 @@ FINDINGS = "WITH found AS (" + " UNION ALL ".join([
 
 
 def _findings(spark, sf_dir) -> DataFrame:
-    return checks.violations(type_wide(star.faulty_text(spark, sf_dir), LINES), LINES)
+    """Typed once into a table that all rules read, as the load job does."""
+    path = store.shared_dir(spark)
+    typed = type_wide(star.faulty_text(spark, sf_dir), LINES)
+    store.write_table(typed, path)
+    return checks.violations(spark.read.schema(typed.schema).parquet(path), LINES)
 
 
 @query(f"{FINDINGS} SELECT rule, key, col AS \"column\", detail FROM found")
