@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyfold.sources.tables import shared_dir
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` does, once for an application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="tallyfold-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))  # Spark serves it to every executor
+        _shipped.add(context.applicationId)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table of its own in the cluster's shared folder, and read back.
 
@@ -28,7 +48,7 @@ def text_or_empty(column: str | Column) -> Column:
 
 def slices(texts: pa.Array, max_bytes: int) -> Iterator[list[str]]:
     """The texts in order, in lists of at most ``max_bytes`` UTF-8 bytes or of one longer text."""
-    sizes = pa.compute.binary_length(texts).to_pylist()
+    sizes = pc.binary_length(texts).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
         if i > start and total + size > max_bytes:

@@ -3,27 +3,82 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import sentencepiece_codec
+from tallyfold.llm import decontaminate, secrets, sentencepiece_codec, simhash, toxicity
+from tallyfold.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def span_text(spans: Column) -> Column:
+    """kind:start:end, comma-joined, in the order given."""
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def count_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+@query
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+                        .alias("fingerprint"), "component_id")
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.scored(documents(spark, sf_dir).select("doc_id", "text"), labels).select(
+        "doc_id", "toxicity.*")
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secrets.secret_spans(docs, RANKS, PATTERN).select("doc_id", "secrets")
+    base = F.filter("secrets", lambda s: s["kind"] != secrets.RANDOM)
+    return found.select(
+        "doc_id",
+        *[count_kind("secrets", kind) for kind in secrets.KINDS],
+        digest(span_text(base)).alias("base_sha256"), span_text(F.col("secrets")).alias("spans"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    judged = decontaminate.verdicts(documents(spark, sf_dir).select("doc_id", "text"), items)
+    return judged.select("doc_id", *[f"verdict.{c}" for c in (
+        "n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
+
+
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
