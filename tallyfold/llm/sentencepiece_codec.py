@@ -53,7 +53,7 @@ class BacktrackingEncoder:
     Other models (other types, characters that are no pieces, user-defined pieces) are refused.
     """
 
-    def __init__(self, model: bytes, cached_chunks: int = 400_000, cached_pairs: int = 1_000_000):
+    def __init__(self, model: bytes, cached_chunks: int = 700_000, cached_pairs: int = 1_000_000):
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise ValueError("ids are packed as little-endian 32-bit integers")
         self.library = lib = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -75,12 +75,13 @@ class BacktrackingEncoder:
         self.piece_of = {i: p for p, i in self.id_of.items()}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.id_of.items():
-            self.automaton.add_word(piece, (len(piece), i))
+            self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
+        self.length = {i: len(p) for p, i in self.id_of.items()}
         self.shorter = {i: next((self.id_of[p[:k]] for k in range(len(p) - 1, 0, -1)
                                  if p[:k] in self.id_of), -1) for p, i in self.id_of.items()}
         self.split = self._splitter(chars)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # key: last << 32 | token
         self.cached_pairs = cached_pairs
         self.chunks = _Chunks(self.encode_chunk, cached_chunks)
 
@@ -114,43 +115,41 @@ class BacktrackingEncoder:
 
     def compatible(self, last: int, token: int) -> bool:
         """Whether the two tokens stay apart and whole when merged anew; last -1: token alone."""
-        known = self.pairs.get((last, token))
-        if known is None:
-            if len(self.pairs) >= self.cached_pairs:
-                self.pairs.clear()
-            tokens = [self.piece_of[t] for t in (last, token) if t >= 0]
-            known = self.pairs[last, token] = self.merged("".join(tokens)) == tokens
+        if len(self.pairs) >= self.cached_pairs:
+            self.pairs.clear()
+        tokens = [self.piece_of[t] for t in (last, token) if t >= 0]
+        known = self.pairs[last << 32 | token] = self.merged("".join(tokens)) == tokens
         return known
 
     def encode_chunk(self, chunk: str) -> list[int]:
         if len(chunk) == 1:
             return [self.id_of[chunk]] if chunk in self.id_of else [
                 self.byte_id[b] for b in chunk.encode()]
-        longest = [(0, -1)] * len(chunk)
-        for end, match in self.automaton.iter(chunk):
-            start = end - match[0] + 1
-            if match[0] > longest[start][0]:
-                longest[start] = match
-        open_at = bytearray(b"\xff" * (len(chunk) // 8 + 1))  # one bit a position, 0: failed
+        length, shorter, known = self.length, self.shorter, self.pairs.get
+        size = len(chunk)
+        longest = [-1] * (size + 1)
+        for end, token in self.automaton.iter(chunk):
+            longest[end + 1 - length[token]] = token  # ends ascend: the last one is the longest
+        open_at = bytearray(b"\xff" * (size // 8 + 1))  # one bit a position, 0: failed
         tokens: list[int] = []
-        at, token = 0, longest[0][1]
-        while at < len(chunk):
-            last = tokens[-1] if tokens else -1
+        at, last, token = 0, -1, longest[0]
+        while at < size:
             while token >= 0:
-                end = at + len(self.piece_of[token])
-                if open_at[end >> 3] >> (end & 7) & 1 and self.compatible(last, token):
-                    break
-                token = self.shorter[token]
+                end = at + length[token]
+                if open_at[end >> 3] >> (end & 7) & 1:
+                    fits = known(last << 32 | token)
+                    if self.compatible(last, token) if fits is None else fits:
+                        break
+                token = shorter[token]
             if token >= 0:
                 tokens.append(token)
-                at = end
-                token = longest[at][1] if at < len(chunk) else -1
-            else:
-                if not tokens:
-                    raise AssertionError(f"no tokenization of {chunk!r}")
+                at, last, token = end, token, longest[end]
+            elif tokens:
                 open_at[at >> 3] &= ~(1 << (at & 7)) & 255
                 token = tokens.pop()
-                at -= len(self.piece_of[token])
+                at, last = at - length[token], tokens[-1] if tokens else -1
+            else:
+                raise AssertionError(f"no tokenization of {chunk!r}")
         return tokens
 
     def encode(self, text: str) -> np.ndarray:
