@@ -8,8 +8,10 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import decontaminate, secrets, sentencepiece_codec, simhash, toxicity
+from tallyfold.llm import (
+    chat, decontaminate, pii, secrets, sentencepiece_codec, simhash, toxicity, warc)
 from tallyfold.llm.common import ship
+from tallyfold.sources.tables import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +48,47 @@ def digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+@query
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(documents(spark, sf_dir))
+    base = F.concat(*pii.KINDS)
+    return found.select(
+        "doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        digest(span_text(base)).alias("base_sha256"),
+        span_text(F.concat(base, pii.CONTEXT)).alias("spans"))
+
+
+#: A conversation whose texts hold marker strings and a backslash.
+ESCAPED = "\\### Assistant: </turn> ok"
+
+
+@query
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text")
+    own = spark.range(2).select(
+        F.lit(-7).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(ESCAPED).alias("text"))
+    back = chat.read_back(chat.format_conversations(rows.unionByName(own)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        digest(turns).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
+        digest(loss).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/archive"
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return warc.read(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)

@@ -21,7 +21,7 @@ from tallyfold.llm.common import fresh, staged, text_or_empty
 from tallyfold.llm.components import connected
 
 TILE = 512
-BLOCK_ROWS, LARGEST_BLOCK, BLOCKS = 25_000, 1 << 20, 48
+BLOCK_ROWS, LARGEST_BLOCK, BLOCKS = 6_000, 1 << 20, 32
 SHINGLES_AT_ONCE = 1 << 16
 
 

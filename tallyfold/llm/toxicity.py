@@ -159,3 +159,10 @@ def scored(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", folds:
     return with_score.withColumn(name, F.struct(
         fold(F.col(id_column)).alias("held_out"), F.col(name).alias("score"),
         (F.col(name) >= THRESHOLD).cast("int").alias("predicted")))
+
+
+def not_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that aren't predicted toxic, with their columns as they were."""
+    judged = scored(docs, labels, **options)
+    name = judged.columns[-1]
+    return judged.where(F.col(name)["predicted"] == 0).drop(name)

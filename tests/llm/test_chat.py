@@ -1,0 +1,81 @@
+import hashlib
+from itertools import product
+
+from pyspark.sql import functions as F
+
+from tallyfold.llm import chat
+from tallyfold.llm.queries import ESCAPED, QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string, formatted string, valid int"
+
+
+def back(spark, rows):
+    frame = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
+    return {r.conv_id: r for r in chat.read_back(chat.format_conversations(frame)).collect()}
+
+
+def test_escaping_is_reversible(spark):
+    alphabet = ["\\", "<turn>", "</turn>", "<text>", "0", "2", "<", "a"]
+    texts = ["".join(p) for n in range(4) for p in product(alphabet, repeat=n)]
+    rows = [(i, 0, t, t) for i, t in enumerate(texts)]
+    got = back(spark, rows)
+    assert all([(x.role, x.text) for x in got[i].turns] == [(t, t)] for i, t in enumerate(texts))
+    assert all(r.formatted.count(m) == 1 for r in got.values() for m in chat.CHAT.markers)
+
+
+def test_machine_accepts_and_refuses(spark):
+    shapes = {
+        0: ["system", "user", "assistant"], 1: ["user", "assistant", "user", "assistant"],
+        2: ["user"], 3: ["assistant", "user"], 4: ["user", "assistant", "assistant"],
+        5: ["user", "assistant", "system"], 6: [None, "user"], 7: ["tool"]}
+    rows = [(c, t, role, f"{c}.{t}") for c, roles in shapes.items() for t, role in enumerate(roles)]
+    got = back(spark, rows)
+    assert {c: (r.valid, r.first_bad_turn) for c, r in got.items()} == {
+        0: (True, None), 1: (True, None), 2: (False, None), 3: (False, 0), 4: (False, 2),
+        5: (False, 2), 6: (False, 0), 7: (False, 0)}
+
+
+def test_order_nulls_ties_and_long_texts(spark):
+    long = "x <turn> \\" * 5000
+    rows = [(1, 2, "assistant", "b"), (1, 1, "user", None), (1, 2, "assistant", "a"),
+            (1, None, "system", "first"), (1, 2, "assistant", "a"), (None, 0, None, ""),
+            (2, 0, "assistant", long)]
+    got = back(spark, rows)
+    assert [(x.role, x.text) for x in got[1].turns] == [
+        ("system", "first"), ("user", ""), ("assistant", "a"), ("assistant", "a"),
+        ("assistant", "b")]
+    assert got[1].loss_texts == ["a", "a", "b"]
+    assert [(x.role, x.text) for x in got[None].turns] == [("", "")]
+    assert got[2].loss_texts == [long]
+    assert back(spark, []) == {}
+
+
+def test_query_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()
+    given = {}
+    for r in rows:
+        given.setdefault(r.conv_id, []).append((r.turn, r.role, r.text or ""))
+    given[-7] = [(0, "user", ESCAPED), (1, "assistant", ESCAPED)]
+    got = {r.conv_id: r for r in QUERIES["op2_chat_formatting"](spark, sf_dir).collect()}
+    assert got.keys() == given.keys()
+    for conv, turns in given.items():
+        turns.sort()
+        text = "".join(f"{role}\n{said}\n" for _, role, said in turns)
+        loss = "".join(said for _, role, said in turns if role == "assistant")
+        row = got[conv]
+        assert row.n_turns == len(turns) and row.loss_chars == len(loss)
+        assert row.turns_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert row.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        assert row.formatted_chars > sum(len(said) for _, _, said in turns)
+    assert ESCAPED == r"\### Assistant: </turn> ok"
+
+
+def test_formatted_text_is_the_segments(spark):
+    frame = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yo")],
+                                  "conv_id long, turn long, role string, text string")
+    row = chat.format_conversations(frame).withColumn(
+        "joined", F.array_join(F.transform("segments", lambda s: s["text"]), "")).first()
+    assert row.formatted == row.joined == (
+        "<turn>user<text>hi</turn><turn>assistant<text>yo</turn>")
+    assert [s.loss for s in row.segments] == [False, False, False, False, True, False]

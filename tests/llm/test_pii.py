@@ -1,0 +1,91 @@
+import hashlib
+import re
+
+from tallyfold.llm import pii
+from tallyfold.llm.queries import QUERIES
+from tests.llm.samples import AWKWARD, documents, no_documents, texts
+
+SHAPES = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    return {"email": lambda: True, "ip": lambda: all(
+        len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in match.split(".")),
+            "card": lambda: 16 <= len(digits) <= 19 and luhn(digits),
+            "phone": lambda: 8 <= len(digits) <= 15}[kind]()
+
+
+def brute(text):
+    return {kind: [m.span() for m in re.finditer(shape, text or "") if valid(kind, m[0])]
+            for kind, shape in SHAPES.items()}
+
+
+TRICKY = [
+    "a@b.c a.b@c-d.e.f, x@y.com_z@w.org a@b @c.d x@y.com.z@w.com", "1.2.3.4.5.6.7.8 256.1.1.1 1.2.3",
+    "001.02.3.255 12.34.56.78.90 1.2.3.99999999999999999999", "😀 4111 1111 1111 1111 ok",
+    "4111-1111-1111-1111-4111 5500000000000004", "1 2", "+49 (30) 1234-567 ++1 23 45 67 89 0)",
+    "+1 (499) 555-6503***", "mail: ünï.cödé@mail.example.com; +12345678", "4" * 16 + " " + "0" * 19,
+    "a.b" * 3000 + "@c" + ".d" * 3000, "1" * 3000 + ".2.3.4", "+1" + " 2" * 5000,
+]
+
+
+def rows_of(frame):
+    return [{k: [(s.start, s.end) for s in row[k]] for k in pii.KINDS} for row in frame.collect()]
+
+
+def test_base_spans_equal_a_plain_search(spark):
+    given = [*TRICKY, *AWKWARD, " ".join(f"u{i}@h.io" for i in range(1500))]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.personal_data(frame).collect()}
+    for i, text in enumerate(given):
+        for kind in pii.KINDS:
+            assert [(s.start, s.end) for s in found[i][kind]] == brute(text)[kind], (kind, text)
+
+
+def test_contexts_discover_unseen_identifiers(spark):
+    seeds = [f"please contact agent user{i}@mail.org today" for i in range(8)]
+    texts_ = [*seeds, "please contact agent handle_77 today", "the number 12345 is large",
+              "see handle_77 there", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts_)],
+                                  "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.personal_data(frame).collect()}
+    start = texts_[8].index("handle_77")
+    assert [(s.start, s.end) for s in found[8].context] == [(start, start + 9)]
+    assert not found[9].context and not found[11].context
+    assert all(not found[i].context and len(found[i].email) == 1 for i in range(8))
+
+
+def test_awkward_rows(spark):
+    assert pii.personal_data(no_documents(spark)).count() == 0
+    frame = documents(spark, AWKWARD)
+    got = pii.personal_data(frame)
+    assert got.columns == ["doc_id", *pii.KINDS, pii.CONTEXT]
+    assert sorted(r.doc_id or -1 for r in got.collect()) == sorted(
+        r.doc_id or -1 for r in frame.collect())
+
+
+def test_query_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in QUERIES["op1_personal_data"](spark, sf_dir).collect()}
+    for doc_id, text in texts(sf_dir):
+        spans = brute(text)
+        line = ",".join(f"{k}:{a}:{b}" for k in pii.KINDS for a, b in spans[k])
+        row = got[doc_id]
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [len(spans[k]) for k in pii.KINDS]
+        assert row.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
+        assert row.spans.startswith(line)
+    assert any(r.n_email for r in got.values())
