@@ -20,7 +20,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 
 from tallyfold.llm.common import fresh, slices, text_or_empty
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_WORDS = 200_000
 OCCURRENCES = ("n_words:long, hits:array<struct<start:int,end:int>>, items:array<string>, "
                "longest:int, longest_item:string, longest_item_start:int, longest_start:int")

@@ -53,7 +53,7 @@ class BacktrackingEncoder:
     Other models (other types, characters that are no pieces, user-defined pieces) are refused.
     """
 
-    def __init__(self, model: bytes, cached_chunks: int = 700_000, cached_pairs: int = 1_000_000):
+    def __init__(self, model: bytes, cached_chunks: int = 300_000, cached_pairs: int = 400_000):
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise ValueError("ids are packed as little-endian 32-bit integers")
         self.library = lib = sentencepiece.SentencePieceProcessor(model_proto=model)

@@ -19,7 +19,7 @@ from tallyfold.llm.decontaminate import mix, word_keys
 
 BITS = 20
 MAX_TRAINING_ROWS = 16_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 THRESHOLD = 0.3
 
 
@@ -97,7 +97,7 @@ def train(rows: DataFrame, bits: int = BITS, alpha: float = 1.0, beta: float = 1
                  pa.array(found, pa.list_(pa.int32()))], ["place", "id", "label", "features"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(p, i, y, np.append(f.values.to_numpy(), 1 << bits)) for batch in batches
+        rows = [(p, i, y, np.append(f.values.to_numpy(), np.int32(1 << bits))) for batch in batches
                 for p, i, y, f in zip(batch["place"].to_pylist(), batch["id"].to_pylist(),
                                       batch["label"].to_pylist(), batch["features"])]
         rows.sort(key=lambda r: (r[0], r[1], r[3].tobytes()))
