@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyfold.llm import (
-    chat, decontaminate, pii, secrets, sentencepiece_codec, simhash, toxicity, warc)
+    chat, decontaminate, hamming_search, lattice_lm, pii, secrets, sentencepiece_codec, simhash,
+    toxicity, warc)
 from tallyfold.llm.common import ship
 from tallyfold.sources.tables import shared_dir
 
@@ -96,6 +97,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .alias("fingerprint"), "component_id")
 
 
+@query
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.scores(documents(spark, sf_dir), PIECE_MODEL)
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -103,6 +109,27 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "toxicity.*")
 
 
+@query
+def op7_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    codes = hamming_search.sign_codes(vectors, "vec_id", "embedding")
+    return hamming_search.top_k(codes, F.col("id") % 20 == 0, k=10)
+
+
+ORACLES["op7_hamming_top_k"] = """
+WITH bits AS (
+  SELECT vec_id, list_sum(list_transform(range(len(embedding)), lambda i:
+         CASE WHEN embedding[i + 1] > 0 THEN (1::HUGEINT << i::HUGEINT) ELSE 0::HUGEINT END))::HUGEINT
+         AS code FROM embeddings),
+near AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS neighbor_id, bit_count(xor(q.code, r.code))::BIGINT
+         AS distance FROM bits q CROSS JOIN bits r WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank,
+         neighbor_id, distance FROM near)
+SELECT query_id, rank::INTEGER AS rank, neighbor_id, distance FROM ranked WHERE rank <= 10"""
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
