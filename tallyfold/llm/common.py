@@ -65,3 +65,9 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def parts(rows: int, small: int, most: int, largest: int) -> int:
+    """Into how many parts to deal ``rows``: of about ``small`` rows, but at most ``most`` parts
+    while none of them is beyond ``largest`` rows."""
+    return max(1, min(most, -(-rows // small)), -(-rows // largest))

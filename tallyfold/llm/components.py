@@ -28,7 +28,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def connected(links: DataFrame) -> DataFrame:
-    """(node, root) for each node of ``links`` (u, v); root is the least node of its component.
+    """(node, root) for each node of ``links`` (u, v) but the roots, the least of each component.
 
     Self-links, repeats and nulls are left out. Each round is written to the shared folder; rounds
     end when a round changes nothing, after a number logarithmic in the largest component.

@@ -16,10 +16,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyfold.llm.common import staged
+from tallyfold.llm.common import parts, staged
 
 BITS, SEGMENT_BITS = 64, 16
-SHARD_ROWS, BLOCK_QUERIES, QUERIES_AT_ONCE = 50_000, 4_096, 64
+#: Rows of a small part, most parts, rows of the largest part.
+SHARDS, BLOCKS = (10_000, 32, 1 << 20), (1_024, 16, 1 << 15)
+QUERIES_AT_ONCE_ROWS = 4 << 20  # queries searched together times rows of the shard
 
 
 def sign_codes(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -109,8 +111,8 @@ class SegmentIndex:
         return query[best], ids[row[best]], distance[best]
 
 
-def top_k(codes: DataFrame, is_query, k: int = 10, shard_rows: int = SHARD_ROWS,
-          block_queries: int = BLOCK_QUERIES) -> DataFrame:
+def top_k(codes: DataFrame, is_query, k: int = 10, shard_sizes: tuple = SHARDS,
+          block_sizes: tuple = BLOCKS) -> DataFrame:
     """(query_id, rank, neighbor_id, distance): the k nearest of all rows for each query row.
 
     codes: (id, code) without nulls, as ``sign_codes`` gives. A query is a row itself and its own
@@ -124,8 +126,7 @@ def top_k(codes: DataFrame, is_query, k: int = 10, shard_rows: int = SHARD_ROWS,
     rows = codes.withColumn("place", F.row_number().over(least)).where(
         F.col("place") <= k).select("code", "id")
     asked = staged(queries.select("code").distinct(), "asked")
-    shards = max(1, -(-codes.count() // shard_rows))
-    blocks = max(1, -(-asked.count() // block_queries))
+    shards, blocks = parts(codes.count(), *shard_sizes), parts(asked.count(), *block_sizes)
     shard, block = F.pmod(F.xxhash64("code", "id"), F.lit(shards)), F.pmod(
         F.xxhash64("code"), F.lit(blocks))
     dealt = rows.select(
@@ -141,14 +142,15 @@ def top_k(codes: DataFrame, is_query, k: int = 10, shard_rows: int = SHARD_ROWS,
         found = [(np.zeros(0, np.int64),) * 3]
         if len(ids) and asks.any():
             index, wanted = SegmentIndex(code[~asks].copy()), code[asks]
-            for i in range(0, len(wanted), QUERIES_AT_ONCE):
-                some = wanted[i:i + QUERIES_AT_ONCE].copy()
+            at_once = max(1, QUERIES_AT_ONCE_ROWS // len(ids))
+            for i in range(0, len(wanted), at_once):
+                some = wanted[i:i + at_once].copy()
                 q, n, d = index.nearest(some, ids, k)
                 found.append((some[q].view(np.int64), n, d))
         columns = [np.concatenate(c) for c in zip(*found)]
         return pa.table(dict(zip(("code", "neighbor_id", "distance"), columns)))
 
-    near = dealt.groupBy("shard", "block").applyInArrow(
+    near = dealt.repartition(shards * blocks, "shard", "block").groupBy("shard", "block").applyInArrow(
         search, "code long, neighbor_id long, distance long")
     order = Window.partitionBy("code").orderBy("distance", "neighbor_id")
     best = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -17,11 +17,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from tallyfold.llm.common import fresh, staged, text_or_empty
+from tallyfold.llm.common import fresh, parts, staged, text_or_empty
 from tallyfold.llm.components import connected
 
 TILE = 512
-BLOCK_ROWS, LARGEST_BLOCK, BLOCKS = 6_000, 1 << 20, 32
+BLOCKS = 6_000, 32, 1 << 20  # rows of a small block, most blocks, rows of the largest block
 SHINGLES_AT_ONCE = 1 << 16
 
 
@@ -77,10 +77,11 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 def _tiles(codes: np.ndarray, tile: int):
     """Codes in order of their parts' bit counts, and the least and largest counts in each tile."""
-    parts = np.bitwise_count(codes.view(np.uint16).reshape(-1, 4)).astype(np.int16)
-    by = np.lexsort(parts.T[::-1])
+    codes = np.ascontiguousarray(codes)
+    bits = np.bitwise_count(codes.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+    by = np.lexsort(bits.T[::-1])
     edges = np.arange(0, len(codes), tile)
-    return (codes[by], np.minimum.reduceat(parts[by], edges), np.maximum.reduceat(parts[by], edges))
+    return (codes[by], np.minimum.reduceat(bits[by], edges), np.maximum.reduceat(bits[by], edges))
 
 
 def links(left: np.ndarray, right: np.ndarray | None, radius: int, tile: int = TILE) -> np.ndarray:
@@ -107,14 +108,9 @@ def links(left: np.ndarray, right: np.ndarray | None, radius: int, tile: int = T
     return np.stack([nodes[moved], nodes[root[moved]]], axis=1)
 
 
-def block_count(rows: int) -> int:
-    """Blocks of about BLOCK_ROWS, at most BLOCKS of them while none is beyond LARGEST_BLOCK."""
-    return max(1, min(BLOCKS, -(-rows // BLOCK_ROWS)), -(-rows // LARGEST_BLOCK))
-
-
 def near_links(codes: DataFrame, radius: int) -> DataFrame:
     """Links (u, v) that connect what the pairs within ``radius`` connect, for distinct ``code``."""
-    blocks = block_count(codes.count())
+    blocks = parts(codes.count(), *BLOCKS)
     block = F.pmod(F.xxhash64("code"), F.lit(blocks))
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     dealt = codes.select("code", block.alias("block"), other.alias("other")).select(
@@ -131,7 +127,9 @@ def near_links(codes: DataFrame, radius: int) -> DataFrame:
         found = found.view(np.int64)
         return pa.table({"u": found[:, 0], "v": found[:, 1]})
 
-    return dealt.groupBy("row", "column").applyInArrow(compare, "u long, v long")
+    cells = blocks * (blocks + 1) // 2  # a cell is work for a task, however few bytes it has
+    return dealt.repartition(cells, "row", "column").groupBy("row", "column").applyInArrow(
+        compare, "u long, v long")
 
 
 def groups(prints: DataFrame, best: Column, radius: int = 4) -> DataFrame:
