@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
+from pyspark.sql.pandas.functions import arrow_udf
 
 
 def component_rank(component: Column, order: Iterable[str]) -> Column:
@@ -49,5 +51,14 @@ def contains_text(text: Column, needle: str, regex: bool = False) -> Column:
 
 
 def fixed_decimals(value: Column, digits: int) -> Column:
-    """Text with a fixed number of decimals, NULL for NULL."""
-    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", value))
+    """Text with a fixed number of decimals, NULL for NULL, for the few rows of a shown table.
+
+    The double's exact value decides and ties go to the even digit; the JVM's formats round the
+    shortest decimal text of the double, ties up.
+    """
+    @arrow_udf("string")
+    def fixed(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else f"{v:.{digits}f}" for v in values.to_pylist()],
+                        pa.string())
+
+    return fixed(value.cast("double"))

@@ -18,9 +18,9 @@ def boxplot_input(cohort: DataFrame, study: Study) -> DataFrame:
         lookup_label(F.col("response"), study.group_labels).alias("response_label"))
 
 
-def _boxes(ranked: DataFrame, keys: list[str]) -> DataFrame:
+def _boxes(ranks: DataFrame, keys: list[str]) -> DataFrame:
     return (
-        ranked.groupBy(*keys)
+        ranks.groupBy(*keys)
         .agg(F.max("total_all").alias("n"),
              quantile("_value", "all", 0.25).alias("q1"),
              quantile("_value", "all", 0.5).alias("median"),
@@ -29,8 +29,26 @@ def _boxes(ranked: DataFrame, keys: list[str]) -> DataFrame:
                     f"q3 + {WHISKER_REACH}D * (q3 - q1) AS _high"))
 
 
+def _box_tables(ranks: DataFrame, names: list[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """(summary, outliers) from a ranked histogram of ``_value`` with the rows named ``all``."""
+    # One box for each listed key tuple.
+    against = ranks.select(*names, "_value", "n_all").join(
+        F.broadcast(_boxes(ranks, names)), names)
+    inside = "_value BETWEEN _low AND _high"
+    summary = (
+        against.groupBy(*names)
+        .agg(*[F.max(c).alias(c) for c in ("n", "q1", "median", "q3")],
+             F.expr("min(IF(_value >= _low, _value, NULL))").alias("_lowest"),
+             F.expr("max(IF(_value <= _high, _value, NULL))").alias("_highest"),
+             F.expr(f"sum(IF({inside}, 0, n_all))").alias("n_outliers"))
+        .selectExpr(*names, "n", "least(_lowest, q1) AS whisker_low", "q1", "median", "q3",
+                    "greatest(_highest, q3) AS whisker_high", "n_outliers"))
+    outliers = against.where(f"NOT ({inside})").selectExpr(
+        *names, f"_value AS `{value}`", "n_all AS n")
+    return summary, outliers
+
+
 def boxplot_tables(df: DataFrame, keys: dict[str, list], value: str, *,
-                   max_group_rows: int | None = None,
                    rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, DataFrame]:
     """(summary, outliers) of ``value`` per key tuple.
 
@@ -45,43 +63,39 @@ def boxplot_tables(df: DataFrame, keys: dict[str, list], value: str, *,
     for name, listed in keys.items():
         drawn = drawn.where(F.col(name).isin(list(listed)))
     rows = drawn.select(*names, F.col(value).cast("double").alias("_value"))
-    ranked = ranked_histogram(rows, names, "_value", {"all": "true"},
-                              max_group_rows=max_group_rows, rows_per_range=rows_per_range)
-    # Every group has its box. A left join, because an inner one would add filters to one of the
-    # two readings of the histogram, whose shuffle could then not be shared.
-    against = ranked.select(*names, "_value", "n_all").join(
-        F.broadcast(_boxes(ranked, names)), names, "left")
-    inside = "_value BETWEEN _low AND _high"
-    summary = (
-        against.groupBy(*names)
-        .agg(*[F.max(c).alias(c) for c in ("n", "q1", "median", "q3")],
-             F.expr("min(IF(_value >= _low, _value, NULL))").alias("_lowest"),
-             F.expr("max(IF(_value <= _high, _value, NULL))").alias("_highest"),
-             F.expr(f"sum(IF({inside}, 0, n_all))").alias("n_outliers"))
-        .selectExpr(*names, "n", "least(_lowest, q1) AS whisker_low", "q1", "median", "q3",
-                    "greatest(_highest, q3) AS whisker_high", "n_outliers"))
-    outliers = against.where(f"NOT ({inside})").selectExpr(
-        *names, f"_value AS `{value}`", "n_all AS n")
-    return summary, outliers
+    return _box_tables(ranked_histogram(rows, names, "_value", {"all": "true"},
+                                        rows_per_range=rows_per_range), names, value)
+
+
+def _labelled(table: DataFrame, study: Study) -> DataFrame:
+    """Groups get their label at the end, on the few result rows."""
+    label = lookup_label(F.col("response"), study.group_labels).alias("response_label")
+    return table.select(*[label if name == "response" else name for name in table.columns])
 
 
 def study_boxes(cohort: DataFrame, study: Study, by_time: bool = False,
                 **options) -> tuple[DataFrame, DataFrame]:
-    """Box-plot tables of a study's cohort rows, optionally per time point.
-
-    Groups are labelled at the end, on the few result rows.
-    """
+    """Box-plot tables of a study's cohort rows, optionally per time point."""
     keys: dict[str, list] = {"population": list(study.components)}
     if by_time:
         keys[TIME] = list(study.timepoints)
     keys["response"] = list(study.groups)
-    label = lookup_label(F.col("response"), study.group_labels).alias("response_label")
-
-    def labelled(table: DataFrame) -> DataFrame:
-        return table.select(*[label if name == "response" else name for name in table.columns])
-
     summary, outliers = boxplot_tables(cohort, keys, "percentage", **options)
-    return labelled(summary), labelled(outliers)
+    return _labelled(summary, study), _labelled(outliers, study)
+
+
+def boxes_of_ranks(ranks: DataFrame, study: Study,
+                   by_time: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The same from the ranked histogram by scope that the statistics use."""
+    names = ["population", *([TIME] if by_time else []), "response"]
+    scopes = ranks.where("scope <> 'pooled'" if by_time else "scope = 'pooled'").withColumn(
+        TIME, F.expr("try_cast(substring(scope, 3) AS INT)"))
+    sides = [scopes.where(f"n_{side} > 0").select(
+        *names[:-1], F.lit(group).alias("response"), "_value",
+        *[F.col(f"{what}_{side}").alias(f"{what}_all") for what in ("n", "before", "total", "mean")])
+        for side, group in zip("ab", study.groups)]
+    summary, outliers = _box_tables(sides[0].unionByName(sides[1]), names, "percentage")
+    return _labelled(summary, study), _labelled(outliers, study)
 
 
 def annotate(summary: DataFrame, stats: DataFrame, study: Study) -> DataFrame:

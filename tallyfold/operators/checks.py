@@ -10,14 +10,15 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyfold.sources.wide_csv import UNCASTABLE, InvalidInput
+from tallyfold.sources.wide_csv import MALFORMED, UNCASTABLE, InvalidInput
 from tallyfold.study import FOREIGN_KEYS, PRIMARY_KEYS, SUBJECT_INVARIANTS, TABLES, Study
 
 # Rules of the wide input in reporting order.
-RULES = ("duplicate_sample", "negative_count", "zero_total", "subject_drift", "not_integer",
-         "missing_key")
+RULES = ("malformed_row", "duplicate_sample", "negative_count", "zero_total", "subject_drift",
+         "not_integer", "missing_key")
 # The message of each rule.
 MESSAGES = {
+    "malformed_row": "load_data: a record with more or fewer fields than the header: {detail}",
     "duplicate_sample": "load_data: duplicate sample id: {key!r}",
     "negative_count": "load_data: negative count for population {column!r} in sample {key!r}: "
                       "{detail}",
@@ -44,9 +45,13 @@ def duplicate_samples(df: DataFrame) -> DataFrame:
 
 
 def row_violations(df: DataFrame, study: Study) -> DataFrame:
-    """Negative counts, zero totals, uncastable integers and missing keys, in one pass."""
+    """Malformed records, negative counts, zero totals, uncastable integers and missing keys, in one
+    pass."""
     total = " + ".join(f"coalesce(`{c}`, 0L)" for c in study.components)
-    broken = {f"`{c}` < 0": _finding("negative_count", column=repr(c), detail=f"`{c}`", major=i)
+    broken = {}
+    if MALFORMED in df.columns:
+        broken[f"{MALFORMED} IS NOT NULL"] = _finding("malformed_row", detail=MALFORMED)
+    broken |= {f"`{c}` < 0": _finding("negative_count", column=repr(c), detail=f"`{c}`", major=i)
               for i, c in enumerate(study.components)}
     broken[f"{total} = 0"] = _finding("zero_total")
     broken.update({f"`{c}` IS NULL": _finding("missing_key", column=repr(c), major=i)
@@ -73,7 +78,9 @@ def drift(df: DataFrame, owner: str, columns: Iterable[str],
     blanks, columns = set(blank_as_value), list(columns)
     # A flag in front keeps a blank apart from every text.
     seen = {c: f"struct(`{c}` IS NULL, `{c}`)" if c in blanks else f"`{c}`" for c in columns}
-    bounds = df.groupBy(owner).agg(*[
+    # Distinct rows first, by hash; min and max of texts sort, and so see few rows.
+    distinct = df.select(owner, *columns).distinct()
+    bounds = distinct.groupBy(owner).agg(*[
         F.expr(f"{side}({seen[c]})").alias(f"_{side}_{c}")
         for c in columns for side in ("min", "max")])
     drifted = ", ".join(

@@ -32,9 +32,9 @@ def comparison_cohort(df: DataFrame, study: Study) -> DataFrame:
 
 
 def baseline_cohort(metadata: DataFrame, study: Study) -> DataFrame:
-    """The study's cohort at baseline, response known or not, ordered by sample."""
+    """The study's cohort at baseline, response known or not."""
     chosen = select_cohort(metadata, {**study.cohort, TIME: study.baseline})
-    return chosen.select(*COHORT_COLUMNS).orderBy("sample")
+    return chosen.select(*COHORT_COLUMNS)
 
 
 def first_per(df: DataFrame, owner: str, order: list[str]) -> DataFrame:

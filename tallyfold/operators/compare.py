@@ -12,14 +12,17 @@ from tallyfold.functions.scalars import component_rank
 from tallyfold.functions.tails import exact_rank_sum_p, normal_sf, student_t_two_sided
 from tallyfold.operators.cohort import scopes_of_row
 from tallyfold.operators.fdr import bh_adjust, significance_flags
-from tallyfold.operators.ranks import ROWS_PER_RANGE, quantile, ranked_histogram
-from tallyfold.study import STATS_COLUMNS, Study
+from tallyfold.operators.ranks import (
+    ROWS_PER_RANGE, histogram, quantile, ranked, ranked_histogram)
+from tallyfold.sources.tables import staged
+from tallyfold.study import STATS_COLUMNS, TIME, Study
 
-# The exact rank distribution is used while one group has at most this many rows and no ties.
+# Fixed value: the common default of rank-sum tests for using the exact distribution.
 EXACT_UP_TO = 8
+SCOPE_KEYS = ["scope", "population"]
 
 
-def group_summary(ranked: DataFrame, keys: list[str], value: str) -> DataFrame:
+def group_summary(ranks: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Per key, from a ranked histogram of the named rows ``a`` and ``b``: sizes, means, medians,
     variances, 2U of ``a`` and the tie sum. 2U is an integer, held exactly up to 2**53."""
     tied = "CAST(n_a + n_b AS DOUBLE)"
@@ -34,7 +37,7 @@ def group_summary(ranked: DataFrame, keys: list[str], value: str) -> DataFrame:
     out["u_doubled"] = F.expr("sum(CAST(n_a AS DOUBLE) * (2D * before_b + n_b))")
     out["tie_sum"] = F.expr(f"sum({tied} * {tied} * {tied} - {tied})")
     out["largest_tie"] = F.expr("max(n_a + n_b)")
-    return ranked.groupBy(*keys).agg(*[column.alias(name) for name, column in out.items()])
+    return ranks.groupBy(*keys).agg(*[column.alias(name) for name, column in out.items()])
 
 
 def welch_t(summary: DataFrame) -> DataFrame:
@@ -56,11 +59,12 @@ def welch_t(summary: DataFrame) -> DataFrame:
     ).withColumn("t_p_raw", student_t_two_sided("t_stat", "t_df")).drop("_sa", "_sb")
 
 
-def mann_whitney(summary: DataFrame, exact: bool = True) -> DataFrame:
+def mann_whitney(summary: DataFrame, exact: bool = True,
+                 exact_up_to: int = EXACT_UP_TO) -> DataFrame:
     """Add ``mwu_stat`` (U of group a), ``mwu_p_raw`` (two-sided) and ``rank_biserial``.
 
     The p-value is the tie- and continuity-corrected normal tail, or with ``exact`` the exact
-    distribution where a group has at most ``EXACT_UP_TO`` rows and there are no ties.
+    distribution where a group has at most ``exact_up_to`` rows and there are no ties.
     """
     shaped = summary.selectExpr(
         "*", "IF(n_a > 0 AND n_b > 0, CAST(n_a AS DOUBLE) * n_b, NULL) AS _pairs",
@@ -75,7 +79,7 @@ def mann_whitney(summary: DataFrame, exact: bool = True) -> DataFrame:
         "(_larger - _pairs / 2D - 0.5D) / nullif(_deviation, 0D)"))
     ).when(F.col("_pairs").isNotNull(), F.lit(1.0))
     if exact:
-        small = f"_pairs IS NOT NULL AND least(n_a, n_b) <= {EXACT_UP_TO} AND largest_tie <= 1"
+        small = f"_pairs IS NOT NULL AND least(n_a, n_b) <= {exact_up_to} AND largest_tie <= 1"
         tail = exact_rank_sum_p(F.expr(f"IF({small}, _pairs - _larger, NULL)"), F.col("n_a"),
                                 F.col("n_b"))
         p = F.coalesce(tail, p)
@@ -84,20 +88,24 @@ def mann_whitney(summary: DataFrame, exact: bool = True) -> DataFrame:
             .drop("_pairs", "_n", "_deviation", "_larger"))
 
 
+def compare_ranked(ranks: DataFrame, keys: list[str], exact: bool = True) -> DataFrame:
+    """All statistics of the named rows ``a`` and ``b`` of a ranked histogram, once per ``keys``."""
+    return mann_whitney(welch_t(group_summary(ranks, keys, "_value")), exact).selectExpr(
+        "*", "mean_a - mean_b AS mean_difference", "median_a - median_b AS median_difference")
+
+
 def two_group_compare(df: DataFrame, keys: list[str], group: str, value: str, a, b, *,
-                      exact: bool = True, max_group_rows: int | None = None,
-                      rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                      exact: bool = True, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Compare ``value`` between the rows with ``group`` = a and = b, once per ``keys``.
 
-    The number of keys must be bounded by driver-side lists. One row per key with at least one
-    row in either group; statistics that need both groups are NULL where one is empty.
+    One row per key with at least one row in either group; statistics that need both groups are
+    NULL where one is empty.
     """
     rows = df.where(F.col(group).isin(a, b)).select(
         *keys, F.col(value).cast("double").alias("_value"), (F.col(group) == a).alias("_is_a"))
-    ranked = ranked_histogram(rows, keys, "_value", {"a": "_is_a", "b": "NOT _is_a"},
-                              max_group_rows=max_group_rows, rows_per_range=rows_per_range)
-    return mann_whitney(welch_t(group_summary(ranked, keys, "_value")), exact).selectExpr(
-        "*", "mean_a - mean_b AS mean_difference", "median_a - median_b AS median_difference")
+    ranks = ranked_histogram(rows, keys, "_value", {"a": "_is_a", "b": "NOT _is_a"},
+                             rows_per_range=rows_per_range)
+    return compare_ranked(ranks, keys, exact)
 
 
 def tag_scopes(df: DataFrame, timepoints: tuple[int, ...]) -> DataFrame:
@@ -105,20 +113,39 @@ def tag_scopes(df: DataFrame, timepoints: tuple[int, ...]) -> DataFrame:
     return df.withColumn("scope", F.explode(scopes_of_row(timepoints)))
 
 
+def scope_ranks(df: DataFrame, study: Study, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """The ranked histogram by scope and component of cohort rows (population, percentage,
+    response, time); ``a`` is the first response group. Statistics and box plots are read off it.
+
+    One pass groups the rows by time; the pooled scope is the sum of those, so no row is doubled.
+    """
+    a, b = study.groups
+    rows = df.where(F.col("population").isin(list(study.components))
+                    & F.col("response").isin(a, b)).select(
+        F.coalesce(F.concat(F.lit("t="), F.col(TIME)), F.lit("")).alias("scope"), "population",
+        F.col("percentage").cast("double").alias("_value"), (F.col("response") == a).alias("_is_a"))
+    timed = histogram(rows, SCOPE_KEYS, "_value", {"a": "_is_a", "b": "NOT _is_a"})
+    pooled = timed.groupBy("population", "_value").agg(
+        F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
+    listed = [f"t={time}" for time in study.timepoints]
+    scoped = timed.where(F.col("scope").isin(listed)).unionByName(
+        pooled.withColumn("scope", F.lit("pooled")))
+    return ranked(staged(scoped, "scopes"), SCOPE_KEYS, "_value", rows_per_range)
+
+
 def compare_scopes(df: DataFrame, study: Study, *, exact: bool = True,
-                   max_group_rows: int | None = None,
                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Group comparison of every component in every scope, adjusted within each scope.
+    """Group comparison of every component in every scope of cohort rows: ``scope_statistics``."""
+    return scope_statistics(scope_ranks(df, study, rows_per_range), study, exact)
 
-    ``df`` holds cohort rows: population, percentage, response and time. Result: ``scope``
-    (pooled, baseline, t=..), ``timepoint`` (NULL for pooled and baseline) and the statistics
-    columns. The baseline scope is the first time point under its own name.
+
+def scope_statistics(ranks: DataFrame, study: Study, exact: bool = True) -> DataFrame:
+    """Statistics of ``scope_ranks``, adjusted within each scope.
+
+    Result: ``scope`` (pooled, baseline, t=..), ``timepoint`` (NULL for pooled and baseline) and the
+    statistics columns. The baseline scope is the first time point under its own name.
     """
-    a, b = study.groups
-    known = df.where(F.col("population").isin(list(study.components)))
-    compared = two_group_compare(
-        tag_scopes(known, study.timepoints), ["scope", "population"], "response", "percentage",
-        a, b, exact=exact, max_group_rows=max_group_rows, rows_per_range=rows_per_range)
+    compared = compare_ranked(ranks, SCOPE_KEYS, exact)
     named = compared.selectExpr(
         "scope", "population", "n_a AS n_responder", "n_b AS n_nonresponder",
         "median_a AS median_responder", "median_b AS median_nonresponder",

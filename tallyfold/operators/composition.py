@@ -7,31 +7,26 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyfold.functions.scalars import relative_frequency
-from tallyfold.operators.skew import HEAVY_ROWS, heavy_keys, is_heavy
 
 FREQUENCY_COLUMNS = ("sample", "total_count", "population", "count", "percentage")
 
 
 def composition(df: DataFrame, entity: str = "sample", component: str = "population",
                 value: str = "count", *, keep: Iterable[str] = (),
-                max_rows_per_entity: int | None = None, min_rows: int = HEAVY_ROWS) -> DataFrame:
+                one_row_per_component: bool = False) -> DataFrame:
     """Total per entity and each component's percentage, from one row per (entity, component).
 
-    Entities small enough for one task are totalled by a window (one shuffle). Unless the caller
-    knows a bound on the rows of an entity, entities of ``min_rows`` rows or more are looked for
-    first; their totals (at most ``HEAVY_LIMIT`` rows) are broadcast to their unmoved rows.
+    Totals are summed map-side and joined back, so an entity (or NULL) with very many rows is split
+    by adaptive execution like any heavy join key. A caller whose entities have one row for each of
+    a listed few components says so (``one_row_per_component``): a window then needs one shuffle.
     """
     shape = [entity, "total_count", component, value, "percentage", *keep]
+    if one_row_per_component:
+        out = df.withColumn("total_count", F.sum(value).over(Window.partitionBy(entity)))
+    else:
+        totals = df.groupBy(F.col(entity).alias("_entity")).agg(F.sum(value).alias("total_count"))
+        out = df.join(totals, F.col(entity).eqNullSafe(F.col("_entity")))
     percentage = relative_frequency(F.col(value), F.col("total_count"))
-    heavy = []
-    if max_rows_per_entity is None or max_rows_per_entity > min_rows:
-        heavy = heavy_keys(df, entity, min_rows)
-    rest = df.where(~is_heavy(entity, heavy)) if heavy else df
-    out = rest.withColumn("total_count", F.sum(value).over(Window.partitionBy(entity)))
-    if heavy:
-        hot = df.where(is_heavy(entity, heavy))
-        totals = hot.groupBy(entity).agg(F.sum(value).alias("total_count"))
-        out = out.unionByName(hot.join(F.broadcast(totals), entity).select(out.columns))
     return out.withColumn("percentage", percentage).select(*shape)
 
 
@@ -50,14 +45,7 @@ def composition_of_wide(df: DataFrame, components: Iterable[str], entity: str =
     ).select(entity, "total_count", "population", "count", "percentage", *keep)
 
 
-def composition_of_events(df: DataFrame, entity: str, component: str,
-                          min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Composition of raw event rows: count per (entity, component) first.
-
-    An entity has at most one count per distinct component. Counting those reads one column and
-    mostly proves every entity small enough for one task.
-    """
+def composition_of_events(df: DataFrame, entity: str, component: str) -> DataFrame:
+    """Composition of raw event rows: count per (entity, component) first."""
     counted = df.groupBy(entity, component).agg(F.count(F.lit(1)).alias("count"))
-    n_components = df.select(component).distinct().limit(min_rows + 1).count()
-    return composition(counted, entity, component, "count", max_rows_per_entity=n_components,
-                       min_rows=min_rows)
+    return composition(counted, entity, component, "count")

@@ -42,8 +42,7 @@ def normalize(df: DataFrame, study: Study) -> dict[str, DataFrame]:
             for name, schema in TABLES.items()}
 
 
-def sample_metadata(tables: dict[str, DataFrame], *, keys_checked: bool = False,
-                    heavy_subjects: list | None = None) -> DataFrame:
+def sample_metadata(tables: dict[str, DataFrame], *, keys_checked: bool = False) -> DataFrame:
     """One row per sample with its subject's and project's attributes.
 
     ``keys_checked``: every subject's project is known to exist (tables made by ``normalize``),
@@ -52,7 +51,7 @@ def sample_metadata(tables: dict[str, DataFrame], *, keys_checked: bool = False,
     people = tables["subjects"]
     if not keys_checked:
         people = lookup_join(people, tables["projects"].select("project_id"), "project_id")
-    joined = lookup_join(tables["samples"], people, "subject_id", heavy=heavy_subjects)
+    joined = lookup_join(tables["samples"], people, "subject_id")
     return joined.select(
         F.col("sample_id").alias("sample"), F.col("subject_id").alias("subject"),
         F.col("project_id").alias("project"), *METADATA[3:])

@@ -1,117 +1,74 @@
 """Exact ranks from value histograms: the shared core of U, ties, medians and quartiles.
 
 Ranking inside a few very large groups would give each group to one task. Here equal values are
-first combined into a histogram (map-side), then every large group is cut into value ranges; rows
-are counted inside each range in parallel and shifted by the totals of the ranges before it. The
-cut points only decide which task counts what, so results are exact wherever they fall.
-
-The distinct group keys must be bounded by driver-side lists (scopes, components, response
-groups): one row of cut points per large group is collected.
+first combined into a histogram (map-side), which is written once and read by whatever ranks it.
+Its rows are dealt by range of (group, value), as a sort deals them, into as many ranges as their
+number asks for; rows are counted inside each range in parallel and shifted by the totals of the
+group's ranges before it. Where a range ends only decides which task counts what.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tallyfold.sources.tables import staged
 
 ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 1024
 
 
-def group_cut_points(df: DataFrame, keys: list[str], value: str, rows_per_range: int,
-                     max_group_rows: int | None = None) -> list:
-    """Collected (keys.., cuts) rows of the groups larger than one range; cuts are ascending.
+def histogram(df: DataFrame, keys: list[str], value: str, counts: dict[str, str]) -> DataFrame:
+    """One row per (keys, value) with ``n_<name>`` rows of each named condition, as a stored table.
 
-    The quantile sketches are only as fine as the number of ranges asks for, so that the one per
-    task and group stays small in the shuffle.
+    NULL values and NULL keys are left out.
     """
-    ranges = MAX_RANGES
-    if max_group_rows is not None:
-        ranges = min(ranges, -(-max_group_rows // rows_per_range))
-    grid = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
-    sketches = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.expr(f"percentile_approx(`{value}`, array({grid}), {4 * ranges})").alias("_grid"))
-    found = []
-    for row in sketches.where(F.col("_n") > rows_per_range).collect():
-        wanted = min(ranges, -(-row["_n"] // rows_per_range))
-        picked = {float(row["_grid"][i * ranges // wanted - 1]) for i in range(1, wanted)}
-        found.append((*[row[k] for k in keys], sorted(picked)))
-    return found
-
-
-def _range_number(value: str, cuts: str, size: int) -> Column:
-    """How many cut points lie below the value: binary search over an array padded with inf."""
-    steps = ", ".join(str(size >> i) for i in range(1, size.bit_length()))
-    return F.expr(f"aggregate(array({steps}), 0, "
-                  f"(at, step) -> at + IF({cuts}[at + step - 1] < {value}, step, 0))")
-
-
-def _with_ranges(hist: DataFrame, keys: list[str], value: str, cut_rows: list) -> DataFrame:
-    size = 1
-    while size <= max(len(row[-1]) for row in cut_rows):
-        size *= 2
-    padded = [(*row[:-1], row[-1] + [float("inf")] * (size - len(row[-1]))) for row in cut_rows]
-    schema = hist.select(*keys).schema.add("_cuts", T.ArrayType(T.DoubleType()))
-    cuts = hist.sparkSession.createDataFrame(padded, schema)
-    return (
-        # At most one row of MAX_RANGES doubles per large group.
-        hist.join(F.broadcast(cuts), keys, "left")
-        .withColumn("_range", F.coalesce(_range_number(f"`{value}`", "_cuts", size), F.lit(0)))
-        .drop("_cuts"))
+    kept = df.where(" AND ".join(f"`{name}` IS NOT NULL" for name in [*keys, value]))
+    return staged(kept.groupBy(*keys, value).agg(
+        *[F.expr(f"count_if({condition})").alias(f"n_{name}")
+          for name, condition in counts.items()]), "histogram")
 
 
-def ranked_histogram(df: DataFrame, keys: list[str], value: str, counts: dict[str, str], *,
-                     max_group_rows: int | None = None,
-                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """One row per (keys, value), with exact cumulative counts for every named row condition.
+def ranked(hist: DataFrame, keys: list[str], value: str,
+           rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """A stored histogram with exact cumulative counts for each of its ``n_<name>`` columns.
 
-    ``counts`` maps names to SQL conditions. For each name the result has ``n_`` (rows at this
-    value), ``before_`` (rows below it), ``total_`` (rows in the group) and ``mean_``. NULL
-    values and NULL keys are left out. ``max_group_rows`` is an upper bound on the rows of any
-    group, when the caller has one: a bound within ``rows_per_range`` spares the pass that looks
-    for cut points.
+    For each name: ``before_`` (rows below the value), ``total_`` (rows in the group) and ``mean_``.
     """
-    df = df.where(" AND ".join(f"`{name}` IS NOT NULL" for name in [*keys, value]))
-    names = list(counts)
-    hist = df.groupBy(*keys, value).agg(
-        *[F.expr(f"count_if({cond})").alias(f"n_{name}") for name, cond in counts.items()])
-
-    cut_rows = []
-    if max_group_rows is None or max_group_rows > rows_per_range:
-        cut_rows = group_cut_points(df, keys, value, rows_per_range, max_group_rows)
-
+    names = [c[2:] for c in hist.columns if c.startswith("n_")]
+    ranges = max(1, -(-hist.count() // rows_per_range))
+    if ranges == 1:
+        ranged = hist.withColumn("_range", F.lit(0))
+    else:
+        # stored, since a range partitioning that is made anew may cut elsewhere
+        ranged = staged(hist.repartitionByRange(ranges, *keys, value).withColumn(
+            "_range", F.spark_partition_id()), "ranges")
     v, group = f"`{value}`", ", ".join(f"`{k}`" for k in keys)
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    if not cut_rows:
-        return hist.selectExpr("*", *[column for name in names for column in (
-            f"sum(n_{name}) OVER (PARTITION BY {group} ORDER BY {v} {so_far}) - n_{name} "
-            f"AS before_{name}",
-            f"sum(n_{name}) OVER (PARTITION BY {group}) AS total_{name}",
-            f"try_divide(sum(n_{name} * {v}) OVER (PARTITION BY {group}), "
-            f"sum(n_{name}) OVER (PARTITION BY {group})) AS mean_{name}")])
-
-    ranged = _with_ranges(hist, keys, value, cut_rows)
+    local = ranged.selectExpr("*", *[
+        f"sum(n_{name}) OVER (PARTITION BY {group}, _range ORDER BY {v} {so_far}) - n_{name} "
+        f"AS _local_{name}" for name in names])
     sums = ranged.groupBy(*keys, "_range").agg(*[column for name in names for column in (
         F.expr(f"sum(n_{name})").alias(f"_rows_{name}"),
         F.expr(f"sum(n_{name} * {v})").alias(f"_sum_{name}"))])
-    # One row per range from here on: at most MAX_RANGES per group.
+    # one row per range and group from here on
     offsets = sums.selectExpr(*keys, "_range", *[column for name in names for column in (
         f"sum(_rows_{name}) OVER (PARTITION BY {group} ORDER BY _range {so_far}) - _rows_{name} "
         f"AS _offset_{name}",
         f"sum(_rows_{name}) OVER (PARTITION BY {group}) AS total_{name}",
         f"try_divide(sum(_sum_{name}) OVER (PARTITION BY {group}), "
         f"sum(_rows_{name}) OVER (PARTITION BY {group})) AS mean_{name}")])
-    local = ranged.selectExpr("*", *[
-        f"sum(n_{name}) OVER (PARTITION BY {group}, _range ORDER BY {v} {so_far}) - n_{name} "
-        f"AS _local_{name}" for name in names])
-    # Every range has its offset; the left join leaves both readings of the histogram alike.
-    return local.join(offsets, [*keys, "_range"], "left").selectExpr(
-        *keys, value, *[f"n_{name}" for name in names],
+    return local.join(offsets, [*keys, "_range"]).selectExpr(
+        *[f"`{k}`" for k in keys], v, *[f"n_{name}" for name in names],
         *[column for name in names for column in (
             f"_local_{name} + _offset_{name} AS before_{name}", f"total_{name}",
             f"mean_{name}")])
 
 
+def ranked_histogram(df: DataFrame, keys: list[str], value: str, counts: dict[str, str], *,
+                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``ranked`` over the ``histogram`` of rows; ``counts`` maps names to SQL conditions."""
+    return ranked(histogram(df, keys, value, counts), keys, value, rows_per_range)
+
+
 def quantile(value: str, name: str, q: float) -> Column:
     """Aggregate over a ranked histogram: linearly interpolated quantile of the named rows.
 

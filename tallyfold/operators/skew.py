@@ -1,46 +1,19 @@
-"""Joins and group totals that stay balanced when one key owns a large share of the rows.
-
-The heaviest keys are found by an exact, map-side combined count and collected; there are at
-most ``HEAVY_LIMIT`` of them, so everything looked up for them is small by construction and is
-broadcast, while their rows stay where they are. All other keys take the ordinary shuffle, where
-none can exceed 1/HEAVY_LIMIT of the rows. The usual case, no heavy key at all, leaves a plain
-plan.
-"""
+"""Joins of many fact rows to the one lookup row of their key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-HEAVY_LIMIT = 1024
-HEAVY_ROWS = 1_000_000
-
-
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS,
-               limit: int = HEAVY_LIMIT) -> list:
-    """The at most ``limit`` non-null keys with ``min_rows`` rows or more, heaviest first."""
-    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = (counted.where(F.col("_n") >= min_rows)
-           .orderBy(F.col("_n").desc(), F.col(key)).limit(limit))
-    return [row[0] for row in top.collect()]
-
-
-def is_heavy(key: str, heavy: list) -> Column:
-    return F.coalesce(F.col(key).isin(heavy), F.lit(False))
+from pyspark.sql import DataFrame, functions as F
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, *, how: str = "inner",
-                heavy: list | None = None, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Join many fact rows to the one ``lookup`` row of their key (``how``: inner or left).
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join fact rows to the one ``lookup`` row of their key (``how``: inner or left).
 
-    ``lookup`` must be unique on ``key``. Pass ``heavy`` when the heavy keys of ``facts`` are
-    already known; otherwise they are counted here, reading the key column only.
+    ``lookup`` must be unique on ``key``. A key with a large share of the rows is split by adaptive
+    execution, which needs no count of the keys beforehand. NULL keys have no lookup row: an inner
+    join leaves them out before its shuffle, a left join keeps them where they are.
     """
-    if heavy is None:
-        heavy = heavy_keys(facts, key, min_rows)
-    if not heavy:
-        return facts.join(lookup, key, how)
-    # A unique lookup has at most len(heavy) <= HEAVY_LIMIT rows for the heavy keys.
-    hot = facts.where(is_heavy(key, heavy)).join(
-        F.broadcast(lookup.where(is_heavy(key, heavy))), key, how)
-    rest = facts.where(~is_heavy(key, heavy)).join(lookup, key, how)
-    return hot.unionByName(rest)
+    if how == "inner":
+        return facts.join(lookup, key)
+    known = facts.where(F.col(key).isNotNull()).join(lookup, key, how)
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != key]
+    return known.unionByName(facts.where(F.col(key).isNull()).select("*", *absent))

@@ -8,151 +8,197 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.functions.scalars import canonical_order
-from tallyfold.operators.boxplot import annotate, boxplot_order, study_boxes
-from tallyfold.operators.checks import join_cardinality, require_valid
+from tallyfold.operators.boxplot import annotate, boxes_of_ranks, boxplot_order
+from tallyfold.operators.checks import require_valid
 from tallyfold.operators.cohort import (
     baseline_cohort, breakdown, cohort_profile, comparison_cohort)
-from tallyfold.operators.compare import compare_scopes, stats_order
-from tallyfold.operators.composition import composition
+from tallyfold.operators.compare import (
+    one_scope, per_timepoint, scope_ranks, scope_statistics, stats_order)
+from tallyfold.operators.composition import composition, composition_of_wide
 from tallyfold.operators.normalize import normalize, sample_metadata, with_metadata
 from tallyfold.plans.summary import significance_summary
 from tallyfold.sources.tables import (
-    new_run, publish, published_run, read_optional, read_tables, write_table, write_tables,
-    write_together)
+    drop_folder, new_run, prune_runs, publish, published_run, read_optional, read_tables, staged,
+    write_table, write_tables, write_together)
 from tallyfold.sources.wide_csv import read_wide
-from tallyfold.study import CLINICAL, METADATA, TIME, Study
+from tallyfold.study import CLINICAL, METADATA, STATS, Study
 
+KEEP_RUNS = 2
 
-def load(spark: SparkSession, path: str, out_dir: str, study: Study = CLINICAL,
-         ) -> dict[str, DataFrame]:
-    """Validate the wide CSV and rebuild the four tables; returns them as published.
 
-    The CSV is parsed once, into a typed Parquet copy that checks and tables are read from. A
-    run that fails its checks is never published, so the previous tables stay current.
+def load(spark: SparkSession, path: str, out_dir: str, study: Study = CLINICAL, *,
+         multi_line: bool = False, keep_runs: int = KEEP_RUNS) -> dict[str, DataFrame]:
+    """Validate the wide CSV and rebuild the four tables; returns them as published, with the typed
+    ``wide`` rows they were made from.
+
+    The CSV is parsed once, into a typed Parquet copy that checks and tables are read from. A run
+    that fails is deleted and never published, so the previous tables stay current; of the
+    published runs the last ``keep_runs`` are kept.
     """
-    typed = read_wide(spark, path, study)
+    typed = read_wide(spark, path, study, multi_line)
     run, folder = new_run(f"{out_dir}/tables")
-    write_table(typed, f"{folder}/wide")
-    wide = spark.read.schema(typed.schema).parquet(f"{folder}/wide")
-    require_valid(wide, study)
-    write_tables(normalize(wide, study), folder)
+    try:
+        write_table(typed, f"{folder}/wide")
+        wide = spark.read.schema(typed.schema).parquet(f"{folder}/wide")
+        require_valid(wide, study)
+        write_tables(normalize(wide, study), folder)
+    except BaseException:
+        drop_folder(spark, folder)
+        raise
     publish(spark, f"{out_dir}/tables", run)
-    return read_tables(spark, folder)
+    prune_runs(spark, f"{out_dir}/tables", keep_runs)
+    return _tables_of(spark, folder)
+
+
+def _tables_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {**read_tables(spark, folder), "wide": spark.read.parquet(f"{folder}/wide")}
 
 
 def current_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame] | None:
     folder = published_run(spark, f"{out_dir}/tables")
-    return None if folder is None else read_tables(spark, folder)
+    return None if folder is None else _tables_of(spark, folder)
 
 
 def table_frequencies(tables: dict[str, DataFrame], study: Study) -> DataFrame:
     """Composition of the count table, whose samples have one row per listed component."""
     counts = tables["cell_counts"].withColumnRenamed("sample_id", "sample")
-    return composition(counts, max_rows_per_entity=len(study.components))
+    return composition(counts, one_row_per_component=True)
 
 
 def ordered_frequencies(tables: dict[str, DataFrame], study: Study) -> DataFrame:
-    """The same in canonical order, with one shuffle: the range partitioning by sample serves
-    the per-sample totals and the global sort alike."""
+    """The same in canonical order. Wide rows are totalled along the row, sorted, and then unpivoted
+    in component order, so one row per sample moves. Without them, one range partitioning of the
+    count table by sample serves the totals and the global sort alike."""
+    if "wide" in tables:
+        columns = tables["wide"].select("sample", *study.components)
+        return composition_of_wide(columns.orderBy("sample"), study.components)
     counts = tables["cell_counts"].withColumnRenamed("sample_id", "sample")
-    ranged = composition(counts.repartitionByRange("sample"),
-                         max_rows_per_entity=len(study.components))
+    ranged = composition(counts.repartitionByRange("sample"), one_row_per_component=True)
     return ranged.orderBy(*canonical_order("sample", "population", study.components))
 
 
-def cohort_frequencies(tables: dict[str, DataFrame], study: Study,
-                       metadata: DataFrame | None = None) -> DataFrame:
+def metadata_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """Sample metadata: a projection of the wide rows where there are any, else joined."""
+    if "wide" in tables:
+        return tables["wide"].select(*METADATA)
+    return sample_metadata(tables, keys_checked=True)
+
+
+def cohort_frequencies(tables: dict[str, DataFrame], study: Study) -> DataFrame:
     """Frequency rows with metadata of the comparison cohort.
 
     The cohort is chosen before anything is totalled: totals are per sample, so leaving out whole
-    samples first changes no percentage, and one partitioning by sample serves the join and the
-    totals.
+    samples first changes no percentage. Wide rows need no shuffle; else one partitioning by sample
+    serves the join and the totals.
     """
-    if metadata is None:
-        metadata = sample_metadata(tables, keys_checked=True)
-    chosen = comparison_cohort(metadata, study)
+    if "wide" in tables:
+        return composition_of_wide(comparison_cohort(tables["wide"], study), study.components,
+                                   keep=METADATA[1:])
+    chosen = comparison_cohort(metadata_of(tables), study)
     counts = tables["cell_counts"].withColumnRenamed("sample_id", "sample")
     return composition(with_metadata(counts, chosen), keep=METADATA[1:],
-                       max_rows_per_entity=len(study.components))
+                       one_row_per_component=True)
+
+
+def require_whole_cohort(cohort: DataFrame, metadata: DataFrame, study: Study) -> None:
+    """Each cohort sample must have one row for each component, no more and no less."""
+    samples = comparison_cohort(metadata, study).select("sample")
+    expected, found = samples.count() * len(study.components), cohort.count()
+    if expected != found:
+        rows = cohort.groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
+        odd = samples.join(rows, "sample", "left").where(
+            F.coalesce("n", F.lit(0)) != len(study.components)).limit(3).collect()
+        raise ValueError(f"the cohort join gave {found} rows for {expected}, first of: "
+                         f"{[r['sample'] for r in odd]}")
+
+
+def _written(df: DataFrame, path: str, fmt: str, **options) -> DataFrame:
+    """``df`` written to ``path`` and read back under its own types."""
+    write_table(df, path, fmt, **options)
+    return read_optional(df.sparkSession, path, fmt, df.schema)
+
+
+def _written_together(made: dict[str, DataFrame], out_dir: str, fmt: str) -> dict[str, DataFrame]:
+    write_together(made, out_dir, fmt)
+    return {name: read_optional(df.sparkSession, f"{out_dir}/{name}", fmt, df.schema)
+            for name, df in made.items()}
 
 
 def frequencies_job(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
                     fmt: str = "csv") -> DataFrame:
-    frequencies = ordered_frequencies(tables, study)
-    write_table(frequencies, f"{out_dir}/cell_frequencies", fmt)
-    return frequencies
+    return _written(ordered_frequencies(tables, study), f"{out_dir}/cell_frequencies", fmt)
 
 
-def statistics_job(cohort: DataFrame, out_dir: str, study: Study = CLINICAL, fmt: str = "csv",
-                   max_group_rows: int | None = None) -> tuple[DataFrame, str]:
+def statistics_job(ranks: DataFrame, metadata: DataFrame, out_dir: str, study: Study = CLINICAL,
+                   fmt: str = "csv") -> tuple[DataFrame, str]:
     """All scopes' statistics and the summary text; returns the written table and the text."""
-    spark = cohort.sparkSession
-    stats = compare_scopes(cohort, study, max_group_rows=max_group_rows)
+    spark = ranks.sparkSession
+    stats = scope_statistics(ranks, study)
     # At most one row per scope and component.
-    write_table(stats.coalesce(1).sortWithinPartitions(*stats_order(study)),
-                f"{out_dir}/stats", fmt, partition_by="scope")
-    written = read_optional(spark, f"{out_dir}/stats", fmt, stats.schema)
-    samples = cohort.select("sample", "subject", "response", TIME).distinct()
-    summary = significance_summary(written, cohort_profile(samples, study), study)
+    written = _written(stats.coalesce(1).sortWithinPartitions(*stats_order(study)),
+                       f"{out_dir}/stats", fmt, partition_by="scope")
+    profile = cohort_profile(comparison_cohort(metadata, study), study)
+    summary = significance_summary(written, profile, study)
     text = spark.range(1).select(F.lit(summary).alias("value"))
     text.coalesce(1).write.mode("overwrite").text(f"{out_dir}/stats_summary")
     return written, summary
 
 
-def boxplot_job(cohort: DataFrame, stats: DataFrame, out_dir: str, study: Study = CLINICAL,
-                fmt: str = "csv", max_group_rows: int | None = None) -> dict[str, DataFrame]:
+def boxplot_job(ranks: DataFrame, stats: DataFrame, out_dir: str, study: Study = CLINICAL,
+                fmt: str = "csv") -> dict[str, DataFrame]:
     """Data of the box plots: baseline p-values annotate the pooled boxes; boxes by time."""
-    boxes, outliers = study_boxes(cohort, study, max_group_rows=max_group_rows)
-    timed, timed_outliers = study_boxes(cohort, study, by_time=True,
-                                        max_group_rows=max_group_rows)
+    boxes, outliers = boxes_of_ranks(ranks, study)
+    timed, timed_outliers = boxes_of_ranks(ranks, study, by_time=True)
     baseline = stats.where(F.col("scope") == "baseline")
-    made = {
+    return _written_together({
         "boxplots": annotate(boxes, baseline, study).orderBy(*boxplot_order(study)),
         "boxplot_outliers": outliers,
         "boxplots_per_timepoint": timed.orderBy(*boxplot_order(study, by_time=True)),
         "boxplot_outliers_per_timepoint": timed_outliers,
-    }
-    write_together(made, out_dir, fmt)
-    return made
+    }, out_dir, fmt)
 
 
 def cohort_job(metadata: DataFrame, out_dir: str, study: Study = CLINICAL,
                fmt: str = "csv") -> dict[str, DataFrame]:
-    """Baseline cohort and its breakdowns by project, response and sex."""
-    chosen = baseline_cohort(metadata, study)
-    made = {
-        "part4_baseline_samples": chosen,
+    """Baseline cohort, written by sample, and the breakdowns of the written rows."""
+    chosen = _written(baseline_cohort(metadata, study).orderBy("sample"),
+                      f"{out_dir}/part4_baseline_samples", fmt)
+    return {"part4_baseline_samples": chosen, **_written_together({
         "part4_by_project": breakdown(chosen, "project"),
         "part4_by_response": breakdown(chosen, "response", one_per="subject"),
         "part4_by_sex": breakdown(chosen, "sex", one_per="subject"),
-    }
-    write_together(made, out_dir, fmt)
-    return made
+    }, out_dir, fmt)}
 
 
 def analyse(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
-            fmt: str = "csv") -> dict[str, DataFrame]:
-    """Everything after the load. The cohort's rows are written once and then shared; the
-    frequency table and the cohort tables, which nothing waits for, are written meanwhile."""
+            fmt: str = "csv", *, keep_runs: int = KEEP_RUNS) -> dict[str, DataFrame]:
+    """Everything after the load, into a run folder that is published when all of it is written;
+    returns the tables as written. A failed run is deleted and leaves the published one as it was.
+
+    The cohort's rows and their ranked histogram are written once; statistics and box plots read
+    that. The frequency table and the cohort tables, which nothing waits for, are written meanwhile.
+    """
     spark = tables["samples"].sparkSession
-    metadata = sample_metadata(tables, keys_checked=True)
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        frequencies = pool.submit(frequencies_job, tables, out_dir, study, fmt)
-        breakdowns = pool.submit(cohort_job, metadata, out_dir, study, fmt)
-
-        write_table(cohort_frequencies(tables, study, metadata), f"{out_dir}/cohort_frequencies")
-        cohort = spark.read.parquet(f"{out_dir}/cohort_frequencies")
-        kept = join_cardinality(
-            comparison_cohort(metadata, study).select("sample"),
-            cohort.select("sample").distinct()).first()
-        if not kept["complete"]:
-            raise ValueError(f"the cohort join lost samples: {kept.asDict()}")
-        # A group holds at most one row per sample of the cohort.
-        bound = kept["n_facts"]
-        stats, _ = statistics_job(cohort, out_dir, study, fmt, bound)
-        boxes = boxplot_job(cohort, stats, out_dir, study, fmt, bound)
-        return {"cell_frequencies": frequencies.result(), "stats": stats, **boxes,
-                **breakdowns.result()}
+    metadata = metadata_of(tables)
+    run, folder = new_run(out_dir)
+    try:
+        cohort = _written(cohort_frequencies(tables, study), f"{folder}/cohort_frequencies",
+                          "parquet")
+        require_whole_cohort(cohort, metadata, study)
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            frequencies = pool.submit(frequencies_job, tables, folder, study, fmt)
+            breakdowns = pool.submit(cohort_job, metadata, folder, study, fmt)
+            ranks = staged(scope_ranks(cohort, study), "ranks")
+            stats, _ = statistics_job(ranks, metadata, folder, study, fmt)
+            boxes = boxplot_job(ranks, stats, folder, study, fmt)
+            made = {"cell_frequencies": frequencies.result(), "stats": stats, **boxes,
+                    **breakdowns.result()}
+    except BaseException:
+        drop_folder(spark, folder)
+        raise
+    publish(spark, out_dir, run)
+    prune_runs(spark, out_dir, keep_runs)
+    return made
 
 
 def run_study(spark: SparkSession, path: str, out_dir: str, study: Study = CLINICAL,
@@ -161,20 +207,33 @@ def run_study(spark: SparkSession, path: str, out_dir: str, study: Study = CLINI
     return analyse(load(spark, path, out_dir, study), f"{out_dir}/results", study, fmt)
 
 
+def saved_statistics(spark: SparkSession, out_dir: str, scope: str | None = None,
+                     study: Study = CLINICAL, fmt: str = "csv") -> DataFrame:
+    """The published statistics of one scope (pooled, baseline, t=..), or without ``scope`` of all
+    time points, the time point first."""
+    folder = published_run(spark, out_dir)
+    stats = None if folder is None else read_optional(spark, f"{folder}/stats", fmt, STATS)
+    if stats is None:
+        raise FileNotFoundError(f"no statistics published under {out_dir}")
+    return per_timepoint(stats, study) if scope is None else one_scope(stats, scope, study)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyfold", description=run_study.__doc__)
     parser.add_argument("step", choices=["load", "analyse", "all"])
     parser.add_argument("out_dir")
     parser.add_argument("--csv", help="wide input, needed by load and all")
+    parser.add_argument("--multi-line", action="store_true", help="read quoted line breaks")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     args = parser.parse_args(argv)
     if args.step != "analyse" and not args.csv:
         parser.error("--csv is needed")
     spark = SparkSession.builder.appName("tallyfold").getOrCreate()
     if args.step == "load":
-        load(spark, args.csv, args.out_dir)
+        load(spark, args.csv, args.out_dir, multi_line=args.multi_line)
     elif args.step == "all":
-        run_study(spark, args.csv, args.out_dir, fmt=args.format)
+        tables = load(spark, args.csv, args.out_dir, multi_line=args.multi_line)
+        analyse(tables, f"{args.out_dir}/results", fmt=args.format)
     else:
         tables = current_tables(spark, args.out_dir)
         if tables is None:

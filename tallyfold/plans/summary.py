@@ -8,31 +8,31 @@ from tallyfold.operators.compare import stats_order
 from tallyfold.study import Study
 
 # The headings and sentences of the summary, in output order.
-BASELINE_HEADING = ("## Primary analysis — baseline (n={subjects} subjects, one {sample_type} "
-                    "sample per subject at time={baseline})")
+BASELINE_HEADING = ("## Primary analysis — baseline (n={subjects} subjects, one {sample} "
+                    "per subject at time={baseline})")
 BASELINE_ABOUT = (
     "Comparison of relative cell-population frequencies between responders and non-responders "
-    "among {condition} patients treated with {treatment}, restricted to a single pre-treatment "
-    "{sample_type} sample per subject (time_from_treatment_start = {baseline}).")
-BASELINE_NONE = ("No population reached the primary significance threshold (`mwu_p_bh < 0.05`) "
+    "among {patients}, restricted to a single pre-treatment "
+    "{sample} per subject (time_from_treatment_start = {baseline}).")
+BASELINE_NONE = ("No population reached the primary significance threshold (`mwu_p_bh < {alpha:g}`) "
                  "at baseline.")
 POOLED_HEADING = ("## Sensitivity — pooled (n={samples} samples, {subjects} subjects × "
                   "{n_timepoints} timepoints)")
 POOLED_ABOUT = (
-    "Pooling all three timepoints per subject violates statistical independence because each "
-    "subject contributes three samples. This analysis is reported here as a higher-power "
+    "Pooling all {number} timepoints per subject violates statistical independence because each "
+    "subject contributes {number} samples. This analysis is reported here as a higher-power "
     "exploratory cross-check, not the primary result.")
-POOLED_NONE = ("No population reached the primary significance threshold (`mwu_p_bh < 0.05`) "
+POOLED_NONE = ("No population reached the primary significance threshold (`mwu_p_bh < {alpha:g}`) "
                "in the pooled analysis.")
 TIMEPOINT_HEADING = "## Exploratory — per-timepoint (n={sizes} at t={timepoints})"
 TIMEPOINT_ABOUT = (
-    "Three independent within-timepoint analyses, each BH-corrected over the {n_components} "
+    "{Number} independent within-timepoint analyses, each BH-corrected over the {n_components} "
     "populations. Useful for tracking whether responder-versus-non-responder differences change "
     "with time on treatment.")
 TIMEPOINT_NONE = "No population reached significance at any individual timepoint."
 CROSSCHECK_HEADING = "## High-confidence cross-check"
-CROSSCHECK_SOME = "Baseline populations satisfying both tests at adjusted p < 0.05: {names}."
-CROSSCHECK_NONE = "No baseline population satisfied both tests at adjusted p < 0.05."
+CROSSCHECK_SOME = "Baseline populations satisfying both tests at adjusted p < {alpha:g}: {names}."
+CROSSCHECK_NONE = "No baseline population satisfied both tests at adjusted p < {alpha:g}."
 BASELINE_LINE = ("{population}: mwu_p_bh={mwu_p_bh:.4g}, rank_biserial={rank_biserial:.3f}, "
                  "median_difference={median_difference:.3f}.")
 POOLED_LINE = "{population}: mwu_p_bh={mwu_p_bh:.4g}, rank_biserial={rank_biserial:.3f}."
@@ -40,6 +40,22 @@ TIMEPOINT_LINE = ("(t={timepoint}) {population}: mwu_p_bh={mwu_p_bh:.4g}, "
                   "rb={rank_biserial:.3f}")
 
 
+NUMBERS = ("no", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
+
+
+def study_facts(study: Study) -> dict[str, object]:
+    """What the sentences say of a study; cohort columns that it doesn't fix are left unsaid."""
+    cohort, count = study.cohort, len(study.timepoints)
+    number = NUMBERS[count] if count < len(NUMBERS) else str(count)
+    kind = f"{cohort['sample_type']} " if "sample_type" in cohort else ""
+    condition = f"{cohort['condition']} " if "condition" in cohort else ""
+    treated = f" treated with {cohort['treatment']}" if "treatment" in cohort else ""
+    return {"baseline": study.baseline, "alpha": study.alpha, "number": number,
+            "Number": number.capitalize(), "sample": f"{kind}sample",
+            "patients": f"{condition}patients{treated}", "n_timepoints": count,
+            "n_components": len(study.components)}
+
+
 def significance_summary(stats: DataFrame, profile: DataFrame, study: Study) -> str:
     """Four sections: baseline, pooled, per time point, high-confidence cross-check.
 
@@ -62,21 +78,21 @@ def significance_summary(stats: DataFrame, profile: DataFrame, study: Study) ->
     per_time = [size(f"t={time}", "n_samples") for time in study.timepoints]
     each = f"{per_time[0]} each" if len(set(per_time)) == 1 else ", ".join(map(str, per_time))
     both = [row["population"] for row in baseline if row["significant_high_confidence"]]
-    facts = {**study.cohort, "baseline": study.baseline}
+    facts = study_facts(study)
 
     sections = [
         [BASELINE_HEADING.format(subjects=size(f"t={study.baseline}", "n_subjects"), **facts),
          BASELINE_ABOUT.format(**facts),
-         "\n".join(lines(BASELINE_LINE, baseline, BASELINE_NONE))],
+         "\n".join(lines(BASELINE_LINE, baseline, BASELINE_NONE.format(**facts)))],
         [POOLED_HEADING.format(samples=size("pooled", "n_samples"),
-                               subjects=size("pooled", "n_subjects"),
-                               n_timepoints=len(study.timepoints)),
-         POOLED_ABOUT,
-         "\n".join(lines(POOLED_LINE, pooled, POOLED_NONE))],
+                               subjects=size("pooled", "n_subjects"), **facts),
+         POOLED_ABOUT.format(**facts),
+         "\n".join(lines(POOLED_LINE, pooled, POOLED_NONE.format(**facts)))],
         [TIMEPOINT_HEADING.format(sizes=each, timepoints=", ".join(map(str, study.timepoints))),
-         TIMEPOINT_ABOUT.format(n_components=len(study.components)),
+         TIMEPOINT_ABOUT.format(**facts),
          "\n".join(lines(TIMEPOINT_LINE, timed, TIMEPOINT_NONE))],
         [CROSSCHECK_HEADING,
-         CROSSCHECK_SOME.format(names=", ".join(both)) if both else CROSSCHECK_NONE],
+         CROSSCHECK_SOME.format(names=", ".join(both), **facts) if both
+         else CROSSCHECK_NONE.format(**facts)],
     ]
     return "\n\n---\n\n".join("\n\n".join(section) for section in sections)

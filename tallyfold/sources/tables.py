@@ -34,6 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tallyfold-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table of its own in the shared folder, and read back."""
+    path = f"{shared_dir(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], schema) for name, schema in TABLES.items()}
 
@@ -88,6 +95,28 @@ def published_run(spark: SparkSession, out_dir: str) -> str | None:
     return None if run is None else f"{root}/run={run}"
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a run folder of our own, wherever the cluster's file system keeps it."""
+    system, path = _file_system(spark, folder)
+    system.delete(path, True)
+
+
+def prune_runs(spark: SparkSession, out_dir: str, keep: int) -> None:
+    """Delete all but the last ``keep`` run folders up to the published one."""
+    current = published_run(spark, out_dir)
+    system, path = _file_system(spark, out_dir)
+    runs = sorted(str(f.getPath().getName()) for f in system.listStatus(path)
+                  if f.isDirectory() and str(f.getPath().getName()).startswith("run="))
+    done = [run for run in runs if current is not None and run <= current.rsplit("/", 1)[1]]
+    for run in done[:-keep]:
+        drop_folder(spark, f"{out_dir.rstrip('/')}/{run}")
+
+
 def write_together(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
     """Write independent tables as concurrent Spark jobs, so small ones fill idle executors."""
     with ThreadPoolExecutor(max_workers=4) as pool:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.study import TIME, Study
 
@@ -13,6 +13,7 @@ NA_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 UNCASTABLE = "_uncastable"
+MALFORMED = "_malformed"
 
 
 class InvalidInput(ValueError):
@@ -33,19 +34,34 @@ def require_columns(columns: list[str], study: Study) -> None:
         raise InvalidInput("load_data: " + "; ".join(parts))
 
 
-def read_wide_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, bound by header name.
+def read_wide_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every column as text, bound by header name, and ``_malformed``: the text of a record with
+    more or fewer fields than the header, else NULL.
 
     ``enforceSchema=false`` makes Spark compare each file's header with the first one, so files
-    with another column order are refused rather than read shifted.
+    with another column order are refused rather than read shifted. ``multi_line`` reads quoted
+    line breaks; a file is then one task's work. Without it, see ``open_quotes``.
     """
-    try:
+    def reader():
         return (spark.read.option("header", True).option("enforceSchema", False)
-                .option("escape", '"').csv(path))
+                .option("escape", '"').option("multiLine", multi_line))
+
+    try:
+        columns = reader().csv(path).columns
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"CSV not found: {path}") from error
         raise
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, MALFORMED])
+    # all columns are parsed, whatever is selected: a surplus field is seen only then
+    return (reader().schema(schema).option("columnNameOfCorruptRecord", MALFORMED)
+            .option("columnPruning", False).csv(path))
+
+
+def open_quotes(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with an odd number of quotes: a quoted field goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).where(quotes % 2 == 1)
 
 
 def blank_to_null(column: str) -> str:
@@ -69,16 +85,21 @@ def whole_number(text: str, kind: str = "BIGINT") -> str:
 def type_wide(raw: DataFrame, study: Study) -> DataFrame:
     """Blank to NULL, integers cast; ``_uncastable`` lists the integer columns without a value."""
     kinds = {**dict.fromkeys(study.components, "BIGINT"), "age": "INT", TIME: "INT"}
-    texts = raw.selectExpr(*[f"{blank_to_null(name)} AS `{name}`" for name in study.wide_columns])
+    extra = [MALFORMED] if MALFORMED in raw.columns else []
+    texts = raw.selectExpr(*[f"{blank_to_null(name)} AS `{name}`" for name in study.wide_columns],
+                           *extra)
     typed = texts.selectExpr(*[
         f"{whole_number(f'`{name}`', kinds[name])} AS `{name}`" if name in kinds else f"`{name}`"
-        for name in study.wide_columns])
+        for name in study.wide_columns], *extra)
     failed = ", ".join(f"IF(`{name}` IS NULL, '{name}', NULL)" for name in kinds)
     return typed.selectExpr("*", f"array_compact(array({failed})) AS {UNCASTABLE}")
 
 
-def read_wide(spark: SparkSession, path: str, study: Study) -> DataFrame:
-    """The wide input under its explicit types; refuses a wrong column set."""
-    raw = read_wide_text(spark, path)
-    require_columns(raw.columns, study)
+def read_wide(spark: SparkSession, path: str, study: Study, multi_line: bool = False) -> DataFrame:
+    """The wide input under its explicit types; refuses a wrong column set, and a quoted line break
+    unless it is read by ``multi_line``."""
+    raw = read_wide_text(spark, path, multi_line)
+    require_columns([c for c in raw.columns if c != MALFORMED], study)
+    if not multi_line and (broken := open_quotes(spark, path).first()) is not None:
+        raise InvalidInput(f"load_data: a quoted line break (read with multi_line): {broken[0]!r}")
     return type_wide(raw, study)

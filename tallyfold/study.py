@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+# The column names of the study tables, from here to STATS_COLUMNS.
 TIME = "time_from_treatment_start"
 METADATA = (
     "sample", "subject", "project", "condition", "age", "sex", "treatment", "response",
@@ -30,6 +31,13 @@ STATS_COLUMNS = (
 )
 
 
+_STATS_KINDS = {"population": "string", "n_responder": "bigint", "n_nonresponder": "bigint",
+                "significant_primary": "boolean", "significant_high_confidence": "boolean"}
+#: Schema of the statistics table.
+STATS = "scope string, timepoint int, " + ", ".join(
+    f"{name} {_STATS_KINDS.get(name, 'double')}" for name in STATS_COLUMNS)
+
+
 @dataclass(frozen=True)
 class Study:
     """Driver-side description of one study.

@@ -28,15 +28,15 @@ def test_column_contract():
 
 
 @pytest.mark.parametrize("rows,message", [
-    ([{}, {"subject": "sub2"}], "duplicate sample id: 'smp1'"),
-    ([{"b_cell": -1}], "negative count for population 'b_cell' in sample 'smp1': -1"),
-    ([COUNTS], "zero total cell count for sample 'smp1'"),
+    ([{}, {"subject": "sub2"}], "duplicate sample id: 'v-204'"),
+    ([{"b_cell": -1}], "negative count for population 'b_cell' in sample 'v-204': -1"),
+    ([COUNTS], "zero total cell count for sample 'v-204'"),
     ([{}, {"sample": "smp2", "condition": "carcinoma"}],
-     "subject 'sub1' has inconsistent values for column 'condition'"),
+     "subject 'p-17' has inconsistent values for column 'condition'"),
     ([{"age": "abc"}], "no whole number in column 'age'"),
     ([{"age": None}], "no whole number in column 'age'"),
     ([{"nk_cell": "1.5"}], "no whole number in column 'nk_cell'"),
-    ([{"project": None}], "missing 'project' in sample 'smp1'"),
+    ([{"project": None}], "missing 'project' in sample 'v-204'"),
 ])
 def test_each_rule(wide_frame, rows, message):
     with pytest.raises(InvalidInput, match="load_data: ") as error:
@@ -61,13 +61,13 @@ def test_rules_are_reported_in_order(wide_frame):
 
 def test_drift_reports_first_column_of_first_subject(wide_frame):
     df = wide_frame({}, {"sample": "b", "age": 31, "sex": "F"},
-                    {"sample": "c", "subject": "sub0"},
-                    {"sample": "d", "subject": "sub0", "response": None})
+                    {"sample": "c", "subject": "a-03"},
+                    {"sample": "d", "subject": "a-03", "response": None})
     assert {(r, k, c) for r, k, c in found(df)} == {
-        ("subject_drift", "sub1", "age"), ("subject_drift", "sub1", "sex"),
-        ("subject_drift", "sub0", "response")}
+        ("subject_drift", "p-17", "age"), ("subject_drift", "p-17", "sex"),
+        ("subject_drift", "a-03", "response")}
     first = checks.first_violation(checks.violations(df, CLINICAL))
-    assert (first["key"], first["column"]) == ("sub0", "response")
+    assert (first["key"], first["column"]) == ("a-03", "response")
 
 
 def test_blank_is_a_value_for_response_only(wide_frame):
@@ -78,7 +78,7 @@ def test_blank_is_a_value_for_response_only(wide_frame):
 
 
 def test_every_violation_is_listed(wide_frame):
-    df = wide_frame({"b_cell": -1, "age": "x"}, {"sample": "smp1", "subject": "s2", **COUNTS})
+    df = wide_frame({"b_cell": -1, "age": "x"}, {"sample": "v-204", "subject": "s2", **COUNTS})
     assert {r for r, _, _ in found(df)} == {
         "duplicate_sample", "negative_count", "zero_total", "not_integer"}
 
@@ -94,11 +94,11 @@ def test_tables_of_valid_input_break_no_rule(tables):
 
 @pytest.mark.parametrize("table,row,expected", [
     ("samples", ("lost", "nobody", "PBMC", 0), ("samples", "orphan", "nobody")),
-    ("samples", ("smp1", "sub1", "PBMC", 0), ("samples", "duplicate_key", "smp1")),
+    ("samples", ("v-204", "p-17", "PBMC", 0), ("samples", "duplicate_key", "v-204")),
     ("subjects", ("sub9", "no_project", None, 1, None, None, None),
      ("subjects", "orphan", "no_project")),
-    ("cell_counts", ("smp1", "extra", -1), ("cell_counts", "negative_count", "smp1|extra")),
-    ("cell_counts", ("smp1", "b_cell", 1), ("cell_counts", "duplicate_key", "smp1|b_cell")),
+    ("cell_counts", ("v-204", "extra", -1), ("cell_counts", "negative_count", "v-204|extra")),
+    ("cell_counts", ("v-204", "b_cell", 1), ("cell_counts", "duplicate_key", "v-204|b_cell")),
     ("cell_counts", ("ghost", "b_cell", 1), ("cell_counts", "orphan", "ghost")),
 ])
 def test_table_rules(spark, tables, table, row, expected):

@@ -14,9 +14,9 @@ def counts(spark):
     return spark.createDataFrame(ROWS, "sample string, population string, count bigint")
 
 
-@pytest.mark.parametrize("min_rows", [1, 2, 1000])
-def test_percentages_and_zero_total(counts, min_rows):
-    rows = composition(counts, min_rows=min_rows).collect()
+@pytest.mark.parametrize("listed", [True, False])
+def test_percentages_and_zero_total(counts, listed):
+    rows = composition(counts, one_row_per_component=listed).collect()
     got = {(r.sample, r.population): (r.total_count, r.percentage) for r in rows}
     assert got["s1", "b_cell"] == (100, 70.0) and got["s1", "monocyte"] == (100, 30.0)
     assert got["s2", "b_cell"] == (0, 0.0)
@@ -28,14 +28,13 @@ def test_columns(counts):
     assert tuple(composition(counts).columns) == FREQUENCY_COLUMNS
 
 
-def test_a_heavy_entity_is_totalled_without_moving_its_rows(spark):
-    hot = [("hot", f"c{i}", 1) for i in range(200)]
-    rows = hot + [(f"s{i}", "c0", i) for i in range(100)]
+def test_heavy_and_null_entities(spark):
+    rows = [("hot", f"c{i}", 1) for i in range(200)] + [(None, f"c{i}", 2) for i in range(150)]
+    rows += [(f"s{i}", "c0", i) for i in range(1500)]
     df = spark.createDataFrame(rows, "sample string, population string, count bigint")
-    plain = composition(df, max_rows_per_entity=200)
-    split = composition(df, min_rows=50)
-    assert sorted(plain.collect()) == sorted(split.collect())
-    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+    window, joined = composition(df, one_row_per_component=True), composition(df)
+    assert sorted(map(str, window.collect())) == sorted(map(str, joined.collect()))
+    assert "Window" not in joined._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_canonical_order_puts_unknown_components_last(counts):

@@ -1,10 +1,13 @@
 import pytest
 
 from tallyfold import CLINICAL
+from tallyfold.operators.checks import violations
 from tallyfold.operators.normalize import normalize, sample_metadata, with_metadata
 from tallyfold.operators.composition import composition
+from tallyfold.plans.jobs import load
 from tallyfold.sources import tables as store
-from tallyfold.sources.wide_csv import UNCASTABLE, InvalidInput, read_wide
+from tallyfold.sources.tables import published_run
+from tallyfold.sources.wide_csv import MALFORMED, UNCASTABLE, InvalidInput, read_wide
 from tallyfold.study import METADATA, TABLES
 from tests.conftest import BASE_ROW
 
@@ -18,10 +21,33 @@ def write_csv(path, rows, columns=CLINICAL.wide_columns):
 
 def test_columns_are_bound_by_name(spark, tmp_path):
     path = write_csv(tmp_path / "a.csv", [BASE_ROW], tuple(reversed(CLINICAL.wide_columns)))
-    row = read_wide(spark, path, CLINICAL).drop(UNCASTABLE).first().asDict()
+    row = read_wide(spark, path, CLINICAL).drop(UNCASTABLE, MALFORMED).first().asDict()
     assert row == BASE_ROW
 
 
+def test_records_with_more_or_fewer_fields_are_found(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", [BASE_ROW, {**BASE_ROW, "sample": "long", "monocyte": "5,6"},
+                                          {**BASE_ROW, "sample": "ok"}])
+    lines = (tmp_path / "a.csv").read_text().splitlines()
+    short = lines[1].rsplit(",", 1)[0].replace(BASE_ROW["sample"], "short")
+    (tmp_path / "a.csv").write_text("\n".join([*lines, short]) + "\n")
+    found = violations(read_wide(spark, path, CLINICAL), CLINICAL).where("rule = 'malformed_row'")
+    assert {r.key for r in found.collect()} == {"long", "short"}
+    with pytest.raises(InvalidInput, match="more or fewer fields"):
+        load(spark, path, str(tmp_path / "out"))
+    assert published_run(spark, str(tmp_path / "out/tables")) is None
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", [{**BASE_ROW, "project": '"two\nlines"'}, {
+        **BASE_ROW, "sample": "other"}])
+    with pytest.raises(InvalidInput, match="quoted line break"):
+        read_wide(spark, path, CLINICAL)
+    whole = read_wide(spark, path, CLINICAL, multi_line=True)
+    assert sorted(r.project for r in whole.collect()) == [BASE_ROW["project"], "two\nlines"]
+    assert violations(whole, CLINICAL).where("rule = 'malformed_row'").count() == 0
+
+
 def test_files_with_another_header_are_refused(spark, tmp_path):
     folder = tmp_path / "many"
     folder.mkdir()
@@ -96,12 +122,6 @@ def test_frequencies_with_metadata_have_fourteen_columns(tables):
     assert len(joined.columns) == 14 and joined.count() == 15
 
 
-def test_metadata_of_a_heavy_subject(spark, tables):
-    plain = sample_metadata(tables)
-    split = sample_metadata(tables, heavy_subjects=["sub1"])
-    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
-
-
 def test_publish_shows_the_last_run_only(spark, tables, tmp_path):
     out = str(tmp_path / "out")
     assert store.published_run(spark, out) is None

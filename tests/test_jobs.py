@@ -1,11 +1,13 @@
 import random
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
 
 from tallyfold import CLINICAL
 from tallyfold.plans import jobs
 from tallyfold.plans.summary import significance_summary
-from tallyfold.sources.tables import read_optional
+from tallyfold.sources.tables import published_run, read_optional
 from tallyfold.sources.wide_csv import InvalidInput
 from tallyfold.study import STATS_COLUMNS
 from tests.conftest import BASE_ROW
@@ -41,6 +43,10 @@ def run(spark, tmp_path_factory):
     return out, rows, made
 
 
+def results(spark, out):
+    return Path(published_run(spark, str(out / "results")))
+
+
 def kept(rows):
     return [r for r in rows if r["condition"] == "melanoma" and r["treatment"] == "miraclib"
             and r["sample_type"] == "PBMC" and r["response"]]
@@ -50,7 +56,7 @@ def test_tables(spark, run):
     out, rows, _ = run
     tables = jobs.current_tables(spark, str(out))
     assert {k: v.count() for k, v in tables.items()} == {
-        "projects": 3, "subjects": 60, "samples": 180, "cell_counts": 900}
+        "projects": 3, "subjects": 60, "samples": 180, "cell_counts": 900, "wide": 180}
 
 
 def test_frequencies(run):
@@ -66,7 +72,7 @@ def test_frequencies(run):
 def test_frequency_files_are_in_order(spark, run):
     out, _, made = run
     lines = []
-    for part in sorted((out / "results" / "cell_frequencies").glob("part-*")):
+    for part in sorted(results(spark, out).glob("cell_frequencies/part-*")):
         lines += part.read_text().splitlines()[1:]
     samples = [line.split(",")[0] for line in lines]
     assert samples == sorted(samples) and len(samples) == 900
@@ -85,7 +91,7 @@ def test_statistics(spark, run):
 
 def test_summary(spark, run):
     out, rows, _ = run
-    text = "\n".join(r.value for r in spark.read.text(str(out / "results/stats_summary")).collect())
+    text = "\n".join(r.value for r in spark.read.text(str(results(spark, out) / "stats_summary")).collect())
     subjects = {r["subject"] for r in kept(rows)}
     headings = [line for line in text.split("\n") if line.startswith("## ")]
     assert headings == [
@@ -161,3 +167,71 @@ def test_summary_lists_findings_and_falls_back_to_sentences(spark):
     assert none.count("No population reached") == 3 and none.count("---") == 3
     assert none.index("## Primary analysis") < none.index("## Sensitivity") < none.index(
         "## Exploratory") < none.index("## High-confidence")
+
+
+def runs(out, part):
+    return sorted(p.name for p in (out / part).glob("run=*"))
+
+
+def test_a_failed_load_leaves_no_copy_and_old_runs_go(spark, tmp_path):
+    rows = study_rows(12)
+    for _ in range(3):
+        jobs.load(spark, write_csv(tmp_path / "in.csv", rows), str(tmp_path), keep_runs=2)
+    before = runs(tmp_path, "tables")
+    assert len(before) == 2
+    with pytest.raises(InvalidInput):
+        jobs.load(spark, write_csv(tmp_path / "bad.csv", [{**rows[0], "b_cell": -1}]),
+                  str(tmp_path))
+    assert runs(tmp_path, "tables") == before
+
+
+@pytest.mark.parametrize("with_wide", [True, False])
+def test_a_lost_count_row_stops_the_analysis_before_results_change(spark, tmp_path, with_wide):
+    rows = study_rows(24)
+    tables = jobs.load(spark, write_csv(tmp_path / "in.csv", rows), str(tmp_path))
+    if not with_wide:
+        del tables["wide"]
+    out = str(tmp_path / "results")
+    first = jobs.analyse(tables, out)
+    published, kept_rows = published_run(spark, out), first["stats"].collect()
+    if not with_wide:
+        broken = {**tables, "cell_counts": tables["cell_counts"].where(
+            f"NOT (sample_id = '{kept(rows)[0]['sample']}' AND population = 'b_cell')")}
+        with pytest.raises(ValueError, match=kept(rows)[0]["sample"]):
+            jobs.analyse(broken, out)
+    assert published_run(spark, out) == published and len(runs(tmp_path, "results")) == 1
+    assert first["stats"].collect() == kept_rows
+
+
+def test_wide_rows_and_tables_give_the_same_results(spark, run, tmp_path):
+    out, _, made = run
+    tables = jobs.current_tables(spark, str(out))
+    del tables["wide"]
+    again = jobs.analyse(tables, str(tmp_path / "results"))
+    for name, df in made.items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, again[name].collect())), name
+        assert (out / "results/run=").as_posix() in df.inputFiles()[0]
+
+
+def test_saved_statistics_by_scope(spark, run, tmp_path):
+    out, _, made = run
+    one = jobs.saved_statistics(spark, str(out / "results"), "baseline")
+    assert one.columns == list(STATS_COLUMNS) and one.count() == 5
+    timed = jobs.saved_statistics(spark, str(out / "results"))
+    assert timed.columns == ["timepoint", *STATS_COLUMNS] and timed.count() == 15
+    with pytest.raises(FileNotFoundError):
+        jobs.saved_statistics(spark, str(tmp_path / "none"))
+
+
+def test_summary_of_other_studies(spark):
+    stats = spark.createDataFrame([], "scope string, timepoint int, population string, "
+                                  "mwu_p_bh double, significant_primary boolean, "
+                                  "significant_high_confidence boolean")
+    profile = spark.createDataFrame([], "scope string, n_samples bigint, n_subjects bigint")
+    two = replace(CLINICAL, timepoints=(0, 7), alpha=0.01, cohort={"condition": "melanoma"})
+    text = significance_summary(stats, profile, two)
+    assert "Pooling all two timepoints" in text and "contributes two samples" in text
+    assert "Two independent" in text and "(`mwu_p_bh < 0.01`)" in text and "0.05" not in text
+    assert "one sample per subject" in text and "among melanoma patients, restricted" in text
+    bare = significance_summary(stats, profile, replace(CLINICAL, cohort={}))
+    assert "among patients, restricted to a single pre-treatment sample per subject" in bare

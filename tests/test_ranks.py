@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.operators.ranks import group_cut_points, quantile, ranked_histogram
+from tallyfold.operators.ranks import quantile, ranked_histogram
 
 COUNTS = {"a": "is_a", "b": "NOT is_a"}
 
@@ -36,12 +36,10 @@ def expected(rows):
 
 
 @pytest.mark.parametrize("rows_per_range", [3, 40, 500, 10 ** 6])
-@pytest.mark.parametrize("bound", [None, 3000])
-def test_ranks_are_exact_however_the_groups_are_cut(spark, rows_per_range, bound):
+def test_ranks_are_exact_however_the_groups_are_cut(spark, rows_per_range):
     rows = data(rows_per_range)
     df = spark.createDataFrame(rows, "k string, v double, is_a boolean").repartition(7)
-    ranked = ranked_histogram(df, ["k"], "v", COUNTS, max_group_rows=bound,
-                              rows_per_range=rows_per_range)
+    ranked = ranked_histogram(df, ["k"], "v", COUNTS, rows_per_range=rows_per_range)
     got = {(r.k, r.v): (r.n_a, r.before_a, r.total_a, r.n_b, r.before_b, r.total_b)
            for r in ranked.collect()}
     assert got == expected(rows)
@@ -61,10 +59,10 @@ def test_quantiles_equal_numpy(spark, rows_per_range):
         assert row.mean == pytest.approx(np.mean(values))
 
 
-def test_only_large_groups_are_cut(spark):
-    df = spark.createDataFrame(data(1), "k string, v double, is_a boolean").dropna()
-    cuts = group_cut_points(df, ["k"], "v", 1000)
-    assert [row[0] for row in cuts] == ["big"] and cuts[0][1] == sorted(set(cuts[0][1]))
+def test_more_ranges_than_a_thousand(spark):
+    df = spark.range(1200).selectExpr("'k' AS k", "CAST(id AS DOUBLE) AS v", "id % 2 = 0 AS is_a")
+    rows = ranked_histogram(df, ["k"], "v", COUNTS, rows_per_range=1).collect()
+    assert all((r.before_a, r.total_a) == ((r.v + 1) // 2, 600) for r in rows) and len(rows) == 1200
 
 
 def test_one_value_for_the_whole_group(spark):

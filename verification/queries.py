@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.functions.scalars import component_rank
+from tallyfold.functions.scalars import component_rank, fixed_decimals
 from tallyfold.functions.tails import normal_sf, student_t_two_sided
 from tallyfold.operators import checks, cohort as cohorts, explore as views, normalize as norm
-from tallyfold.operators.boxplot import annotate, boxplot_input, formatted_stats, study_boxes
+from tallyfold.operators.boxplot import (
+    annotate, boxes_of_ranks, boxplot_input, formatted_stats, study_boxes)
 from tallyfold.operators.compare import (
-    compare_scopes, one_scope, per_timepoint, tag_scopes, two_group_compare)
+    compare_scopes, one_scope, per_timepoint, scope_ranks,
+    scope_statistics as statistics_of_ranks, stats_order, tag_scopes,
+    two_group_compare)
 from tallyfold.operators.composition import composition_of_events, composition_of_wide
 from tallyfold.operators.fdr import bh_adjust, flagged
 from tallyfold.operators.ranks import ranked_histogram
@@ -19,8 +22,9 @@ from tallyfold.plans.jobs import (
     analyse, cohort_frequencies, load, ordered_frequencies, table_frequencies)
 from tallyfold.plans.summary import significance_summary
 from tallyfold.sources import tables as store
-from tallyfold.sources.wide_csv import UNCASTABLE, read_wide, type_wide
-from tallyfold.study import COHORT_COLUMNS, METADATA, STATS_COLUMNS, TIME
+from tallyfold.sources.wide_csv import (
+    MALFORMED, UNCASTABLE, InvalidInput, column_differences, read_wide, type_wide)
+from tallyfold.study import COHORT_COLUMNS, METADATA, STATS_COLUMNS, TABLES, TIME
 from verification import sql, star
 from verification.star import LINES, STAR
 
@@ -114,7 +118,7 @@ def wide_csv_scan(spark, sf_dir):
     path = store.shared_dir(spark)
     wide = star.wide(spark, sf_dir)
     store.write_table(wide.select(*reversed(wide.columns)), path, "csv")
-    return read_wide(spark, path, STAR).drop(UNCASTABLE)
+    return read_wide(spark, path, STAR).drop(UNCASTABLE, MALFORMED)
 
 
 @query(f"{sql.BASE} SELECT DISTINCT project AS project_id FROM wide")
@@ -140,19 +144,42 @@ def count_table(spark, sf_dir):
     return norm.normalize(star.wide(spark, sf_dir), STAR)["cell_counts"]
 
 
-def _sizes(tables: dict[str, DataFrame]) -> DataFrame:
+def _contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, row) of every row of every table, doubles as rounded millionths."""
     out = None
     for name, df in tables.items():
-        part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        cells = [F.round(F.col(c) * 1e6).cast("bigint").cast("string") if kind == "double"
+                 else F.col(c).cast("string") for c, kind in sorted(df.dtypes)]
+        part = df.select(F.lit(name).alias("name"), F.concat_ws(
+            "|", *[F.coalesce(c, F.lit("NULL")) for c in cells]).alias("row"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-TABLE_SIZES = f"""{sql.FILLED}
-SELECT 'projects' AS name, count(DISTINCT project) AS n FROM filled UNION ALL
-SELECT 'subjects', count(DISTINCT subject) FROM filled UNION ALL
-SELECT 'samples', count(*) FROM filled UNION ALL
-SELECT 'cell_counts', {len(STAR.components)} * count(*) FROM filled"""
+def _contents_sql(**tables: tuple[str, str]) -> str:
+    """The same from (columns, source) pairs; columns: ``name`` or ``name:double``, in any order."""
+    def cell(column: str) -> str:
+        name, _, kind = column.partition(":")
+        value = f"CAST(round({name} * 1e6) AS BIGINT)" if kind else name
+        return f"coalesce(CAST({value} AS VARCHAR), 'NULL')"
+
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS name, concat_ws('|', "
+        f"{', '.join(cell(c) for c in sorted(columns.split()))}) AS row FROM {source}"
+        for name, (columns, source) in tables.items())
+
+
+_LONG_FILLED = "(" + " UNION ALL ".join(
+    f"SELECT sample AS sample_id, '{c}' AS population, {c} AS count FROM filled"
+    for c in STAR.components) + ")"
+TABLE_CONTENTS = f"{sql.FILLED} " + _contents_sql(
+    projects=("project_id", "(SELECT DISTINCT project AS project_id FROM filled)"),
+    subjects=("subject_id project_id condition age sex treatment response",
+              "(SELECT DISTINCT subject AS subject_id, project AS project_id, condition, age, sex, "
+              "treatment, response FROM filled)"),
+    samples=(f"sample_id subject_id sample_type {TIME}",
+             "(SELECT sample AS sample_id, subject AS subject_id, * FROM filled)"),
+    cell_counts=("sample_id population count", _LONG_FILLED))
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -161,13 +188,14 @@ def _loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return load(spark, f"{path}/input", path, STAR)
 
 
-@query(TABLE_SIZES)
+@query(TABLE_CONTENTS)
 def load_tables(spark, sf_dir):
-    """CSV to validated, published tables."""
-    return _sizes(_loaded(spark, sf_dir))
+    """CSV to validated, published tables: all their rows."""
+    made = _loaded(spark, sf_dir)
+    return _contents({name: made[name] for name in TABLES})
 
 
-@query(TABLE_SIZES)
+@query(TABLE_CONTENTS)
 def rebuild_tables(spark, sf_dir):
     """Two runs over the same folder: the second one is the published one, rows unchanged."""
     path = store.shared_dir(spark)
@@ -176,7 +204,21 @@ def rebuild_tables(spark, sf_dir):
         run, folder = store.new_run(path)
         store.write_tables(made, folder)
         store.publish(spark, path, run)
-    return _sizes(store.read_tables(spark, store.published_run(spark, path)))
+    return _contents(store.read_tables(spark, store.published_run(spark, path)))
+
+
+@query("SELECT 'zero_total' AS rule, count(*) AS n FROM ("
+       f"{sql.BASE} SELECT * FROM wide WHERE {' + '.join(STAR.components)} = 0)")
+def refused_load(spark, sf_dir):
+    """The load of all samples, zero totals included, is refused; the findings say why."""
+    path = store.shared_dir(spark)
+    store.write_table(star.wide(spark, sf_dir), f"{path}/input", "csv")
+    try:
+        load(spark, f"{path}/input", path, STAR)
+    except InvalidInput:
+        found = checks.violations(read_wide(spark, f"{path}/input", STAR), STAR)
+        return found.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    raise AssertionError("the load was not refused")
 
 
 # --- checks -------------------------------------------------------------------------------
@@ -188,19 +230,19 @@ _TAX = "CAST(round(l_tax * 100, 0) AS BIGINT)"
 
 
 def _row_rule(no: int, rule: str, column: str, detail: str, condition: str, major: int = 0) -> str:
-    return (f"SELECT {no} AS rule_no, {major} AS major, '{rule}' AS rule, {_LINE} AS key, "
+    return (f"SELECT {no + 1} AS rule_no, {major} AS major, '{rule}' AS rule, {_LINE} AS key, "
             f"{column} AS col, {detail} AS detail, 0 AS minor FROM lineitem WHERE {condition}")
 
 
 def _drift_rule(column: str, expression: str, minor: int) -> str:
-    return (f"SELECT 3 AS rule_no, 0 AS major, 'subject_drift' AS rule, "
+    return (f"SELECT 4 AS rule_no, 0 AS major, 'subject_drift' AS rule, "
             f"CAST(l_orderkey AS VARCHAR) AS key, '{column}' AS col, NULL AS detail, "
             f"{minor} AS minor FROM lineitem GROUP BY l_orderkey "
             f"HAVING count(DISTINCT {expression}) > 1")
 
 
 FINDINGS = "WITH found AS (" + " UNION ALL ".join([
-    f"SELECT 0 AS rule_no, 0 AS major, 'duplicate_sample' AS rule, {_LINE} AS key, "
+    f"SELECT 1 AS rule_no, 0 AS major, 'duplicate_sample' AS rule, {_LINE} AS key, "
     "'sample' AS col, CAST(count(*) AS VARCHAR) AS detail, 0 AS minor FROM lineitem "
     "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
     _row_rule(1, "negative_count", "'price_gap'", f"CAST({_GAP} AS VARCHAR)", f"{_GAP} < 0"),
@@ -222,6 +264,27 @@ def _findings(spark, sf_dir) -> DataFrame:
     return checks.violations(spark.read.schema(typed.schema).parquet(path), LINES)
 
 
+@query(f"""SELECT {_LINE} AS key, CASE l_partkey % 97 WHEN 0 THEN 13 ELSE 11 END AS fields
+FROM lineitem WHERE l_partkey % 97 IN (0, 1)""")
+def malformed_rows(spark, sf_dir):
+    """Records with a surplus or a missing field, found in the text by the CSV scan."""
+    path = store.shared_dir(spark)
+    star.malformed_csv(spark, sf_dir, path)
+    found = checks.violations(read_wide(spark, path, LINES), LINES)
+    return found.where("rule = 'malformed_row'").select(
+        "key", F.size(F.split("detail", ",")).alias("fields"))
+
+
+@query(f"""SELECT 'missing' AS kind, name FROM (VALUES {", ".join(f"('{c}')" for c in
+  LINES.wide_columns)}) v(name) UNION ALL
+SELECT 'unexpected', column_name FROM (DESCRIBE lineitem)""")
+def column_contract(spark, sf_dir):
+    """The raw line items against the wide input's column set."""
+    missing, unexpected = column_differences(star.table(spark, sf_dir, "lineitem").columns, LINES)
+    rows = [("missing", c) for c in missing] + [("unexpected", c) for c in unexpected]
+    return spark.createDataFrame(rows, "kind string, name string")
+
+
 @query(f"{FINDINGS} SELECT rule, key, col AS \"column\", detail FROM found")
 def input_violations(spark, sf_dir):
     return _findings(spark, sf_dir).select(*checks.VIOLATION_COLUMNS)
@@ -417,8 +480,7 @@ def first_sample_per_subject(spark, sf_dir):
 
 
 def _stats(spark, sf_dir) -> DataFrame:
-    return compare_scopes(star.cohort(spark, sf_dir), STAR,
-                          max_group_rows=star.order_count(spark, sf_dir))
+    return compare_scopes(star.cohort(spark, sf_dir), STAR)
 
 
 STATS_LIST = ", ".join(STATS_COLUMNS)
@@ -449,6 +511,57 @@ def significant_components(spark, sf_dir):
     return rounded(flagged(_stats(spark, sf_dir)))
 
 
+def _shifted(spark, sf_dir) -> DataFrame:
+    return compare_scopes(star.shifted_cohort(spark, sf_dir), STAR)
+
+
+@query(f"{sql.SHIFTED_STATS} SELECT scope, timepoint, {STATS_LIST} FROM stats")
+def shifted_statistics(spark, sf_dir):
+    """A study whose groups differ: its flags are TRUE."""
+    return rounded(_shifted(spark, sf_dir))
+
+
+@query(f"""{sql.SHIFTED_STATS} SELECT scope, timepoint, {STATS_LIST} FROM stats
+WHERE significant_primary""")
+def shifted_significant_components(spark, sf_dir):
+    return rounded(flagged(_shifted(spark, sf_dir)))
+
+
+@query(f"""{sql.SHIFTED_STATS}, labelled AS (
+  SELECT *, CASE response WHEN 'yes' THEN 'Responder' WHEN 'no' THEN 'Non-responder' END
+    AS response_label FROM cohort), {sql.boxes('labelled', 'population, response_label')}
+SELECT b.population, response_label, {sql.r('median')} AS median, n_outliers,
+  CASE WHEN significant_primary THEN '**' ELSE 'ns' END AS marker
+FROM boxes b JOIN stats s ON b.population = s.population AND s.scope = 'baseline'""")
+def shifted_annotated_boxplots(spark, sf_dir):
+    """Boxes and statistics read off one ranked histogram."""
+    ranks = store.staged(scope_ranks(star.shifted_cohort(spark, sf_dir), STAR), "ranks")
+    baseline = one_scope(statistics_of_ranks(ranks, STAR), "baseline", STAR)
+    shown = annotate(boxes_of_ranks(ranks, STAR)[0], baseline, STAR)
+    return rounded(shown.select("population", "response_label", "median", "n_outliers", "marker"))
+
+
+@query(f"""SELECT o_orderkey, printf('%.3f', o_orderkey / 16::DOUBLE) AS three,
+  printf('%.4f', o_orderkey / 32::DOUBLE) AS four FROM orders WHERE o_orderkey % 3001 < 16""")
+def tied_formats(spark, sf_dir):
+    """Numbers shown with fixed decimals: many are ties, which go to the even digit."""
+    few = star.table(spark, sf_dir, "orders").where("o_orderkey % 3001 < 16")
+    return few.select("o_orderkey", fixed_decimals(F.col("o_orderkey") / 16, 3).alias("three"),
+                      fixed_decimals(F.col("o_orderkey") / 32, 4).alias("four"))
+
+
+@query(f"""SELECT c_custkey, {sql.r("""CASE c_custkey % 3 WHEN 0 THEN 1 - 2 / pi() * atan(t)
+  WHEN 1 THEN 1 - t / sqrt(t * t + 2)
+  ELSE 1 - 0.75 * t / sqrt(1 + t * t / 4) * (1 - t * t / (12 * (1 + t * t / 4))) END""", 8)}
+  AS two_sided FROM (SELECT c_custkey, abs(c_acctbal / 2500) AS t FROM customer)""")
+def student_t_closed_forms(spark, sf_dir):
+    """Against the closed forms of 1, 2 and 4 degrees of freedom."""
+    p = student_t_two_sided("c_acctbal / 2500",
+                            "CASE c_custkey % 3 WHEN 0 THEN 1D WHEN 1 THEN 2D ELSE 4D END")
+    return rounded(star.table(spark, sf_dir, "customer").select(
+        "c_custkey", p.alias("two_sided")), 8)
+
+
 @query(f"""{sql.STATS} SELECT scope, timepoint, {STATS_LIST} FROM stats
 WHERE scope <> 'baseline'""")
 def statistics_by_table_write(spark, sf_dir):
@@ -555,11 +668,22 @@ def student_t_tail(spark, sf_dir):
     return rounded(star.table(spark, sf_dir, "customer").select("c_custkey", p), 8)
 
 
-@query()
+def _summary_lines(spark, stats: DataFrame, chosen: DataFrame, study) -> DataFrame:
+    text = significance_summary(stats, cohorts.cohort_profile(chosen, study), study)
+    return spark.createDataFrame(list(enumerate(text.split("\n"), 1)), "line_no int, line string")
+
+
+@query(sql.summary(sql.STATS, STAR))
 def summary_text(spark, sf_dir):
     chosen = cohorts.comparison_cohort(star.metadata(spark, sf_dir), STAR)
-    text = significance_summary(_stats(spark, sf_dir), cohorts.cohort_profile(chosen, STAR), STAR)
-    return spark.createDataFrame(list(enumerate(text.split("\n"), 1)), "line_no int, line string")
+    return _summary_lines(spark, _stats(spark, sf_dir), chosen, STAR)
+
+
+@query(sql.summary(sql.SHIFTED_STATS, star.SHIFTED))
+def shifted_summary_text(spark, sf_dir):
+    """The text of a study with findings, whose cohort fixes no sample type."""
+    return _summary_lines(spark, _shifted(spark, sf_dir), star.shifted_samples(spark, sf_dir),
+                          star.SHIFTED)
 
 
 # --- box plots ----------------------------------------------------------------------------
@@ -570,7 +694,6 @@ _BOX = ", ".join(f"{sql.r(c)} AS {c}" for c in
 
 
 def _boxes(spark, sf_dir, by_time: bool = False, **options):
-    options.setdefault("max_group_rows", star.order_count(spark, sf_dir))
     return study_boxes(star.cohort(spark, sf_dir), STAR, by_time=by_time, **options)
 
 
@@ -591,7 +714,7 @@ def boxplots(spark, sf_dir):
 SELECT population, {TIME}, response_label, n, {_BOX}, n_outliers FROM boxes""")
 def boxplots_by_time(spark, sf_dir):
     """Counted in value ranges, as large groups are."""
-    return rounded(_boxes(spark, sf_dir, by_time=True, max_group_rows=None,
+    return rounded(_boxes(spark, sf_dir, by_time=True,
                           rows_per_range=100)[0])
 
 
@@ -684,23 +807,127 @@ def explore_export(spark, sf_dir):
     return rounded(store.read_optional(spark, path, "csv", frequencies.schema))
 
 
+# --- order as data ------------------------------------------------------------------------
+
+
+def _positions(spark, df: DataFrame, key: str) -> DataFrame:
+    """(key, position) of the rows of ``df`` as its written files hold them, in file order.
+
+    Files are numbered by their names and rows within a file's part by their ids; only the list
+    of parts is ordered in one task.
+    """
+    path = store.shared_dir(spark)
+    store.write_table(df, path, "csv")
+    read = store.read_optional(spark, path, "csv", df.schema).selectExpr(
+        f"{key} AS key", "_metadata.file_name AS file", "_metadata.file_block_start AS start",
+        "monotonically_increasing_id() AS id")
+    parts = read.groupBy("file", "start").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = parts.selectExpr("file", "start", "first", "sum(n) OVER (ORDER BY file, start) - n "
+                              "AS before")
+    return read.join(F.broadcast(before), ["file", "start"]).selectExpr(
+        "key", "before + id - first + 1 AS position")
+
+
+@query(f"""{sql.FREQUENCIES} SELECT concat_ws('|', sample, population) AS key, row_number() OVER (
+  ORDER BY sample, {sql.rank('population')}) AS position FROM long""")
+def frequency_order(spark, sf_dir):
+    made = ordered_frequencies(star.tables(spark, sf_dir), STAR)
+    return _positions(spark, made, "concat_ws('|', sample, population)")
+
+
+@query(f"""{sql.BASELINE} SELECT sample AS key, row_number() OVER (ORDER BY sample) AS position
+FROM baseline""")
+def baseline_order(spark, sf_dir):
+    chosen = cohorts.baseline_cohort(star.metadata(spark, sf_dir), STAR)
+    return _positions(spark, chosen.orderBy("sample"), "sample")
+
+
+@query(f"""{sql.BASELINE} SELECT project AS key, row_number() OVER (ORDER BY project) AS position
+FROM (SELECT DISTINCT project FROM baseline)""")
+def breakdown_order(spark, sf_dir):
+    chosen = cohorts.baseline_cohort(star.metadata(spark, sf_dir), STAR)
+    return _positions(spark, cohorts.breakdown(chosen, "project"), "project")
+
+
+@query(f"""WITH {sql.SUBJECTS} SELECT condition AS key, row_number() OVER (ORDER BY condition)
+  AS position FROM (SELECT DISTINCT condition FROM people)""")
+def vocabulary_order(spark, sf_dir):
+    return _positions(spark, views.vocabulary(star.tables(spark, sf_dir)["subjects"], "condition"),
+                      "condition")
+
+
+@query(f"""{sql.STATS} SELECT concat_ws('|', scope, population) AS key, row_number() OVER (
+  ORDER BY CASE scope WHEN 'pooled' THEN -2 WHEN 'baseline' THEN -1 ELSE timepoint END,
+  {sql.rank('population')}) AS position FROM stats""")
+def statistics_order(spark, sf_dir):
+    made = _stats(spark, sf_dir).orderBy(*stats_order(STAR))
+    return _positions(spark, made, "concat_ws('|', scope, population)")
+
+
+@query("SELECT sex, count(*) AS n_subjects FROM (SELECT 'F' AS sex FROM region WHERE false) "
+       "GROUP BY sex")
+def empty_breakdown(spark, sf_dir):
+    """A cohort that no sample is in: no rows, the two columns stay."""
+    nobody = cohorts.select_cohort(star.metadata(spark, sf_dir), {"condition": "nothing"})
+    return cohorts.breakdown(nobody, "sex", one_per="subject")
+
+
 # --- everything ---------------------------------------------------------------------------
 
 
-@query(f"""{sql.FILLED}, chosen AS (
-  SELECT * FROM filled WHERE {' AND '.join(f"{k} = '{v}'" for k, v in STAR.cohort.items())}),
-known AS (SELECT * FROM chosen WHERE response IN ('yes', 'no')),
-started AS (SELECT * FROM chosen WHERE {TIME} = 0)
-SELECT 'cell_frequencies' AS name, {len(STAR.components)} * count(*) AS n FROM filled UNION ALL
-SELECT 'stats', {len(STAR.components)} * (2 + count(DISTINCT {TIME})) FROM known UNION ALL
-SELECT 'boxplots', {len(STAR.components)} * count(DISTINCT response) FROM known UNION ALL
-SELECT 'boxplots_per_timepoint', {len(STAR.components)} * count(DISTINCT (response, {TIME}))
-  FROM known UNION ALL
-SELECT 'part4_baseline_samples', count(*) FROM started UNION ALL
-SELECT 'part4_by_project', count(DISTINCT project) FROM started UNION ALL
-SELECT 'part4_by_response', count(DISTINCT response) FROM started UNION ALL
-SELECT 'part4_by_sex', count(DISTINCT sex) FROM started""")
+_STATS_CELLS = " ".join(
+    c if c in ("population", "n_responder", "n_nonresponder", "significant_primary",
+               "significant_high_confidence") else f"{c}:double" for c in STATS_COLUMNS)
+_BOX_CELLS = ("population response_label n n_outliers whisker_low:double q1:double median:double "
+              "q3:double whisker_high:double")
+_WHOLE_LABELLED = """labelled AS (
+  SELECT *, CASE response WHEN 'yes' THEN 'Responder' WHEN 'no' THEN 'Non-responder' END
+    AS response_label FROM cohort)"""
+_OUTSIDE = ("(SELECT {keys}, percentage, count(*) AS n FROM labelled s JOIN fences f USING ({keys}) "
+            "WHERE percentage < low OR percentage > high GROUP BY {keys}, percentage)")
+_COHORT_SQL = " AND ".join(f"{k} = '{v}'" for k, v in STAR.cohort.items())
+
+
+def _box_ctes(keys: str, prefix: str) -> str:
+    made = sql.boxes("labelled" if prefix == "pooled" else "timed_rows", keys)
+    for name in ("quartiles", "fences", "boxes"):
+        made = made.replace(f"{name} AS (", f"{prefix}_{name} AS (").replace(
+            f"FROM {name}", f"FROM {prefix}_{name}").replace(f"JOIN {name}", f"JOIN {prefix}_{name}")
+    return made
+
+
+_TIMED_KEYS = f"population, {TIME}, response_label"
+WHOLE = sql.on_filled(sql.STATS) + f""", {_WHOLE_LABELLED},
+timed_rows AS (SELECT * FROM labelled WHERE {TIME} IN (0, 7, 14)),
+{_box_ctes('population, response_label', 'pooled')},
+{_box_ctes(_TIMED_KEYS, 'timed')},
+started AS (SELECT DISTINCT {', '.join(COHORT_COLUMNS)} FROM long
+  WHERE {_COHORT_SQL} AND {TIME} = 0),
+firsts AS (SELECT subject, arg_min(COALESCE(response, ''), sample) AS response,
+  arg_min(sex, sample) AS sex FROM started GROUP BY subject)
+""" + _contents_sql(
+    cell_frequencies=("sample total_count population count percentage:double", "long"),
+    stats=(f"scope timepoint {_STATS_CELLS}", "stats"),
+    boxplots=(f"{_BOX_CELLS} title marker mwu_p_bh:double t_p_bh:double", f"""(
+      SELECT b.*, mwu_p_bh, t_p_bh, CASE WHEN significant_primary THEN '**' ELSE 'ns' END AS marker,
+        CASE b.population {_TITLES} ELSE b.population END AS title
+      FROM pooled_boxes b JOIN stats s ON b.population = s.population AND s.scope = 'baseline')"""),
+    boxplot_outliers=("population response_label percentage:double n", _OUTSIDE.format(
+        keys="population, response_label").replace("fences", "pooled_fences")),
+    boxplots_per_timepoint=(f"{_BOX_CELLS} {TIME}", "timed_boxes"),
+    boxplot_outliers_per_timepoint=(
+        f"population {TIME} response_label percentage:double n", _OUTSIDE.format(
+            keys=_TIMED_KEYS).replace("fences", "timed_fences").replace("labelled", "timed_rows")),
+    part4_baseline_samples=(" ".join(COHORT_COLUMNS), "started"),
+    part4_by_project=("project n_samples",
+                      "(SELECT project, count(*) AS n_samples FROM started GROUP BY project)"),
+    part4_by_response=("response n_subjects", "(SELECT response, count(*) AS n_subjects FROM firsts "
+                       "WHERE response <> '' GROUP BY response)"),
+    part4_by_sex=("sex n_subjects",
+                  "(SELECT sex, count(*) AS n_subjects FROM firsts GROUP BY sex)"))
+
+
+@query(WHOLE)
 def whole_study(spark, sf_dir):
-    """Load, then every job; the size of each result but the outlier lists."""
-    made = analyse(_loaded(spark, sf_dir), store.shared_dir(spark), STAR)
-    return _sizes({name: df for name, df in made.items() if "outliers" not in name})
+    """Load, then every job: all rows of all result tables, as written."""
+    return _contents(analyse(_loaded(spark, sf_dir), store.shared_dir(spark), STAR))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from tallyfold.functions.tails import DE_FIRST, DE_LAST, DE_STEP
+from tallyfold.plans import summary as text
 from tallyfold.study import METADATA, TIME
 from verification.star import STAR
 
@@ -144,6 +147,12 @@ def adjusted(p: str, name: str, source: str, target: str, family: str) -> str:
   FROM {target}_scaled)"""
 
 
+# The second study (star.SHIFTED): the sample type decides the response.
+SHIFTED_COHORT = f"""{FREQUENCIES}, cohort AS (
+  SELECT * REPLACE (CASE WHEN sample_type = 'WB' THEN 'yes' ELSE 'no' END AS response) FROM long
+  WHERE condition = 'BUILDING' AND treatment = 'miraclib')"""
+
+
 _DOUBLES = ("median_responder", "median_nonresponder", "mean_responder", "mean_nonresponder",
             "mean_difference", "median_difference", "rank_biserial", "t_stat", "t_p_raw",
             "t_p_bh", "mwu_stat", "mwu_p_raw", "mwu_p_bh")
@@ -154,7 +163,9 @@ STATS_SELECT = ", ".join(
     + [f"{r(_NAMES.get(c, c))} AS {c}" for c in _DOUBLES]
     + ["mwu_p_bh < 0.05 AS significant_primary",
        "t_p_bh < 0.05 AND mwu_p_bh < 0.05 AS significant_high_confidence"])
-STATS = f"""{COHORT}, scoped AS (
+def stats(cohort: str) -> str:
+    """CTEs ending in ``stats`` of the rows of ``cohort``."""
+    return f"""{cohort}, scoped AS (
   SELECT *, 'pooled' AS scope FROM cohort UNION ALL
   SELECT *, 't=' || {TIME} AS scope FROM cohort WHERE {TIME} IN (0, 7, 14)),
 {comparison('scoped', 'scope, population', 'response', 'percentage', 'yes', 'no')},
@@ -167,6 +178,16 @@ stats AS (
   WHERE scope = 't=0')"""
 
 
+def on_filled(text: str) -> str:
+    """The same over the samples that the loader accepts: a total above zero."""
+    assert "AS total_count FROM wide)" in text
+    return text.replace("AS total_count FROM wide)", f"AS total_count FROM wide WHERE {_TOTAL} > 0)")
+
+
+STATS = stats(COHORT)
+SHIFTED_STATS = stats(SHIFTED_COHORT)
+
+
 def boxes(source: str, keys: str) -> str:
     """CTEs ``fences`` and ``boxes`` of the ``percentage`` per key."""
     on = " AND ".join(f"s.{x.strip()} = f.{x.strip()}" for x in keys.split(","))
@@ -190,3 +211,61 @@ boxes AS (
 LABELLED = f"""{COHORT}, labelled AS (
   SELECT *, CASE response WHEN 'yes' THEN 'Responder' WHEN 'no' THEN 'Non-responder' END
     AS response_label FROM cohort)"""
+
+
+def _fill(template: str, **columns: str) -> str:
+    """SQL of a text with {name} places: format pieces joined with SQL expressions."""
+    pieces = re.split(r"{(\w+)(?::[^}]*)?}", template)
+    return "concat(" + ", ".join(
+        columns[piece] if i % 2 else "'" + piece.replace("'", "''") + "'"
+        for i, piece in enumerate(pieces)) + ")"
+
+
+def _shown(**digits: str) -> dict[str, str]:
+    return {name: f"printf('{form}', {name})" for name, form in digits.items()}
+
+
+def summary(stats_sql: str, study) -> str:
+    """The lines of the summary text, from the unrounded statistics and the cohort's samples."""
+    facts = {name: "'" + (f"{value:g}" if isinstance(value, float) else str(value)) + "'"
+             for name, value in text.study_facts(study).items()}
+    sizes = {"subjects": "(SELECT count(DISTINCT subject) FROM samples WHERE {})",
+             "samples": "(SELECT count(*) FROM samples WHERE {})"}
+    first, every = f"{TIME} = {study.baseline}", "true"
+    each = [sizes["samples"].format(f"{TIME} = {time}") for time in study.timepoints]
+    per_time = (f"CASE WHEN {' AND '.join(f'{each[0]} = {x}' for x in each)} THEN "
+                f"concat({each[0]}, ' each') ELSE concat_ws(', ', {', '.join(each)}) END")
+    effects = _shown(mwu_p_bh="%.4g", rank_biserial="%.3f", median_difference="%.3f")
+
+    def findings(scope: str, template: str, none: str, order: str = "") -> str:
+        line = _fill(template, population="population", timepoint="substring(scope, 3)", **effects)
+        return (f"coalesce((SELECT string_agg({line}, chr(10) ORDER BY {order}"
+                f"{rank('population', study.components)}) FROM both_adjusted WHERE {scope} "
+                f"AND mwu_p_bh < {study.alpha}), {_fill(none, **facts)})")
+
+    both = (f"(SELECT string_agg(population, ', ' ORDER BY {rank('population', study.components)}) "
+            f"FROM both_adjusted WHERE scope = 't={study.baseline}' AND mwu_p_bh < {study.alpha} "
+            f"AND t_p_bh < {study.alpha})")
+    sections = [
+        [_fill(text.BASELINE_HEADING, **facts, subjects=sizes["subjects"].format(first)),
+         _fill(text.BASELINE_ABOUT, **facts),
+         findings(f"scope = 't={study.baseline}'", text.BASELINE_LINE, text.BASELINE_NONE)],
+        [_fill(text.POOLED_HEADING, **facts, samples=sizes["samples"].format(every),
+               subjects=sizes["subjects"].format(every)),
+         _fill(text.POOLED_ABOUT, **facts),
+         findings("scope = 'pooled'", text.POOLED_LINE, text.POOLED_NONE)],
+        [_fill(text.TIMEPOINT_HEADING, sizes=per_time,
+               timepoints="'" + ", ".join(map(str, study.timepoints)) + "'"),
+         _fill(text.TIMEPOINT_ABOUT, **facts),
+         findings("scope <> 'pooled'", text.TIMEPOINT_LINE, text.TIMEPOINT_NONE,
+                  "CAST(substring(scope, 3) AS INTEGER), ")],
+        [f"'{text.CROSSCHECK_HEADING}'",
+         f"CASE WHEN {both} IS NULL THEN {_fill(text.CROSSCHECK_NONE, **facts)} ELSE "
+         f"{_fill(text.CROSSCHECK_SOME, **facts, names=both)} END"],
+    ]
+    whole = " || chr(10) || chr(10) || '---' || chr(10) || chr(10) || ".join(
+        " || chr(10) || chr(10) || ".join(section) for section in sections)
+    return f"""{stats_sql}, samples AS (SELECT DISTINCT sample, subject, {TIME} FROM cohort),
+whole AS (SELECT string_split({whole}, chr(10)) AS lines)
+SELECT CAST(unnest(range(1, len(lines) + 1)) AS INTEGER) AS line_no, unnest(lines) AS line
+FROM whole"""

@@ -6,11 +6,13 @@ counts the quantities per (return flag, line status) of its line items.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.operators.cohort import comparison_cohort
+from tallyfold.operators.cohort import comparison_cohort, select_cohort
 from tallyfold.operators.composition import composition_of_wide
-from tallyfold.operators.skew import heavy_keys, lookup_join
+from tallyfold.operators.skew import lookup_join
 from tallyfold.study import METADATA, TIME, Study
 
 STAR = Study(
@@ -24,11 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_count(spark: SparkSession, sf_dir: str) -> int:
-    """Rows of the sample table, from the Parquet footers: a bound on every group's rows."""
-    return table(spark, sf_dir, "orders").count()
-
-
 def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey",
                                                        "n_name AS project")
@@ -66,9 +63,7 @@ def _filled() -> list[str]:
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sample metadata and the order key."""
-    facts = samples(spark, sf_dir)
-    heavy = heavy_keys(facts, "c_custkey")
-    joined = lookup_join(facts, subjects(spark, sf_dir), "c_custkey", heavy=heavy)
+    joined = lookup_join(samples(spark, sf_dir), subjects(spark, sf_dir), "c_custkey")
     return joined.select("o_orderkey", *METADATA)
 
 
@@ -93,6 +88,33 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return composition_of_wide(chosen, STAR.components, keep=METADATA[1:])
 
 
+# A second study over the same samples, whose groups differ by construction: finished orders hold
+# only the components of finished lines.
+SHIFTED = replace(STAR, cohort={"condition": "BUILDING", "treatment": "miraclib"})
+
+
+def shifted_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second study's cohort metadata: the sample type decides the response."""
+    chosen = select_cohort(metadata(spark, sf_dir), SHIFTED.cohort)
+    return chosen.withColumn("response", F.expr("IF(sample_type = 'WB', 'yes', 'no')"))
+
+
+def shifted_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = _with_counts(shifted_samples(spark, sf_dir), spark, sf_dir)
+    return composition_of_wide(chosen, STAR.components, keep=METADATA[1:])
+
+
+def malformed_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The faulty text with a surplus field in some lines and the last field missing in others."""
+    text = faulty_text(spark, sf_dir, "l_partkey % 97 AS mark").withColumn(
+        "last", F.expr("CASE mark WHEN 0 THEN concat(tax_percent, ',more') "
+                       "WHEN 1 THEN NULL ELSE tax_percent END"))
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in LINES.wide_columns[:-1]]
+    line = F.concat_ws(",", *fields, "last").alias(",".join(LINES.wide_columns))
+    # one column under the header's text; its separator occurs in no line, so nothing is quoted
+    text.select(line).write.option("header", True).option("sep", "\x01").csv(path)
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four normalised tables, straight from the star tables."""
     taken = samples(spark, sf_dir)
@@ -115,7 +137,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 LINES = Study(components=("price_gap", "tax_percent"), cohort={})
 
 
-def faulty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def faulty_text(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     columns = {
         "project": "l_linestatus", "subject": "l_orderkey", "condition": "l_returnflag",
         "age": "CASE l_quantity WHEN 50 THEN 'n/a' WHEN 49 THEN 'unknown' "
@@ -128,4 +150,4 @@ def faulty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tax_percent": "CAST(round(l_tax * 100, 0) AS BIGINT)",
     }
     return table(spark, sf_dir, "lineitem").selectExpr(
-        *[f"CAST({expression} AS STRING) AS {name}" for name, expression in columns.items()])
+        *[f"CAST({expression} AS STRING) AS {name}" for name, expression in columns.items()], *more)
