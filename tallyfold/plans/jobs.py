@@ -144,20 +144,25 @@ def statistics_job(ranks: DataFrame, metadata: DataFrame, out_dir: str, study: S
     return written, summary
 
 
-def boxplot_job(ranks: DataFrame, stats: DataFrame, out_dir: str, study: Study = CLINICAL,
+def boxplot_job(ranks: DataFrame, out_dir: str, study: Study = CLINICAL,
                 fmt: str = "csv") -> dict[str, DataFrame]:
-    """Data of the box plots: baseline p-values annotate the pooled boxes; boxes by time."""
-    boxes, outliers = boxes_of_ranks(ranks, study)
+    """Data of the box plots that needs no statistics: boxes by time and all outliers."""
     timed, timed_outliers = boxes_of_ranks(ranks, study, by_time=True)
-    baseline = stats.where(F.col("scope") == "baseline")
     return _written_together({
-        "boxplots": annotate(boxes, baseline, study).orderBy(*boxplot_order(study)),
-        "boxplot_outliers": outliers,
+        "boxplot_outliers": boxes_of_ranks(ranks, study)[1],
         "boxplots_per_timepoint": timed.orderBy(*boxplot_order(study, by_time=True)),
         "boxplot_outliers_per_timepoint": timed_outliers,
     }, out_dir, fmt)
 
 
+def annotated_boxplot_job(ranks: DataFrame, stats: DataFrame, out_dir: str,
+                          study: Study = CLINICAL, fmt: str = "csv") -> DataFrame:
+    """The pooled boxes, annotated with the baseline p-values."""
+    boxes = annotate(boxes_of_ranks(ranks, study)[0], stats.where(F.col("scope") == "baseline"),
+                     study)
+    return _written(boxes.orderBy(*boxplot_order(study)), f"{out_dir}/boxplots", fmt)
+
+
 def cohort_job(metadata: DataFrame, out_dir: str, study: Study = CLINICAL,
                fmt: str = "csv") -> dict[str, DataFrame]:
     """Baseline cohort, written by sample, and the breakdowns of the written rows."""
@@ -176,7 +181,7 @@ def analyse(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
     returns the tables as written. A failed run is deleted and leaves the published one as it was.
 
     The cohort's rows and their ranked histogram are written once; statistics and box plots read
-    that. The frequency table and the cohort tables, which nothing waits for, are written meanwhile.
+    that. Tables that nothing waits for are written meanwhile.
     """
     spark = tables["samples"].sparkSession
     metadata = metadata_of(tables)
@@ -185,14 +190,15 @@ def analyse(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
         cohort = _written(cohort_frequencies(tables, study), f"{folder}/cohort_frequencies",
                           "parquet")
         require_whole_cohort(cohort, metadata, study)
-        with ThreadPoolExecutor(max_workers=2) as pool:
+        with ThreadPoolExecutor(max_workers=3) as pool:
             frequencies = pool.submit(frequencies_job, tables, folder, study, fmt)
             breakdowns = pool.submit(cohort_job, metadata, folder, study, fmt)
             ranks = staged(scope_ranks(cohort, study), "ranks")
+            boxes = pool.submit(boxplot_job, ranks, folder, study, fmt)
             stats, _ = statistics_job(ranks, metadata, folder, study, fmt)
-            boxes = boxplot_job(ranks, stats, folder, study, fmt)
-            made = {"cell_frequencies": frequencies.result(), "stats": stats, **boxes,
-                    **breakdowns.result()}
+            made = {"cell_frequencies": frequencies.result(), "stats": stats,
+                    "boxplots": annotated_boxplot_job(ranks, stats, folder, study, fmt),
+                    **boxes.result(), **breakdowns.result()}
     except BaseException:
         drop_folder(spark, folder)
         raise

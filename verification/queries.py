@@ -607,7 +607,7 @@ def welch_t_test(spark, sf_dir):
   {sql.r('rank_biserial')} AS rank_biserial FROM compared""")
 def mann_whitney_test(spark, sf_dir):
     """Counted in value ranges, as large groups are."""
-    found = _prices(spark, sf_dir, rows_per_range=4000)
+    found = _prices(spark, sf_dir)
     return rounded(found.select(
         "l_linestatus", "n_a", "n_b", F.col("u_doubled").cast("bigint").alias("u_doubled"),
         F.col("tie_sum").cast("bigint").alias("tie_sum"), "mwu_p_raw", "rank_biserial"))
@@ -618,7 +618,7 @@ def mann_whitney_test(spark, sf_dir):
   {sql.r('mean_difference')} AS mean_difference,
   {sql.r('median_difference')} AS median_difference FROM compared""")
 def group_locations(spark, sf_dir):
-    found = _prices(spark, sf_dir, rows_per_range=4000)
+    found = _prices(spark, sf_dir)
     return rounded(found.select("l_linestatus", "n_a", "n_b", "mean_a", "mean_b", "median_a",
                                 "median_b", "mean_difference", "median_difference"))
 
@@ -631,7 +631,7 @@ SELECT l_returnflag, price, n_all, CAST(sum(n_all) OVER (PARTITION BY l_returnfl
 def value_ranks(spark, sf_dir):
     line = star.table(spark, sf_dir, "lineitem").withColumnRenamed("l_extendedprice", "price")
     found = ranked_histogram(line, ["l_returnflag"], "price", {"all": "true"},
-                             rows_per_range=4000)
+                             rows_per_range=50)
     return found.select("l_returnflag", "price", "n_all", "before_all", "total_all")
 
 
@@ -713,9 +713,7 @@ def boxplots(spark, sf_dir):
 {sql.boxes('picked', f'population, {TIME}, response_label')}
 SELECT population, {TIME}, response_label, n, {_BOX}, n_outliers FROM boxes""")
 def boxplots_by_time(spark, sf_dir):
-    """Counted in value ranges, as large groups are."""
-    return rounded(_boxes(spark, sf_dir, by_time=True,
-                          rows_per_range=100)[0])
+    return rounded(_boxes(spark, sf_dir, by_time=True)[0])
 
 
 @query(f"""{sql.LABELLED}, {sql.boxes('labelled', 'population, response_label')}
