@@ -12,13 +12,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from tallyfold.llm.common import fresh, slices, text_or_empty
+from tallyfold.llm.common import fresh, slices, staged, text_or_empty
 
 SHARD_BYTES = 4 << 20
 BLOCK_WORDS = 200_000
@@ -267,23 +269,35 @@ def benchmark_blocks(items: DataFrame, window: int, block_words: int) -> Iterato
 
 def occurrences(docs: DataFrame, items: DataFrame, text: str | Column = "text", window: int = 13,
                 shard_bytes: int = SHARD_BYTES, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with an array column ``found`` (underscores if taken): one ``OCCURRENCES`` struct
-    for each block of the benchmark.
+    """``docs`` with an array column ``found`` (underscores if taken): an ``OCCURRENCES`` struct of
+    the benchmark's first block, and of each further one in which the document has a match.
 
     hits: word ranges of the document that windows of items cover, merged, end exclusive. items: ids
     with an occurring window, repeats possible if ids repeat. longest and the next three: the longest
     match that an item suffix has in the document's shard, if it lies in this document. A window is
     ``window`` words in a row, or the whole item if that has fewer (none: no window). Null or empty
-    texts have no words. Every row stays, repeated ones too. A benchmark beyond ``block_words`` is
-    searched block by block, each in its own pass over the same rows, in the same stage.
+    texts have no words. Every row stays, repeated ones too. A benchmark of one block takes one pass
+    without a shuffle. Beyond ``block_words`` the rows are staged and searched for one block after
+    another: only one block at a time is held by the driver and the executors.
     """
-    name = fresh(docs, "found")
-    spark, empty = docs.sparkSession, Block.of([], window)
-    columns = []
-    for block in list(benchmark_blocks(items, window, block_words)) or [empty]:
-        columns.append(_searcher(spark.sparkContext.broadcast(block), shard_bytes)(
-            text_or_empty(text)))
-    return docs.withColumn(name, F.array(*columns))
+    name, spark = fresh(docs, "found"), docs.sparkSession
+    blocks = benchmark_blocks(items, window, block_words)
+    first, second = next(blocks, Block.of([], window)), next(blocks, None)
+    if second is None:
+        search = _searcher(spark.sparkContext.broadcast(first), shard_bytes)
+        return docs.withColumn(name, F.array(search(text_or_empty(text))))
+    row = fresh(docs, "row_number")
+    table = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found: list[DataFrame] = []
+    for block in chain([first, second], blocks):
+        sent = spark.sparkContext.broadcast(block)
+        one = table.select(row, _searcher(sent, shard_bytes)(text_or_empty(text)).alias(name))
+        if found:
+            one = one.where((F.size(F.col(name)["hits"]) > 0) | (F.col(name)["longest"] > 0))
+        found.append(staged(one, "found"))
+        sent.destroy()
+    every = reduce(DataFrame.unionAll, found).groupBy(row).agg(F.collect_list(name).alias(name))
+    return table.join(every, row).select(*[F.col(f"`{c}`") for c in docs.columns], name)
 
 
 def _searcher(block, shard_bytes: int):
@@ -310,7 +324,7 @@ def _searcher(block, shard_bytes: int):
 
 def verdicts(docs: DataFrame, items: DataFrame, text: str | Column = "text", **options) -> DataFrame:
     """``docs`` with a struct column ``verdict`` (underscores if taken): n_words, n_hit, n_items,
-    items_sha256, contaminated, longest, and the merged ``hits``.
+    items_sha256, contaminated, longest, and the ``hits`` of every block by start.
 
     n_hit: words inside any window's occurrence. items_sha256: hex digest of the distinct ids, sorted
     as strings and comma-joined. contaminated: a twentieth of the words or more is hit.
@@ -332,7 +346,7 @@ def verdicts(docs: DataFrame, items: DataFrame, text: str | Column = "text", **o
         F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= n_words)).alias("contaminated"),
         F.array_max(F.transform(at, lambda b: b["longest"])).alias("longest"),
-        F.flatten(blocks).alias("hits"))
+        F.array_sort(F.flatten(blocks)).alias("hits"))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns],
                         verdict.alias(fresh(docs, "verdict")))
 

@@ -90,6 +90,19 @@ def test_awkward_rows(spark):
     assert decontaminate.verdicts(no_documents(spark), empty).count() == 0
 
 
+def test_blocks_one_after_another(spark):
+    items = [(i, f"{'same text' if i % 2 else 'other words'} twice {i}") for i in range(4)]
+    frame = documents(spark, AWKWARD)
+    whole, blocks = (decontaminate.verdicts(frame, spark.createDataFrame(
+        items, "item_id long, text string"), window=2, block_words=n) for n in (1000, 5))
+    assert blocks.columns == whole.columns and blocks.columns[:-1] == frame.columns
+
+    def rows(judged):
+        return sorted(str((*r[:-1], *r[-1][:5])) for r in judged.collect())
+
+    assert rows(blocks) == rows(whole)
+
+
 def test_query_equals_brute_force(spark):
     import duckdb
 
