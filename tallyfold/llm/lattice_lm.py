@@ -2,8 +2,8 @@
 
 The pieces are those of an existing vocabulary. Its scores are ranks; as prior a piece of rank r gets a
 probability in proportion to 1 / (r + RANK_SHIFT). Under the prior all segmentations of every training
-word are weighted, and the expected piece counts, with the prior as pseudo-counts, are the model's
-probabilities. A text's probability is the sum over all its segmentations, times that of its end:
+word are weighted, and the expected piece counts, with the prior as pseudo-counts, are the weights of
+the next round; those of the last round are the model's probabilities. A text's probability is the sum over all its segmentations, times that of its end:
 no piece crosses a word, so it is the product of the words' sums, which a forward recursion gives.
 Beside it stands the add-one word model (``base_score``).
 """
@@ -25,6 +25,7 @@ SPACE, BREAK = "▁", "\n"
 RANK_SHIFT, PRIOR_COUNT = 50.0, 10_000.0
 HELD_WORDS = 300_000     # of a task's counts before they are passed on
 FREQUENT = 100_000       # a word with this part of all tokens is frequent: at most so many words are
+ROUNDS = 2               # of expected counts; a third one gains little
 LOG10 = np.log(10)
 
 
@@ -157,29 +158,38 @@ def _word_counts(docs: DataFrame) -> DataFrame:
         "word").agg(F.sum("count").alias("count"))
 
 
-def _trained(words: DataFrame, ends: int, lattice) -> np.ndarray:
-    """Log probabilities from the training words' expected counts under the prior."""
+def _reweighted(words: DataFrame, ends: int, lattice, weights: np.ndarray) -> np.ndarray:
+    """Log probabilities from the training words' expected counts under ``weights``."""
+    sent = words.sparkSession.sparkContext.broadcast(weights)
+
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Lattice(lattice.value)
         total = np.zeros(model.size + 1)
-        with np.errstate(divide="ignore"):
-            prior = np.log(model.prior)
         for batch in batches:
             if batch.num_rows:
-                total += model.expected(batch["word"].to_pylist(), batch["count"].to_numpy(), prior)
+                total += model.expected(batch["word"].to_pylist(), batch["count"].to_numpy(),
+                                        sent.value)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["piece", "uses"])
 
     summed = words.where("count > 0").mapInArrow(uses, "piece long, uses double").groupBy(
         "piece").agg(F.sum("uses").alias("uses")).toArrow()  # a row for each piece
-    model = Lattice(lattice.value)
-    total = model.prior * PRIOR_COUNT
+    total = Lattice(lattice.value).prior * PRIOR_COUNT
     total[summed["piece"].to_numpy()] += summed["uses"].to_numpy()
     total[-1] += ends
     with np.errstate(divide="ignore"):
         return np.log(total / total.sum())
 
 
+def _trained(words: DataFrame, ends: int, lattice, rounds: int) -> np.ndarray:
+    """Log probabilities after ``rounds`` of reweighting, from the prior on."""
+    with np.errstate(divide="ignore"):
+        log_p = np.log(Lattice(lattice.value).prior)
+    for _ in range(rounds):
+        log_p = _reweighted(words, ends, lattice, log_p)
+    return log_p
+
+
 def _scored_words(words: DataFrame, lattice, log_p) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Lattice(lattice.value)
@@ -193,7 +203,8 @@ def _scored_words(words: DataFrame, lattice, log_p) -> DataFrame:
 
 
 def scores(docs: DataFrame, model_path: str, id_column: str = "doc_id", text: str = "text",
-           folds: int = 7, held_fold: int = 2, frequent: int = FREQUENT) -> DataFrame:
+           folds: int = 7, held_fold: int = 2, frequent: int = FREQUENT,
+           rounds: int = ROUNDS) -> DataFrame:
     """One row for each row of ``docs``: id_column, held_out, n_tokens, n_known, train_tokens,
     base_score, score (log10 probabilities of the whole text and its end).
 
@@ -216,7 +227,7 @@ def scores(docs: DataFrame, model_path: str, id_column: str = "doc_id", text: st
     total, distinct = counted.agg(F.coalesce(F.sum("count"), F.lit(0)),
                                   F.count_if(F.col("count") > 0)).first()
     total, distinct = total + ends, distinct + (ends > 0)
-    log_p = _trained(counted, ends, lattice)
+    log_p = _trained(counted, ends, lattice, rounds)
     words = staged(_scored_words(counted, lattice, spark.sparkContext.broadcast(log_p)), "words")
     common = F.col("count") > total / frequent
     table = words.where(common).toArrow()  # fewer than ``frequent`` rows

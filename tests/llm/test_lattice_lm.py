@@ -92,3 +92,10 @@ def test_query_equals_brute_force_and_predicts(spark):
     before = sum(model.forward(lattice_lm.words_of(t), prior)[0].sum() / np.log(10)
                  for _, t in held)
     assert sum(got[d].score for d, _ in held) > 0.95 * before
+
+
+def test_reweighting_raises_the_likelihood_of_training_texts(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sums = [lattice_lm.scores(frame, PIECE_MODEL, rounds=n).where("NOT held_out").agg(
+        {"score": "sum"}).first()[0] for n in (0, 1, 2)]
+    assert sums == sorted(sums)
