@@ -1,8 +1,8 @@
 """Secret scan: known shapes, and random strings by their characters per token.
 
-Text costs a byte-pair vocabulary few tokens, random strings many. Every run of key characters with a
-digit and a letter is encoded; runs of few characters per token are reported, after digests of known
-lengths and identifiers (words, numbers, UUIDs, joined by marks) are excluded.
+Text costs a byte-pair vocabulary few tokens, random strings many. Every run of key characters is
+encoded; runs of few characters per token are reported, after digests of known lengths, UUIDs, numbers
+and identifiers (words and numbers joined by marks) are excluded. Words are told by their tokens, too.
 """
 
 from __future__ import annotations
@@ -29,19 +29,16 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
-_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 _NAMES = ("password", "passwd", "secret", "token", "api")
 DIGEST_CHARS = (32, 40, 56, 64, 96, 128)  # hex digits of MD5, SHA-1, SHA-224, -256, -384, -512
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-_MARKS, _WORD = re.compile(r"[+/_=-]+"), re.compile(r"([A-Za-z]*)[0-9]*")
-_NEW_CASE = re.compile(r"[a-z][A-Z]")
+_MARKS = re.compile(r"[+/_=-]+")
 
 
-def _is_word(part: str) -> bool:
-    """Letters, in few changes of case, then digits."""
-    shape = _WORD.fullmatch(part)
-    return shape is not None and 4 * len(_NEW_CASE.findall(shape[1])) <= len(shape[1])
+def is_dense(run: str, encoding: tiktoken.Encoding) -> bool:
+    """So few characters per token as random strings have."""
+    return len(run) <= MAX_CHARS_PER_TOKEN * len(encoding.encode_ordinary(run))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -56,20 +53,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def is_excluded(run: str) -> bool:
-    """Digests and identifiers; long runs without a letter or a digit are words or numbers."""
-    return bool(not _DIGIT.search(run) or not _LETTER.search(run) or _UUID.fullmatch(run)
-                or len(run) in DIGEST_CHARS and _HEX_ONLY.fullmatch(run)
-                or all(map(_is_word, _MARKS.split(run))))
+def is_excluded(run: str, encoding: tiktoken.Encoding) -> bool:
+    """Digests, UUIDs, and words and numbers joined by marks.
+
+    One or two letters tell nothing; the other parts must hold more than half of the characters.
+    """
+    if _UUID.fullmatch(run) or len(run) in DIGEST_CHARS and _HEX_ONLY.fullmatch(run):
+        return True
+    parts = [p for p in _MARKS.split(run) if p]
+    telling = [p for p in parts if len(p) > 2 or p.isdigit()]
+    return not parts or (
+        2 * sum(map(len, telling)) > sum(map(len, parts)) and all(
+            p.isdigit() or not is_dense(p, encoding) for p in telling))
 
 
 def random_spans(text: str, encoding: tiktoken.Encoding) -> list[tuple[str, int, int]]:
     """Runs of key characters that take more tokens than text would."""
-    if not any(len(w) >= MIN_CHARS and _DIGIT.search(w) for w in text.split()):
+    if not any(len(w) >= MIN_CHARS for w in text.split()):
         return []
     return [(RANDOM, *m.span()) for m in _RUN.finditer(text)
-            if len(m[0]) >= MIN_CHARS and not is_excluded(m[0])
-            and len(m[0]) <= MAX_CHARS_PER_TOKEN * len(encoding.encode_ordinary(m[0]))]
+            if len(m[0]) >= MIN_CHARS and is_dense(m[0], encoding)
+            and not is_excluded(m[0], encoding)]
 
 
 def load_encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
