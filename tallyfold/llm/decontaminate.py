@@ -1,9 +1,10 @@
 """Benchmark decontamination with suffix arrays over shards of the training documents.
 
 Each task turns its documents into shards of bounded size, builds a word-level suffix array of every
-shard, and binary-searches all suffixes of the benchmark items in it. That gives each suffix's longest
-verbatim match and its place, and the range of the suffixes that start with a window. A document lies
-in one shard, so nothing is shuffled. Shards have no boundary effects: a separator that no item holds
+shard, and binary-searches all suffixes of the benchmark items in it. That gives the range of the
+suffixes that start with a window and, as the items' suffixes are sorted too, each training suffix's
+neighbours among them, one of which has the longest verbatim match there. A document lies in one
+shard, so nothing is shuffled. Shards have no boundary effects: a separator that no item holds
 stands behind each document.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from itertools import chain
 
 import numpy as np
@@ -24,6 +25,7 @@ from tallyfold.llm.common import fresh, slices, staged, text_or_empty
 
 SHARD_BYTES = 4 << 20
 BLOCK_WORDS = 200_000
+LONG_MATCH, STRIDE = 64, 256
 OCCURRENCES = ("n_words:long, hits:array<struct<start:int,end:int>>, items:array<string>, "
                "longest:int, longest_item:string, longest_item_start:int, longest_start:int")
 
@@ -136,10 +138,19 @@ class Block:
         return Block([i for i, _ in items], keys, np.repeat(np.arange(len(items)), counts), starts,
                      counts, window)
 
+    @cached_property
+    def index(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sorted keys of the vocabulary, ids from 2 of all words, words by the suffix they start)."""
+        vocabulary, known = np.unique(self.keys, return_inverse=True)
+        query = known.astype(np.int64) + 2
+        apart = np.insert(query, self.starts + self.lengths, 0)
+        order = suffix_array(apart, int(self.lengths.max(initial=0)))
+        return vocabulary, query, (np.cumsum(apart > 0) - 1)[order]
+
     def search(self, texts: list[str]) -> list[tuple]:
         """An ``OCCURRENCES`` tuple for every text."""
         keys, counts = word_keys(texts)
-        vocabulary, known = np.unique(self.keys, return_inverse=True)
+        vocabulary, query, sorted_words = self.index
         place = np.searchsorted(vocabulary, keys)
         place[place == len(vocabulary)] = 0
         # Ids: separator 0, words that no item holds 1, the items' words from 2.
@@ -148,21 +159,28 @@ class Block:
         ends = np.cumsum(counts)
         ids = np.insert(ids, ends, 0)
         text_starts = ends - counts + np.arange(len(counts))
-        query = known.astype(np.int64) + 2
         length = int(self.lengths.max(initial=0))
         order = suffix_array(ids, length)
         if not len(order):
             return [(int(c), [], [], 0, None, None, None) for c in counts]
         remaining = (self.starts + self.lengths)[self.item_of] - np.arange(len(query))
-        # longest matches: next to the place where the whole suffix would be
+        # what an item suffix has in common with the one next to where it would be
         at = _lower_bound(ids, order, query, remaining)
-        lcp, where = np.zeros(len(query), np.int64), np.zeros(len(query), np.int64)
+        lcp = np.zeros(len(query), np.int64)
         for neighbour in (at - 1, at):
             inside = (neighbour >= 0) & (neighbour < len(order))
             start = order[np.clip(neighbour, 0, len(order) - 1)]
-            common = np.where(inside, _common(ids, start, query, remaining), 0)
-            where = np.where(common > lcp, start, where)
-            lcp = np.maximum(lcp, common)
+            lcp = np.maximum(lcp, np.where(inside, _common(ids, start, query, remaining), 0))
+        # longest matches: every training suffix stands between two item suffixes
+        beyond = np.searchsorted(at[sorted_words], np.arange(len(order)), side="right")
+        longest, word = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        for neighbour in (beyond - 1, beyond):
+            inside = (neighbour >= 0) & (neighbour < len(sorted_words))
+            next_to = np.full(len(ids), -1)
+            next_to[order[inside]] = sorted_words[neighbour[inside]]
+            common = _along(ids, query, remaining, next_to)
+            word = np.where(common > longest, next_to, word)
+            longest = np.maximum(longest, common)
         # windows: all suffixes that start with one
         whole = (self.lengths < self.window) & (self.lengths > 0)
         size = np.where(whole, self.lengths, self.window)[self.item_of]
@@ -177,9 +195,9 @@ class Block:
         end = start + np.repeat(size, found)
         item = np.repeat(self.item_of[is_window], found)
         text = np.searchsorted(text_starts, start, side="right") - 1
-        return self._by_text(texts, counts, text_starts, text, start, end, item, lcp, where)
+        return self._by_text(texts, counts, text_starts, text, start, end, item, longest, word)
 
-    def _by_text(self, texts, counts, text_starts, text, start, end, item, lcp, where):
+    def _by_text(self, texts, counts, text_starts, text, start, end, item, longest, word):
         n = len(texts)
         hits, items = [[] for _ in range(n)], [[] for _ in range(n)]
         if len(text):
@@ -196,32 +214,58 @@ class Block:
             pairs = np.unique(text * len(self.item_ids) + item)
             for pair in pairs.tolist():
                 items[pair // len(self.item_ids)].append(self.item_ids[pair % len(self.item_ids)])
-        # of the longest matches that the item suffixes have in this shard, the longest in each text
-        matched = np.flatnonzero(lcp)
-        matched = matched[np.argsort(-lcp[matched], kind="stable")]
-        places = np.searchsorted(text_starts, where[matched], side="right") - 1
+        # the longest match of each text, the first of several
+        matched = np.flatnonzero(longest)
+        places = np.searchsorted(text_starts, matched, side="right") - 1
+        by = np.lexsort((matched, -longest[matched], places))
         best: dict[int, tuple] = {}
-        for k, at in zip(*(x.tolist() for x in np.unique(places, return_index=True))):
-            q = matched[at]
+        for k, one in zip(*(x.tolist() for x in np.unique(places[by], return_index=True))):
+            at = matched[by[one]]
+            q = word[at]
             i = int(self.item_of[q])
-            best[k] = (int(lcp[q]), self.item_ids[i], int(q - self.starts[i]),
-                       int(where[q] - text_starts[k]))
+            best[k] = (int(longest[at]), self.item_ids[i], int(q - self.starts[i]),
+                       int(at - text_starts[k]))
         return [(int(counts[k]), hits[k], items[k], *best.get(k, (0, None, None, None)))
                 for k in range(n)]
 
 
-def _common(ids, start, query, limit):
-    """Length of the common beginning of suffixes of ``ids`` and of ``query`` (up to ``limit``)."""
-    n, length = len(ids), np.zeros(len(start), np.int64)
-    go = np.flatnonzero(limit > 0)
-    step = 0
+def _common(ids, start, query, limit, which=None, known=None):
+    """Length of the common beginning of suffixes of ``ids`` and of ``query`` (up to ``limit``), of
+    which ``known`` words are the same already."""
+    n = len(ids)
+    which = np.arange(len(start)) if which is None else which
+    length = np.zeros(len(start), np.int64) if known is None else known.copy()
+    go = np.flatnonzero(limit > length)
     while len(go):
-        there = start[go] + step
-        same = (there < n) & (ids[np.minimum(there, n - 1)] == query[go + step])
+        there = start[go] + length[go]
+        same = (there < n) & (ids[np.minimum(there, n - 1)] == query[which[go] + length[go]])
         go = go[same]
-        step += 1
-        length[go] = step
-        go = go[limit[go] > step]
+        length[go] += 1
+        go = go[limit[go] > length[go]]
+    return length
+
+
+def _along(ids, query, remaining, next_to):
+    """Length that each suffix of ``ids`` has in common with the query suffix ``next_to`` it (-1: none).
+
+    A suffix has at least what the one a word before it has, less that word. So beyond LONG_MATCH
+    words, suffixes in a row are walked one after another (STRIDE of them, all rows at once), each from
+    where the one before it ended: long copies cost no square of their length.
+    """
+    length = np.zeros(len(ids), np.int64)
+    start = np.flatnonzero(next_to >= 0)
+    which = next_to[start]
+    length[start] = _common(ids, start, query, np.minimum(remaining[which], LONG_MATCH), which)
+    long = np.flatnonzero(length == LONG_MATCH)
+    if len(long):
+        number = np.arange(len(long))
+        begins = np.append(True, long[1:] != long[:-1] + 1)
+        turn = (number - np.maximum.accumulate(np.where(begins, number, 0))) % STRIDE
+        by = np.argsort(turn, kind="stable")
+        for start in np.split(long[by], np.cumsum(np.bincount(turn))[:-1]):
+            which = next_to[start]
+            known = np.maximum(length[start - 1] - 1, LONG_MATCH)
+            length[start] = _common(ids, start, query, remaining[which], which, known)
     return length
 
 
@@ -273,8 +317,9 @@ def occurrences(docs: DataFrame, items: DataFrame, text: str | Column = "text",
     the benchmark's first block, and of each further one in which the document has a match.
 
     hits: word ranges of the document that windows of items cover, merged, end exclusive. items: ids
-    with an occurring window, repeats possible if ids repeat. longest and the next three: the longest
-    match that an item suffix has in the document's shard, if it lies in this document. A window is
+    with an occurring window, repeats possible if ids repeat. longest and the next three: the words of
+    the document's longest match with an item (0 and nulls: none), an item that holds it, and where it
+    starts in the item and, the first of several, in the document. A window is
     ``window`` words in a row, or the whole item if that has fewer (none: no window). Null or empty
     texts have no words. Every row stays, repeated ones too. A benchmark of one block takes one pass
     without a shuffle. Beyond ``block_words`` the rows are staged and searched for one block after

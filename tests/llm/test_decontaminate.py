@@ -74,6 +74,42 @@ def test_longest_matches(spark):
     assert [tuple(h) for h in row.hits] == [(1, 8)]
 
 
+def longest_of(doc, items):
+    """(length, start) of the first longest match, the plain way."""
+    w = words(doc)
+    runs = {tuple(x[a:b]) for x in (words(t) for _, t in items)
+            for a in range(len(x)) for b in range(a + 1, len(x) + 1)}
+    return max(((n, -k) for k in range(len(w)) for n in range(1, len(w) - k + 1)
+                if tuple(w[k:k + n]) in runs), default=(0, None))
+
+
+@pytest.mark.parametrize("short", [2, decontaminate.LONG_MATCH])
+@pytest.mark.parametrize("shard_bytes", [64, 1 << 20])
+def test_longest_match_of_every_document_of_a_shard(monkeypatch, short, shard_bytes):
+    monkeypatch.setattr(decontaminate, "LONG_MATCH", short)
+    monkeypatch.setattr(decontaminate, "STRIDE", 3)
+    rng = random.Random(9)
+    passage = " ".join(rng.choices("one two three four five six".split(), k=90))
+    items = [(i, " ".join(rng.choices("abcd", k=rng.randint(0, 9)))) for i in range(8)]
+    items += [(8, "one two three four five six seven"), (9, passage), (10, passage)]
+    docs = ["x one two three four five six seven y", "x two three four z", "nothing here", "",
+            "two three four", "one two three four five six seven", f"x {passage}", passage,
+            f"{passage[20:]} {passage}", passage[:150]]
+    docs += [" ".join(rng.choices("abcdz", k=rng.randint(0, 30))) for _ in range(30)]
+    block = decontaminate.Block.of([(str(i), t) for i, t in items], 13)
+    rows, held = [], []
+    for doc in docs:
+        held.append(doc)
+        if sum(map(len, held)) >= shard_bytes or doc is docs[-1]:
+            rows += block.search(held)
+            held = []
+    texts_ = {str(i): words(t) for i, t in items}
+    for doc, (_, _, _, n, item, item_start, start) in zip(docs, rows, strict=True):
+        length, first = longest_of(doc, items)
+        assert (n, start) == (length, None if first is None else -first)
+        assert not n or words(doc)[start:start + n] == texts_[item][item_start:item_start + n]
+
+
 def test_awkward_rows(spark):
     items = [(1, "same text twice"), (1, "text twice same"), (None, "id"), (2, None), (3, ""),
              (4, "ÜNÏcödé"), (5, " ".join(["lorem ipsum dolor 42"] * 30))]
