@@ -550,6 +550,15 @@ def tied_formats(spark, sf_dir):
                       fixed_decimals(F.col("o_orderkey") / 32, 4).alias("four"))
 
 
+@query("""SELECT o_orderkey, printf('%.3f', o_orderkey / 16::DOUBLE) AS three,
+  printf('%.4f', o_orderkey / 32::DOUBLE) AS four FROM orders""")
+def tied_formats_of_all(spark, sf_dir):
+    """The same numbers of every order."""
+    return star.table(spark, sf_dir, "orders").select(
+        "o_orderkey", fixed_decimals(F.col("o_orderkey") / 16, 3).alias("three"),
+        fixed_decimals(F.col("o_orderkey") / 32, 4).alias("four"))
+
+
 @query(f"""SELECT c_custkey, {sql.r("""CASE c_custkey % 3 WHEN 0 THEN 1 - 2 / pi() * atan(t)
   WHEN 1 THEN 1 - t / sqrt(t * t + 2)
   ELSE 1 - 0.75 * t / sqrt(1 + t * t / 4) * (1 - t * t / (12 * (1 + t * t / 4))) END""", 8)}
