@@ -79,7 +79,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         digest(turns).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
         digest(loss).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid", "first_bad_turn")
 
 
 @query

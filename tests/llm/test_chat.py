@@ -71,6 +71,29 @@ def test_query_equals_brute_force(spark):
     assert ESCAPED == r"\### Assistant: </turn> ok"
 
 
+def first_refused(roles):
+    """(valid, first refused turn), the plain way."""
+    state, bad = chat.CHAT.start, None
+    for at, role in enumerate(roles):
+        if role in chat.CHAT.steps[state]:
+            state = role
+        elif bad is None:
+            bad = at
+    return bad is None and state in chat.CHAT.finals, bad
+
+
+def test_query_walks_the_role_machine(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    given = {-7: [(0, "user", ESCAPED), (1, "assistant", ESCAPED)]}
+    for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect():
+        given.setdefault(r.conv_id, []).append((r.turn, r.role, r.text or ""))
+    got = {r.conv_id: (r.valid, r.first_bad_turn)
+           for r in QUERIES["op2_chat_formatting"](spark, sf_dir).collect()}
+    assert got == {c: first_refused([role for _, role, _ in sorted(turns)])
+                   for c, turns in given.items()}
+    assert {valid for valid, _ in got.values()} >= {True}
+
+
 def test_formatted_text_is_the_segments(spark):
     frame = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yo")],
                                   "conv_id long, turn long, role string, text string")
