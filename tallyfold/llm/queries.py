@@ -87,7 +87,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/archive"
     warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return warc.read(spark, folder).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        digest(F.col("record")).alias("record_sha256"),
+        digest(F.col("original")).alias("original_sha256"))
 
 
 @query

@@ -18,19 +18,32 @@ def _payload(html: str) -> Column:
     return F.encode(F.coalesce(F.col(html).cast("string"), F.lit("")), "UTF-8")
 
 
+def _escaped(url: Column) -> Column:
+    r"""A line break would end the header: CR and LF become \r and \n, a backslash becomes two."""
+    for plain, code in (("\\", "\\\\"), ("\r", "\\r"), ("\n", "\\n")):
+        url = F.replace(url, F.lit(plain), F.lit(code))
+    return url
+
+
+def _unescaped(url: Column) -> Column:
+    """The URL before ``_escaped``: what stands between double backslashes has only line breaks."""
+    def codes(part: Column) -> Column:
+        return F.replace(F.replace(part, F.lit("\\r"), F.lit("\r")), F.lit("\\n"), F.lit("\n"))
+
+    return F.array_join(F.transform(F.split(url, r"\\\\", -1), codes), "\\")
+
+
 def _header_block(kind: Column, smallest: Column) -> Column:
     """WARC 1.1 header lines of a record; its payload is the stored text in UTF-8."""
     def line(name: str, *value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), *value, F.lit(CRLF))
 
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    # a line break would end the header; URLs hold none, so they are percent-encoded
-    url = F.replace(F.replace(F.coalesce(F.col("url").cast("string"), F.lit("")), F.lit("\r"),
-                              F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     revisit = kind == "revisit"
     return F.concat(
         F.lit(f"WARC/1.1{CRLF}"), line("WARC-Type", kind),
-        line("WARC-Record-ID", F.lit("<urn:page:"), page, F.lit(">")), line("WARC-Target-URI", url),
+        line("WARC-Record-ID", F.lit("<urn:page:"), page, F.lit(">")),
+        F.coalesce(line("WARC-Target-URI", _escaped(F.col("url").cast("string"))), F.lit("")),
         line("WARC-Payload-Digest", F.lit("sha256:"), F.col("digest")),
         F.when(revisit, F.concat(
             line("WARC-Profile", F.lit(
@@ -45,7 +58,7 @@ def _header_block(kind: Column, smallest: Column) -> Column:
 def write(pages: DataFrame, folder: str) -> None:
     """Write the archive of ``pages`` (page_id, url, html) into a new ``folder``.
 
-    A null html is the empty payload. Of records with equal payloads of ``SMALLEST_REVISIT`` bytes or
+    A null html is the empty payload; a null url has no header line. Of records with equal payloads of ``SMALLEST_REVISIT`` bytes or
     more, the one with the least page_id is the response and the others revisit it; rows that repeat
     that page_id are responses too, and so are all rows if they have no page_id. Smaller payloads are
     all responses, but stored once like any other. Other columns are left out; an empty table
@@ -80,7 +93,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     payload_bytes and payload_digest are taken from the stored bytes, which must have the digest that
     they are stored under; record_type, url and refers_to are parsed from the headers. ``record`` is
-    the WARC record itself (a revisit's has no payload). Columns that aren't used cost no join bytes.
+    the WARC record itself (a revisit's has no payload), ``original`` the bytes of headers, empty line
+    and payload, whatever the type. Columns that aren't used cost no join bytes.
     """
     kept = spark.read.parquet(f"{folder}/payloads").select(
         F.col("digest").alias("key"), "payload", F.sha2("payload", 256).alias("own"),
@@ -95,14 +109,17 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         found = F.regexp_extract("headers", rf"\n{name}: {pattern}\r\n", 1)
         return F.when(found != "", found)
 
+    url = F.when(F.contains("headers", F.lit("\nWARC-Target-URI: ")), _unescaped(F.regexp_extract(
+        "headers", r"\nWARC-Target-URI: ([^\r]*)\r\n", 1)))
     refers = value("WARC-Refers-To", "<urn:page:([^>]*)>").cast(headers.schema["page_id"].dataType)
     body = F.when(F.col("record_type") == "revisit", F.lit("")).otherwise(
         F.decode("payload", "UTF-8"))
     return records.select(
         "page_id", "headers", "payload", "payload_bytes", "payload_digest",
-        value("WARC-Type").alias("record_type"), value("WARC-Target-URI").alias("url"),
-        refers.alias("refers_to")).withColumn(
-        "record", F.concat("headers", F.lit(CRLF), body))
+        value("WARC-Type").alias("record_type"), url.alias("url"),
+        refers.alias("refers_to")).withColumns({
+            "record": F.concat("headers", F.lit(CRLF), body),
+            "original": F.concat(F.encode(F.concat("headers", F.lit(CRLF)), "UTF-8"), "payload")})
 
 
 def export(spark: SparkSession, folder: str, target: str) -> None:

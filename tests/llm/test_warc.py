@@ -50,6 +50,49 @@ def test_records_and_revisits(spark, tmp_path):
     assert bytes(got.where("page_id = 9").first().payload) == BIG.encode()
 
 
+def test_urls_are_given_back(spark, tmp_path):
+    urls = [None, "", "http://a/%0D%0A?x=%20", "a\r\nb", "\\r\\n", "\\", "\\\r\\\\n", "\n", "ü\r"]
+    got = archive(spark, tmp_path, [(i, url, "x") for i, url in enumerate(urls)])
+    assert [r.url for r in got.orderBy("page_id").collect()] == urls
+    assert all(r.headers.count("\r\n") == r.headers.count("\n") == r.headers.count("\r")
+               for r in got.collect())
+
+
+def headers_of(page, url, html, first):
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}",
+             f"WARC-Record-ID: <urn:page:{page}>", f"WARC-Target-URI: {url}",
+             f"WARC-Payload-Digest: sha256:{hashlib.sha256(html.encode()).hexdigest()}"]
+    if first is not None:
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+                  f"WARC-Refers-To: <urn:page:{first}>"]
+    return "".join(f"{x}\r\n" for x in [
+        *lines, "Content-Type: text/html; charset=UTF-8",
+        f"Content-Length: {len(html.encode()) if first is None else 0}"])
+
+
+def test_originals_of_revisits(spark, tmp_path):
+    got = {r.page_id: r for r in archive(spark, tmp_path, ROWS[:2] + [ROWS[7]]).collect()}
+    assert got[5].record == got[5].headers + "\r\n"
+    for page, url, html in ROWS[:2]:
+        head = headers_of(page, url, html, 3 if page == 5 else None) + "\r\n"
+        assert bytes(got[page].original).decode() == head + html
+    assert bytes(got[None].original).decode().endswith("\r\n\r\n" + BIG)
+
+
+def test_query_rebuilds_the_records(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = {r.page_id: (r.url, r.html or "") for r in spark.read.parquet(
+        f"{sf_dir}/pages.parquet").collect()}
+    got = QUERIES["op4_warc"](spark, sf_dir).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        url, html = rows[r.page_id]
+        head = headers_of(r.page_id, url, html, r.refers_to) + "\r\n"
+        record = head + (html if r.record_type == "response" else "")
+        assert r.record_sha256 == hashlib.sha256(record.encode()).hexdigest()
+        assert r.original_sha256 == hashlib.sha256((head + html).encode()).hexdigest()
+
+
 def test_no_pages(spark, tmp_path):
     assert archive(spark, tmp_path, []).count() == 0
 
