@@ -2,8 +2,8 @@
 
 The base shapes are seeds. Each identifier-like token (one with a digit or an @) that a seed covers
 induces lexical patterns: the word, and the two words, before it. Patterns and instances make a graph
-that is scored in rounds: a pattern by the confidence of the instances it extracts, an instance by
-the patterns that extract it. High-confidence patterns then give further spans. Only DataFrame
+that is scored in rounds until nothing changes: a pattern by the confidence of the instances it
+extracts, an instance by the patterns that extract it. High-confidence patterns then give further spans. Only DataFrame
 functions are used; scores are grouped sums, combined before each shuffle.
 """
 
@@ -31,8 +31,8 @@ _SPACE = r"\x20\x09-\x0D"
 _TOKEN = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _LOCATED = "array<struct<start:int,end:int,text:string,before:string>>"
-CONTEXT_CHARS, AT_ONCE = 80, 512
-MIN_SUPPORT, MIN_SCORE, ROUNDS = 3, 0.8, 3
+NEAR_CHARS, AT_ONCE = 80, 512
+MIN_SUPPORT, MIN_SCORE, SETTLED = 3, 0.8, 0.001
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -40,8 +40,19 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _located(text: Column, pattern: str) -> Column:
-    """The pattern's matches with code-point positions and the end of what stands before each.
+def _words(text: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(text, rf"[{_SPACE}]+", " ")), " ")
+
+
+def _last_words(text: Column) -> Column:
+    """The last two words (or fewer); only where the near end lacks them, the whole text is split."""
+    near = F.when(F.length(text) > NEAR_CHARS, _words(F.right(text, F.lit(NEAR_CHARS))))
+    words = _let(near, lambda w: F.when(F.size(w) > 2, w).otherwise(_words(text)))
+    return _let(words, lambda w: F.array_join(F.slice(w, F.greatest(F.size(w) - 1, F.lit(1)), 2), " "))
+
+
+def _located(text: Column, pattern: str, words: bool = False) -> Column:
+    """The pattern's matches with code-point positions and the ``words`` between the last match and it.
 
     The texts between matches give the positions: sums over (gap, match), in blocks so that the
     array that grows is copied once a block.
@@ -69,7 +80,7 @@ def _located(text: Column, pattern: str) -> Column:
         gaps = F.when(F.size(matches) > 0, F.split(text, pattern, -1))
         return F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(
             F.length(m).alias("n"), F.length(g).alias("gap"), m.alias("text"),
-            F.right(g, F.lit(CONTEXT_CHARS)).alias("before")))
+            (_last_words(g) if words else F.lit("")).alias("before")))
 
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return _let(_let(found, lambda m: F.when(F.size(m) > 0, pair(m)).otherwise(
@@ -100,21 +111,24 @@ def base_spans(text: Column, kind: str) -> Column:
 
 def _tokens(text: Column, spans: Column) -> Column:
     """Identifier-like tokens, without marks around them, with patterns and whether a span meets them."""
-    def one(x: Column) -> Column:
+    def one(x: Column, back: Callable[[int], Column]) -> Column:
         left = F.length(F.regexp_extract(x["text"], "^[^A-Za-z0-9+]*", 0))
         body = F.regexp_replace(F.substr(x["text"], left + 1), "[^A-Za-z0-9]++$", "")
         start = x["start"] + left
         end = start + F.length(body)
-        words = F.split(F.regexp_replace(F.lower(x["before"]), rf"[{_SPACE}]+$", ""),
-                        rf"[{_SPACE}]+")
-        last = F.coalesce(F.try_element_at(words, F.lit(-1)), F.lit(""))
-        before = F.coalesce(F.try_element_at(words, F.lit(-2)), F.lit(""))
+        # tokens are words, too: the last two words are among the two tokens before and those between
+        words = F.when(F.contains(x["before"], F.lit(" ")), x["before"]).otherwise(F.concat_ws(
+            " ", back(2)["text"], back(1)["before"], back(1)["text"], x["before"]))
+        patterns = _let(F.reverse(_words(F.lower(words))), lambda w: F.array(
+            w[0], F.concat(F.coalesce(F.get(w, F.lit(1)), F.lit("")), F.lit(" "), w[0])))
         return F.struct(
             start.alias("start"), end.alias("end"), body.alias("instance"),
-            F.array(last, F.concat(before, F.lit(" "), last)).alias("patterns"),
+            patterns.alias("patterns"),
             F.exists(spans, lambda s: (s["start"] < end) & (start < s["end"])).alias("seed"))
 
-    return F.filter(F.transform(_located(text, _TOKEN), one), lambda t: F.length(t["instance"]) > 0)
+    found = _let(_located(text, _TOKEN, words=True), lambda m: F.transform(
+        m, lambda x, i: one(x, lambda n: F.get(m, i - n))))
+    return F.filter(found, lambda t: F.length(t["instance"]) > 0)
 
 
 def _pattern_scores(edges: DataFrame, instances: DataFrame) -> DataFrame:
@@ -132,26 +146,30 @@ def _instance_scores(edges: DataFrame, patterns: DataFrame) -> DataFrame:
         (1 - F.exp(F.sum(wrong))).alias("confidence"))
 
 
-def good_patterns(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def good_patterns(occurrences: DataFrame) -> DataFrame:
     """High-confidence (pattern, score, support) from (pattern, instance, seed) occurrences.
 
     Seeds keep confidence 1; other instances start at 0 and get theirs from the patterns of the
     round before. A pattern counts with the confidence of MIN_SUPPORT instances, a mean of MIN_SCORE.
+    Confidences never fall, so patterns only join: rounds end when none does and the supports
+    together grow by less than SETTLED.
     """
     edges = staged(occurrences.groupBy("pattern", "instance").agg(
         F.max("seed").alias("seed")), "edges")
     seeds = edges.where("seed").select("instance", F.lit(1.0).alias("confidence")).distinct()
     edges = edges.select("pattern", "instance")
-    patterns = staged(_pattern_scores(edges, seeds), "patterns")
-    for _ in range(rounds - 1):
+    patterns, counted, support = staged(_pattern_scores(edges, seeds), "patterns"), 0, 0.0
+    while True:
+        seen = patterns.agg(F.count("*"), F.coalesce(F.sum("support"), F.lit(0.0))).first()
+        if seen[0] == counted and seen[1] - support < SETTLED:
+            return patterns
+        counted, support = seen
         instances = seeds.unionAll(_instance_scores(edges, patterns)).groupBy("instance").agg(
             F.max("confidence").alias("confidence"))
         patterns = staged(_pattern_scores(edges, instances), "patterns")
-    return patterns
 
 
-def personal_data(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-                  rounds: int = ROUNDS) -> DataFrame:
+def personal_data(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id_column, email, ip, card, phone, context.
 
     Each of the last five is an array of (kind, start, end) by start: the base shapes, and what good
@@ -167,7 +185,7 @@ def personal_data(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         *[f"{kind}_" for kind in KINDS], _tokens(F.col("text_"), every).alias("tokens_")), "base")
     tokens = base.select("row_", F.explode("tokens_").alias("t")).select(
         "row_", "t.start", "t.end", "t.instance", "t.seed", F.explode("t.patterns").alias("pattern"))
-    patterns = good_patterns(tokens.select("pattern", "instance", "seed"), rounds)
+    patterns = good_patterns(tokens.select("pattern", "instance", "seed"))
     added = tokens.where("not seed").join(patterns, "pattern").groupBy("row_").agg(F.sort_array(
         F.collect_set(F.struct(F.lit(CONTEXT).alias("kind"), "start", "end"))).alias("added"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")

@@ -69,6 +69,36 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all(not found[i].context and len(found[i].email) == 1 for i in range(8))
 
 
+def contexts(spark, given):
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    return {r.doc_id: [given[r.doc_id][s.start:s.end] for s in r.context]
+            for r in pii.personal_data(frame).collect()}
+
+
+def test_long_chains_of_discoveries(spark):
+    """Each context counts only by the instances that the one before it gave away."""
+    given = []
+    for k, word in enumerate("abcdefg"):
+        given += [f"by w{word} u{i}@mail.org" for i in range(20)]
+        given += [f"by w{word} id_{k}_{i}" for i in range(4)]
+        given += [f"by w{word} id_{k - 1}_{i}" for i in range(4 if k else 0)]
+    found = contexts(spark, given)
+    assert all(found[i] == ([] if "@" in t else [t.split()[-1]]) for i, t in enumerate(given))
+
+
+def test_two_words_before_a_token_whatever_their_length(spark):
+    long = "q" * 500
+    given = [f"{before} u{i}@mail.org" for before in (f"reach {long}", "room 7 agent", "x 5 1")
+             for i in range(6)]
+    given += [f"{before} 5 agent k_9" for before in ("a", "b", "c", "d", "e", "f", "g", "h", "i", "j")]
+    given += [f"reach {long} k_1", f"other {long} k_2", "other 6 agent k_3", "room 7 agent k_4",
+              "x 5 1 k_5", *[f"other {long} n{i}x" for i in range(9)]]
+    found = contexts(spark, given)
+    got = {t.split()[-1]: found[i] for i, t in enumerate(given)}
+    assert (got["k_1"], got["k_4"], got["k_5"]) == (["k_1"], ["k_4"], ["k_5"])
+    assert not got["k_2"] and not got["k_3"] and not got["k_9"]
+
+
 def test_awkward_rows(spark):
     assert pii.personal_data(no_documents(spark)).count() == 0
     frame = documents(spark, AWKWARD)
