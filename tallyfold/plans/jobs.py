@@ -102,14 +102,16 @@ def cohort_frequencies(tables: dict[str, DataFrame], study: Study) -> DataFrame:
 
 def require_whole_cohort(cohort: DataFrame, metadata: DataFrame, study: Study) -> None:
     """Each cohort sample must have one row for each component, no more and no less."""
-    samples = comparison_cohort(metadata, study).select("sample")
-    expected, found = samples.count() * len(study.components), cohort.count()
-    if expected != found:
-        rows = cohort.groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
-        odd = samples.join(rows, "sample", "left").where(
-            F.coalesce("n", F.lit(0)) != len(study.components)).limit(3).collect()
-        raise ValueError(f"the cohort join gave {found} rows for {expected}, first of: "
-                         f"{[r['sample'] for r in odd]}")
+    components = F.explode(F.array(*[F.lit(c) for c in study.components])).alias("population")
+    expected = comparison_cohort(metadata, study).select("sample", components)
+    rows = expected.select("*", F.lit(1).alias("expected"), F.lit(0).alias("found")).unionAll(
+        cohort.select("sample", "population", F.lit(0), F.lit(1)))
+    odd = rows.groupBy("sample", "population").agg(
+        F.sum("expected").alias("expected"), F.sum("found").alias("found")).where(
+        "expected <> 1 OR found <> 1").limit(3).collect()
+    if odd:
+        raise ValueError("the cohort join must give one row for each sample and component, first "
+                         f"others: {[tuple(r) for r in odd]} (sample, component, expected, found)")
 
 
 def _written(df: DataFrame, path: str, fmt: str, **options) -> DataFrame:

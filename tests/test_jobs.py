@@ -3,6 +3,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold import CLINICAL
 from tallyfold.plans import jobs
@@ -235,3 +236,19 @@ def test_summary_of_other_studies(spark):
     assert "one sample per subject" in text and "among melanoma patients, restricted" in text
     bare = significance_summary(stats, profile, replace(CLINICAL, cohort={}))
     assert "among patients, restricted to a single pre-treatment sample per subject" in bare
+
+
+def test_lost_and_repeated_component_rows_do_not_cancel_out(spark, wide_frame):
+    wide = wide_frame({"sample": "a"}, {"sample": "b", "subject": "q"})
+    tables = {"wide": wide}
+    cohort = jobs.cohort_frequencies(tables, CLINICAL)
+    metadata = jobs.metadata_of(tables)
+    jobs.require_whole_cohort(cohort, metadata, CLINICAL)
+    lost = cohort.where("NOT (sample = 'a' AND population = 'b_cell')")
+    again = cohort.where("sample = 'b' AND population = 'monocyte'")
+    same_sample = cohort.where("sample = 'a' AND population = 'monocyte'")
+    other = again.withColumn("population", F.lit("other"))
+    for changed in (lost, lost.unionAll(again), lost.unionAll(same_sample), lost.unionAll(other),
+                    cohort.unionAll(other)):
+        with pytest.raises(ValueError, match="cohort"):
+            jobs.require_whole_cohort(changed, metadata, CLINICAL)
