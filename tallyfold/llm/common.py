@@ -9,7 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyfold.sources.tables import shared_dir
 
@@ -71,3 +71,17 @@ def parts(rows: int, small: int, most: int, largest: int) -> int:
     """Into how many parts to deal ``rows``: of about ``small`` rows, but at most ``most`` parts
     while none of them is beyond ``largest`` rows."""
     return max(1, min(most, -(-rows // small)), -(-rows // largest))
+
+
+def best_of(df: DataFrame, keys: list[str], order: list[Column], k: int,
+            spread: int = 64) -> DataFrame:
+    """The first ``k`` rows of each key in ``order``, with their ``rank``.
+
+    Rows are ranked within the parts of a key first, so that no task sorts all rows of a key.
+    """
+    part = fresh(df, "part")
+    dealt = df.withColumn(part, F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    for within in ([*keys, part], keys):
+        window = Window.partitionBy(*within).orderBy(*order)
+        dealt = dealt.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    return dealt.drop(part)

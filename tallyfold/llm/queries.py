@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyfold.llm import (
-    chat, decontaminate, hamming_search, lattice_lm, pii, secrets, sentencepiece_codec, simhash,
-    toxicity, warc)
+    chat, decontaminate, hamming_search, hard_negatives, jaccard_join, lattice_lm, lexical_search,
+    pii, secrets, sentencepiece_codec, simhash, toxicity, warc)
 from tallyfold.llm.common import ship
 from tallyfold.sources.tables import shared_dir
 
@@ -156,3 +156,97 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return (sentencepiece_codec.encode_and_decode(docs, PIECE_MODEL)
             .select("doc_id", "codec.n_tokens", "codec.ids_sha256", "codec.decoded_sha256"))
+
+
+@query
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document: four-word shingles, similarity of 0.85 or more."""
+    return jaccard_join.jaccard_components(documents(spark, sf_dir), shingle=4, percent=85)
+
+
+ORACLES["op11_ngram_jaccard_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(words) - 2, 2)),
+         lambda i: array_to_string(words[i:i + 3], ' ')))) AS shingles
+  FROM worded WHERE len(words) > 0),
+classes AS (SELECT shingles, min(doc_id) AS class FROM sets GROUP BY shingles),
+tokens AS (SELECT class, len(shingles) AS n, unnest(shingles) AS shingle FROM classes),
+links AS (
+  SELECT a.class AS u, b.class AS v FROM tokens a JOIN tokens b USING (shingle)
+  WHERE a.class <> b.class GROUP BY a.class, b.class, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached AS (SELECT class AS u, class AS v FROM classes
+  UNION SELECT r.u, l.v FROM reached r JOIN links l ON l.u = r.v),
+components AS (SELECT u AS class, min(v) AS component_id FROM reached GROUP BY u)
+SELECT d.doc_id, coalesce(len(s.shingles), 0)::BIGINT AS n_shingles,
+       coalesce(k.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sets s USING (doc_id) LEFT JOIN classes c ON c.shingles = s.shingles
+LEFT JOIN components k ON k.class = c.class"""
+
+
+@query
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring of all documents for each benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.ranked_search(documents(spark, sf_dir), items, k=10)
+
+
+ORACLES["op12_ranked_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+i AS (
+  SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(text,
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+size AS (SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS terms
+         FROM d WHERE len(terms) > 0),
+m AS (SELECT doc_id, 10 + (90 * len(d.terms) * size.docs) // size.terms AS m FROM d, size
+      WHERE len(d.terms) > 0),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d)
+       GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM df, size),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id)
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER
+         AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten negatives for each of five positives of every anchor, the rows with an id divisible by 100."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.hard_negatives(vectors, F.col("id") % 100 == 0, label=label)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding,
+         lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same,
+         list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positive AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+         ORDER BY s.score DESC, s.other)::INTEGER AS rank, s.other AS negative_id,
+         p.positive_score, s.score AS negative_score
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT * FROM ranked WHERE rank <= 10"""

@@ -14,7 +14,7 @@ def test_registered():
     names = contract.queries()
     assert names["pipeline"] is corpus_pipeline.run
     assert sorted(int(n[2:].split("_")[0]) for n in names
-                  if n.startswith("op") and n[2].isdigit()) == [*range(1, 11)]
+                  if n.startswith("op") and n[2].isdigit()) == [*range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "simhash_near_dedup", "benchmark_decontamination", "secret_scan",
         "sentencepiece"]
