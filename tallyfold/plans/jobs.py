@@ -132,8 +132,8 @@ def frequencies_job(tables: dict[str, DataFrame], out_dir: str, study: Study = C
 
 
 def statistics_job(ranks: DataFrame, metadata: DataFrame, out_dir: str, study: Study = CLINICAL,
-                   fmt: str = "csv") -> tuple[DataFrame, str]:
-    """All scopes' statistics and the summary text; returns the written table and the text."""
+                   fmt: str = "csv") -> tuple[DataFrame, DataFrame]:
+    """All scopes' statistics and the summary text; returns the written table and the text's lines."""
     spark = ranks.sparkSession
     stats = scope_statistics(ranks, study)
     # At most one row per scope and component.
@@ -143,7 +143,7 @@ def statistics_job(ranks: DataFrame, metadata: DataFrame, out_dir: str, study: S
     summary = significance_summary(written, profile, study)
     text = spark.range(1).select(F.lit(summary).alias("value"))
     text.coalesce(1).write.mode("overwrite").text(f"{out_dir}/stats_summary")
-    return written, summary
+    return written, spark.read.schema("line string").text(f"{out_dir}/stats_summary")
 
 
 def boxplot_job(ranks: DataFrame, out_dir: str, study: Study = CLINICAL,
@@ -197,8 +197,9 @@ def analyse(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
             breakdowns = pool.submit(cohort_job, metadata, folder, study, fmt)
             ranks = staged(scope_ranks(cohort, study), "ranks")
             boxes = pool.submit(boxplot_job, ranks, folder, study, fmt)
-            stats, _ = statistics_job(ranks, metadata, folder, study, fmt)
+            stats, summary = statistics_job(ranks, metadata, folder, study, fmt)
             made = {"cell_frequencies": frequencies.result(), "stats": stats,
+                    "stats_summary": summary,
                     "boxplots": annotated_boxplot_job(ranks, stats, folder, study, fmt),
                     **boxes.result(), **breakdowns.result()}
     except BaseException:

@@ -11,24 +11,21 @@ from tallyfold.study import Study
 BASELINE_HEADING = ("## Primary analysis — baseline (n={subjects} subjects, one {sample} "
                     "per subject at time={baseline})")
 BASELINE_ABOUT = (
-    "Comparison of relative cell-population frequencies between responders and non-responders "
-    "among {patients}, restricted to a single pre-treatment "
-    "{sample} per subject (time_from_treatment_start = {baseline}).")
+    "Shares of each cell population in {patients}: responders against non-responders. Every "
+    "subject counts once, with the {sample} taken at day {baseline}, before any treatment.")
 BASELINE_NONE = ("No population reached the primary significance threshold (`mwu_p_bh < {alpha:g}`) "
                  "at baseline.")
 POOLED_HEADING = ("## Sensitivity — pooled (n={samples} samples, {subjects} subjects × "
                   "{n_timepoints} timepoints)")
 POOLED_ABOUT = (
-    "Pooling all {number} timepoints per subject violates statistical independence because each "
-    "subject contributes {number} samples. This analysis is reported here as a higher-power "
-    "exploratory cross-check, not the primary result.")
+    "All samples at once. A subject's {number} samples are not independent of each other, so these "
+    "p-values are too small; read them as a check of the direction, not as the result.")
 POOLED_NONE = ("No population reached the primary significance threshold (`mwu_p_bh < {alpha:g}`) "
                "in the pooled analysis.")
 TIMEPOINT_HEADING = "## Exploratory — per-timepoint (n={sizes} at t={timepoints})"
 TIMEPOINT_ABOUT = (
-    "{Number} independent within-timepoint analyses, each BH-corrected over the {n_components} "
-    "populations. Useful for tracking whether responder-versus-non-responder differences change "
-    "with time on treatment.")
+    "{Number} separate comparisons, one for each day, adjusted over the {n_components} populations "
+    "of that day. They show whether a difference grows or fades under treatment.")
 TIMEPOINT_NONE = "No population reached significance at any individual timepoint."
 CROSSCHECK_HEADING = "## High-confidence cross-check"
 CROSSCHECK_SOME = "Baseline populations satisfying both tests at adjusted p < {alpha:g}: {names}."

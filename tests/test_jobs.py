@@ -231,11 +231,11 @@ def test_summary_of_other_studies(spark):
     profile = spark.createDataFrame([], "scope string, n_samples bigint, n_subjects bigint")
     two = replace(CLINICAL, timepoints=(0, 7), alpha=0.01, cohort={"condition": "melanoma"})
     text = significance_summary(stats, profile, two)
-    assert "Pooling all two timepoints" in text and "contributes two samples" in text
-    assert "Two independent" in text and "(`mwu_p_bh < 0.01`)" in text and "0.05" not in text
-    assert "one sample per subject" in text and "among melanoma patients, restricted" in text
+    assert "A subject's two samples are not independent" in text
+    assert "Two separate" in text and "(`mwu_p_bh < 0.01`)" in text and "0.05" not in text
+    assert "one sample per subject" in text and "in melanoma patients: responders" in text
     bare = significance_summary(stats, profile, replace(CLINICAL, cohort={}))
-    assert "among patients, restricted to a single pre-treatment sample per subject" in bare
+    assert "in patients: responders against non-responders" in bare and "with the sample" in bare
 
 
 def test_lost_and_repeated_component_rows_do_not_cancel_out(spark, wide_frame):

@@ -31,3 +31,20 @@ def test_query_equals_its_sql(spark, connection, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_runs(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_the_shifted_study_has_findings(spark, scale):
+    """Flags, markers and finding lines are seen by the comparison with SQL, not empty on both sides."""
+    sf_dir = f"/root/testdata/sf{scale}"
+    flags = QUERIES["shifted_significant_components"](spark, sf_dir).collect()
+    assert {r.scope for r in flags} == {"pooled", "baseline", "t=0", "t=7", "t=14"}
+    assert any(r.significant_high_confidence for r in flags)
+    shown = QUERIES["shifted_annotated_boxplots"](spark, sf_dir).collect()
+    assert "**" in {r.marker for r in shown}
+    lines = [r.line for r in QUERIES["shifted_summary_text"](spark, sf_dir).collect()]
+    assert any("median_difference=" in line for line in lines)
+    assert any(line.startswith("(t=7) ") for line in lines)
+    assert any(line.startswith("Baseline populations satisfying both tests") for line in lines)
+    every = QUERIES["shifted_statistics"](spark, sf_dir).collect()
+    assert len(flags) <= sum(r.significant_primary for r in every)

@@ -517,13 +517,14 @@ def _shifted(spark, sf_dir) -> DataFrame:
 
 @query(f"{sql.SHIFTED_STATS} SELECT scope, timepoint, {STATS_LIST} FROM stats")
 def shifted_statistics(spark, sf_dir):
-    """A study whose groups differ: its flags are TRUE."""
+    """A study whose groups differ by construction: flags are TRUE at every scale."""
     return rounded(_shifted(spark, sf_dir))
 
 
 @query(f"""{sql.SHIFTED_STATS} SELECT scope, timepoint, {STATS_LIST} FROM stats
 WHERE significant_primary""")
 def shifted_significant_components(spark, sf_dir):
+    """The flagged rows of that study; tests assert that there are some."""
     return rounded(flagged(_shifted(spark, sf_dir)))
 
 
@@ -541,13 +542,18 @@ def shifted_annotated_boxplots(spark, sf_dir):
     return rounded(shown.select("population", "response_label", "median", "n_outliers", "marker"))
 
 
-@query(f"""SELECT o_orderkey, printf('%.3f', o_orderkey / 16::DOUBLE) AS three,
-  printf('%.4f', o_orderkey / 32::DOUBLE) AS four FROM orders WHERE o_orderkey % 3001 < 16""")
-def tied_formats(spark, sf_dir):
-    """Numbers shown with fixed decimals: many are ties, which go to the even digit."""
-    few = star.table(spark, sf_dir, "orders").where("o_orderkey % 3001 < 16")
-    return few.select("o_orderkey", fixed_decimals(F.col("o_orderkey") / 16, 3).alias("three"),
-                      fixed_decimals(F.col("o_orderkey") / 32, 4).alias("four"))
+@query("""SELECT o_orderpriority, o_orderstatus, o_orderkey % 7 AS seventh,
+  printf('%.3f', count(*) / 16::DOUBLE) AS three, printf('%.4f', count(*) / 32::DOUBLE) AS four
+FROM orders GROUP BY ALL""")
+def tied_formats_of_counts(spark, sf_dir):
+    """Sixteenths and thirty-seconds of the counts of all orders, as a shown table has them: odd counts
+    tie, and ties go to the even digit."""
+    counts = star.table(spark, sf_dir, "orders").groupBy(
+        "o_orderpriority", "o_orderstatus", (F.col("o_orderkey") % 7).alias("seventh")).agg(
+            F.count(F.lit(1)).alias("n"))
+    return counts.select("o_orderpriority", "o_orderstatus", "seventh",
+                         fixed_decimals(F.col("n") / 16, 3).alias("three"),
+                         fixed_decimals(F.col("n") / 32, 4).alias("four"))
 
 
 @query("""SELECT o_orderkey, printf('%.3f', o_orderkey / 16::DOUBLE) AS three,
@@ -931,7 +937,8 @@ firsts AS (SELECT subject, arg_min(COALESCE(response, ''), sample) AS response,
     part4_by_response=("response n_subjects", "(SELECT response, count(*) AS n_subjects FROM firsts "
                        "WHERE response <> '' GROUP BY response)"),
     part4_by_sex=("sex n_subjects",
-                  "(SELECT sex, count(*) AS n_subjects FROM firsts GROUP BY sex)"))
+                  "(SELECT sex, count(*) AS n_subjects FROM firsts GROUP BY sex)"),
+    stats_summary=("line", f"({sql.summary_lines(STAR)})"))
 
 
 @query(WHOLE)

@@ -7,7 +7,7 @@ import re
 from tallyfold.functions.tails import DE_FIRST, DE_LAST, DE_STEP
 from tallyfold.plans import summary as text
 from tallyfold.study import METADATA, TIME
-from verification.star import STAR
+from verification.star import LEADING, STAR
 
 COMPONENTS = STAR.components
 META = ", ".join(METADATA)
@@ -147,9 +147,10 @@ def adjusted(p: str, name: str, source: str, target: str, family: str) -> str:
   FROM {target}_scaled)"""
 
 
-# The second study (star.SHIFTED): the sample type decides the response.
+# The second study (star.SHIFTED): a component's share decides the response.
 SHIFTED_COHORT = f"""{FREQUENCIES}, cohort AS (
-  SELECT * REPLACE (CASE WHEN sample_type = 'WB' THEN 'yes' ELSE 'no' END AS response) FROM long
+  SELECT * REPLACE (CASE WHEN sample IN (SELECT sample FROM wide WHERE 3 * {LEADING} > {_TOTAL})
+    THEN 'yes' ELSE 'no' END AS response) FROM long
   WHERE condition = 'BUILDING' AND treatment = 'miraclib')"""
 
 
@@ -225,8 +226,9 @@ def _shown(**digits: str) -> dict[str, str]:
     return {name: f"printf('{form}', {name})" for name, form in digits.items()}
 
 
-def summary(stats_sql: str, study) -> str:
-    """The lines of the summary text, from the unrounded statistics and the cohort's samples."""
+def summary_lines(study) -> str:
+    """Select the lines of the summary text after the CTEs of ``stats``: from the unrounded statistics
+    and the cohort's samples."""
     facts = {name: "'" + (f"{value:g}" if isinstance(value, float) else str(value)) + "'"
              for name, value in text.study_facts(study).items()}
     sizes = {"subjects": "(SELECT count(DISTINCT subject) FROM samples WHERE {})",
@@ -265,7 +267,12 @@ def summary(stats_sql: str, study) -> str:
     ]
     whole = " || chr(10) || chr(10) || '---' || chr(10) || chr(10) || ".join(
         " || chr(10) || chr(10) || ".join(section) for section in sections)
-    return f"""{stats_sql}, samples AS (SELECT DISTINCT sample, subject, {TIME} FROM cohort),
+    return f"""WITH samples AS (SELECT DISTINCT sample, subject, {TIME} FROM cohort),
 whole AS (SELECT string_split({whole}, chr(10)) AS lines)
 SELECT CAST(unnest(range(1, len(lines) + 1)) AS INTEGER) AS line_no, unnest(lines) AS line
 FROM whole"""
+
+
+def summary(stats_sql: str, study) -> str:
+    """The lines of the summary text, numbered."""
+    return f"{stats_sql} SELECT * FROM ({summary_lines(study)})"

@@ -88,20 +88,26 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return composition_of_wide(chosen, STAR.components, keep=METADATA[1:])
 
 
-# A second study over the same samples, whose groups differ by construction: finished orders hold
-# only the components of finished lines.
+# A second study over the same samples with findings at every scale: a sample responds where more than
+# a third of its quantity lies in one component.
 SHIFTED = replace(STAR, cohort={"condition": "BUILDING", "treatment": "miraclib"})
+LEADING = STAR.components[0]
 
 
-def shifted_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second study's cohort metadata: the sample type decides the response."""
+def _shifted_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = select_cohort(metadata(spark, sf_dir), SHIFTED.cohort)
-    return chosen.withColumn("response", F.expr("IF(sample_type = 'WB', 'yes', 'no')"))
+    total = " + ".join(STAR.components)
+    return _with_counts(chosen, spark, sf_dir).withColumn(
+        "response", F.expr(f"IF(3 * {LEADING} > {total}, 'yes', 'no')"))
+
+
+def shifted_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second study's cohort metadata: the counts decide the response."""
+    return _shifted_wide(spark, sf_dir).select(*METADATA)
 
 
 def shifted_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = _with_counts(shifted_samples(spark, sf_dir), spark, sf_dir)
-    return composition_of_wide(chosen, STAR.components, keep=METADATA[1:])
+    return composition_of_wide(_shifted_wide(spark, sf_dir), STAR.components, keep=METADATA[1:])
 
 
 def malformed_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
