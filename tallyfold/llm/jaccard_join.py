@@ -25,82 +25,162 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import slices, staged, text_or_empty
+from tallyfold.llm.common import staged, text_or_empty
 from tallyfold.llm.components import connected
 
 WIDTH = 1 << 20  # counters of the frequency sketch: 4 MB, whatever the corpus
 CHUNK = 1 << 14  # counters in a row of its partial sums
-KNOWN_WORDS = 1 << 20  # words of a task whose hashes are kept
-SLICE_BYTES = 8 << 20  # texts taken apart together
+KNOWN_SETS = 1 << 18  # digests of a task by which it leaves out sets that it has seen
+PIECE, PIECE_WORDS = 1 << 20, 1 << 17  # bytes taken apart together; words of a longer text
 BAND = 4  # a band of set sizes ends at this many times its start
 CELL = 1_024  # sets of an entry that are compared with as many others in a task
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, kept for words met again."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(31))) * MIX
     return values ^ (values >> np.uint64(29))
 
 
-def tokens(text: str, shingle: int, words: WordHashes) -> np.ndarray:
-    """The sorted distinct token hashes; a text of fewer words is one token, one without has none."""
-    found = text.encode().lower().split()  # bytes: A-Z only, and the six ASCII white spaces
-    if not found:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-    width = min(shingle, len(found))
-    n = len(found) - width + 1
-    joined = np.full(n, width, np.uint64)
-    for i in range(width):
-        joined = joined * ODD + hashes[i:i + n]
-    return np.unique(_mixed(joined))
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.concatenate([[np.uint64(1)], np.full(n, base, np.uint64)]).cumprod(dtype=np.uint64)
 
 
-def _sets(texts: pa.Array, shingle: int, words: WordHashes) -> Iterator[list[np.ndarray]]:
-    for some in slices(texts, SLICE_BYTES):
-        yield [tokens(text, shingle, words) for text in some]
+class Shingles:
+    """Token hashes of texts, from prefix sums of a polynomial over their bytes modulo 2 ** 64.
 
+    Every byte stands for a random number, a capital for the same one as its small letter; words are
+    taken as joined by one space. The hash of a shingle is the difference of two prefix sums, moved
+    back to the same power.
+    """
 
-def prints(rows: DataFrame, shingle: int) -> DataFrame:
-    """(row, id, n, digest) of rows (row, id, text): the size and a 128-bit digest of each set."""
-    kind = rows.schema["id"].dataType
+    def __init__(self, shingle: int):
+        self.shingle = shingle
+        self.values = np.random.default_rng(7).integers(0, 2 ** 64, 256, np.uint64)
+        self.values[ord("A"):ord("Z") + 1] = self.values[ord("a"):ord("z") + 1]
+        self.space = np.isin(np.arange(256), [32, *range(9, 14)])
+        self.values[self.space] = self.values[32]
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def _hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first byte of each word, its start, its end, prefix sums); starts and ends lie in the
+        bytes with one space after each word."""
+        space = self.space[data]
+        after = np.concatenate([[True], space[:-1]])
+        starts = np.flatnonzero(~space & after)
+        kept = ~(space & after)
+        one = np.append(data[kept], np.uint8(32))
+        ends = np.flatnonzero(self.space[one])[:len(starts)]
+        if len(self.up) < len(one):
+            self.up = _powers(int(ODD), len(one))
+            self.down = _powers(pow(int(ODD), -1, 2 ** 64), len(one))
+        sums = np.zeros(len(one) + 1, np.uint64)
+        np.cumsum(self.values[one] * self.up[:len(one)], out=sums[1:])
+        return starts, np.concatenate([[0], ends[:-1] + 1])[:len(starts)], ends, sums
+
+    def _between(self, first, last, start, end, sums) -> np.ndarray:
+        """The hash of the words ``first`` to ``last``; how many they are counts as well."""
+        at = start[first]
+        return _mixed((sums[end[last]] - sums[at]) * self.down[at] + (last - first).astype(np.uint64))
+
+    def sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The sorted distinct tokens of each text; a text of fewer words is one, one without none."""
+        n = self.shingle
+        data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+        at = np.cumsum([len(t) + 1 for t in texts])
+        starts, start, end, sums = self._hashes(data)
+        edges = np.concatenate([[0], np.searchsorted(starts, at)])
+        words = np.arange(len(starts))
+        whole = self._between(words[:-n + 1 or None], words[n - 1:], start, end, sums)
+        out = []
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if high - low >= n:
+                found = np.sort(whole[low:high - n + 1])
+                new = np.ones(len(found), bool)
+                np.not_equal(found[1:], found[:-1], out=new[1:])
+                out.append(found[new])
+            else:
+                some = words[low:high]
+                out.append(self._between(some[:1], some[-1:], start, end, sums))
+        return out
+
+    def pieces(self, text: bytes) -> list[bytes]:
+        """A long text in pieces that overlap by all words but one of a shingle."""
+        words, n = text.split(), self.shingle
+        return [b" ".join(words[i:i + PIECE_WORDS + n - 1])
+                for i in range(0, max(1, len(words) - n + 1), PIECE_WORDS)]
+
+
+def _sets(texts: pa.Array, shingles: Shingles) -> Iterator[list[np.ndarray]]:
+    """The sets of the texts in order, some at a time."""
+    some: list[bytes] = []
+    size = 0
+    for value in texts.cast(pa.binary()):
+        text = value.as_py()
+        if some and size + len(text) > PIECE:
+            yield shingles.sets(some)
+            some, size = [], 0
+        if len(text) > PIECE:
+            yield [np.unique(np.concatenate(shingles.sets(shingles.pieces(text))))]
+        else:
+            some.append(text)
+            size += len(text)
+    if some:
+        yield shingles.sets(some)
+
+
+class NewSets:
+    """Digests of sets, and which of them a task hasn't seen lately."""
+
+    def __init__(self):
+        self.seen: set[bytes] = set()
+
+    def new(self, some: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+        """(digests as rows (high, low), positions of sets that are not empty and not seen)."""
+        digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in some]
+        fresh = []
+        for i, digest in enumerate(digests):
+            if len(some[i]) and digest not in self.seen:
+                if len(self.seen) >= KNOWN_SETS:
+                    self.seen.clear()
+                self.seen.add(digest)
+                fresh.append(i)
+        return np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2), fresh
+
+
+def prints(docs: DataFrame, shingle: int) -> DataFrame:
+    """(id, n, high, low) of docs (id, text): the size and a 128-bit digest of each set."""
+    kind = docs.schema["id"].dataType
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        shingles, known = Shingles(shingle), NewSets()
         for batch in batches:
-            sizes, digests = [], []
-            for some in _sets(batch["text"], shingle, words):
+            sizes, digests = [], [np.zeros((0, 2), np.int64)]
+            for some in _sets(batch["text"], shingles):
                 sizes += [len(s) for s in some]
-                digests += [xxhash.xxh3_128_digest(s.tobytes()) for s in some]
+                digests.append(known.new(some)[0])
+            both = np.concatenate(digests)
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], batch["id"], pa.array(sizes, pa.int64()),
-                 pa.array(digests, pa.binary())], ["row", "id", "n", "digest"])
+                [batch["id"], pa.array(sizes, pa.int64()), pa.array(both[:, 0]),
+                 pa.array(both[:, 1])], ["id", "n", "high", "low"])
 
-    return rows.mapInArrow(read, f"row long, id {kind.simpleString()}, n long, digest binary")
+    return docs.mapInArrow(read, f"id {kind.simpleString()}, n long, high long, low long")
 
 
-def frequency_sketch(rows: DataFrame, shingle: int, width: int = WIDTH) -> np.ndarray:
-    """How often the sets have a token of each residue modulo ``width``; all sets are counted.
+def frequency_sketch(docs: DataFrame, shingle: int, width: int = WIDTH) -> np.ndarray:
+    """How often the sets have a token of each residue modulo ``width``; all texts are counted, but
+    for repeats that a task remembers.
 
     Partial sums are added by chunk in Spark; only the ``width`` totals come to the driver.
     """
     chunk = min(CHUNK, width)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, totals = WordHashes(), np.zeros(width, np.int64)
+        shingles, known, totals = Shingles(shingle), NewSets(), np.zeros(width, np.int64)
         for batch in batches:
-            for some in _sets(batch["text"], shingle, words):
-                places = np.concatenate([np.zeros(0, np.uint64), *some]) % np.uint64(width)
+            for some in _sets(batch["text"], shingles):
+                found = [some[i] for i in known.new(some)[1]]
+                places = np.concatenate([np.zeros(0, np.uint64), *found]) % np.uint64(width)
                 totals += np.bincount(places.astype(np.int64), minlength=width)
         places = np.flatnonzero(totals.reshape(-1, chunk).any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -120,7 +200,8 @@ def frequency_sketch(rows: DataFrame, shingle: int, width: int = WIDTH) -> np.nd
 
     kind = "chunk long, counts binary"
     parts = min(32, -(-width // chunk))
-    summed = rows.mapInArrow(count, kind).repartition(parts, "chunk").mapInArrow(add, kind)
+    summed = docs.select("text").mapInArrow(count, kind).repartition(parts, "chunk").mapInArrow(
+        add, kind)
     totals = np.zeros(width, np.int64)
     for row in summed.collect():  # at most ``width`` counters in all
         totals[row["chunk"] * chunk:(row["chunk"] + 1) * chunk] = np.frombuffer(row["counts"],
@@ -192,50 +273,65 @@ class Prefixes:
         return np.concatenate(keys)
 
 
-def postings(rows: DataFrame, shingle: int, prefixes: Prefixes) -> DataFrame:
-    """(key, row, n, place) of rows (row, text): the index entries of every set."""
-    shared = rows.sparkSession.sparkContext.broadcast(prefixes)
+def postings(docs: DataFrame, shingle: int, prefixes: Prefixes) -> DataFrame:
+    """(key, high, low, n, place) of docs (text): the index entries of every set. A set's entries
+    may be repeated, as its texts may be."""
+    shared = docs.sparkSession.sparkContext.broadcast(prefixes)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        shingles, known = Shingles(shingle), NewSets()
         for batch in batches:
-            at = 0
-            for some in _sets(batch["text"], shingle, words):
-                found = [shared.value.entries(s) for s in some]
+            for some in _sets(batch["text"], shingles):
+                digests, fresh = known.new(some)
+                if not fresh:
+                    continue
+                found = [shared.value.entries(some[i]) for i in fresh]
                 sizes = [len(keys) for keys, _ in found]
-                row = batch["row"].slice(at, len(some)).to_numpy()
-                at += len(some)
+                high, low = np.repeat(digests[fresh], sizes, axis=0).T
+                n = np.repeat(np.array([len(some[i]) for i in fresh], np.int32), sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(column) for column in (
+                    np.concatenate([keys for keys, _ in found]).view(np.int64),
+                    np.ascontiguousarray(high), np.ascontiguousarray(low), n,
+                    np.concatenate([places for _, places in found]).astype(np.int32))],
+                    ["key", "high", "low", "n", "place"])
+
+    return docs.select("text").mapInArrow(
+        index, "key long, high long, low long, n int, place int")
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(row, tokens) of the sets ``wanted`` (high, low, row), from docs (text)."""
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, known = Shingles(shingle), NewSets()
+        for batch in batches:
+            at = 0
+            for some in _sets(batch["text"], shingles):
+                digests, fresh = known.new(some)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([keys for keys, _ in found]).view(np.int64)),
-                    pa.array(np.repeat(row, sizes)),
-                    pa.array(np.repeat(np.array([len(s) for s in some], np.int32), sizes)),
-                    pa.array(np.concatenate([p for _, p in found]).astype(np.int32))],
-                    ["key", "row", "n", "place"])
-
-    return rows.select("row", "text").mapInArrow(index, "key long, row long, n int, place int")
-
+                    pa.array(digests[fresh, 0]), pa.array(digests[fresh, 1]),
+                    batch["text"].take(pa.array(np.array(fresh, np.int64) + at))],
+                    ["high", "low", "text"])
+                at += len(some)
 
-def _sets_of(rows: DataFrame, shingle: int) -> DataFrame:
-    """(row, tokens) of rows (row, text)."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        shingles = Shingles(shingle)
         for batch in batches:
             at = 0
-            for some in _sets(batch["text"], shingle, words):
-                ends = np.cumsum([0, *map(len, some)]).astype(np.int64)
+            for some in _sets(batch["text"], shingles):
+                ends = np.cumsum([0, *map(len, some)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch["row"].slice(at, len(some)),
-                    pa.LargeListArray.from_arrays(ends, np.concatenate(some).view(np.int64))
-                    .cast(pa.list_(pa.int64()))], ["row", "tokens"])
+                    pa.ListArray.from_arrays(ends, np.concatenate(some).view(np.int64))],
+                    ["row", "tokens"])
                 at += len(some)
 
-    return rows.select("row", "text").mapInArrow(read, "row long, tokens array<long>")
+    texts = docs.select("text").mapInArrow(digest, "high long, low long, text string")
+    one = texts.join(wanted, ["high", "low"]).select("row", "text").dropDuplicates(["row"])
+    return one.mapInArrow(read, "row long, tokens array<long>")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets reach the threshold; only rows of some pair are read again."""
-    asked = pairs.select(F.col("u").alias("row")).unionAll(pairs.select("v")).distinct()
-    sets = staged(_sets_of(rows.join(asked, "row", "left_semi"), shingle), "sets")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets reach the threshold."""
     both = (pairs.join(sets.select(F.col("row").alias("v"), F.col("tokens").alias("b")), "v")
             .join(sets.select(F.col("row").alias("u"), F.col("tokens").alias("a")), "u"))
     shared = F.size(F.array_intersect("a", "b"))
@@ -277,20 +373,26 @@ def _across(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("l.row").alias("u"), F.col("r.row").alias("v")).distinct()
 
 
-def linked_sets(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(node, root) of the rows (row, text) of different sets that links connect, roots left out."""
-    prefixes = Prefixes(frequency_sketch(rows, shingle), percent)
-    dealt = postings(rows, shingle, prefixes).repartition("key")
-    entries = dealt.groupBy("key").agg(
-        F.min(F.struct("row", "n", "place")).alias("first"), F.max("row").alias("last")).where(
-            "first.row <> last").select("key", "first")
-    shared = staged(dealt.join(entries, "key"), "shared")
+def linked_sets(docs: DataFrame, distinct: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, root) of the rows of ``distinct`` (high, low, row), the sets of docs (text), that links
+    connect; roots are left out."""
+    prefixes = Prefixes(frequency_sketch(docs, shingle), percent)
+    dealt = postings(docs, shingle, prefixes).repartition("key")
+    entries = dealt.groupBy("key").agg(F.min(F.struct("high", "low")).alias("least"),
+                                       F.max(F.struct("high", "low")).alias("most")).where(
+        "least <> most").select("key")
+    several = staged(dealt.join(entries, "key").distinct(), "several")
+    wanted = staged(several.select("high", "low").distinct().join(distinct, ["high", "low"]),
+                    "wanted")
+    sets = staged(sets_of(docs, wanted, shingle), "sets")
+    shared = several.join(wanted, ["high", "low"]).select("key", "row", "n", "place")
+    first = shared.groupBy("key").agg(F.min(F.struct("row", "n", "place")).alias("first"))
+    shared = staged(shared.join(first, "key"), "shared")
     tested = staged(_to_first(shared.alias("shared"), percent), "candidates")
-    roots = connected(verified(tested, rows, shingle, percent))
+    roots = connected(verified(tested, sets, percent))
     rest = staged(_across(shared, roots, percent).join(tested, ["u", "v"], "left_anti"),
                   "candidates")
-    more = verified(rest, rows, shingle, percent)
-    return connected(roots.toDF("u", "v").unionByName(more))
+    return connected(roots.toDF("u", "v").unionByName(verified(rest, sets, percent)))
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
@@ -301,19 +403,19 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     component_id is the least id that links reach, itself included. Null ids count only where a
     component has no other. Texts without words (null, empty, white space) have an empty set and
     are linked with nothing; repeated rows are members like others. An empty table gives an empty
-    one; other columns are not looked at. Sets are compared by 64-bit hashes of their shingles.
+    one; other columns are not looked at. Shingles are compared by 64-bit hashes, sets by 128-bit
+    digests of these. ``docs`` is read four times and must give the same texts each time.
     """
-    rows = staged(docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
-                  .withColumn("row", F.monotonically_increasing_id()), "rows")
-    printed = staged(prints(rows, shingle), "prints")
-    distinct = staged(printed.where("n > 0").groupBy("digest").agg(
-        F.min("row").alias("row"), F.min("id").alias("least")), "distinct")
-    roots = linked_sets(rows.join(distinct, "row", "left_semi"), shingle, percent)
+    read = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
+    printed = staged(prints(read, shingle), "prints")
+    distinct = staged(printed.where("n > 0").groupBy("high", "low").agg(
+        F.min("id").alias("least")).withColumn("row", F.monotonically_increasing_id()), "distinct")
+    roots = linked_sets(read, distinct.drop("least"), shingle, percent)
     grouped = staged(distinct.join(roots, F.col("row") == F.col("node"), "left").select(
-        "digest", F.coalesce("root", "row").alias("root"), "least"), "grouped")
+        "high", "low", F.coalesce("root", "row").alias("root"), "least"), "grouped")
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = grouped.join(least, "root").select("digest", "component_id")
-    full = printed.where("n > 0").join(found, "digest").select(
+    found = grouped.join(least, "root").select("high", "low", "component_id")
+    full = printed.where("n > 0").join(found, ["high", "low"]).select(
         "id", F.col("n").alias("n_shingles"), "component_id")
     none = printed.where("n = 0").select("id", F.col("n").alias("n_shingles"),
                                          F.col("id").alias("component_id"))

@@ -109,7 +109,7 @@ def test_hot_group_writes_no_pairs(spark):
     rng = random.Random(1)
     base = [f"w{i}" for i in range(200)]
     given = [" ".join(edited(rng, base, 2)) for _ in range(150)]
-    frame = spark.createDataFrame(list(enumerate(given)), "row long, text string")
+    frame = spark.createDataFrame(list(enumerate(given)), "id long, text string")
     prefixes = jaccard_join.Prefixes(jaccard_join.frequency_sketch(frame, 4), 85)
     entries = jaccard_join.postings(frame, 4, prefixes)
     assert entries.count() < 150 * 100
@@ -117,10 +117,34 @@ def test_hot_group_writes_no_pairs(spark):
 
 
 def test_sketch_counts_all_sets(spark):
-    given = ["a b c d e", "a b c d f", "x"] * 40
-    frame = spark.createDataFrame(list(enumerate(given)), "row long, text string").repartition(5)
+    given = [f"a b c d e{i}" for i in range(80)] + ["x"] * 5
+    frame = spark.createDataFrame(list(enumerate(given)), "id long, text string").repartition(5)
     sketch = jaccard_join.frequency_sketch(frame, 4, width=64)
-    assert sketch.sum() == 40 * 5 and sketch.max() >= 80
+    assert 80 * 2 < sketch.sum() <= 80 * 2 + 5 and sketch.max() >= 80
+
+
+@pytest.mark.parametrize("shingle", [1, 2, 4])
+def test_token_sets_are_those_of_the_words(monkeypatch, shingle):
+    monkeypatch.setattr(jaccard_join, "PIECE", 500)
+    monkeypatch.setattr(jaccard_join, "PIECE_WORDS", 7)
+    rng = random.Random(shingle)
+    texts = [t or "" for t in AWKWARD] + [
+        "".join(rng.choice(["a", "B", "b", "é", " ", "\n", "\x0b", "\xa0", "cc"]) for _ in range(
+            rng.randrange(80))) for _ in range(400)] + ["a b " * 400, "A b a B" * 300, "x" * 900]
+    import pyarrow as pa
+
+    found = [s for some in jaccard_join._sets(pa.array(texts), jaccard_join.Shingles(shingle))
+             for s in some]
+    plain = [plain_set(t, shingle) for t in texts]
+    assert [len(s) for s in found] == [len(s) for s in plain]
+    token = {}
+    for hashes, grams in zip(found, plain):
+        if len(grams) == 1:
+            assert token.setdefault(*grams, int(hashes[0])) == hashes[0]
+    assert len(set(token.values())) == len(token)
+    for i in range(0, len(texts) - 1):
+        both = len(np.intersect1d(found[i], found[i + 1]))
+        assert both == len(plain[i] & plain[i + 1])
 
 
 def test_awkward_rows(spark):
