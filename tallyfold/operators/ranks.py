@@ -27,18 +27,20 @@ def histogram(df: DataFrame, keys: list[str], value: str, counts: dict[str, str]
           for name, condition in counts.items()]), "histogram")
 
 
-def ranked(hist: DataFrame, keys: list[str], value: str,
-           rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def ranked(hist: DataFrame, keys: list[str], value: str, rows_per_range: int = ROWS_PER_RANGE, *,
+           keep_range: bool = False) -> DataFrame:
     """A stored histogram with exact cumulative counts for each of its ``n_<name>`` columns.
 
     For each name: ``before_`` (rows below the value), ``total_`` (rows in the group) and ``mean_``.
+    ``keep_range``: also ``_range``, the number of the range of (group, value) that a row lies in.
     """
     names = [c[2:] for c in hist.columns if c.startswith("n_")]
     v, group = f"`{value}`", ", ".join(f"`{k}`" for k in keys)
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     ranges = max(1, -(-hist.count() // rows_per_range))
     if ranges == 1:  # nothing to shift
-        return hist.selectExpr("*", *[column for name in names for column in (
+        one = ["0 AS _range"] if keep_range else []
+        return hist.selectExpr("*", *one, *[column for name in names for column in (
             f"sum(n_{name}) OVER (PARTITION BY {group} ORDER BY {v} {so_far}) - n_{name} "
             f"AS before_{name}",
             f"sum(n_{name}) OVER (PARTITION BY {group}) AS total_{name}",
@@ -61,7 +63,8 @@ def ranked(hist: DataFrame, keys: list[str], value: str,
         f"try_divide(sum(_sum_{name}) OVER (PARTITION BY {group}), "
         f"sum(_rows_{name}) OVER (PARTITION BY {group})) AS mean_{name}")])
     return local.join(offsets, [*keys, "_range"]).selectExpr(
-        *[f"`{k}`" for k in keys], v, *[f"n_{name}" for name in names],
+        *[f"`{k}`" for k in keys], v, *(["_range"] if keep_range else []),
+        *[f"n_{name}" for name in names],
         *[column for name in names for column in (
             f"_local_{name} + _offset_{name} AS before_{name}", f"total_{name}",
             f"mean_{name}")])

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.operators.skew import lookup_join
+from tallyfold.operators import skew
+from tallyfold.operators.skew import heavy_keys, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -18,9 +19,17 @@ def lookup(spark):
                                  "k string, v int")
 
 
+@pytest.fixture(params=["broadcast", "shuffled", "salted"])
+def way(request, monkeypatch):
+    """Rows of a key that a task may hold, under each of the three plans."""
+    if request.param != "broadcast":
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", 10)
+    return 7 if request.param == "salted" else 10 ** 6
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_equals_a_plain_join(facts, lookup, how):
-    got = lookup_join(facts, lookup, "k", how=how)
+def test_lookup_equals_a_plain_join(facts, lookup, how, way):
+    got = lookup_join(facts, lookup, "k", how=how, rows_per_task=way)
     want = facts.join(lookup, "k", how).select(*got.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
@@ -34,3 +43,50 @@ def test_more_heavy_keys_than_any_list(spark):
     facts = spark.range(6000).selectExpr("id", "concat('k', id % 1500) AS k")
     lookup = spark.range(1500).selectExpr("concat('k', id) AS k", "id AS v")
     assert lookup_join(facts, lookup, "k").where("v = CAST(substring(k, 2) AS BIGINT)").count() == 6000
+
+
+def test_heavy_keys_are_counted_exactly(facts, monkeypatch):
+    known = facts.where("k IS NOT NULL")
+    counted = {k: n for k, n in known.groupBy("k").count().collect()}
+    for buckets in (1, 3, 1 << 14):  # keys that share a counter are told apart
+        monkeypatch.setattr(skew, "BUCKETS", buckets)
+        got = {k: parts for k, parts in heavy_keys(known, "k", 4).collect()}
+        assert got == {k: -(-n // 4) for k, n in counted.items() if n > 4}
+    assert heavy_keys(known, "k", 100) is None
+    monkeypatch.setattr(skew, "MOST_TASKS", 5)
+    assert [k for k, _ in heavy_keys(known, "k", 4).collect()] == ["hot"]
+
+
+def test_no_task_holds_a_heavy_key(spark, monkeypatch):
+    """Rows in each task of the join, without adaptive execution, for two hot keys among many."""
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 10)
+    old = {name: spark.conf.get(name) for name in (
+        "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold",
+        "spark.sql.shuffle.partitions")}
+    facts = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id % 5 AS same", "CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3 = 1 THEN -2 ELSE id END AS k")
+    lookup = spark.range(-2, 60_000).selectExpr("id AS k", "id * 2 AS v")
+
+    def largest(rows_per_task):
+        joined = lookup_join(facts, lookup, "k", rows_per_task=rows_per_task)
+        sizes = joined.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("*").alias("n"), F.count_if(F.col("v") == F.col("k") * 2).alias("right")).collect()
+        assert sum(r.n for r in sizes) == sum(r.right for r in sizes) == 60_000
+        return max(r.n for r in sizes)
+
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "30")
+        assert largest(10 ** 6) > 20_000
+        assert largest(500) < 6_000
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+
+def test_lookups_are_broadcast_by_rows_and_bytes(spark, monkeypatch):
+    small = spark.range(50).selectExpr("id AS k", "repeat('x', 100) AS v")
+    assert skew.is_small(small)
+    monkeypatch.setattr(skew, "BROADCAST_CHARS", 4_000)
+    assert not skew.is_small(small) and skew.is_small(small.limit(10)) and skew.is_small(small.limit(0))

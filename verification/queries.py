@@ -16,7 +16,7 @@ from tallyfold.operators.compare import (
     scope_statistics as statistics_of_ranks, stats_order, tag_scopes,
     two_group_compare)
 from tallyfold.operators.composition import composition_of_events, composition_of_wide
-from tallyfold.operators.fdr import bh_adjust, flagged
+from tallyfold.operators.fdr import bh_adjust, bh_adjust_families, flagged
 from tallyfold.operators.ranks import ranked_histogram
 from tallyfold.plans.jobs import (
     analyse, cohort_frequencies, load, ordered_frequencies, table_frequencies)
@@ -669,6 +669,22 @@ def adjusted_p_values(spark, sf_dir):
     return rounded(bh_adjust(raw, ["l_linestatus"], {"p": "p_bh"}))
 
 
+CUSTOMER_P = f"""WITH raw AS (SELECT c_custkey, c_mktsegment,
+  round({sql.normal_sf('((c_acctbal - 4500) / 1500)')}, 4) AS p FROM customer),
+{sql.adjusted('p', 'p_bh', 'raw', 'done', 'c_mktsegment')}"""
+
+
+@query(f"{CUSTOMER_P} SELECT c_custkey, c_mktsegment, p, {sql.r('p_bh')} AS p_bh FROM done")
+def adjusted_p_values_of_customers(spark, sf_dir):
+    """Every customer's balance as a p-value with ties, adjusted within market segments: families that
+    grow with the table and are cut into ranges."""
+    p = F.expr("round(upper_tail, 4)").alias("p")
+    raw = star.table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_mktsegment", normal_sf("(c_acctbal - 4500) / 1500").alias("upper_tail"))
+    return rounded(bh_adjust_families(raw.select("c_custkey", "c_mktsegment", p), ["c_mktsegment"],
+                                      {"p": "p_bh"}, rows_per_range=100))
+
+
 @query(f"""SELECT c_custkey, {sql.r(sql.normal_sf('((c_acctbal - 4500) / 1500)'), 8)} AS upper_tail
 FROM customer""")
 def normal_tail(spark, sf_dir):
