@@ -39,14 +39,8 @@ def _finding(rule: str, key: str = "`sample`", column: str = "NULL", detail: str
     return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
 
 
-def duplicate_samples(df: DataFrame) -> DataFrame:
-    finding = _finding("duplicate_sample", column="'sample'", detail="n")
-    return duplicate_keys(df, ["sample"]).selectExpr(f"{finding} AS f").select("f.*")
-
-
-def row_violations(df: DataFrame, study: Study) -> DataFrame:
-    """Malformed records, negative counts, zero totals, uncastable integers and missing keys, in one
-    pass."""
+def _row_findings(df: DataFrame, study: Study) -> tuple[str, str]:
+    """SQL of a row's findings as an array, and of the condition that it can have any."""
     total = " + ".join(f"coalesce(`{c}`, 0L)" for c in study.components)
     broken = {}
     if MALFORMED in df.columns:
@@ -62,10 +56,41 @@ def row_violations(df: DataFrame, study: Study) -> DataFrame:
         uncast = _finding("not_integer", column="name", major="i")
         found = f"concat({found}, transform({UNCASTABLE}, (name, i) -> {uncast}))"
         suspect += f" OR size({UNCASTABLE}) > 0"
-    # Valid rows are dropped before any finding is built for them. The outer form keeps the
-    # optimizer from repeating the whole array in a filter of its own.
-    return (df.where(suspect).selectExpr(f"explode_outer({found}) AS f")
-            .where("f IS NOT NULL").select("f.*"))
+    return found, suspect
+
+
+def violations(df: DataFrame, study: Study) -> DataFrame:
+    """Every broken rule of the wide input; order by ``report_order()`` to read them.
+
+    The input is scanned once. Each row is expanded by grain: for its sample, for its subject and for
+    its own findings (none for most rows, which so are one group), and one aggregate serves all
+    three. Samples are counted; of a subject's attributes the least and the largest 64-bit hash are
+    kept, whose difference is a drift; findings are counted and given back as often as they occur.
+    """
+    found, suspect = _row_findings(df, study)
+    # NULL is no value, but for the response, whose NULL has a hash like any text.
+    hashes = [f"xxhash64(`{c}`)" if c == "response" else f"IF(`{c}` IS NULL, NULL, xxhash64(`{c}`))"
+              for c in SUBJECT_INVARIANTS]
+    rows = df.selectExpr("`sample` AS _sample", "subject AS _subject",
+                         f"IF({suspect}, {found}, NULL) AS _found",
+                         *[f"{h} AS _hash_{i}" for i, h in enumerate(hashes)])
+    merged = rows.groupingSets(
+        [["_sample"], ["_subject"], ["_found"]], "_sample", "_subject", "_found").agg(
+        F.grouping_id().alias("_grain"), F.count(F.lit(1)).alias("n"), *[
+            F.expr(f"{side}(_hash_{i})").alias(f"_{side}_{i}")
+            for i in range(len(hashes)) for side in ("min", "max")])
+    repeated = _finding("duplicate_sample", key="_sample", column="'sample'", detail="n")
+    drifted = ", ".join(
+        f"IF(_min_{i} < _max_{i}, "
+        f"{_finding('subject_drift', key='_subject', column=repr(c), minor=i)}, NULL)"
+        for i, c in enumerate(SUBJECT_INVARIANTS))
+    drifts = " OR ".join(f"_min_{i} < _max_{i}" for i in range(len(hashes)))
+    of_sample, of_subject, of_row = (f"_grain = {0b111 - (0b100 >> i)}" for i in range(3))
+    return merged.where(f"({of_sample} AND n > 1) OR ({of_row} AND _found IS NOT NULL) OR "
+                        f"({of_subject} AND _subject IS NOT NULL AND ({drifts}))").selectExpr(
+        f"""inline(CASE WHEN {of_sample} THEN array({repeated})
+          WHEN {of_subject} THEN array_compact(array({drifted}))
+          ELSE flatten(array_repeat(_found, CAST(n AS INT))) END)""")
 
 
 def drift(df: DataFrame, owner: str, columns: Iterable[str],
@@ -90,19 +115,6 @@ def drift(df: DataFrame, owner: str, columns: Iterable[str],
     return found.where("d IS NOT NULL").select(owner, "d.column", "d.position")
 
 
-def subject_drift(df: DataFrame) -> DataFrame:
-    found = drift(df.where("subject IS NOT NULL"), "subject", SUBJECT_INVARIANTS,
-                  blank_as_value=["response"])
-    finding = _finding("subject_drift", key="subject", column="`column`", minor="position")
-    return found.selectExpr(f"{finding} AS f").select("f.*")
-
-
-def violations(df: DataFrame, study: Study) -> DataFrame:
-    """Every broken rule of the wide input; order by ``report_order()`` to read them."""
-    return (duplicate_samples(df).unionByName(row_violations(df, study))
-            .unionByName(subject_drift(df)))
-
-
 def report_order() -> list[Column]:
     return [F.col("rule_no"), F.col("major"), F.col("key"), F.col("minor")]
 

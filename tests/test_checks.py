@@ -139,3 +139,25 @@ def test_empty_tables(spark):
     empty = empty_tables(spark)
     assert checks.table_violations(empty).count() == 0
     assert all(df.count() == 0 for df in empty.values()) and len(empty) == 4
+
+
+def test_all_rules_in_one_scan(spark, wide_frame, tmp_path):
+    rows = [{"sample": "a"}, {"sample": "a", "subject": "q"}, {"sample": "b", "subject": "q", "sex": "F"},
+            {"sample": None, "age": "x", "b_cell": -3}, {"sample": None, "age": "x", "b_cell": -3},
+            {"sample": "c", "response": None}, {"sample": "d", "subject": None},
+            {"sample": "e", "condition": None}, {"sample": "f", **COUNTS}]
+    df = wide_frame(*rows)
+    df.write.parquet(str(tmp_path / "wide"))
+    stored = spark.read.schema(df.schema).parquet(str(tmp_path / "wide"))
+    found = checks.violations(stored, CLINICAL)
+    assert sorted((r.rule, r.key, r.column, r.detail) for r in found.collect() if r.key) == [
+        ("duplicate_sample", "a", "sample", "2"), ("missing_key", "d", "subject", None),
+        ("subject_drift", "p-17", "response", None), ("subject_drift", "q", "sex", None),
+        ("zero_total", "f", None, None)]
+    without_key = sorted((r.rule, r.column, r.detail) for r in found.collect() if not r.key)
+    assert without_key == [("duplicate_sample", "sample", "2")] + [
+        row for row in [("missing_key", "sample", None), ("negative_count", "b_cell", "-3"),
+                        ("not_integer", "age", None)] for _ in range(2)]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("HashAggregate") + plan.count(
+        "SortAggregate") + plan.count("ObjectHashAggregate") == 2
