@@ -18,8 +18,8 @@ from tallyfold.operators.composition import composition, composition_of_wide
 from tallyfold.operators.normalize import normalize, sample_metadata, with_metadata
 from tallyfold.plans.summary import significance_summary
 from tallyfold.sources.tables import (
-    drop_folder, new_run, prune_runs, publish, published_run, read_optional, read_tables, staged,
-    write_table, write_tables, write_together)
+    drop_folder, new_run, prune_runs, publish, published_run, read_optional, read_tables, scope,
+    staged, write_table, write_tables, write_together)
 from tallyfold.sources.wide_csv import read_wide
 from tallyfold.study import CLINICAL, METADATA, STATS, Study
 
@@ -186,6 +186,12 @@ def analyse(tables: dict[str, DataFrame], out_dir: str, study: Study = CLINICAL,
     that. Tables that nothing waits for are written meanwhile.
     """
     spark = tables["samples"].sparkSession
+    with scope(spark):
+        return _analysed(spark, tables, out_dir, study, fmt, keep_runs)
+
+
+def _analysed(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str, study: Study,
+              fmt: str, keep_runs: int) -> dict[str, DataFrame]:
     metadata = metadata_of(tables)
     run, folder = new_run(out_dir)
     try:

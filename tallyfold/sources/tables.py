@@ -1,19 +1,26 @@
-"""Result tables: write, publish, read back, and the shared folder for intermediate ones."""
+"""Result tables: write, publish, read back, and the folders for intermediate ones."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from contextlib import contextmanager
+from contextvars import ContextVar
+from datetime import datetime, timedelta, timezone
 from functools import lru_cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.study import TABLES
 
 POINTERS = "published"
+#: A run that started longer ago and was never published is taken for a crashed one.
+ABANDONED = timedelta(days=7)
+_STAMP = "%Y%m%dT%H%M%S%f"
 
 
 @lru_cache(maxsize=1)
@@ -22,7 +29,7 @@ def _local_base() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder under the cluster's shared ``spark.checkpoint.dir``, which lasts.
 
     Only a local session without that setting gets a temporary folder of this machine.
     """
@@ -34,13 +41,61 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tallyfold-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table of its own in the shared folder, and read back."""
-    path = f"{shared_dir(df.sparkSession)}/{name}"
+class Scope:
+    """The intermediate tables of a job, in one folder."""
+
+    def __init__(self, spark: SparkSession, outer: Scope | None):
+        self.spark, self.outer, self.made = spark, outer, 0
+        self.folder = shared_dir(spark)
+
+    def new_folder(self) -> str:
+        self.made += 1
+        return f"{self.folder}/{self.made}"
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written outside the scope and read back, so that it outlives the scope's tables; as
+        it is if it reads none of them."""
+        if not any(self.folder in file for file in df.inputFiles() if self.made):
+            return df
+        folder = shared_dir(self.spark) if self.outer is None else self.outer.new_folder()
+        return _stored(df, f"{folder}/result")
+
+
+_scope: ContextVar[Scope | None] = ContextVar("tallyfold_scope", default=None)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Scope]:
+    """Delete the tables that ``staged`` writes inside, at the end, whether the job fails or not."""
+    current = Scope(spark, _scope.get())
+    token = _scope.set(current)
+    try:
+        yield current
+    finally:
+        _scope.reset(token)
+        if current.made:
+            drop_folder(spark, current.folder)
+
+
+def working_dir(spark: SparkSession) -> str:
+    """A new shared folder that is deleted with the running scope; without one it lasts."""
+    current = _scope.get()
+    return shared_dir(spark) if current is None else current.new_folder()
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as an intermediate table of the running scope, and read back.
+
+    Cuts the lineage: a lost executor costs the tasks that read the table, not those that made it.
+    """
+    return _stored(df, f"{working_dir(df.sparkSession)}/{name}")
+
+
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], schema) for name, schema in TABLES.items()}
 
@@ -74,47 +129,92 @@ def read_optional(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def new_run(out_dir: str) -> tuple[str, str]:
     """(run id, run folder); ids sort by time."""
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    stamp = datetime.now(timezone.utc).strftime(_STAMP)
     run = f"{stamp}-{uuid.uuid4().hex[:8]}"
     return run, f"{out_dir.rstrip('/')}/run={run}"
 
 
-def publish(spark: SparkSession, out_dir: str, run: str) -> None:
-    """Make a finished run the current one, by one appended row."""
-    pointer = spark.range(1).select(F.lit(run).alias("value")).coalesce(1)
-    pointer.write.mode("append").text(f"{out_dir.rstrip('/')}/{POINTERS}")
-
-
-def published_run(spark: SparkSession, out_dir: str) -> str | None:
-    """Folder of the current run, None before the first one."""
-    root = out_dir.rstrip("/")
-    pointers = read_optional(spark, f"{root}/{POINTERS}", "text", "value string")
-    if pointers is None:
-        return None
-    run = pointers.agg(F.max("value")).first()[0]
-    return None if run is None else f"{root}/run={run}"
-
-
 def _file_system(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def drop_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a run folder of our own, wherever the cluster's file system keeps it."""
+    """Delete a folder of our own, wherever the cluster's file system keeps it."""
     system, path = _file_system(spark, folder)
     system.delete(path, True)
 
 
-def prune_runs(spark: SparkSession, out_dir: str, keep: int) -> None:
-    """Delete all but the last ``keep`` run folders up to the published one."""
-    current = published_run(spark, out_dir)
-    system, path = _file_system(spark, out_dir)
-    runs = sorted(str(f.getPath().getName()) for f in system.listStatus(path)
-                  if f.isDirectory() and str(f.getPath().getName()).startswith("run="))
-    done = [run for run in runs if current is not None and run <= current.rsplit("/", 1)[1]]
-    for run in done[:-keep]:
-        drop_folder(spark, f"{out_dir.rstrip('/')}/{run}")
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none where there is no folder."""
+    system, path = _file_system(spark, folder)
+    if not system.exists(path):
+        return []
+    return sorted(str(f.getPath().getName()) for f in system.listStatus(path))
+
+
+def _pointer(out_dir: str, number: int) -> str:
+    return f"{out_dir.rstrip('/')}/{POINTERS}/{number:010d}"
+
+
+def _numbers(spark: SparkSession, out_dir: str) -> list[int]:
+    return [int(n) for n in _names(spark, f"{out_dir.rstrip('/')}/{POINTERS}") if n.isdigit()]
+
+
+def _create(spark: SparkSession, name: str, text: str) -> bool:
+    """Write a file that mustn't exist yet; False if another job was first."""
+    system, path = _file_system(spark, name)
+    try:
+        out = system.create(path, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def publish(spark: SparkSession, out_dir: str, run: str) -> None:
+    """Make a finished run the current one: its name goes into the next numbered pointer file.
+
+    A number is created by one job only; a job that comes second takes the number after it.
+    """
+    number = max(_numbers(spark, out_dir), default=0) + 1
+    while not _create(spark, _pointer(out_dir, number), run):
+        number += 1
+
+
+def published_runs(spark: SparkSession, out_dir: str) -> list[tuple[int, str]]:
+    """(number, run) of the published runs, the current one last: the pointers alone decide."""
+    if not _numbers(spark, out_dir):
+        return []
+    rows = spark.read.text(f"{out_dir.rstrip('/')}/{POINTERS}").select(
+        F.col("_metadata.file_name").alias("name"), "value").collect()  # a row for each kept run
+    return sorted((int(r["name"]), r["value"]) for r in rows if r["name"].isdigit())
+
+
+def published_run(spark: SparkSession, out_dir: str) -> str | None:
+    """Folder of the current run, None before the first one."""
+    runs = published_runs(spark, out_dir)
+    return f"{out_dir.rstrip('/')}/run={runs[-1][1]}" if runs else None
+
+
+def prune_runs(spark: SparkSession, out_dir: str, keep: int,
+               abandoned: timedelta = ABANDONED) -> None:
+    """Delete all but the last ``keep`` published runs, and runs that were never published and
+    started longer than ``abandoned`` ago. A run that is still being written is left alone."""
+    root, runs = out_dir.rstrip("/"), published_runs(spark, out_dir)
+    kept = {run for _, run in runs[-keep:]}
+    for number, run in runs[:-keep]:
+        if run not in kept:
+            drop_folder(spark, f"{root}/run={run}")
+        drop_folder(spark, _pointer(out_dir, number))
+    oldest = (datetime.now(timezone.utc) - abandoned).strftime(_STAMP)
+    for name in _names(spark, root):
+        run = name.removeprefix("run=")
+        if name != run and run not in {r for _, r in runs} and run < oldest:
+            drop_folder(spark, f"{root}/{name}")
 
 
 def write_together(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:

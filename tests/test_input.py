@@ -1,3 +1,6 @@
+from datetime import timedelta
+from pathlib import Path
+
 import pytest
 
 from tallyfold import CLINICAL
@@ -10,6 +13,7 @@ from tallyfold.sources.tables import published_run
 from tallyfold.sources.wide_csv import MALFORMED, UNCASTABLE, InvalidInput, read_wide
 from tallyfold.study import METADATA, TABLES
 from tests.conftest import BASE_ROW
+from verification.queries import QUERIES
 
 
 def write_csv(path, rows, columns=CLINICAL.wide_columns):
@@ -135,6 +139,85 @@ def test_publish_shows_the_last_run_only(spark, tables, tmp_path):
     assert back["samples"].count() == 3
 
 
+def published(out):
+    return sorted(p.name for p in (out / store.POINTERS).iterdir() if not p.name.startswith("."))
+
+
+def test_a_pointer_number_is_taken_once(spark, tmp_path):
+    out = str(tmp_path)
+    for run in ("first", "second"):
+        store.publish(spark, out, run)
+    assert not store._create(spark, store._pointer(out, 2), "late")
+    assert store._create(spark, store._pointer(out, 3), "third")  # another job's, just before ours
+    store.publish(spark, out, "fourth")
+    assert store.published_runs(spark, out) == [
+        (1, "first"), (2, "second"), (3, "third"), (4, "fourth")]
+
+
+def test_pruning_keeps_published_runs_whatever_crashed_in_between(spark, tmp_path):
+    """A crashed run's folder doesn't count as one of the runs that are kept."""
+    out, runs = str(tmp_path), []
+    for crashed in (False, False, True, False):
+        run, folder = store.new_run(out)
+        spark.range(1).write.parquet(f"{folder}/t")
+        runs.append(run)
+        if not crashed:
+            store.publish(spark, out, run)
+    store.prune_runs(spark, out, keep=2)
+    left = {p.name.removeprefix("run=") for p in tmp_path.glob("run=*")}
+    assert left == {runs[1], runs[2], runs[3]}  # the crashed one is young: it may be at work
+    assert [run for _, run in store.published_runs(spark, out)] == [runs[1], runs[3]]
+    store.prune_runs(spark, out, keep=2, abandoned=timedelta(0))
+    assert {p.name.removeprefix("run=") for p in tmp_path.glob("run=*")} == {runs[1], runs[3]}
+
+
+def test_pruning_leaves_a_run_that_is_still_writing(spark, tmp_path):
+    """It started first and is overtaken by three later runs."""
+    out = str(tmp_path)
+    slow, folder = store.new_run(out)
+    spark.range(3).write.parquet(f"{folder}/t")
+    for _ in range(3):
+        run, other = store.new_run(out)
+        spark.range(1).write.parquet(f"{other}/t")
+        store.publish(spark, out, run)
+        store.prune_runs(spark, out, keep=1)
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+    store.publish(spark, out, slow)
+    assert store.published_run(spark, out) == folder
+    store.prune_runs(spark, out, keep=1)
+    assert [p.name for p in tmp_path.glob("run=*")] == [f"run={slow}"] and len(published(tmp_path)) == 1
+
+
+def test_a_scope_deletes_what_it_staged(spark):
+    with store.scope(spark) as outer:
+        with store.scope(spark) as inner:
+            numbers = store.staged(spark.range(10), "numbers")
+            plain = spark.range(3)
+            assert inner.keep(plain) is plain
+            kept = inner.keep(numbers.where("id > 6"))
+            gone, stays = numbers.inputFiles(), kept.inputFiles()
+        assert kept.count() == 3 and all(outer.folder in f for f in stays)
+        last = outer.keep(kept)
+    assert last.count() == 3
+    for file in [*gone, *stays]:
+        assert not Path(file.removeprefix("file:")).exists()
+    with pytest.raises(ZeroDivisionError):
+        with store.scope(spark) as failed:
+            store.staged(spark.range(1), "one")
+            raise ZeroDivisionError
+    assert not Path(failed.folder).exists()
+
+
+def test_queries_leave_only_their_result(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    for name in ("boxplots", "value_ranks", "wide_csv_scan", "adjusted_p_values_of_customers"):
+        before = set(base.iterdir())
+        made = QUERIES[name](spark, "/root/testdata/sf0.001")
+        left = set(base.iterdir()) - before
+        assert len(left) == 1 and made.count() > 0
+        assert [p.name for p in left.pop().iterdir()] == ["result"]
+
+
 def test_read_optional(spark, tmp_path):
     assert store.read_optional(spark, str(tmp_path / "no")) is None
     df = spark.createDataFrame([(1, 1e-5, "x,y")], "a int, b double, c string")

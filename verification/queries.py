@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,10 +38,15 @@ EVENT_TYPES = ("view", "click", "signup", "purchase", "error")
 
 def query(oracle: str | None = None):
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with store.scope(spark) as scope:  # what the query stages goes when its result is written
+                return scope.keep(function(spark, sf_dir))
+
+        QUERIES[function.__name__] = run
         if oracle is not None:
             ORACLES[function.__name__] = oracle
-        return function
+        return run
     return register
 
 
@@ -95,7 +101,7 @@ def frequencies_with_metadata(spark, sf_dir):
 
 @query(f"{sql.FREQUENCIES} SELECT {FREQUENCY_SQL} FROM long")
 def frequency_csv(spark, sf_dir):
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     frequencies = ordered_frequencies(star.tables(spark, sf_dir), STAR)
     store.write_table(frequencies, path, "csv")
     return rounded(store.read_optional(spark, path, "csv", frequencies.schema))
@@ -115,7 +121,7 @@ def wide_input(spark, sf_dir):
 @query(WIDE_SQL)
 def wide_csv_scan(spark, sf_dir):
     """Written with its columns in another order, then read back by name."""
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     wide = star.wide(spark, sf_dir)
     store.write_table(wide.select(*reversed(wide.columns)), path, "csv")
     return read_wide(spark, path, STAR).drop(UNCASTABLE, MALFORMED)
@@ -183,9 +189,9 @@ TABLE_CONTENTS = f"{sql.FILLED} " + _contents_sql(
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     store.write_table(star.filled_wide(spark, sf_dir), f"{path}/input", "csv")
-    return load(spark, f"{path}/input", path, STAR)
+    return load(spark, f"{path}/input", store.shared_dir(spark), STAR)
 
 
 @query(TABLE_CONTENTS)
@@ -198,7 +204,7 @@ def load_tables(spark, sf_dir):
 @query(TABLE_CONTENTS)
 def rebuild_tables(spark, sf_dir):
     """Two runs over the same folder: the second one is the published one, rows unchanged."""
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     made = norm.normalize(star.filled_wide(spark, sf_dir), STAR)
     for _ in range(2):
         run, folder = store.new_run(path)
@@ -211,7 +217,7 @@ def rebuild_tables(spark, sf_dir):
        f"{sql.BASE} SELECT * FROM wide WHERE {' + '.join(STAR.components)} = 0)")
 def refused_load(spark, sf_dir):
     """The load of all samples, zero totals included, is refused; the findings say why."""
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     store.write_table(star.wide(spark, sf_dir), f"{path}/input", "csv")
     try:
         load(spark, f"{path}/input", path, STAR)
@@ -258,7 +264,7 @@ FINDINGS = "WITH found AS (" + " UNION ALL ".join([
 
 def _findings(spark, sf_dir) -> DataFrame:
     """Typed once into a table that all rules read, as the load job does."""
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     typed = type_wide(star.faulty_text(spark, sf_dir), LINES)
     store.write_table(typed, path)
     return checks.violations(spark.read.schema(typed.schema).parquet(path), LINES)
@@ -268,7 +274,7 @@ def _findings(spark, sf_dir) -> DataFrame:
 FROM lineitem WHERE l_partkey % 97 IN (0, 1)""")
 def malformed_rows(spark, sf_dir):
     """Records with a surplus or a missing field, found in the text by the CSV scan."""
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     star.malformed_csv(spark, sf_dir, path)
     found = checks.violations(read_wide(spark, path, LINES), LINES)
     return found.where("rule = 'malformed_row'").select(
@@ -581,7 +587,7 @@ def student_t_closed_forms(spark, sf_dir):
 WHERE scope <> 'baseline'""")
 def statistics_by_table_write(spark, sf_dir):
     """Written as one table partitioned by scope, read back with the scope as a filter."""
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     stats = _stats(spark, sf_dir)
     store.write_table(stats.coalesce(1), path, "csv", partition_by="scope")
     back = store.read_optional(spark, path, "csv", stats.schema)
@@ -830,7 +836,7 @@ def explore_row_count(spark, sf_dir):
 
 @query(f"{sql.FREQUENCIES} SELECT {FREQUENCY_SQL} FROM long WHERE {CHOSEN_SQL}")
 def explore_export(spark, sf_dir):
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     frequencies = table_frequencies(star.tables(spark, sf_dir), STAR)
     store.write_table(views.explore(frequencies, CHOSEN, "42", rounded=False), path, "csv")
     return rounded(store.read_optional(spark, path, "csv", frequencies.schema))
@@ -845,7 +851,7 @@ def _positions(spark, df: DataFrame, key: str) -> DataFrame:
     Files are numbered by their names and rows within a file's part by their ids; only the list
     of parts is ordered in one task.
     """
-    path = store.shared_dir(spark)
+    path = store.working_dir(spark)
     store.write_table(df, path, "csv")
     read = store.read_optional(spark, path, "csv", df.schema).selectExpr(
         f"{key} AS key", "_metadata.file_name AS file", "_metadata.file_block_start AS start",
