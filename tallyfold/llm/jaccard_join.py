@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyfold.llm.common import staged, text_or_empty
 from tallyfold.llm.components import connected
@@ -299,8 +299,8 @@ def postings(docs: DataFrame, shingle: int, prefixes: Prefixes) -> DataFrame:
         index, "key long, high long, low long, n int, place int")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(row, tokens) of the sets ``wanted`` (high, low, row), from docs (text)."""
+def texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(row, text): a text of each of the sets ``wanted`` (high, low, row), from docs (text)."""
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, known = Shingles(shingle), NewSets()
         for batch in batches:
@@ -313,30 +313,31 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     ["high", "low", "text"])
                 at += len(some)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(shingle)
-        for batch in batches:
-            at = 0
-            for some in _sets(batch["text"], shingles):
-                ends = np.cumsum([0, *map(len, some)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    batch["row"].slice(at, len(some)),
-                    pa.ListArray.from_arrays(ends, np.concatenate(some).view(np.int64))],
-                    ["row", "tokens"])
-                at += len(some)
-
     texts = docs.select("text").mapInArrow(digest, "high long, low long, text string")
-    one = texts.join(wanted, ["high", "low"]).select("row", "text").dropDuplicates(["row"])
-    return one.mapInArrow(read, "row long, tokens array<long>")
+    return texts.join(wanted, ["high", "low"]).dropDuplicates(["high", "low"]).select("row", "text")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets reach the threshold."""
-    both = (pairs.join(sets.select(F.col("row").alias("v"), F.col("tokens").alias("b")), "v")
-            .join(sets.select(F.col("row").alias("u"), F.col("tokens").alias("a")), "u"))
-    shared = F.size(F.array_intersect("a", "b"))
-    total = F.size("a") + F.size("b")
-    return both.where((100 + percent) * shared >= percent * total).select("u", "v")
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets reach the threshold. Texts are sent, being smaller than sets."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(shingle)
+        last, left = None, None
+        for batch in batches:
+            kept, at = [], 0
+            u, texts_u = batch["u"].to_pylist(), batch["a"]
+            for some in _sets(batch["b"], shingles):
+                for right in some:
+                    if u[at] != last:  # rows of one u follow each other
+                        last, left = u[at], next(_sets(texts_u.slice(at, 1), shingles))[0]
+                    shared = len(np.intersect1d(left, right, assume_unique=True))
+                    kept.append((100 + percent) * shared >= percent * (len(left) + len(right)))
+                    at += 1
+            yield pa.RecordBatch.from_arrays([batch["u"], batch["v"]], ["u", "v"]).filter(
+                pa.array(kept, pa.bool_()))
+
+    both = (pairs.join(texts.select(F.col("row").alias("v"), F.col("text").alias("b")), "v")
+            .join(texts.select(F.col("row").alias("u"), F.col("text").alias("a")), "u"))
+    return both.select("u", "v", "a", "b").mapInArrow(check, "u long, v long")
 
 
 def _may_link(left: str, right: str, percent: int) -> str:
@@ -377,22 +378,22 @@ def linked_sets(docs: DataFrame, distinct: DataFrame, shingle: int, percent: int
     """(node, root) of the rows of ``distinct`` (high, low, row), the sets of docs (text), that links
     connect; roots are left out."""
     prefixes = Prefixes(frequency_sketch(docs, shingle), percent)
-    dealt = postings(docs, shingle, prefixes).repartition("key")
-    entries = dealt.groupBy("key").agg(F.min(F.struct("high", "low")).alias("least"),
-                                       F.max(F.struct("high", "low")).alias("most")).where(
-        "least <> most").select("key")
-    several = staged(dealt.join(entries, "key").distinct(), "several")
+    # A set has one row in an entry, and many entries, so no entry has a large share of the rows.
+    entry, both = Window.partitionBy("key"), F.struct("high", "low")
+    several = staged(postings(docs, shingle, prefixes).withColumn(
+        "least", F.min(both).over(entry)).withColumn("most", F.max(both).over(entry)).where(
+        "least <> most").drop("least", "most").distinct(), "several")
     wanted = staged(several.select("high", "low").distinct().join(distinct, ["high", "low"]),
                     "wanted")
-    sets = staged(sets_of(docs, wanted, shingle), "sets")
+    texts = staged(texts_of(docs, wanted, shingle), "texts")
     shared = several.join(wanted, ["high", "low"]).select("key", "row", "n", "place")
     first = shared.groupBy("key").agg(F.min(F.struct("row", "n", "place")).alias("first"))
     shared = staged(shared.join(first, "key"), "shared")
     tested = staged(_to_first(shared.alias("shared"), percent), "candidates")
-    roots = connected(verified(tested, sets, percent))
+    roots = connected(verified(tested, texts, shingle, percent))
     rest = staged(_across(shared, roots, percent).join(tested, ["u", "v"], "left_anti"),
                   "candidates")
-    return connected(roots.toDF("u", "v").unionByName(verified(rest, sets, percent)))
+    return connected(roots.toDF("u", "v").unionByName(verified(rest, texts, shingle, percent)))
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
