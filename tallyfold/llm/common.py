@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tallyfold.sources.tables import shared_dir
+from tallyfold.sources.tables import staged  # noqa: F401  the operators' intermediate tables
 
 
 _shipped: set[str] = set()
@@ -30,16 +30,6 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table of its own in the cluster's shared folder, and read back.
-
-    Cuts the lineage: a lost executor costs the tasks that read the table, not those that made it.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(column: str | Column) -> Column:
     """The text as a string; null counts as the empty text."""
     return F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"),

@@ -12,7 +12,7 @@ from tallyfold.llm import (
     chat, decontaminate, hamming_search, hard_negatives, jaccard_join, lattice_lm, lexical_search,
     pii, secrets, sentencepiece_codec, simhash, toxicity, warc)
 from tallyfold.llm.common import ship
-from tallyfold.sources.tables import shared_dir
+from tallyfold.sources.tables import scope, working_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,7 +25,8 @@ def query(function: Query) -> Query:
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
-        return function(spark, sf_dir)
+        with scope(spark) as job:  # what the operator stages goes when its result is written
+            return job.keep(function(spark, sf_dir))
 
     QUERIES[function.__name__] = run
     return run
@@ -84,7 +85,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/archive"
+    folder = f"{working_dir(spark)}/archive"
     warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return warc.read(spark, folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
