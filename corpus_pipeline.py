@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold.llm import decontaminate, secrets, sentencepiece_codec, simhash, toxicity
-from tallyfold.llm.common import ship, staged
+from tallyfold.llm.common import ship
+from tallyfold.sources.tables import drop_folder, scope, shared_dir
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -64,7 +65,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows. A stage's own tables go when its rows are written, and these when the
+    next stage's are."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        folder = shared_dir(spark)
+        with scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        if last is not None:
+            drop_folder(spark, last)
+        last = folder
     return docs
