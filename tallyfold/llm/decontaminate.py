@@ -42,8 +42,9 @@ def mix(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(31))
 
 
-def word_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit keys of all words in order, number of words of each text).
+def word_keys(texts: list[str], prefix: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit keys of all words in order, or of their first ``prefix`` bytes, number of words of each
+    text).
 
     Words of up to 8 bytes have their bytes as key, mixed; longer ones a hash over their 8-byte
     pieces. Two words share a key by chance only (2**-64 a pair); a false hit would need that inside
@@ -57,6 +58,7 @@ def word_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edge[::2], edge[1::2]
     text_ends = np.cumsum(sizes + 1)
     counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
+    ends = ends if prefix is None else np.minimum(ends, starts + prefix)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eights = np.lib.stride_tricks.as_strided(padded, (len(data), 8), (1, 1))
     length = ends - starts

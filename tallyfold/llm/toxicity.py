@@ -1,8 +1,9 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features are words, pairs of neighbours and pairs with one word between, hashed to ``2**bits``
-buckets; a text has a feature or not, so its length doesn't matter. Each coordinate has its own
-learning rate, and the L1 term keeps most weights at exactly zero; the others are broadcast.
+Features are words, their stems (the first five bytes), pairs of neighbours and pairs with one word
+between, hashed to ``2**bits`` buckets; a text has a feature or not, so its length doesn't matter. Each
+coordinate has its own learning rate, and the L1 term keeps most weights at exactly zero; the others
+are broadcast. The strength of the L1 term is chosen by folds of the training rows.
 """
 
 from __future__ import annotations
@@ -19,8 +20,12 @@ from tallyfold.llm.decontaminate import mix, word_keys
 
 BITS = 20
 MAX_TRAINING_ROWS = 16_000
+#: Features of all training rows together, and rows by which the L1 strength is chosen.
+MAX_TRAINING_FEATURES, CHOOSING_ROWS = 32 << 20, 4_000
 SLICE_BYTES = 2 << 20
+STEM = 5
 THRESHOLD = 0.3
+L1_STRENGTHS, FOLDS = (2.0, 4.0, 8.0), 3
 
 
 def features(texts: list[str], bits: int, wanted: np.ndarray | None = None):
@@ -29,12 +34,13 @@ def features(texts: list[str], bits: int, wanted: np.ndarray | None = None):
     ``wanted`` (a flag for each bucket) leaves out the other buckets.
     """
     keys, counts = word_keys(texts)
+    stems = word_keys(texts, STEM)[0]  # a short word is its own stem
     text = np.repeat(np.arange(len(texts)), counts)
     found_text, found = [], []
-    for gap in (0, 1, 2):
-        n = max(0, len(keys) - gap)
-        feature = keys if gap == 0 else mix(
-            keys[:n] * np.uint64(2 * gap + 1) ^ (keys[gap:] >> np.uint64(1)))
+    for gap, words in ((0, keys), (0, stems), (1, keys), (2, keys)):
+        n = max(0, len(words) - gap)
+        feature = words if gap == 0 else mix(
+            words[:n] * np.uint64(2 * gap + 1) ^ (words[gap:] >> np.uint64(1)))
         bucket = (mix(feature) >> np.uint64(64 - bits)).astype(np.int64)
         use = text[:n] == text[gap:]
         if wanted is not None:
@@ -70,7 +76,7 @@ def sigmoid(x):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_column: str, held_out: Column,
-                  max_rows: int) -> DataFrame:
+                  max_rows: int, text: str = "text") -> DataFrame:
     """(id, text, label, place) of the labelled rows that aren't held out, in the order of a hash of
     the id; of more than ``max_rows`` ids the first ones. An id with several labels has the highest.
     """
@@ -78,16 +84,44 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_column: str, held_out:
               .groupBy(F.col(id_column).alias("id")).agg(F.max("toxic").alias("label"))
               .where(~held_out).withColumn("place", F.xxhash64("id"))
               .orderBy("place", "id").limit(max_rows))
-    return docs.select(F.col(id_column).alias("id"), text_or_empty("text").alias("text")).join(
+    return docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text")).join(
         F.broadcast(chosen), "id")
 
 
-def train(rows: DataFrame, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float = 4.0,
-          l2: float = 1.0, epochs: int = 2) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: list[tuple[int, np.ndarray]], bits: int, l1: float, alpha: float = 1.0,
+        beta: float = 1.0, l2: float = 1.0, epochs: int = 2) -> np.ndarray:
+    """Weights learned from (label, features) in their order, the bias last."""
+    model = Ftrl(1 << bits, alpha, beta, l1, l2)
+    for _ in range(epochs):
+        for label, at in rows:
+            model.learn(at, label)
+    return model.weights()
+
+
+def chosen_strength(rows: list[tuple[int, np.ndarray]], bits: int,
+                    strengths: tuple[float, ...] = L1_STRENGTHS, folds: int = FOLDS) -> float:
+    """The L1 strength whose models give the labels of folds that they haven't seen the most
+    likelihood; the larger one of equals. Uses the first CHOOSING_ROWS rows."""
+    some = rows[:CHOOSING_ROWS]
+    losses = {}
+    for l1 in strengths:
+        losses[l1] = 0.0
+        for fold in range(folds):
+            w = fit([r for i, r in enumerate(some) if i % folds != fold], bits, l1)
+            for label, at in some[fold::folds]:
+                score = sigmoid(w[at].sum())
+                losses[l1] -= float(np.log(max(score if label else 1 - score, 1e-12)))
+    return min(strengths, key=lambda l1: (round(losses[l1], 9), -l1))
+
+
+def train(rows: DataFrame, bits: int = BITS, l1: float | None = None,
+          max_features: int = MAX_TRAINING_FEATURES, **options) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, weights) other than zero; bucket ``2**bits`` is the bias. No rows: none.
 
     ``rows`` are those of ``training_rows``, which bounds their number: their features are made
-    where the rows are, and one task runs over them, in the order of their places.
+    where the rows are, and one task runs over them, in the order of their places, up to
+    ``max_features`` features in all (the sample's other bound). Without ``l1`` its strength is
+    chosen by folds of these rows.
     """
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,21 +131,20 @@ def train(rows: DataFrame, bits: int = BITS, alpha: float = 1.0, beta: float = 1
                  pa.array(found, pa.list_(pa.int32()))], ["place", "id", "label", "features"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(p, i, y, np.append(f.values.to_numpy(), np.int32(1 << bits))) for batch in batches
-                for p, i, y, f in zip(batch["place"].to_pylist(), batch["id"].to_pylist(),
-                                      batch["label"].to_pylist(), batch["features"])]
-        rows.sort(key=lambda r: (r[0], r[1], r[3].tobytes()))
-        model = Ftrl(1 << bits, alpha, beta, l1, l2)
-        for _ in range(epochs):
-            for _, _, label, at in rows:
-                model.learn(at, label)
-        weights = model.weights()
+        rows, left = [], max_features
+        for batch in batches:
+            for label, found in zip(batch["label"].to_pylist(), batch["features"]):
+                left -= len(found)
+                if left >= 0:
+                    rows.append((label, np.append(found.values.to_numpy(), np.int32(1 << bits))))
+        weights = fit(rows, bits, chosen_strength(rows, bits) if l1 is None else l1, **options)
         kept = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(weights[kept])],
                                          ["bucket", "weight"])
 
     table = (rows.mapInArrow(hashed, "place long, id string, label int, features array<int>")
-             .repartition(1).mapInArrow(learn, "bucket long, weight double").toArrow())
+             .repartition(1).sortWithinPartitions("place", "id", "features")
+             .mapInArrow(learn, "bucket long, weight double").toArrow())
     return table["bucket"].to_numpy(), table["weight"].to_numpy()
 
 
@@ -150,8 +183,8 @@ def scored(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", folds:
         return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit(""))),
                       F.lit(folds)) == held_fold
 
-    rows = training_rows((docs if training_docs is None else training_docs).withColumnRenamed(
-        text, "text"), labels, id_column, fold(F.col("id")), max_rows)
+    rows = training_rows(docs if training_docs is None else training_docs, labels, id_column,
+                         fold(F.col("id")), max_rows, text)
     bits = options.get("bits", BITS)
     score = scorer(docs.sparkSession, train(rows, **options), bits)(text_or_empty(text))
     name = fresh(docs, "toxicity")
