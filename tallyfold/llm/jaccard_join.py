@@ -11,9 +11,11 @@ first had over n - t tokens that the other lacks.
 A frequent token's class depends on the band of set sizes, so that a class has a handful of tokens in
 a prefix of any length; sets near the end of a band are indexed in the next one too.
 
-Candidates are verified exactly, in two rounds: every set of an entry against the entry's first
-one, then, in entries whose sets are not all connected by then, the pairs of different components. No
-group of linked sets is written out as pairs.
+Candidates are verified exactly. In the first rounds every set is held against one other of its entries,
+an entry's first set in an order that differs by round, which connects groups of near copies by
+few links. Then, in entries whose sets are not all connected, the pairs of different components are
+compared by bitmaps, whose differing bits bound from below in how many tokens sets differ, and
+what passes is verified. No group of linked sets is written out as pairs.
 """
 
 from __future__ import annotations
@@ -28,11 +30,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyfold.llm.common import staged, text_or_empty
 from tallyfold.llm.components import connected
 
-WIDTH = 1 << 20  # counters of the frequency sketch: 4 MB, whatever the corpus
+WIDTH = 1 << 22  # counters of the frequency sketch: 16 MB, whatever the corpus
 CHUNK = 1 << 14  # counters in a row of its partial sums
 KNOWN_SETS = 1 << 18  # digests of a task by which it leaves out sets that it has seen
 PIECE, PIECE_WORDS = 1 << 20, 1 << 17  # bytes taken apart together; words of a longer text
 BAND = 4  # a band of set sizes ends at this many times its start
+ROUNDS, BITS = 2, 512  # rounds of one candidate for each set; bits of a bitmap
+_BIT_COLUMNS = [f"b{i}" for i in range(BITS // 64)]
 CELL = 1_024  # sets of an entry that are compared with as many others in a task
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -176,12 +180,12 @@ def frequency_sketch(docs: DataFrame, shingle: int, width: int = WIDTH) -> np.nd
     chunk = min(CHUNK, width)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, known, totals = Shingles(shingle), NewSets(), np.zeros(width, np.int64)
+        shingles, known, totals = Shingles(shingle), NewSets(), np.zeros(width, np.int32)
         for batch in batches:
             for some in _sets(batch["text"], shingles):
                 found = [some[i] for i in known.new(some)[1]]
                 places = np.concatenate([np.zeros(0, np.uint64), *found]) % np.uint64(width)
-                totals += np.bincount(places.astype(np.int64), minlength=width)
+                np.add.at(totals, places.astype(np.int64), 1)
         places = np.flatnonzero(totals.reshape(-1, chunk).any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(places, pa.int64()),
@@ -192,7 +196,7 @@ def frequency_sketch(docs: DataFrame, shingle: int, width: int = WIDTH) -> np.nd
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for place, counts in zip(batch["chunk"].to_pylist(), batch["counts"]):
-                part = np.frombuffer(counts.as_buffer(), np.int64)
+                part = np.frombuffer(counts.as_buffer(), np.int32).astype(np.int64)
                 sums[place] = sums[place] + part if place in sums else part
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int64()),
@@ -347,30 +351,69 @@ def _may_link(left: str, right: str, percent: int) -> str:
             f"{100 + percent}L * least({left}.n - {left}.place, {right}.n - {right}.place) >= {least}")
 
 
-def _to_first(shared: DataFrame, percent: int) -> DataFrame:
-    """Candidates (u, v): every set of an entry with the entry's first one."""
-    return (shared.where("row <> first.row").where(_may_link("first", "shared", percent))
-            .select(F.col("first.row").alias("u"), F.col("row").alias("v")).distinct())
+def bitmaps(texts: DataFrame, shingle: int) -> DataFrame:
+    """(row, b0, b1, ...): BITS bits of each set, a bit being the parity of its tokens with that residue.
 
+    Sets differ in at least as many tokens as their bitmaps do in bits.
+    """
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(shingle)
+        for batch in batches:
+            found = [np.packbits(np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+                                 .astype(np.uint8) & 1).view(np.int64)
+                     for some in _sets(batch["text"], shingles) for s in some]
+            columns = np.array(found).reshape(-1, BITS // 64).T
+            yield pa.RecordBatch.from_arrays(
+                [batch["row"], *[pa.array(np.ascontiguousarray(c)) for c in columns]],
+                ["row", *_BIT_COLUMNS])
+
+    return texts.mapInArrow(read, "row long, " + ", ".join(f"{c} long" for c in _BIT_COLUMNS))
+
+
+def _bits_apart(left: str, right: str) -> str:
+    return " + ".join(f"bit_count({left}.{c} ^ {right}.{c})" for c in _BIT_COLUMNS)
 
-def _across(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Candidates (u, v): the pairs of an entry that lie in different components.
+
+def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    return shared.join(roots, shared["row"] == roots["node"], "left").select(
+        "key", "row", "n", "place", F.coalesce("root", "row").alias("root"))
+
+
+def _one_each(shared: DataFrame, roots: DataFrame, percent: int, number: int) -> DataFrame:
+    """Candidates (u, v): for every set one first set of an entry, in an order that differs by round,
+    of those that lie in another component."""
+    order = F.col("row") if number == 0 else F.xxhash64("row", F.lit(number))
+    known = staged(_with_roots(shared, roots).withColumn("turn", order), "known")
+    first = known.groupBy("key").agg(
+        F.min(F.struct("turn", "row", "n", "place", "root")).alias("first"),
+        F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    met = known.alias("k").join(first.select("key", "first"), "key").where(
+        f"k.root <> first.root AND {_may_link('first', 'k', percent)}")
+    return met.groupBy(F.col("k.row").alias("v")).agg(
+        F.min(F.struct("first.turn", "first.row")).alias("best")).select(
+        F.col("best.row").alias("u"), "v")
+
+
+def _across(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Candidates (u, v): the pairs of an entry that lie in different components and whose bitmaps
+    allow a link.
 
     The sets of an entry are dealt into parts, and each pair of parts is a cell of bounded size.
     """
-    known = shared.join(roots, shared["row"] == roots["node"], "left").select(
-        "key", "row", "n", "place", F.coalesce("root", "row").alias("root"))
-    known = staged(known, "known")
+    known = staged(_with_roots(shared, roots), "known")
     mixed = (known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
                                       F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
              .where("low <> high").select("key", "parts"))
-    open_ = known.join(mixed, "key").withColumn("part", F.expr("pmod(xxhash64(row), parts)"))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = open_.withColumn("other", every).alias("l")
-    right = open_.withColumn("other", every).alias("r")
-    met = left.join(right, F.expr(
+    open_ = known.join(mixed, "key").join(bits, "row").withColumn(
+        "part", F.expr("pmod(xxhash64(row), parts)"))
+    every = F.explode(F.expr("sequence(0L, CAST(parts AS BIGINT) - 1)"))
+    dealt = staged(open_.withColumn("other", every), "dealt")
+    met = dealt.alias("l").join(dealt.alias("r"), F.expr(
         "l.key = r.key AND l.part = r.other AND l.other = r.part AND l.row < r.row "
-        f"AND l.root <> r.root AND {_may_link('l', 'r', percent)}"))
+        f"AND l.root <> r.root AND {_may_link('l', 'r', percent)} "
+        # the tokens by which linked sets may differ: all less twice the least that they share
+        f"AND {_bits_apart('l', 'r')} <= l.n + r.n "
+        f"- 2 * ceil({percent}D * (l.n + r.n) / {100 + percent}D - 1e-9)"))
     return met.select(F.col("l.row").alias("u"), F.col("r.row").alias("v")).distinct()
 
 
@@ -386,12 +429,14 @@ def linked_sets(docs: DataFrame, distinct: DataFrame, shingle: int, percent: int
     wanted = staged(several.select("high", "low").distinct().join(distinct, ["high", "low"]),
                     "wanted")
     texts = staged(texts_of(docs, wanted, shingle), "texts")
-    shared = several.join(wanted, ["high", "low"]).select("key", "row", "n", "place")
-    first = shared.groupBy("key").agg(F.min(F.struct("row", "n", "place")).alias("first"))
-    shared = staged(shared.join(first, "key"), "shared")
-    tested = staged(_to_first(shared.alias("shared"), percent), "candidates")
-    roots = connected(verified(tested, texts, shingle, percent))
-    rest = staged(_across(shared, roots, percent).join(tested, ["u", "v"], "left_anti"),
+    shared = staged(several.join(wanted, ["high", "low"]).select("key", "row", "n", "place"),
+                    "shared")
+    roots = docs.sparkSession.createDataFrame([], "node long, root long")
+    for number in range(ROUNDS):
+        tested = staged(_one_each(shared, roots, percent, number), "candidates")
+        roots = connected(roots.toDF("u", "v").unionByName(
+            verified(tested, texts, shingle, percent)))
+    rest = staged(_across(shared, roots, staged(bitmaps(texts, shingle), "bitmaps"), percent),
                   "candidates")
     return connected(roots.toDF("u", "v").unionByName(verified(rest, texts, shingle, percent)))
 

@@ -1,10 +1,13 @@
 """Personal data: base shapes, and identifiers that learned contexts give away.
 
-The base shapes are seeds. Each identifier-like token (one with a digit or an @) that a seed covers
-induces lexical patterns: the word, and the two words, before it. Patterns and instances make a graph
-that is scored in rounds until nothing changes: a pattern by the confidence of the instances it
-extracts, an instance by the patterns that extract it. High-confidence patterns then give further spans. Only DataFrame
-functions are used; scores are grouped sums, combined before each shuffle.
+The base shapes are seeds. An identifier run is made of tokens with a digit or an @ that follow each
+other; a run that a seed meets induces lexical patterns: the word, and the two words, before it.
+Patterns and instances make a graph that is scored in rounds until nothing changes: a pattern by the
+share of all its places in the texts, whatever follows there, that lead to a confident instance; an
+instance by the patterns that extract it. A run that a base shape matched and refused (a wrong check
+digit, a part over 255, a wrong length) is no instance and so counts against its patterns.
+High-confidence patterns then give further spans. Only DataFrame functions are used; scores are
+grouped sums, combined before each shuffle.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyfold.llm.common import staged, text_or_empty
+from tallyfold.operators.skew import lookup_join
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
@@ -28,11 +32,12 @@ SHAPES = {
 }
 _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _SPACE = r"\x20\x09-\x0D"
-_TOKEN = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
+_TOKEN = rf"[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
+_RUN = rf"(?<![^{_SPACE}]){_TOKEN}(?:\x20{_TOKEN})*+"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _LOCATED = "array<struct<start:int,end:int,text:string,before:string>>"
 NEAR_CHARS, AT_ONCE = 80, 512
-MIN_SUPPORT, MIN_SCORE, SETTLED = 3, 0.8, 0.001
+CARD_DIGITS, MIN_SUPPORT, MIN_SCORE, SETTLED = 16, 3, 0.8, 0.001
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -102,91 +107,128 @@ def _spans(found: Column, kind: str) -> Column:
     return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"], x["end"]))
 
 
-def base_spans(text: Column, kind: str) -> Column:
-    """Array of (kind, start, end): the shape's leftmost non-overlapping matches that are valid."""
+def shape_spans(text: Column, kind: str) -> Column:
+    """Struct of two arrays of (kind, start, end): the shape's leftmost non-overlapping matches that
+    are ``valid``, and those that are ``refused``: a number counts as a refused card from
+    CARD_DIGITS digits on."""
+    def near(match: Column) -> Column:
+        digits = F.length(F.regexp_replace(match, "[^0-9]", ""))
+        return digits >= CARD_DIGITS if kind == "card" else F.lit(True)
+
     found = F.when(F.contains(text, F.lit(_NEEDS[kind])), _located(text, SHAPES[kind])).otherwise(
         F.array().cast(_LOCATED))
-    return _spans(F.filter(found, lambda x: _valid(kind, x["text"])), kind)
+    return _let(found, lambda all_: F.struct(
+        _spans(F.filter(all_, lambda x: _valid(kind, x["text"])), kind).alias("valid"),
+        _spans(F.filter(all_, lambda x: ~_valid(kind, x["text"]) & near(x["text"])), kind).alias(
+            "refused")))
+
 
+def _runs(text: Column, valid: Column, refused: Column) -> Column:
+    """Identifier runs, without marks around them, with their patterns, whether a valid span meets them
+    (seed), and whether only refused ones do."""
+    def meets(spans: Column, start: Column, end: Column) -> Column:
+        return F.exists(spans, lambda s: (s["start"] < end) & (start < s["end"]))
 
-def _tokens(text: Column, spans: Column) -> Column:
-    """Identifier-like tokens, without marks around them, with patterns and whether a span meets them."""
     def one(x: Column, back: Callable[[int], Column]) -> Column:
         left = F.length(F.regexp_extract(x["text"], "^[^A-Za-z0-9+]*", 0))
         body = F.regexp_replace(F.substr(x["text"], left + 1), "[^A-Za-z0-9]++$", "")
         start = x["start"] + left
         end = start + F.length(body)
-        # tokens are words, too: the last two words are among the two tokens before and those between
+        # tokens are words, too: the last two words are among the two runs before and those between
         words = F.when(F.contains(x["before"], F.lit(" ")), x["before"]).otherwise(F.concat_ws(
             " ", back(2)["text"], back(1)["before"], back(1)["text"], x["before"]))
         patterns = _let(F.reverse(_words(F.lower(words))), lambda w: F.array(
             w[0], F.concat(F.coalesce(F.get(w, F.lit(1)), F.lit("")), F.lit(" "), w[0])))
         return F.struct(
-            start.alias("start"), end.alias("end"), body.alias("instance"),
-            patterns.alias("patterns"),
-            F.exists(spans, lambda s: (s["start"] < end) & (start < s["end"])).alias("seed"))
+            start.alias("start"), end.alias("end"), F.md5(body).alias("instance"),
+            F.length(body).alias("n"), patterns.alias("patterns"),
+            meets(valid, start, end).alias("seed"), meets(refused, start, end).alias("refused"))
 
-    found = _let(_located(text, _TOKEN, words=True), lambda m: F.transform(
+    found = _let(_located(text, _RUN, words=True), lambda m: F.transform(
         m, lambda x, i: one(x, lambda n: F.get(m, i - n))))
-    return F.filter(found, lambda t: F.length(t["instance"]) > 0)
+    return F.filter(found, lambda t: (t["n"] > 0) & (t["seed"] | ~t["refused"]))
+
+
+def pattern_places(texts: Column, docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, places): how often a pattern's words are followed by any token, in all texts."""
+    words = F.filter(F.split(F.lower(texts), rf"[{_SPACE}]+"), lambda w: w != "")
+    places = docs.select(words.alias("words")).select(F.explode(F.transform(
+        F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))),
+        lambda w, i: F.struct(w.alias("last"), F.coalesce(F.get("words", i - 1), F.lit("")).alias(
+            "before")))).alias("at")).select("at.last", "at.before")
+    last = patterns.select(F.element_at(F.split("pattern", " "), -1).alias("last")).distinct()
+    met = lookup_join(places, staged(last, "last"), "last")
+    each = met.select(F.explode(F.array("last", F.concat_ws(" ", "before", "last"))).alias("pattern"))
+    return lookup_join(each, patterns.select("pattern"), "pattern").groupBy("pattern").agg(
+        F.count(F.lit(1)).alias("places"))
 
 
 def _pattern_scores(edges: DataFrame, instances: DataFrame) -> DataFrame:
-    """(pattern, score, support): mean and sum of the confidences of a pattern's instances."""
-    return edges.join(instances, "instance", "left").groupBy("pattern").agg(
-        F.avg(F.coalesce("confidence", F.lit(0.0))).alias("score"),
-        F.sum(F.coalesce("confidence", F.lit(0.0))).alias("support")).where(
+    """(pattern, score, support): the share of a pattern's places that lead to a confident instance, and
+    the sum of its instances' confidences."""
+    return lookup_join(edges, instances, "instance").groupBy("pattern").agg(
+        (F.sum(F.col("n") * F.col("confidence")) / F.max("places")).alias("score"),
+        F.sum("confidence").alias("support")).where(
         (F.col("support") >= MIN_SUPPORT) & (F.col("score") >= MIN_SCORE))
 
 
 def _instance_scores(edges: DataFrame, patterns: DataFrame) -> DataFrame:
     """(instance, confidence): one less the chance that all of its patterns are wrong."""
     wrong = F.log(1 - F.least("score", F.lit(0.99)))
-    return edges.join(patterns, "pattern").groupBy("instance").agg(
-        (1 - F.exp(F.sum(wrong))).alias("confidence"))
+    return lookup_join(edges, patterns.select("pattern", "score"), "pattern").groupBy(
+        "instance").agg((1 - F.exp(F.sum(wrong))).alias("confidence"))
 
 
-def good_patterns(occurrences: DataFrame) -> DataFrame:
-    """High-confidence (pattern, score, support) from (pattern, instance, seed) occurrences.
+def good_patterns(occurrences: DataFrame, texts: Column, docs: DataFrame) -> DataFrame:
+    """High-confidence (pattern, score, support) from (pattern, instance, seed) occurrences in the
+    ``texts`` of ``docs``.
 
     Seeds keep confidence 1; other instances start at 0 and get theirs from the patterns of the
-    round before. A pattern counts with the confidence of MIN_SUPPORT instances, a mean of MIN_SCORE.
-    Confidences never fall, so patterns only join: rounds end when none does and the supports
-    together grow by less than SETTLED.
+    round before. A pattern counts with the confidence of MIN_SUPPORT instances and where MIN_SCORE of
+    its places lead to confident ones. Confidences never fall, so patterns only join: rounds end when
+    none does and the supports together grow by less than SETTLED.
     """
-    edges = staged(occurrences.groupBy("pattern", "instance").agg(
-        F.max("seed").alias("seed")), "edges")
-    seeds = edges.where("seed").select("instance", F.lit(1.0).alias("confidence")).distinct()
-    edges = edges.select("pattern", "instance")
+    drawn = staged(occurrences.groupBy("pattern", "instance").agg(
+        F.max("seed").alias("seed"), F.count(F.lit(1)).alias("n")), "drawn")
+    several = staged(drawn.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).where(
+        F.col("instances") >= MIN_SUPPORT), "several")
+    places = staged(pattern_places(texts, docs, several), "places")
+    edges = staged(lookup_join(drawn, places, "pattern"), "edges")
+    seeds = staged(edges.where("seed").select(
+        "instance", F.lit(1.0).alias("confidence")).distinct(), "seeds")
+    edges = edges.select("pattern", "instance", "n", "places")
     patterns, counted, support = staged(_pattern_scores(edges, seeds), "patterns"), 0, 0.0
     while True:
         seen = patterns.agg(F.count("*"), F.coalesce(F.sum("support"), F.lit(0.0))).first()
         if seen[0] == counted and seen[1] - support < SETTLED:
             return patterns
         counted, support = seen
-        instances = seeds.unionAll(_instance_scores(edges, patterns)).groupBy("instance").agg(
-            F.max("confidence").alias("confidence"))
+        instances = staged(seeds.unionAll(_instance_scores(edges, patterns)).groupBy("instance").agg(
+            F.max("confidence").alias("confidence")), "instances")
         patterns = staged(_pattern_scores(edges, instances), "patterns")
 
 
 def personal_data(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id_column, email, ip, card, phone, context.
 
-    Each of the last five is an array of (kind, start, end) by start: the base shapes, and what good
-    contexts add beside them. Positions are code points, end exclusive. A null or empty text has
+    Each of the last five is an array of (kind, start, end) by start: the base shapes, and the runs that
+    good contexts add beside them. Positions are code points, end exclusive. A null or empty text has
     none; repeated rows and null ids have rows of their own; an empty table gives an empty one.
     """
     plain = docs.select(id_column, text_or_empty(text).alias("text_"))
+    found = plain
     for kind in KINDS:
-        plain = plain.withColumn(f"{kind}_", base_spans(F.col("text_"), kind))
-    every = F.concat(*[f"{kind}_" for kind in KINDS])
-    base = staged(plain.select(
+        found = found.withColumn(f"{kind}_found", shape_spans(F.col("text_"), kind))
+    valid, refused = (F.concat(*[F.col(f"{kind}_found")[part] for kind in KINDS])
+                      for part in ("valid", "refused"))
+    base = staged(found.select(
         F.monotonically_increasing_id().alias("row_"), id_column,
-        *[f"{kind}_" for kind in KINDS], _tokens(F.col("text_"), every).alias("tokens_")), "base")
-    tokens = base.select("row_", F.explode("tokens_").alias("t")).select(
+        *[F.col(f"{kind}_found")["valid"].alias(f"{kind}_") for kind in KINDS],
+        _runs(F.col("text_"), valid, refused).alias("runs_")), "base")
+    runs = base.select("row_", F.explode("runs_").alias("t")).select(
         "row_", "t.start", "t.end", "t.instance", "t.seed", F.explode("t.patterns").alias("pattern"))
-    patterns = good_patterns(tokens.select("pattern", "instance", "seed"))
-    added = tokens.where("not seed").join(patterns, "pattern").groupBy("row_").agg(F.sort_array(
+    patterns = good_patterns(runs.select("pattern", "instance", "seed"), F.col("text_"), plain)
+    added = lookup_join(runs.where("not seed"), patterns, "pattern").groupBy("row_").agg(F.sort_array(
         F.collect_set(F.struct(F.lit(CONTEXT).alias("kind"), "start", "end"))).alias("added"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     return base.join(added, "row_", "left").select(

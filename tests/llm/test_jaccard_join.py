@@ -147,6 +147,34 @@ def test_token_sets_are_those_of_the_words(monkeypatch, shingle):
         assert both == len(plain[i] & plain[i + 1])
 
 
+def test_bitmaps_bound_the_difference(spark):
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(60)]
+    given = [" ".join(edited(rng, base, rng.randrange(12))) for _ in range(40)] + ["", "a b"]
+    frame = spark.createDataFrame(list(enumerate(given)), "row long, text string")
+    rows = {r.row: [r[c] for c in jaccard_join._BIT_COLUMNS]
+            for r in jaccard_join.bitmaps(frame, 4).collect()}
+    sets = [plain_set(t) for t in given]
+    tight = 0
+    for i in range(len(given)):
+        for j in range(i):
+            apart = sum(((a ^ b) & (2 ** 64 - 1)).bit_count() for a, b in zip(rows[i], rows[j]))
+            assert apart <= len(sets[i] ^ sets[j])
+            tight += apart > 0.8 * len(sets[i] ^ sets[j])
+    assert tight > 400
+
+
+def test_stars_of_copies_that_only_the_original_links(spark):
+    """Copies are linked to the original, not to each other, whatever its place among them."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(400)]
+    for at in (0, 20, 39):
+        given = [" ".join(edited(rng, base, 7)) for _ in range(39)]
+        given.insert(at, " ".join(base))
+        got = check(spark, given)
+        assert len({c for _, c in got.values()}) == 1
+
+
 def test_awkward_rows(spark):
     frame = documents(spark, AWKWARD, first=50)
     rows = frame.select("doc_id", "text").collect()
