@@ -52,6 +52,7 @@ def digest(text: Column) -> Column:
 
 @query
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every document by kind, and the spans that learned contexts add."""
     found = pii.personal_data(documents(spark, sf_dir))
     base = F.concat(*pii.KINDS)
     return found.select(
@@ -66,6 +67,7 @@ ESCAPED = "\\### Assistant: </turn> ok"
 
 @query
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of marker strings, formatted, checked and read back."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
         "conv_id", "turn", "role", "text")
     own = spark.range(2).select(
@@ -83,18 +85,95 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "valid", "first_bad_turn")
 
 
+def _escaped_sql(text: str) -> str:
+    for plain, code in (("\\", "\\\\"), *((m, f"\\{k}") for k, m in enumerate(chat.CHAT.markers))):
+        text = f"replace({text}, '{plain}', '{code}')"
+    return text
+
+
+_MARKER_CHARS = sum(map(len, chat.CHAT.markers))
+_FINALS = ", ".join(f"'{role}'" for role in chat.CHAT.finals)
+ORACLES["op2_chat_formatting"] = f"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '{ESCAPED}'
+  FROM range(2) r(n)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS step
+  FROM given),
+allowed(state, role) AS (VALUES {", ".join(
+    f"('{state}', '{role}')" for state, after in chat.CHAT.steps.items() for role in after)}),
+-- a refused role leaves the state as it was: the last role that the machine took
+w(conv_id, step, state, bad) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, '{chat.CHAT.start}', NULL::BIGINT FROM placed
+  UNION ALL
+  SELECT w.conv_id, w.step + 1, CASE WHEN a.role IS NULL THEN w.state ELSE p.role END,
+         coalesce(w.bad, CASE WHEN a.role IS NULL THEN w.step END)
+  FROM w JOIN placed p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.step = w.step
+  LEFT JOIN allowed a ON a.state = w.state AND a.role = p.role),
+walk AS (SELECT conv_id, arg_max(state, step) AS state, max(bad) AS bad FROM w GROUP BY conv_id),
+formatted AS (
+  SELECT conv_id, count(*)::BIGINT AS n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY step)) AS turns_sha256,
+         coalesce(string_agg(text, '' ORDER BY step) FILTER (role = 'assistant'), '') AS loss,
+         sum(length({_escaped_sql("role")}) + length({_escaped_sql("text")}) + {_MARKER_CHARS})::BIGINT
+           AS formatted_chars
+  FROM placed GROUP BY conv_id)
+SELECT f.conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars, bad IS NULL AND state IN ({_FINALS}) AS valid,
+       bad::INTEGER AS first_bad_turn
+FROM formatted f JOIN walk k ON f.conv_id IS NOT DISTINCT FROM k.conv_id"""
+#: The date of the archive's records.
+WARC_DATE = "2024-01-31T00:00:00Z"
+
+
 @query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as an archive and read back, with digests of the records."""
     folder = f"{working_dir(spark)}/archive"
-    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder, WARC_DATE)
     return warc.read(spark, folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
         digest(F.col("record")).alias("record_sha256"),
         digest(F.col("original")).alias("original_sha256"))
 
 
+ORACLES["op4_warc"] = f"""
+WITH given AS (
+  SELECT page_id, url, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest,
+         octet_length(encode(coalesce(html, '')))::BIGINT AS bytes FROM pages),
+judged AS (
+  SELECT *, first_value(page_id) OVER same AS smallest, first_value(url) OVER same AS first_url
+  FROM given WINDOW same AS (PARTITION BY html ORDER BY page_id)),
+typed AS (
+  SELECT *, bytes >= {warc.SMALLEST_REVISIT} AND page_id <> smallest AS revisit,
+    concat_ws(chr(13) || chr(10), 'HTTP/1.1 200 OK', 'Content-Type: text/html; charset=UTF-8',
+              'Content-Length: ' || bytes, '', '') AS http FROM judged),
+made AS (
+  SELECT *, concat_ws(chr(13) || chr(10), 'WARC/1.1',
+      'WARC-Type: ' || CASE WHEN revisit THEN 'revisit' ELSE 'response' END,
+      'WARC-Record-ID: <urn:page:' || page_id || '/' || md5(url || chr(10) || digest) || '>',
+      'WARC-Date: {WARC_DATE}', 'WARC-Target-URI: ' || replace(replace(replace(
+        url, '\\', '\\\\'), chr(13), '\\r'), chr(10), '\\n'),
+      'WARC-Payload-Digest: sha256:' || digest,
+      CASE WHEN revisit THEN 'WARC-Profile: '
+        || 'http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' END,
+      CASE WHEN revisit THEN 'WARC-Refers-To: <urn:page:' || smallest || '/'
+        || md5(first_url || chr(10) || digest) || '>' END,
+      'Content-Type: application/http; msgtype=response',
+      'Content-Length: ' || (length(http) + CASE WHEN revisit THEN 0 ELSE bytes END), '', http)
+      AS head FROM typed)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+       CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN smallest END AS refers_to,
+       sha256(head || CASE WHEN revisit THEN '' ELSE html END) AS record_sha256,
+       sha256(head || html) AS original_sha256
+FROM made"""
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: four-word shingles, four bits."""
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
                         .alias("fingerprint"), "component_id")
@@ -102,11 +181,13 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of every document by the word model and by the lattice model."""
     return lattice_lm.scores(documents(spark, sf_dir), PIECE_MODEL)
 
 
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by a classifier trained on the rows that aren't held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.scored(documents(spark, sf_dir).select("doc_id", "text"), labels).select(
         "doc_id", "toxicity.*")
@@ -114,6 +195,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of all sign codes for each twentieth row."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     codes = hamming_search.sign_codes(vectors, "vec_id", "embedding")
     return hamming_search.top_k(codes, F.col("id") % 20 == 0, k=10)
@@ -135,6 +217,7 @@ SELECT query_id, rank::INTEGER AS rank, neighbor_id, distance FROM ranked WHERE
 
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of secrets in every document, and runs of few characters per token."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = secrets.secret_spans(docs, RANKS, PATTERN).select("doc_id", "secrets")
     base = F.filter("secrets", lambda s: s["kind"] != secrets.RANDOM)
@@ -146,6 +229,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document lies in benchmark windows, and its longest match."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     judged = decontaminate.verdicts(documents(spark, sf_dir).select("doc_id", "text"), items)
     return judged.select("doc_id", *[f"verdict.{c}" for c in (
@@ -154,6 +238,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return (sentencepiece_codec.encode_and_decode(docs, PIECE_MODEL)
             .select("doc_id", "codec.n_tokens", "codec.ids_sha256", "codec.decoded_sha256"))
