@@ -371,7 +371,8 @@ def _searcher(block, shard_bytes: int):
 
 def verdicts(docs: DataFrame, items: DataFrame, text: str | Column = "text", **options) -> DataFrame:
     """``docs`` with a struct column ``verdict`` (underscores if taken): n_words, n_hit, n_items,
-    items_sha256, contaminated, longest, and the ``hits`` of every block by start.
+    items_sha256, contaminated, longest, longest_item, longest_item_start, longest_start, and the ``hits``
+    of every block by start.
 
     n_hit: words inside any window's occurrence. items_sha256: hex digest of the distinct ids, sorted
     as strings and comma-joined. contaminated: a twentieth of the words or more is hit.
@@ -388,12 +389,17 @@ def verdicts(docs: DataFrame, items: DataFrame, text: str | Column = "text", **o
         lambda a, h: a + h["end"] - h["start"])).otherwise(F.size(many).cast("long"))
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform(at, lambda b: b["items"]))))
     n_words = at[0]["n_words"]
+    # of the blocks' longest matches the first in the document
+    best = F.array_max(F.transform(at, lambda b: F.struct(
+        b["longest"], (-b["longest_start"]).alias("before"), b["longest_item"],
+        b["longest_item_start"])))
     verdict = F.struct(
         n_words.alias("n_words"), n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= n_words)).alias("contaminated"),
-        F.array_max(F.transform(at, lambda b: b["longest"])).alias("longest"),
-        F.array_sort(F.flatten(blocks)).alias("hits"))
+        best["longest"].alias("longest"), best["longest_item"].alias("longest_item"),
+        best["longest_item_start"].alias("longest_item_start"),
+        (-best["before"]).alias("longest_start"), F.array_sort(F.flatten(blocks)).alias("hits"))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns],
                         verdict.alias(fresh(docs, "verdict")))
 

@@ -233,7 +233,38 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     judged = decontaminate.verdicts(documents(spark, sf_dir).select("doc_id", "text"), items)
     return judged.select("doc_id", *[f"verdict.{c}" for c in (
-        "n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
+        "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_start")])
+
+
+def _words_sql(table: str, key: str) -> str:
+    return (f"(SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), "
+            "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            rf"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})")
+
+
+ORACLES["op9_decontamination"] = f"""
+WITH worded AS {_words_sql("documents", "doc_id")},
+d AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM worded),
+i AS (SELECT item_id, len(w) AS size, generate_subscripts(w, 1) AS p, unnest(w) AS word
+      FROM {_words_sql("benchmark", "item_id")}),
+met AS (SELECT doc_id, item_id, size, d.p AS p, d.p - i.p AS lag FROM d JOIN i USING (word)),
+runs AS (
+  SELECT doc_id, item_id, size, min(p) AS start, count(*) AS n
+  FROM (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item_id, lag ORDER BY p) AS island
+        FROM met) GROUP BY doc_id, item_id, size, lag, island),
+longest AS (SELECT doc_id, max(n) AS longest, min(start) FILTER (n = most) - 1 AS longest_start
+  FROM (SELECT *, max(n) OVER (PARTITION BY doc_id) AS most FROM runs) GROUP BY doc_id),
+covered AS (SELECT * FROM runs WHERE n >= least(13, size)),
+hit AS (SELECT doc_id, count(DISTINCT place)::BIGINT AS n_hit FROM (
+  SELECT doc_id, unnest(range(start, start + n)) AS place FROM covered) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (
+  SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM covered) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(longest, 0)::INTEGER AS longest, longest_start::INTEGER AS longest_start
+FROM worded LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+LEFT JOIN longest USING (doc_id)"""
 
 
 @query

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 
 from tallyfold.llm import decontaminate
-from tallyfold.llm.queries import QUERIES
+from tallyfold.llm.queries import ORACLES, QUERIES
 from tests.llm.samples import AWKWARD, documents, no_documents, texts
+from verification.compare import connect
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -145,6 +146,33 @@ def test_query_equals_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     items = duckdb.sql(f"SELECT item_id, text FROM '{sf_dir}/benchmark.parquet'").fetchall()
     given = texts(sf_dir)
-    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op9_decontamination"](spark, sf_dir).collect()}
+    found = QUERIES["op9_decontamination"](spark, sf_dir).collect()
+    got = {r.doc_id: tuple(r)[1:6] for r in found}
+    matches = {r.doc_id: (r.longest, r.longest_start) for r in found}
+    runs = connect(sf_dir).execute(ORACLES["op9_decontamination"]).fetchall()
+    assert matches == {r[0]: tuple(r)[6:] for r in runs}
     assert got == {d: row for (d, _), row in zip(given, brute([t for _, t in given], items))}
     assert any(r[4] for r in got.values())
+
+
+@pytest.mark.parametrize("block_words", [10 ** 6, 12])
+def test_verdicts_locate_the_longest_match(spark, block_words):
+    """Over one block and over many: the first longest match of a document, and an item that holds it."""
+    rng = np.random.default_rng(8)
+    items = [(str(i), " ".join(rng.choice(list("abcde"), rng.integers(1, 15)))) for i in range(12)]
+    docs = [" ".join(rng.choice(list("abcdexyz"), rng.integers(0, 40))) for _ in range(60)] + [
+        items[3][1], f"x {items[5][1]} y {items[5][1]}", "z z", ""]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    asked = spark.createDataFrame(items, "item_id string, text string")
+    texts_ = dict(items)
+    for row in decontaminate.verdicts(frame, asked, block_words=block_words).collect():
+        v, words = row.verdict, row.text.split()
+        length, before = longest_of(row.text, items)
+        start = -before if length else None
+        assert (v.longest, v.longest_start) == (length, start)
+        if length:
+            held = texts_[v.longest_item].split()
+            at = v.longest_item_start
+            assert held[at:at + length] == words[start:start + length]
+        else:
+            assert v.longest_item is None and v.longest_item_start is None
