@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import argparse
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tallyfold.functions.scalars import canonical_order
 from tallyfold.operators.boxplot import annotate, boxes_of_ranks, boxplot_order
@@ -20,14 +21,14 @@ from tallyfold.plans.summary import significance_summary
 from tallyfold.sources.tables import (
     drop_folder, new_run, prune_runs, publish, published_run, read_optional, read_tables, scope,
     staged, write_table, write_tables, write_together)
-from tallyfold.sources.wide_csv import read_wide
+from tallyfold.sources.wide_csv import write_wide
 from tallyfold.study import CLINICAL, METADATA, STATS, Study
 
 KEEP_RUNS = 2
 
 
 def load(spark: SparkSession, path: str, out_dir: str, study: Study = CLINICAL, *,
-         multi_line: bool = False, keep_runs: int = KEEP_RUNS) -> dict[str, DataFrame]:
+         keep_runs: int = KEEP_RUNS) -> dict[str, DataFrame]:
     """Validate the wide CSV and rebuild the four tables; returns them as published, with the typed
     ``wide`` rows they were made from.
 
@@ -35,11 +36,9 @@ def load(spark: SparkSession, path: str, out_dir: str, study: Study = CLINICAL,
     that fails is deleted and never published, so the previous tables stay current; of the
     published runs the last ``keep_runs`` are kept.
     """
-    typed = read_wide(spark, path, study, multi_line)
     run, folder = new_run(f"{out_dir}/tables")
     try:
-        write_table(typed, f"{folder}/wide")
-        wide = spark.read.schema(typed.schema).parquet(f"{folder}/wide")
+        wide = write_wide(spark, path, study, f"{folder}/wide")
         require_valid(wide, study)
         write_tables(normalize(wide, study), folder)
     except BaseException:
@@ -84,17 +83,48 @@ def metadata_of(tables: dict[str, DataFrame]) -> DataFrame:
     return sample_metadata(tables, keys_checked=True)
 
 
-def cohort_frequencies(tables: dict[str, DataFrame], study: Study) -> DataFrame:
-    """Frequency rows with metadata of the comparison cohort.
+class CohortCheck:
+    """What the cohort should hold and what it holds, observed while it is written: rows, and the sum
+    of the hashes of (sample, component), which differs where keys are lost, repeated or swapped."""
+
+    def __init__(self, study: Study):
+        self.study, self.expected, self.found = study, Observation(), Observation()
+
+    @staticmethod
+    def _hash(*key: Column) -> Column:
+        return F.xxhash64(*key).cast("decimal(38,0)")
+
+    def chosen(self, samples: DataFrame) -> DataFrame:
+        """Watch the cohort's samples: each should have a row for every component."""
+        hashes = [self._hash(F.col("sample"), F.lit(c)) for c in self.study.components]
+        return samples.observe(
+            self.expected, (F.count(F.lit(1)) * F.lit(len(hashes))).alias("rows"),
+            F.sum(reduce(Column.__add__, hashes)).alias("keys"))
+
+    def rows(self, cohort: DataFrame) -> DataFrame:
+        """Watch the cohort's rows."""
+        key = self._hash(F.col("sample"), F.col("population"))
+        return cohort.observe(self.found, F.count(F.lit(1)).alias("rows"), F.sum(key).alias("keys"))
+
+    def agrees(self) -> bool:
+        """After the write: whether rows and keys are those expected."""
+        return self.expected.get == self.found.get
+
+
+def cohort_frequencies(tables: dict[str, DataFrame], study: Study,
+                       check: CohortCheck | None = None) -> DataFrame:
+    """Frequency rows with metadata of the comparison cohort; ``check`` watches its samples.
 
     The cohort is chosen before anything is totalled: totals are per sample, so leaving out whole
     samples first changes no percentage. Wide rows need no shuffle; else one partitioning by sample
     serves the join and the totals.
     """
+    watch = (lambda samples: samples) if check is None else check.chosen
     if "wide" in tables:
-        return composition_of_wide(comparison_cohort(tables["wide"], study), study.components,
+        wide = tables["wide"].select(*METADATA, *study.components)
+        return composition_of_wide(watch(comparison_cohort(wide, study)), study.components,
                                    keep=METADATA[1:])
-    chosen = comparison_cohort(metadata_of(tables), study)
+    chosen = watch(comparison_cohort(metadata_of(tables), study))
     counts = tables["cell_counts"].withColumnRenamed("sample_id", "sample")
     return composition(with_metadata(counts, chosen), keep=METADATA[1:],
                        one_row_per_component=True)
@@ -195,9 +225,11 @@ def _analysed(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str, s
     metadata = metadata_of(tables)
     run, folder = new_run(out_dir)
     try:
-        cohort = _written(cohort_frequencies(tables, study), f"{folder}/cohort_frequencies",
-                          "parquet")
-        require_whole_cohort(cohort, metadata, study)
+        check = CohortCheck(study)
+        cohort = _written(check.rows(cohort_frequencies(tables, study, check)),
+                          f"{folder}/cohort_frequencies", "parquet")
+        if not check.agrees():  # say which keys
+            require_whole_cohort(cohort, metadata, study)
         with ThreadPoolExecutor(max_workers=3) as pool:
             frequencies = pool.submit(frequencies_job, tables, folder, study, fmt)
             breakdowns = pool.submit(cohort_job, metadata, folder, study, fmt)
@@ -238,16 +270,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("step", choices=["load", "analyse", "all"])
     parser.add_argument("out_dir")
     parser.add_argument("--csv", help="wide input, needed by load and all")
-    parser.add_argument("--multi-line", action="store_true", help="read quoted line breaks")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     args = parser.parse_args(argv)
     if args.step != "analyse" and not args.csv:
         parser.error("--csv is needed")
     spark = SparkSession.builder.appName("tallyfold").getOrCreate()
     if args.step == "load":
-        load(spark, args.csv, args.out_dir, multi_line=args.multi_line)
+        load(spark, args.csv, args.out_dir)
     elif args.step == "all":
-        tables = load(spark, args.csv, args.out_dir, multi_line=args.multi_line)
+        tables = load(spark, args.csv, args.out_dir)
         analyse(tables, f"{args.out_dir}/results", fmt=args.format)
     else:
         tables = current_tables(spark, args.out_dir)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from tallyfold.sources.quoted_lines import InvalidInput, ends_outside, quoted_records
+from tallyfold.sources.tables import scope, working_dir
 from tallyfold.study import TIME, Study
 
 # Texts that mean "no value" in the input. Lower-case "none" is a treatment.
@@ -16,10 +20,6 @@ UNCASTABLE = "_uncastable"
 MALFORMED = "_malformed"
 
 
-class InvalidInput(ValueError):
-    """The input breaks the data contract."""
-
-
 def column_differences(columns: list[str], study: Study) -> tuple[list[str], list[str]]:
     """(missing, unexpected) column names, each sorted."""
     expected = set(study.wide_columns)
@@ -34,34 +34,65 @@ def require_columns(columns: list[str], study: Study) -> None:
         raise InvalidInput("load_data: " + "; ".join(parts))
 
 
-def read_wide_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Every column as text, bound by header name, and ``_malformed``: the text of a record with
-    more or fewer fields than the header, else NULL.
-
-    ``enforceSchema=false`` makes Spark compare each file's header with the first one, so files
-    with another column order are refused rather than read shifted. ``multi_line`` reads quoted
-    line breaks; a file is then one task's work. Without it, see ``open_quotes``.
-    """
-    def reader():
-        return (spark.read.option("header", True).option("enforceSchema", False)
-                .option("escape", '"').option("multiLine", multi_line))
-
+def _first_line(spark: SparkSession, path: str) -> str:
     try:
-        columns = reader().csv(path).columns
+        row = spark.read.text(path).first()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"CSV not found: {path}") from error
         raise
+    return "" if row is None else row[0].removeprefix("\ufeff")
+
+
+def header_columns(header: str) -> list[str]:
+    columns = next(csv.reader([header]), [])
+    if len(set(columns)) < len(columns):
+        raise InvalidInput(f"load_data: repeated columns: {sorted(columns)}")
+    return columns
+
+
+def parsed(records: DataFrame, columns: list[str]) -> DataFrame:
+    """Every column as text, and ``_malformed``: the text of a record with more or fewer fields than
+    the header, else NULL. ``records`` has one column, a record's text with its line breaks."""
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, MALFORMED])
-    # all columns are parsed, whatever is selected: a surplus field is seen only then
-    return (reader().schema(schema).option("columnNameOfCorruptRecord", MALFORMED)
-            .option("columnPruning", False).csv(path))
+    fields = F.from_csv(F.col(records.columns[0]), schema, {
+        "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": MALFORMED})
+    return records.select(fields.alias("fields")).select("fields.*")
 
 
-def open_quotes(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with an odd number of quotes: a quoted field goes on in the next line."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return spark.read.text(path).where(quotes % 2 == 1)
+def write_wide(spark: SparkSession, path: str, study: Study, folder: str) -> DataFrame:
+    """The wide input under its explicit types, written to ``folder`` and read back.
+
+    Columns are bound by the header, which must be the same line in all files. The text is read once,
+    line by line in parallel; while the rows are written it is counted which lines end inside a
+    quoted field. Only if there are any, it is read again by blocks (``quoted_records``).
+    """
+    header = _first_line(spark, path)
+    columns = header_columns(header)
+    require_columns(columns, study)
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path").count()
+    seen = Observation()
+    lines = spark.read.text(path).select(F.when(
+        F.startswith("value", F.lit("\ufeff")), F.substr("value", F.lit(2))).otherwise(
+            F.col("value")).alias("value"))
+    watched = lines.observe(seen, F.count_if(F.col("value") == header).alias("headers"),
+                            F.count_if(~ends_outside(F.col("value"))).alias("open"))
+    records = watched.where((F.col("value") != header) & (F.trim("value") != ""))
+    typed = type_wide(parsed(records, columns), study)
+    typed.write.mode("overwrite").parquet(folder)
+    if seen.get["open"]:
+        with scope(spark):
+            records = quoted_records(spark, path, header)
+            type_wide(parsed(records, columns), study).write.mode("overwrite").parquet(folder)
+    elif seen.get["headers"] != files:
+        raise InvalidInput(f"load_data: {seen.get['headers']} header lines in {files} files; each must "
+                           f"start with the same header: {header}")
+    return spark.read.schema(typed.schema).parquet(folder)
+
+
+def read_wide(spark: SparkSession, path: str, study: Study) -> DataFrame:
+    """The wide input under its explicit types; refuses a wrong column set. See ``write_wide``."""
+    return write_wide(spark, path, study, f"{working_dir(spark)}/wide")
 
 
 def blank_to_null(column: str) -> str:
@@ -93,13 +124,3 @@ def type_wide(raw: DataFrame, study: Study) -> DataFrame:
         for name in study.wide_columns], *extra)
     failed = ", ".join(f"IF(`{name}` IS NULL, '{name}', NULL)" for name in kinds)
     return typed.selectExpr("*", f"array_compact(array({failed})) AS {UNCASTABLE}")
-
-
-def read_wide(spark: SparkSession, path: str, study: Study, multi_line: bool = False) -> DataFrame:
-    """The wide input under its explicit types; refuses a wrong column set, and a quoted line break
-    unless it is read by ``multi_line``."""
-    raw = read_wide_text(spark, path, multi_line)
-    require_columns([c for c in raw.columns if c != MALFORMED], study)
-    if not multi_line and (broken := open_quotes(spark, path).first()) is not None:
-        raise InvalidInput(f"load_data: a quoted line break (read with multi_line): {broken[0]!r}")
-    return type_wide(raw, study)

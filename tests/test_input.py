@@ -1,6 +1,10 @@
+import csv
+import io
+import random
 from datetime import timedelta
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 from tallyfold import CLINICAL
@@ -8,7 +12,7 @@ from tallyfold.operators.checks import violations
 from tallyfold.operators.normalize import normalize, sample_metadata, with_metadata
 from tallyfold.operators.composition import composition
 from tallyfold.plans.jobs import load
-from tallyfold.sources import tables as store
+from tallyfold.sources import quoted_lines, tables as store
 from tallyfold.sources.tables import published_run
 from tallyfold.sources.wide_csv import MALFORMED, UNCASTABLE, InvalidInput, read_wide
 from tallyfold.study import METADATA, TABLES
@@ -42,14 +46,134 @@ def test_records_with_more_or_fewer_fields_are_found(spark, tmp_path):
     assert published_run(spark, str(tmp_path / "out/tables")) is None
 
 
-def test_quoted_line_breaks(spark, tmp_path):
-    path = write_csv(tmp_path / "a.csv", [{**BASE_ROW, "project": '"two\nlines"'}, {
-        **BASE_ROW, "sample": "other"}])
-    with pytest.raises(InvalidInput, match="quoted line break"):
+@pytest.fixture
+def small_blocks(spark):
+    """Files are cut into blocks of 70 bytes."""
+    names = {"spark.sql.files.maxPartitionBytes": "70", "spark.sql.files.openCostInBytes": "1"}
+    old = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+PROJECTS = ["two\nlines", "plain", 'a "quoted"\n\nword, and more', "\n", "x" * 300 + "\n" + "y" * 300,
+            'ends with a quote"', "comma, only", "one\r\ntwo", *["n"] * 20, "last\n"]
+
+
+def write_projects(path, ends="\n"):
+    """The way any CSV writer does: fields with a break, comma or quote are quoted."""
+    with open(path, "w", newline="") as out:
+        writer = csv.DictWriter(out, CLINICAL.wide_columns, lineterminator=ends)
+        writer.writeheader()
+        for i, project in enumerate(PROJECTS):
+            writer.writerow({**BASE_ROW, "sample": f"s{i}", "project": project})
+
+
+def projects(frame):
+    assert violations(frame, CLINICAL).where("rule = 'malformed_row'").count() == 0
+    return {r["sample"]: r.project for r in frame.collect()}
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_quoted_line_breaks(spark, tmp_path, ends):
+    write_projects(tmp_path / "a.csv", ends)
+    assert projects(read_wide(spark, str(tmp_path / "a.csv"), CLINICAL)) == {
+        f"s{i}": p for i, p in enumerate(PROJECTS)}
+
+
+def test_quoted_line_breaks_over_many_blocks(spark, tmp_path, small_blocks):
+    for name in ("a", "b"):
+        write_projects(tmp_path / f"{name}.csv")
+    (tmp_path / "empty.csv").write_text("")
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 40
+    got = read_wide(spark, str(tmp_path), CLINICAL)
+    assert got.count() == 2 * len(PROJECTS)
+    assert projects(got) == {f"s{i}": p for i, p in enumerate(PROJECTS)}
+
+
+def test_lone_quotes_are_characters(spark, tmp_path, small_blocks):
+    """A quote that doesn't start its field opens nothing, as the line's other fields show."""
+    rows = [{**BASE_ROW, "sample": "a", "project": 'six" wide'}, {**BASE_ROW, "sample": "b"},
+            {**BASE_ROW, "sample": "c", "project": 'o"ne"'}, {**BASE_ROW, "sample": "d"}]
+    plain = {"a": 'six" wide', "b": BASE_ROW["project"], "c": 'o"ne"', "d": BASE_ROW["project"]}
+    assert projects(read_wide(spark, write_csv(tmp_path / "a.csv", rows), CLINICAL)) == plain
+    rows.append({**BASE_ROW, "sample": "e", "project": '"two\nlines"'})
+    assert projects(read_wide(spark, write_csv(tmp_path / "b.csv", rows), CLINICAL)) == {
+        **plain, "e": "two\nlines"}
+
+
+@pytest.mark.parametrize("bad,message", [
+    ('"never closed', "isn't closed"), ("\n".join(["broken,line", '"x\ny",1']), None)])
+def test_unclosed_quotes(spark, tmp_path, small_blocks, bad, message):
+    path = write_csv(tmp_path / "a.csv", [BASE_ROW] * 6)
+    with open(path, "a") as out:
+        out.write(bad)
+    if message is None:
+        found = violations(read_wide(spark, path, CLINICAL), CLINICAL)
+        assert found.where("rule = 'malformed_row'").count() == 2
+    else:
+        with pytest.raises(InvalidInput, match=message):
+            read_wide(spark, path, CLINICAL)
+
+
+def test_records_beyond_the_bound_are_refused(spark, tmp_path, small_blocks, monkeypatch):
+    path = write_csv(tmp_path / "a.csv", [BASE_ROW, {**BASE_ROW, "project": '"' + "z\n" * 300 + '"'}])
+    assert read_wide(spark, path, CLINICAL).count() == 2
+    monkeypatch.setattr(quoted_lines, "MAX_RECORD", 400)
+    with pytest.raises(InvalidInput, match="a record of"):
         read_wide(spark, path, CLINICAL)
-    whole = read_wide(spark, path, CLINICAL, multi_line=True)
-    assert sorted(r.project for r in whole.collect()) == [BASE_ROW["project"], "two\nlines"]
-    assert violations(whole, CLINICAL).where("rule = 'malformed_row'").count() == 0
+    walk = quoted_lines._Walk(1)
+    for line in ["z"] * 300:
+        walk.take(line)
+    assert walk.rest() == [("middle", None)] and len(walk.held) < 300  # within a block, too
+
+
+def test_walks_equal_the_csv_module():
+    """Random texts cut anywhere between lines: the records are those of Python's reader."""
+    rng = random.Random(6)
+    for _ in range(300):
+        rows = [["".join(rng.choice(['a', '"', ",", "\n", ""]) for _ in range(rng.randrange(6)))
+                 for _ in range(2)] for _ in range(rng.randrange(1, 8))]
+        text = io.StringIO()
+        csv.writer(text, lineterminator="\n").writerows([["h", "i"], *rows])
+        lines = text.getvalue().split("\n")[:-1]
+        cuts = sorted({0, *rng.choices(range(1, len(lines) + 1), k=3)}) + [len(lines)]
+        parts = [row for a, b in zip(cuts, cuts[1:]) if a < b
+                 for row in quoted_lines._block("f", a, iter(lines[a:b]), "h,i")]
+        ends = pa.table({name: [row[i] for row in parts if row[3] == "end" or row[2:4] == (1, "lead")]
+                         for i, name in ((0, "file"), (1, "block"), (2, "state"), (3, "kind"),
+                                         (5, "after"))})
+        states = {r["block"]: r for r in quoted_lines.chain_blocks(ends).to_pylist()}
+        found, open_ = [], {}
+        for _, block, state, kind, value, _ in parts:
+            before = states[block]["before"]
+            if kind != "end" and state in (quoted_lines.EITHER, before):
+                if kind == "record":
+                    found.append(value)
+                else:
+                    key = block if kind == "tail" else states[block]["opened"]
+                    open_.setdefault(key, []).append((block, value))
+        found += ["\n".join(v for _, v in sorted(p)) for p in open_.values()]
+        want = [io.StringIO() for _ in rows]
+        for out, row in zip(want, rows):
+            csv.writer(out, lineterminator="").writerow(row)
+        assert sorted(found) == sorted(out.getvalue() for out in want if out.getvalue().strip())
+
+
+def test_one_scan_of_a_plain_file(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", [{**BASE_ROW, "sample": f"s{i}"} for i in range(5)])
+    text = spark.read.text(path)
+    reads = []
+    original = type(spark.read).text
+    def counted(self, *args, **options):
+        reads.append(args)
+        return original(self, *args, **options)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.read), "text", counted)
+        assert read_wide(spark, path, CLINICAL).count() == 5
+    assert len(reads) == 2 and text.count() == 6  # the first line alone, then all lines once
 
 
 def test_files_with_another_header_are_refused(spark, tmp_path):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold import CLINICAL
+from tallyfold.operators.normalize import normalize
 from tallyfold.plans import jobs
 from tallyfold.plans.summary import significance_summary
 from tallyfold.sources.tables import published_run, read_optional
@@ -252,3 +253,28 @@ def test_lost_and_repeated_component_rows_do_not_cancel_out(spark, wide_frame):
                     cohort.unionAll(other)):
         with pytest.raises(ValueError, match="cohort"):
             jobs.require_whole_cohort(changed, metadata, CLINICAL)
+
+
+def test_the_cohort_is_checked_while_it_is_written(spark, wide_frame, tmp_path):
+    wide = wide_frame({"sample": "a"}, {"sample": "b", "subject": "q"},
+                      {"sample": "c", "subject": "r", "response": None})
+    wide.write.parquet(str(tmp_path / "wide"))
+    made = normalize(wide, CLINICAL)
+    for name, table in made.items():
+        table.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in (*made, "wide")}
+    long = {name: stored[name] for name in made}
+
+    def agrees(tables, name, change=lambda df: df):
+        check = jobs.CohortCheck(CLINICAL)
+        rows = check.rows(change(jobs.cohort_frequencies(tables, CLINICAL, check)))
+        rows.write.parquet(str(tmp_path / "out" / name))
+        return check.agrees()
+
+    assert agrees({"wide": stored["wide"]}, "wide") and agrees(long, "long")
+    lost = lambda df: df.where("NOT (sample = 'a' AND population = 'b_cell')")
+    again = lambda df: lost(df).unionAll(df.where("sample = 'b' AND population = 'monocyte'"))
+    assert not agrees(long, "lost", lost) and not agrees(long, "again", again)
+    doubled = {**long, "cell_counts": long["cell_counts"].unionAll(
+        long["cell_counts"].where("population = 'b_cell'"))}
+    assert not agrees(doubled, "doubled")

@@ -118,6 +118,17 @@ def wide_input(spark, sf_dir):
     return star.wide(spark, sf_dir)
 
 
+@query(f"""{sql.BASE} SELECT sample, project || chr(10) || '"' || subject || '",' || chr(10) || '.' AS project,
+  {", ".join(c for c in METADATA if c not in ("sample", "project"))}, {", ".join(STAR.components)}
+FROM wide""")
+def quoted_line_breaks(spark, sf_dir):
+    """A field with line breaks, quotes and a comma in every record, read by blocks of the files."""
+    path = store.working_dir(spark)
+    project = F.concat("project", F.lit('\n"'), "subject", F.lit('",\n.'))
+    store.write_table(star.wide(spark, sf_dir).withColumn("project", project), path, "csv")
+    return read_wide(spark, path, STAR).drop(UNCASTABLE, MALFORMED)
+
+
 @query(WIDE_SQL)
 def wide_csv_scan(spark, sf_dir):
     """Written with its columns in another order, then read back by name."""
