@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyfold.functions.scalars import component_rank, fixed_decimals, lookup_label
-from tallyfold.operators.ranks import ROWS_PER_RANGE, quantile, ranked_histogram
+from tallyfold.operators.quantiles import MOST_INSIDE, exact_quantiles
+from tallyfold.operators.ranks import quantile
+from tallyfold.sources.tables import staged
 from tallyfold.study import TIME, Study
 
 WHISKER_REACH = 1.5
@@ -18,22 +20,26 @@ def boxplot_input(cohort: DataFrame, study: Study) -> DataFrame:
         lookup_label(F.col("response"), study.group_labels).alias("response_label"))
 
 
+def _fenced(quartiles: DataFrame) -> DataFrame:
+    return quartiles.selectExpr("*", f"q1 - {WHISKER_REACH}D * (q3 - q1) AS _low",
+                                f"q3 + {WHISKER_REACH}D * (q3 - q1) AS _high")
+
+
 def _boxes(ranks: DataFrame, keys: list[str]) -> DataFrame:
-    return (
-        ranks.groupBy(*keys)
-        .agg(F.max("total_all").alias("n"),
-             quantile("_value", "all", 0.25).alias("q1"),
-             quantile("_value", "all", 0.5).alias("median"),
-             quantile("_value", "all", 0.75).alias("q3"))
-        .selectExpr("*", f"q1 - {WHISKER_REACH}D * (q3 - q1) AS _low",
-                    f"q3 + {WHISKER_REACH}D * (q3 - q1) AS _high"))
+    return _fenced(ranks.groupBy(*keys).agg(
+        F.max("total_all").alias("n"), quantile("_value", "all", 0.25).alias("q1"),
+        quantile("_value", "all", 0.5).alias("median"), quantile("_value", "all", 0.75).alias("q3")))
 
 
 def _box_tables(ranks: DataFrame, names: list[str], value: str) -> tuple[DataFrame, DataFrame]:
     """(summary, outliers) from a ranked histogram of ``_value`` with the rows named ``all``."""
-    # One box for each listed key tuple.
-    against = ranks.select(*names, "_value", "n_all").join(
-        F.broadcast(_boxes(ranks, names)), names)
+    return _against_boxes(ranks, _boxes(ranks, names), names, value)
+
+
+def _against_boxes(rows: DataFrame, boxes: DataFrame, names: list[str],
+                   value: str) -> tuple[DataFrame, DataFrame]:
+    """(summary, outliers) of rows (names, _value, n_all), one box for each listed key tuple."""
+    against = rows.select(*names, "_value", "n_all").join(F.broadcast(boxes), names)
     inside = "_value BETWEEN _low AND _high"
     summary = (
         against.groupBy(*names)
@@ -43,28 +49,31 @@ def _box_tables(ranks: DataFrame, names: list[str], value: str) -> tuple[DataFra
              F.expr(f"sum(IF({inside}, 0, n_all))").alias("n_outliers"))
         .selectExpr(*names, "n", "least(_lowest, q1) AS whisker_low", "q1", "median", "q3",
                     "greatest(_highest, q3) AS whisker_high", "n_outliers"))
-    outliers = against.where(f"NOT ({inside})").selectExpr(
-        *names, f"_value AS `{value}`", "n_all AS n")
+    outliers = against.where(f"NOT ({inside})").groupBy(
+        *names, F.col("_value").alias(value)).agg(F.sum("n_all").alias("n"))
     return summary, outliers
 
 
 def boxplot_tables(df: DataFrame, keys: dict[str, list], value: str, *,
-                   rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, DataFrame]:
+                   most_inside: int = MOST_INSIDE) -> tuple[DataFrame, DataFrame]:
     """(summary, outliers) of ``value`` per key tuple.
 
     ``keys`` maps each key column to the values drawn, as a plot lists its panels and hues; other
     rows are left out. So the boxes number at most the product of the list lengths and can be
-    broadcast back to the histogram. Quartiles interpolate linearly; whiskers end at the last
-    value within 1.5 times the interquartile range, never inside the box; ``outliers`` has one
-    row per distinct value beyond them, with its number of rows.
+    broadcast back to the rows. Quartiles are selected exactly without ranking the rows, and
+    interpolate linearly; whiskers end at the last value within 1.5 times the interquartile range,
+    never inside the box; ``outliers`` has one row per distinct value beyond them, with its number of
+    rows.
     """
     names = list(keys)
-    drawn = df
+    drawn = df.where(F.col(value).isNotNull())
     for name, listed in keys.items():
         drawn = drawn.where(F.col(name).isin(list(listed)))
-    rows = drawn.select(*names, F.col(value).cast("double").alias("_value"))
-    return _box_tables(ranked_histogram(rows, names, "_value", {"all": "true"},
-                                        rows_per_range=rows_per_range), names, value)
+    rows = staged(drawn.select(*names, F.col(value).cast("double").alias("_value")), "values")
+    quartiles = exact_quantiles(rows, names, "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75},
+                                most_inside=most_inside)
+    boxes = staged(_fenced(quartiles), "boxes")
+    return _against_boxes(rows.withColumn("n_all", F.lit(1).cast("bigint")), boxes, names, value)
 
 
 def _labelled(table: DataFrame, study: Study) -> DataFrame:

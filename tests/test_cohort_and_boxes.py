@@ -85,14 +85,14 @@ def box(values):
             max([v for v in values if v <= high] + [q3]), len(values) - len(inside))
 
 
-@pytest.mark.parametrize("rows_per_range", [20, 10 ** 6])
-def test_boxes_against_numpy(spark, rows_per_range):
+@pytest.mark.parametrize("most_inside", [3, 10 ** 6])
+def test_boxes_against_numpy(spark, most_inside):
     rng = random.Random(4)
     rows = [(k, rng.choice([0.0, round(rng.gauss(10, 2), 1), rng.gauss(10, 30)]))
             for k in ("x", "y") for _ in range(150)] + [("z", 1.0), ("left out", 5.0)]
     df = spark.createDataFrame(rows, "k string, v double").repartition(4)
     summary, outliers = boxplot_tables(df, {"k": ["x", "y", "z"]}, "v",
-                                       rows_per_range=rows_per_range)
+                                       most_inside=most_inside)
     got = {r.k: tuple(r)[1:] for r in summary.collect()}
     assert set(got) == {"x", "y", "z"}
     for key, row in got.items():

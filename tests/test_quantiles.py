@@ -1,0 +1,49 @@
+import random
+
+import numpy as np
+import pytest
+
+from tallyfold.operators.quantiles import exact_quantiles
+
+QUANTILES = {"low": 0.0, "q1": 0.25, "median": 0.5, "odd": 0.3331, "q3": 0.75, "high": 1.0}
+
+
+def groups():
+    rng = random.Random(11)
+    return {
+        "spread": [rng.lognormvariate(0, 9) for _ in range(700)],
+        "third": [0.25] * 200 + [rng.random() for _ in range(400)],  # one value is a third of the rows
+        "whole": [float(round(rng.gauss(0, 2))) for _ in range(500)],
+        "same": [7.0] * 90, "one": [3.5], "two": [1.0, 2.0],
+        "far": [-1e300, 1e300, 0.0, *[1e-300 * i for i in range(100)]],
+    }
+
+
+@pytest.mark.parametrize("most_inside,splitters", [(1, 2), (4, 5), (40, 64), (10 ** 6, 64)])
+def test_quantiles_equal_numpy(spark, most_inside, splitters):
+    rows = [(name, i % 2, v) for name, values in groups().items() for i, v in enumerate(values)]
+    rows += [("spread", 0, None), (None, 0, 1.0), ("empty", 1, None)]
+    df = spark.createDataFrame(rows, "g string, h int, v double").repartition(5)
+    got = exact_quantiles(df, ["g"], "v", QUANTILES, most_inside=most_inside, splitters=splitters)
+    assert got.columns == ["g", "n", *QUANTILES]
+    found = {r.g: r for r in got.collect()}
+    assert set(found) == set(groups())
+    for name, values in groups().items():
+        want = np.quantile(values, list(QUANTILES.values()))
+        assert found[name].n == len(values)
+        assert [found[name][q] for q in QUANTILES] == pytest.approx(want, rel=1e-12, abs=1e-300)
+
+
+def test_two_keys_and_no_rows(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS a", "id % 2 = 0 AS b", "CAST(id AS INT) AS v")
+    got = {(r.a, r.b): r.m for r in exact_quantiles(
+        df, ["a", "b"], "v", {"m": 0.5}, most_inside=10).collect()}
+    assert got == {(a, b): float(np.median([i for i in range(1000) if i % 3 == a and (
+        i % 2 == 0) == b])) for a in range(3) for b in (True, False)}
+    assert exact_quantiles(df.limit(0), ["a"], "v", {"m": 0.5}).count() == 0
+
+
+def test_no_value_is_ranked_by_a_window(spark):
+    df = spark.range(5000).selectExpr("id % 2 AS g", "hash(id) AS v")
+    plan = exact_quantiles(df, ["g"], "v", {"m": 0.5}, most_inside=50)._jdf.queryExecution()
+    assert "Window" not in plan.optimizedPlan().toString()
