@@ -11,11 +11,11 @@ first had over n - t tokens that the other lacks.
 A frequent token's class depends on the band of set sizes, so that a class has a handful of tokens in
 a prefix of any length; sets near the end of a band are indexed in the next one too.
 
-Candidates are verified exactly. In the first rounds every set is held against one other of its entries,
-an entry's first set in an order that differs by round, which connects groups of near copies by
-few links. Then, in entries whose sets are not all connected, the pairs of different components are
-compared by bitmaps, whose differing bits bound from below in how many tokens sets differ, and
-what passes is verified. No group of linked sets is written out as pairs.
+Candidates are compared by bitmaps, whose differing bits bound from below in how many tokens sets differ,
+and what passes is verified exactly. In the first rounds every set is held against one other: of the
+first sets of its entries, in an order that differs by round, the nearest by bitmap, which connects
+groups of near copies by few links. Then the pairs of different components are compared in the
+entries that have several. No group of linked sets is written out as pairs.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ CHUNK = 1 << 14  # counters in a row of its partial sums
 KNOWN_SETS = 1 << 18  # digests of a task by which it leaves out sets that it has seen
 PIECE, PIECE_WORDS = 1 << 20, 1 << 17  # bytes taken apart together; words of a longer text
 BAND = 4  # a band of set sizes ends at this many times its start
-ROUNDS, BITS = 2, 512  # rounds of one candidate for each set; bits of a bitmap
+ROUNDS, BITS = 3, 256  # rounds of one candidate for each set; bits of a bitmap
 _BIT_COLUMNS = [f"b{i}" for i in range(BITS // 64)]
 CELL = 1_024  # sets of an entry that are compared with as many others in a task
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -375,45 +375,48 @@ def _bits_apart(left: str, right: str) -> str:
 
 
 def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    return shared.join(roots, shared["row"] == roots["node"], "left").select(
-        "key", "row", "n", "place", F.coalesce("root", "row").alias("root"))
+    return shared.join(roots, shared["row"] == roots["node"], "left").withColumn(
+        "root", F.coalesce("root", "row")).drop("node")
+
+
+def _allowed(left: str, right: str, percent: int) -> str:
+    """SQL: two sets of one entry lie in different components, and sizes, places and bitmaps allow a
+    link: linked sets differ by all tokens less twice the least that they share."""
+    return (f"{left}.root <> {right}.root AND {_may_link(left, right, percent)} AND "
+            f"{_bits_apart(left, right)} <= {left}.n + {right}.n "
+            f"- 2 * ceil({percent}D * ({left}.n + {right}.n) / {100 + percent}D - 1e-9)")
 
 
 def _one_each(shared: DataFrame, roots: DataFrame, percent: int, number: int) -> DataFrame:
-    """Candidates (u, v): for every set one first set of an entry, in an order that differs by round,
-    of those that lie in another component."""
-    order = F.col("row") if number == 0 else F.xxhash64("row", F.lit(number))
-    known = staged(_with_roots(shared, roots).withColumn("turn", order), "known")
+    """Candidates (u, v): for every set, of the first sets of its entries, in an order that differs by
+    round, the one with the nearest bitmap of those that may be linked and aren't connected yet."""
+    turn = F.col("row") if number == 0 else F.xxhash64("row", F.lit(number))
+    known = _with_roots(shared, roots).withColumn("turn", turn)
     first = known.groupBy("key").agg(
-        F.min(F.struct("turn", "row", "n", "place", "root")).alias("first"),
+        F.min(F.struct("turn", "row", "n", "place", "root", *_BIT_COLUMNS)).alias("first"),
         F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     met = known.alias("k").join(first.select("key", "first"), "key").where(
-        f"k.root <> first.root AND {_may_link('first', 'k', percent)}")
-    return met.groupBy(F.col("k.row").alias("v")).agg(
-        F.min(F.struct("first.turn", "first.row")).alias("best")).select(
+        _allowed("first", "k", percent))
+    return met.groupBy(F.col("k.row").alias("v")).agg(F.min(F.struct(
+        F.expr(_bits_apart("first", "k")).alias("apart"), "first.row")).alias("best")).select(
         F.col("best.row").alias("u"), "v")
 
 
-def _across(shared: DataFrame, roots: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Candidates (u, v): the pairs of an entry that lie in different components and whose bitmaps
-    allow a link.
+def _across(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Candidates (u, v): the pairs of an entry that lie in different components and may be linked.
 
     The sets of an entry are dealt into parts, and each pair of parts is a cell of bounded size.
     """
-    known = staged(_with_roots(shared, roots), "known")
+    known = _with_roots(shared, roots)
     mixed = (known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
                                       F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
              .where("low <> high").select("key", "parts"))
-    open_ = known.join(mixed, "key").join(bits, "row").withColumn(
-        "part", F.expr("pmod(xxhash64(row), parts)"))
+    open_ = known.join(mixed, "key").withColumn("part", F.expr("pmod(xxhash64(row), parts)"))
     every = F.explode(F.expr("sequence(0L, CAST(parts AS BIGINT) - 1)"))
     dealt = staged(open_.withColumn("other", every), "dealt")
     met = dealt.alias("l").join(dealt.alias("r"), F.expr(
         "l.key = r.key AND l.part = r.other AND l.other = r.part AND l.row < r.row "
-        f"AND l.root <> r.root AND {_may_link('l', 'r', percent)} "
-        # the tokens by which linked sets may differ: all less twice the least that they share
-        f"AND {_bits_apart('l', 'r')} <= l.n + r.n "
-        f"- 2 * ceil({percent}D * (l.n + r.n) / {100 + percent}D - 1e-9)"))
+        f"AND {_allowed('l', 'r', percent)}"))
     return met.select(F.col("l.row").alias("u"), F.col("r.row").alias("v")).distinct()
 
 
@@ -429,15 +432,14 @@ def linked_sets(docs: DataFrame, distinct: DataFrame, shingle: int, percent: int
     wanted = staged(several.select("high", "low").distinct().join(distinct, ["high", "low"]),
                     "wanted")
     texts = staged(texts_of(docs, wanted, shingle), "texts")
-    shared = staged(several.join(wanted, ["high", "low"]).select("key", "row", "n", "place"),
-                    "shared")
+    known = staged(wanted.join(bitmaps(texts, shingle), "row"), "bitmaps")
+    shared = staged(several.join(known, ["high", "low"]).drop("high", "low"), "shared")
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     for number in range(ROUNDS):
         tested = staged(_one_each(shared, roots, percent, number), "candidates")
         roots = connected(roots.toDF("u", "v").unionByName(
             verified(tested, texts, shingle, percent)))
-    rest = staged(_across(shared, roots, staged(bitmaps(texts, shingle), "bitmaps"), percent),
-                  "candidates")
+    rest = staged(_across(shared, roots, percent), "candidates")
     return connected(roots.toDF("u", "v").unionByName(verified(rest, texts, shingle, percent)))
 
 
