@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -13,9 +13,9 @@ from functools import lru_cache
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
-from tallyfold.study import TABLES
+from tallyfold.study import TABLES, TIME
 
 POINTERS = "published"
 #: A run that started longer ago and was never published is taken for a crashed one.
@@ -226,8 +226,33 @@ def write_together(tables: dict[str, DataFrame], folder: str, fmt: str = "parque
             job.result()
 
 
+#: How the tables are laid out for selective reads: the order of the rows in a file, by which the
+#: statistics of its row groups and pages leave parts out, and the keys with a Bloom filter.
+LAYOUT: dict[str, tuple[tuple[str, ...], str]] = {
+    "subjects": (("condition", "treatment", "response", "subject_id"), "subject_id"),
+    "samples": (("sample_type", TIME, "subject_id"), "sample_id"),
+    "cell_counts": (("sample_id",), "sample_id"),
+}
+
+
+def laid_out(df: DataFrame, order: Iterable[str], key: str | None = None) -> DataFrameWriter:
+    """A writer of ``df`` that replaces the table, each file in ``order`` and, as Parquet, with a Bloom
+    filter on ``key``."""
+    writer = df.sortWithinPartitions(*order).write.mode("overwrite")
+    return writer if key is None else writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+
+
 def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    write_together({name: tables[name] for name in TABLES}, folder)
+    """Write the four tables by their ``LAYOUT``, as concurrent jobs."""
+    def write(name: str) -> None:
+        if name in LAYOUT:
+            laid_out(tables[name], *LAYOUT[name]).parquet(f"{folder}/{name}")
+        else:
+            write_table(tables[name], f"{folder}/{name}")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for job in [pool.submit(write, name) for name in TABLES]:
+            job.result()
 
 
 def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

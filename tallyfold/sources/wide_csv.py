@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyfold.sources.quoted_lines import InvalidInput, ends_outside, quoted_records
-from tallyfold.sources.tables import scope, working_dir
+from tallyfold.sources.tables import laid_out, scope, working_dir
 from tallyfold.study import TIME, Study
 
 # Texts that mean "no value" in the input. Lower-case "none" is a treatment.
@@ -65,7 +65,8 @@ def write_wide(spark: SparkSession, path: str, study: Study, folder: str) -> Dat
 
     Columns are bound by the header, which must be the same line in all files. The text is read once,
     line by line in parallel; while the rows are written it is counted which lines end inside a
-    quoted field. Only if there are any, it is read again by blocks (``quoted_records``).
+    quoted field. Only if there are any, it is read again by blocks (``quoted_records``). Rows of one
+    cohort lie together in a file, so that a cohort's read leaves the others out.
     """
     header = _first_line(spark, path)
     columns = header_columns(header)
@@ -79,11 +80,12 @@ def write_wide(spark: SparkSession, path: str, study: Study, folder: str) -> Dat
                             F.count_if(~ends_outside(F.col("value"))).alias("open"))
     records = watched.where((F.col("value") != header) & (F.trim("value") != ""))
     typed = type_wide(parsed(records, columns), study)
-    typed.write.mode("overwrite").parquet(folder)
+    order = *study.cohort, TIME, "response"
+    laid_out(typed, order).parquet(folder)
     if seen.get["open"]:
         with scope(spark):
             records = quoted_records(spark, path, header)
-            type_wide(parsed(records, columns), study).write.mode("overwrite").parquet(folder)
+            laid_out(type_wide(parsed(records, columns), study), order).parquet(folder)
     elif seen.get["headers"] != files:
         raise InvalidInput(f"load_data: {seen.get['headers']} header lines in {files} files; each must "
                            f"start with the same header: {header}")

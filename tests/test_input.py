@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold import CLINICAL
 from tallyfold.operators.checks import violations
@@ -15,7 +16,7 @@ from tallyfold.plans.jobs import load
 from tallyfold.sources import quoted_lines, tables as store
 from tallyfold.sources.tables import published_run
 from tallyfold.sources.wide_csv import MALFORMED, UNCASTABLE, InvalidInput, read_wide
-from tallyfold.study import METADATA, TABLES
+from tallyfold.study import METADATA, TABLES, TIME
 from tests.conftest import BASE_ROW
 from verification.queries import QUERIES
 
@@ -342,6 +343,44 @@ def test_queries_leave_only_their_result(spark):
         assert [p.name for p in left.pop().iterdir()] == ["result"]
 
 
+def rows_read(frame):
+    """Rows that the file scans of an executed query gave."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    seen, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith(("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage")):
+            todo.append(node.plan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            seen += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return seen
+
+
+def test_a_selective_read_leaves_rows_out(spark, tmp_path):
+    """By the order of the rows in a file, and by the Bloom filter of a key."""
+    wide = spark.range(0, 400_000, 1, 2).selectExpr(
+        "concat('s', hash(id), '-', id) AS sample_id", "concat('p', id % 5000) AS subject_id",
+        "IF(id % 10 = 3, 'PBMC', 'WB') AS sample_type", f"CAST(id % 3 * 7 AS INT) AS {TIME}")
+    tables = {**store.empty_tables(spark), "samples": wide}
+    store.write_tables(tables, str(tmp_path))
+    back = store.read_tables(spark, str(tmp_path))["samples"]
+    chosen = back.where(f"sample_type = 'PBMC' AND {TIME} = 0")
+    assert rows_read(chosen) < 120_000 and chosen.count() == 13_334
+    assert rows_read(back.where("sample_id = 'no such sample'")) == 0
+    one = wide.first().sample_id
+    assert rows_read(back.where(F.col("sample_id") == one)) <= 220_000
+    plain = str(tmp_path / "plain")
+    wide.write.parquet(plain)
+    assert rows_read(spark.read.parquet(plain).where(f"sample_type = 'PBMC' AND {TIME} = 0")) == 400_000
+
+
 def test_read_optional(spark, tmp_path):
     assert store.read_optional(spark, str(tmp_path / "no")) is None
     df = spark.createDataFrame([(1, 1e-5, "x,y")], "a int, b double, c string")
