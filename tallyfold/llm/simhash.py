@@ -1,8 +1,8 @@
 """SimHash fingerprints of word shingles and near-duplicate groups by tiled exact comparison.
 
-Equal fingerprints are one row. The distinct ones are dealt into G blocks, and every pair of blocks is
-a cell of its own, so that each pair of fingerprints meets in exactly one task of bounded size. Inside
-a cell both blocks are ordered by the bit counts of their 16-bit parts and cut into tiles; tile pairs
+Equal fingerprints are one row. The distinct ones are dealt into blocks by their bit counts, and every pair
+of blocks whose bit counts can lie within the radius is a cell of its own, so that each such pair of
+fingerprints meets in exactly one task of bounded size. Inside a cell both blocks are ordered by the bit counts of their 16-bit parts and cut into tiles; tile pairs
 whose bit counts differ beyond the radius are skipped, the others are compared by exclusive-or and bit
 counts. A cell returns a spanning forest of its links, never all pairs of a group.
 """
@@ -108,12 +108,40 @@ def links(left: np.ndarray, right: np.ndarray | None, radius: int, tile: int = T
     return np.stack([nodes[moved], nodes[root[moved]]], axis=1)
 
 
+def deal_by_bits(counts: dict[int, int], size: int, radius: int) -> list[tuple[int, int, int, int]]:
+    """For each bit count from 0 to 64: (first block, blocks, first and last block within ``radius``).
+
+    Codes of neighbouring bit counts share a block up to about ``size`` codes; one bit count with more
+    has several blocks, among which its codes are dealt by hash.
+    """
+    groups: list[list[int]] = []  # least and largest bit count, codes
+    for bits in range(65):
+        if groups and groups[-1][2] + counts.get(bits, 0) <= size:
+            groups[-1][1:] = [bits, groups[-1][2] + counts.get(bits, 0)]
+        else:
+            groups.append([bits, bits, counts.get(bits, 0)])
+    blocks = [max(1, -(-n // size)) for _, _, n in groups]
+    first = [sum(blocks[:i]) for i in range(len(blocks))]
+    out = []
+    for i, (low, high, _) in enumerate(groups):
+        near = [k for k, (a, b, _) in enumerate(groups) if a <= high + radius and b >= low - radius]
+        out += [(first[i], blocks[i], first[near[0]], first[near[-1]] + blocks[near[-1]] - 1)] * (
+            high - low + 1)
+    return out
+
+
 def near_links(codes: DataFrame, radius: int) -> DataFrame:
     """Links (u, v) that connect what the pairs within ``radius`` connect, for distinct ``code``."""
-    blocks = parts(codes.count(), *BLOCKS)
-    block = F.pmod(F.xxhash64("code"), F.lit(blocks))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    dealt = codes.select("code", block.alias("block"), other.alias("other")).select(
+    bits = F.bit_count("code")
+    counts = {r["bits"]: r["n"] for r in codes.groupBy(bits.alias("bits")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}  # 65 rows at most
+    total = sum(counts.values())
+    places = deal_by_bits(counts, -(-total // parts(total, *BLOCKS)) or 1, radius)
+    first, n, low, high = (F.get(F.lit(list(column)), bits) for column in zip(*places))
+    block = first + F.pmod(F.xxhash64("code"), n)
+    # pairs of blocks whose bit counts differ by more than the radius are not made
+    dealt = codes.select("code", block.alias("block"), F.explode(F.sequence(
+        low.cast("long"), high.cast("long"))).alias("other")).select(
         F.least("block", "other").alias("row"), F.greatest("block", "other").alias("column"),
         (F.col("block") <= F.col("other")).alias("left"), "code")
 
@@ -127,7 +155,8 @@ def near_links(codes: DataFrame, radius: int) -> DataFrame:
         found = found.view(np.int64)
         return pa.table({"u": found[:, 0], "v": found[:, 1]})
 
-    cells = blocks * (blocks + 1) // 2  # a cell is work for a task, however few bytes it has
+    ends = {(a, k, last) for a, k, _, last in places}  # a cell is work for a task
+    cells = sum(last - block + 1 for a, k, last in ends for block in range(a, a + k))
     return dealt.repartition(cells, "row", "column").groupBy("row", "column").applyInArrow(
         compare, "u long, v long")
 

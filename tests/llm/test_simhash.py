@@ -99,6 +99,38 @@ def test_groups_do_not_depend_on_blocks(spark, monkeypatch):
     assert results[0] == results[1]
 
 
+@pytest.mark.parametrize("size,radius", [(1, 0), (5, 3), (40, 4), (10 ** 6, 4)])
+def test_codes_are_dealt_by_bit_count(size, radius):
+    rng = np.random.default_rng(size)
+    counts = {int(b): int(n) for b, n in zip(*np.unique(rng.binomial(64, 0.5, 300),
+                                                        return_counts=True))}
+    places = simhash.deal_by_bits(counts, size, radius)
+    assert len(places) == 65
+    for a, (first, n, low, high) in enumerate(places):
+        assert low <= first and first + n - 1 <= high
+        assert counts.get(a, 0) <= n * size
+        for b, (other, m, _, _) in enumerate(places):
+            if abs(a - b) <= radius:
+                assert low <= other and other + m - 1 <= high
+    if size == 5:  # far bit counts don't meet
+        assert places[24][3] < places[40][0]
+
+
+def test_fewer_rows_are_dealt(spark, monkeypatch):
+    """Links are those of all pairs, though each code meets only blocks of near bit counts."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(-2 ** 63, 2 ** 63 - 1, 300)
+    near = base ^ (1 << rng.integers(0, 63, 300)) ^ (1 << rng.integers(0, 63, 300))
+    codes = sorted({*base.tolist(), *near.tolist()})
+    frame = spark.createDataFrame([(c,) for c in codes], "code long")
+    monkeypatch.setattr(simhash, "BLOCKS", (20, 64, 1 << 20))
+    prints = frame.selectExpr("code AS doc_id", "code AS fingerprint")
+    got = {r.fingerprint: r.best for r in simhash.groups(prints, F.col("doc_id"), 4).collect()}
+    roots = plain_groups([c & (2 ** 64 - 1) for c in codes], 4)
+    assert got == {c: codes[r] for c, r in zip(codes, roots)}
+    assert 250 < len(set(got.values())) < len(codes)
+
+
 def test_query_equals_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     given = texts(sf_dir)
