@@ -72,8 +72,8 @@ def boxplot_tables(df: DataFrame, keys: dict[str, list], value: str, *,
     rows = staged(drawn.select(*names, F.col(value).cast("double").alias("_value")), "values")
     quartiles = exact_quantiles(rows, names, "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75},
                                 most_inside=most_inside)
-    boxes = staged(_fenced(quartiles), "boxes")
-    return _against_boxes(rows.withColumn("n_all", F.lit(1).cast("bigint")), boxes, names, value)
+    counted = rows.withColumn("n_all", F.lit(1).cast("bigint"))
+    return _against_boxes(counted, _fenced(quartiles), names, value)
 
 
 def _labelled(table: DataFrame, study: Study) -> DataFrame:

@@ -11,13 +11,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyfold.sources.tables import staged
-
 #: Values of a bracket that one task may put in order; splitters of a pass.
 MOST_INSIDE, SPLITTERS = 50_000, 64
 _INSIDE = "(lo IS NULL OR _v > lo) AND (hi IS NULL OR _v < hi)"
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """A table of at most a few rows for each group and quantile, held by the driver."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
 def _narrowed(rows: DataFrame, keys: list[str], targets: DataFrame, most_inside: int,
               splitters: int) -> DataFrame:
     """The targets, those in large brackets with the part that holds their rank, or with its value."""
@@ -26,8 +29,8 @@ def _narrowed(rows: DataFrame, keys: list[str], targets: DataFrame, most_inside:
     brackets = F.broadcast(open_.select(*keys, "bracket", "lo", "hi").distinct())
     inner = rows.join(brackets, keys).where(_INSIDE)
     steps = [(i + 1) / (splitters + 1) for i in range(splitters)]
-    split = staged(inner.groupBy(*keys, "bracket", "lo", "hi").agg(F.array_distinct(
-        F.percentile_approx("_v", steps, 20 * splitters)).alias("at")), "splitters")
+    split = _few(inner.groupBy(*keys, "bracket", "lo", "hi").agg(F.array_distinct(
+        F.percentile_approx("_v", steps, 20 * splitters)).alias("at")))
     # cell 2p lies between the splitters p - 1 and p, cell 2p + 1 is the splitter p
     cell = F.expr("2 * size(filter(at, x -> x < _v)) + IF(array_contains(at, _v), 1, 0)")
     counted = rows.join(F.broadcast(split), keys).where(_INSIDE).groupBy(
@@ -42,7 +45,7 @@ def _narrowed(rows: DataFrame, keys: list[str], targets: DataFrame, most_inside:
         "IF(cell % 2 = 0, coalesce(get(at, CAST(cell / 2 AS INT)), hi), hi) AS hi",
         "below + before AS below", "n AS inside",
         "IF(cell % 2 = 1, get(at, CAST(floor(cell / 2) AS INT)), NULL) AS found")
-    return staged(targets.where(f"NOT ({large})").unionByName(part), "targets")
+    return _few(targets.where(f"NOT ({large})").unionByName(part))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], *,
@@ -50,19 +53,19 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[
     """(keys, n, a column for each name of ``quantiles``): linearly interpolated, a row for each group.
 
     Rows with a NULL value or key are left out; values are finite. Groups must be few, as a plot's
-    panels and hues are: their brackets are broadcast. ``df`` is read by every pass, so it should be
+    panels and hues are: their brackets are held by the driver and broadcast. ``df`` is read by every pass, so it should be
     a stored table.
     """
     kept = df.where(" AND ".join(f"`{name}` IS NOT NULL" for name in [*keys, value]))
     rows = kept.select(*keys, F.col(value).cast("double").alias("_v"))
-    sizes = staged(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    sizes = _few(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
     places = {name: f"((n - 1) * {float(q)!r}D)" for name, q in quantiles.items()}
     ranks = ", ".join(f"CAST({side}({at}) AS BIGINT)" for at in places.values()
                       for side in ("floor", "ceil"))
-    targets = staged(sizes.selectExpr(
+    targets = _few(sizes.selectExpr(
         *keys, f"explode(array_distinct(array({ranks}))) AS rank", "0L AS bracket",
         "CAST(NULL AS DOUBLE) AS lo", "CAST(NULL AS DOUBLE) AS hi", "0L AS below", "n AS inside",
-        "CAST(NULL AS DOUBLE) AS found"), "targets")
+        "CAST(NULL AS DOUBLE) AS found"))
     while not targets.where(f"found IS NULL AND inside > {most_inside}").isEmpty():
         targets = _narrowed(rows, keys, targets, most_inside, splitters)
     left = targets.where("found IS NULL")
