@@ -21,7 +21,7 @@ from tallyfold.llm.common import fresh, parts, staged, text_or_empty
 from tallyfold.llm.components import connected
 
 TILE = 512
-BLOCKS = 6_000, 32, 1 << 20  # rows of a small block, most blocks, rows of the largest block
+BLOCKS = 1_000, 32, 1 << 20  # rows of a small block, most blocks, rows of the largest block
 SHINGLES_AT_ONCE = 1 << 16
 
 
