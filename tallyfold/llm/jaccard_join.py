@@ -38,6 +38,8 @@ BAND = 4  # a band of set sizes ends at this many times its start
 ROUNDS, BITS = 3, 256  # rounds of one candidate for each set; bits of a bitmap
 _BIT_COLUMNS = [f"b{i}" for i in range(BITS // 64)]
 CELL = 1_024  # sets of an entry that are compared with as many others in a task
+#: An entry with more sets is a large one; of a set with more large entries they aren't listed.
+HOT, MOST_LARGE = 64, 256
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -345,10 +347,8 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 
 
 def _may_link(left: str, right: str, percent: int) -> str:
-    """SQL: the sizes, and the places of the first token that both have, allow the threshold."""
-    least = f"({percent}L * ({left}.n + {right}.n))"
-    return (f"100L * least({left}.n, {right}.n) >= {percent}L * greatest({left}.n, {right}.n) AND "
-            f"{100 + percent}L * least({left}.n - {left}.place, {right}.n - {right}.place) >= {least}")
+    """SQL: the sizes allow the threshold."""
+    return f"100L * least({left}.n, {right}.n) >= {percent}L * greatest({left}.n, {right}.n)"
 
 
 def bitmaps(texts: DataFrame, shingle: int) -> DataFrame:
@@ -379,9 +379,15 @@ def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
         "root", F.coalesce("root", "row")).drop("node")
 
 
+def _places_allow(left: str, right: str, percent: int) -> str:
+    """SQL: the places of the first token that both have allow the threshold."""
+    return (f"{100 + percent}L * least({left}.n - {left}.place, {right}.n - {right}.place) >= "
+            f"{percent}L * ({left}.n + {right}.n)")
+
+
 def _allowed(left: str, right: str, percent: int) -> str:
-    """SQL: two sets of one entry lie in different components, and sizes, places and bitmaps allow a
-    link: linked sets differ by all tokens less twice the least that they share."""
+    """SQL: two sets of one entry lie in different components, and sizes and bitmaps allow a link:
+    linked sets differ by all tokens less twice the least that they share."""
     return (f"{left}.root <> {right}.root AND {_may_link(left, right, percent)} AND "
             f"{_bits_apart(left, right)} <= {left}.n + {right}.n "
             f"- 2 * ceil({percent}D * ({left}.n + {right}.n) / {100 + percent}D - 1e-9)")
@@ -396,7 +402,7 @@ def _one_each(shared: DataFrame, roots: DataFrame, percent: int, number: int) ->
         F.min(F.struct("turn", "row", "n", "place", "root", *_BIT_COLUMNS)).alias("first"),
         F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     met = known.alias("k").join(first.select("key", "first"), "key").where(
-        _allowed("first", "k", percent))
+        f"{_allowed('first', 'k', percent)} AND {_places_allow('first', 'k', percent)}")
     return met.groupBy(F.col("k.row").alias("v")).agg(F.min(F.struct(
         F.expr(_bits_apart("first", "k")).alias("apart"), "first.row")).alias("best")).select(
         F.col("best.row").alias("u"), "v")
@@ -409,14 +415,22 @@ def _across(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """
     known = _with_roots(shared, roots)
     mixed = (known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                      F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
-             .where("low <> high").select("key", "parts"))
-    open_ = known.join(mixed, "key").withColumn("part", F.expr("pmod(xxhash64(row), parts)"))
+                                      F.count("*").alias("members"))
+             .where("low <> high").selectExpr(
+                 "key", f"CAST(ceil(members / {CELL}) AS INT) AS parts", f"members > {HOT} AS hot"))
+    open_ = staged(known.join(mixed, "key"), "open")
+    # two sets meet in many large entries: they are given by the least one that both are in
+    large = open_.where("hot").groupBy("row").agg(F.collect_list("key").alias("large")).selectExpr(
+        "row", f"IF(size(large) <= {MOST_LARGE}, large, NULL) AS large")
     every = F.explode(F.expr("sequence(0L, CAST(parts AS BIGINT) - 1)"))
-    dealt = staged(open_.withColumn("other", every), "dealt")
+    dealt = staged(open_.join(large, "row", "left").withColumn(
+        "large", F.expr("IF(hot, large, NULL)")).withColumn(
+        "part", F.expr("pmod(xxhash64(row), parts)")).withColumn("other", every), "dealt")
     met = dealt.alias("l").join(dealt.alias("r"), F.expr(
         "l.key = r.key AND l.part = r.other AND l.other = r.part AND l.row < r.row "
-        f"AND {_allowed('l', 'r', percent)}"))
+        f"AND {_allowed('l', 'r', percent)} AND IF(l.large IS NULL OR r.large IS NULL, "
+        f"l.hot OR ({_places_allow('l', 'r', percent)}), "
+        "l.key = array_min(array_intersect(l.large, r.large)))"))
     return met.select(F.col("l.row").alias("u"), F.col("r.row").alias("v")).distinct()
 
 

@@ -78,6 +78,18 @@ def test_frequent_tokens_by_pairs_and_small_cells(spark, monkeypatch):
     check(spark, corpus(random.Random(6), groups=5), percent=70, shingle=1)
 
 
+@pytest.mark.parametrize("hot,most_large,rounds", [(2, 256, 1), (3, 4, 0)])
+def test_pairs_of_large_entries(spark, monkeypatch, hot, most_large, rounds):
+    """Pairs that meet in many large entries are given once, whether their entries are listed or not."""
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    monkeypatch.setattr(jaccard_join, "MOST_LARGE", most_large)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(120)]
+    given = [" ".join(edited(rng, base, rng.randrange(6))) for _ in range(40)]
+    check(spark, given + corpus(rng, groups=3))
+
+
 @pytest.mark.parametrize("percent", [51, 70, 85, 95])
 @pytest.mark.parametrize("frequent", [0, 3, 10 ** 9])
 def test_linked_sets_share_an_entry(monkeypatch, percent, frequent):
