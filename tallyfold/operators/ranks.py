@@ -3,7 +3,7 @@
 Ranking inside a few very large groups would give each group to one task. Here equal values are
 first combined into a histogram (map-side), which is written once and read by whatever ranks it.
 Its rows are dealt by range of (group, value), as a sort deals them, into as many ranges as their
-number asks for; rows are counted inside each range in parallel and shifted by the totals of the
+number asks for, up to MOST_RANGES; rows are counted inside each range in parallel and shifted by the totals of the
 group's ranges before it. Where a range ends only decides which task counts what.
 """
 
@@ -11,9 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyfold.operators.skew import parts_of
 from tallyfold.sources.tables import staged
 
 ROWS_PER_RANGE = 2_000_000
+#: Each range is a partition of a shuffle, so there are no more ranges than that, unless a range would hold
+#: more than ROWS_PER_RANGE rows.
+MOST_RANGES = 2_000
+
+
+def ranges_of(rows: int, rows_per_range: int) -> int:
+    """Ranges to deal so many rows into: smaller ones than asked for cost tasks and save nothing."""
+    return max(1, min(-(-rows // rows_per_range), max(MOST_RANGES, -(-rows // ROWS_PER_RANGE))))
 
 
 def histogram(df: DataFrame, keys: list[str], value: str, counts: dict[str, str]) -> DataFrame:
@@ -37,7 +46,8 @@ def ranked(hist: DataFrame, keys: list[str], value: str, rows_per_range: int = R
     names = [c[2:] for c in hist.columns if c.startswith("n_")]
     v, group = f"`{value}`", ", ".join(f"`{k}`" for k in keys)
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    ranges = max(1, -(-hist.count() // rows_per_range))
+    rows = hist.count()
+    ranges = ranges_of(rows, rows_per_range)
     if ranges == 1:  # nothing to shift
         one = ["0 AS _range"] if keep_range else []
         return hist.selectExpr("*", *one, *[column for name in names for column in (
@@ -47,8 +57,9 @@ def ranked(hist: DataFrame, keys: list[str], value: str, rows_per_range: int = R
             f"try_divide(sum(n_{name} * {v}) OVER (PARTITION BY {group}), "
             f"sum(n_{name}) OVER (PARTITION BY {group})) AS mean_{name}")])
     # stored, since a range partitioning that is made anew may cut elsewhere
-    ranged = staged(hist.repartitionByRange(ranges, *keys, value).withColumn(
-        "_range", F.spark_partition_id()), "ranges")
+    ranged = hist.repartitionByRange(ranges, *keys, value).withColumn("_range", F.spark_partition_id())
+    tasks = parts_of(hist.sparkSession, rows, ROWS_PER_RANGE)
+    ranged = staged(ranged.coalesce(tasks) if tasks < ranges else ranged, "ranges")
     local = ranged.selectExpr("*", *[
         f"sum(n_{name}) OVER (PARTITION BY {group}, _range ORDER BY {v} {so_far}) - n_{name} "
         f"AS _local_{name}" for name in names])

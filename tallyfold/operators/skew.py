@@ -1,13 +1,32 @@
-"""Joins of many fact rows to the one lookup row of their key."""
+"""Joins of many fact rows to the one lookup row of their key, and rows dealt evenly over tasks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: A lookup up to both bounds is broadcast: its rows, and the characters of their values.
 BROADCAST_ROWS, BROADCAST_CHARS = 100_000, 16 << 20
 #: Counters of the sketch; rows of a key that a task may hold; tasks that heavy keys may fill at most.
 BUCKETS, ROWS_PER_TASK, MOST_TASKS = 1 << 14, 1_000_000, 10_000
+#: Rows of a task that keeps most of them in memory, such as a partial aggregate by almost unique keys.
+ROWS_HELD = 500_000
+
+
+def parts_of(spark: SparkSession, rows: int, rows_per_task: int = ROWS_HELD) -> int:
+    """Tasks for so many rows: one for each core, more where one would get more than its rows."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+
+
+def spread(stored: DataFrame, rows_per_task: int = ROWS_HELD) -> DataFrame:
+    """The rows of a stored table dealt evenly over tasks by their number.
+
+    A scan's tasks are cut by the bytes of the files: a small file is one task, whatever an expression
+    costs a row, and a split of a well compressed one has many millions of rows. Rows are counted first,
+    from the files' footers; those of one task stay where they are.
+    """
+    rows = stored.count()
+    return stored if rows <= rows_per_task else stored.repartition(
+        parts_of(stored.sparkSession, rows, rows_per_task))
 
 
 def is_small(lookup: DataFrame) -> bool:

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.operators.ranks import quantile, ranked_histogram
+from tallyfold.operators.ranks import (
+    MOST_RANGES, ROWS_PER_RANGE, quantile, ranges_of, ranked_histogram)
 
 COUNTS = {"a": "is_a", "b": "NOT is_a"}
 
@@ -70,3 +71,9 @@ def test_one_value_for_the_whole_group(spark):
                                "k string, v double, is_a boolean")
     rows = ranked_histogram(df, ["k"], "v", COUNTS, rows_per_range=10).collect()
     assert len(rows) == 1 and rows[0].n_a == rows[0].total_a == 50 and rows[0].before_b == 0
+
+
+def test_ranges_are_bounded_tasks():
+    assert [ranges_of(n, 50) for n in (0, 50, 51, 100_000, 100_001, 600_000)] == [
+        1, 1, 2, MOST_RANGES, MOST_RANGES, MOST_RANGES]
+    assert ranges_of(10 ** 10, 50) == ranges_of(10 ** 10, ROWS_PER_RANGE) == 5000
