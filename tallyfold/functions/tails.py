@@ -30,6 +30,19 @@ DE_STEP = 0.1
 DE_FIRST, DE_LAST = -37, 46
 
 
+def _de_nodes() -> str:
+    """SQL of the rule's nodes and weights, a literal: (y, w) of every k."""
+    nodes = []
+    for k in range(DE_FIRST, DE_LAST + 1):
+        shrink = math.exp(-k * DE_STEP)
+        y = math.exp(k * DE_STEP - shrink)
+        nodes.append(f"named_struct('y', {y!r}D, 'w', {y * (1 + shrink)!r}D)")
+    return f"array({', '.join(nodes)})"
+
+
+_DE_NODES = _de_nodes()
+
+
 def _let(name: str, value: str, body: str) -> str:
     """SQL of ``body`` with ``name`` bound to ``value``, evaluated once per row."""
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
@@ -60,10 +73,8 @@ def _log_cosh(u: str) -> str:
 
 def _sech_tail(start: str) -> str:
     """Integral of (cosh(start)/cosh(u))**d.df over u from start to infinity."""
-    y, shrink = f"exp(k * {DE_STEP}D - exp(-k * {DE_STEP}D))", f"exp(-k * {DE_STEP}D)"
-    drop = f"{_log_cosh(f'{start} + f.scale * {y}')} - f.floor"
-    nodes = (f"aggregate(sequence({DE_FIRST}, {DE_LAST}), 0D, (s, k) -> "
-             f"s + exp(-d.df * ({drop})) * {y} * (1D + {shrink}))")
+    drop = f"{_log_cosh(f'({start} + f.scale * k.y)')} - f.floor"
+    nodes = f"aggregate({_DE_NODES}, 0D, (s, k) -> s + exp(-d.df * ({drop})) * k.w)"
     fixed = (f"named_struct('scale', 1D / (sqrt(d.df) + d.df * tanh({start})), "
              f"'floor', {_log_cosh(start)})")
     return _let("f", fixed, f"{nodes} * f.scale * {DE_STEP}D")

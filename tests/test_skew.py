@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators import skew
-from tallyfold.operators.skew import heavy_keys, lookup_join
+from tallyfold.operators.skew import heavy_keys, lookup_join, spread
+from verification.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +91,21 @@ def test_lookups_are_broadcast_by_rows_and_bytes(spark, monkeypatch):
     assert skew.is_small(small)
     monkeypatch.setattr(skew, "BROADCAST_CHARS", 4_000)
     assert not skew.is_small(small) and skew.is_small(small.limit(10)) and skew.is_small(small.limit(0))
+
+
+def test_rows_are_spread_by_their_number(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert stored.rdd.getNumPartitions() == 1
+    for rows_per_task, tasks in ((1000, 1), (999, 4), (100, 10)):
+        dealt = spread(stored, rows_per_task)
+        sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == tasks and max(r["count"] for r in sizes) <= 1000 // tasks + tasks
+        assert sorted(r.id for r in dealt.collect()) == list(range(1000))
+
+
+@pytest.mark.parametrize("name", ["student_t_tail", "student_t_closed_forms"])
+def test_tails_of_one_small_file_are_many_tasks(spark, tmp_path, name):
+    spark.range(10_001).selectExpr("id AS c_custkey", "id / 3D AS c_acctbal").coalesce(1).write.parquet(
+        f"{tmp_path}/customer.parquet")
+    assert QUERIES[name](spark, str(tmp_path)).rdd.getNumPartitions() == 4

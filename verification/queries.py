@@ -19,6 +19,7 @@ from tallyfold.operators.compare import (
 from tallyfold.operators.composition import composition_of_events, composition_of_wide
 from tallyfold.operators.fdr import bh_adjust, bh_adjust_families, flagged
 from tallyfold.operators.ranks import ranked_histogram
+from tallyfold.operators.skew import spread
 from tallyfold.plans.jobs import (
     analyse, cohort_frequencies, load, ordered_frequencies, table_frequencies)
 from tallyfold.plans.summary import significance_summary
@@ -582,6 +583,12 @@ def tied_formats_of_all(spark, sf_dir):
         fixed_decimals(F.col("o_orderkey") / 32, 4).alias("four"))
 
 
+def _balances(spark, sf_dir) -> DataFrame:
+    """The tails cost up to a tenth of a millisecond a row, and all customers may be one small file."""
+    columns = star.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return spread(columns, rows_per_task=10_000)
+
+
 @query(f"""SELECT c_custkey, {sql.r("""CASE c_custkey % 3 WHEN 0 THEN 1 - 2 / pi() * atan(t)
   WHEN 1 THEN 1 - t / sqrt(t * t + 2)
   ELSE 1 - 0.75 * t / sqrt(1 + t * t / 4) * (1 - t * t / (12 * (1 + t * t / 4))) END""", 8)}
@@ -590,8 +597,7 @@ def student_t_closed_forms(spark, sf_dir):
     """Against the closed forms of 1, 2 and 4 degrees of freedom."""
     p = student_t_two_sided("c_acctbal / 2500",
                             "CASE c_custkey % 3 WHEN 0 THEN 1D WHEN 1 THEN 2D ELSE 4D END")
-    return rounded(star.table(spark, sf_dir, "customer").select(
-        "c_custkey", p.alias("two_sided")), 8)
+    return rounded(_balances(spark, sf_dir).select("c_custkey", p.alias("two_sided")), 8)
 
 
 @query(f"""{sql.STATS} SELECT scope, timepoint, {STATS_LIST} FROM stats
@@ -706,14 +712,14 @@ def adjusted_p_values_of_customers(spark, sf_dir):
 FROM customer""")
 def normal_tail(spark, sf_dir):
     tail = normal_sf("(c_acctbal - 4500) / 1500").alias("upper_tail")
-    return rounded(star.table(spark, sf_dir, "customer").select("c_custkey", tail), 8)
+    return rounded(_balances(spark, sf_dir).select("c_custkey", tail), 8)
 
 
 @query(f"""SELECT c_custkey, {sql.r(sql.student_t('(c_acctbal / 2500)',
   '(c_custkey % 97 + 1.25::DOUBLE)'), 8)} AS two_sided FROM customer""")
 def student_t_tail(spark, sf_dir):
     p = student_t_two_sided("c_acctbal / 2500", "c_custkey % 97 + 1.25D").alias("two_sided")
-    return rounded(star.table(spark, sf_dir, "customer").select("c_custkey", p), 8)
+    return rounded(_balances(spark, sf_dir).select("c_custkey", p), 8)
 
 
 def _summary_lines(spark, stats: DataFrame, chosen: DataFrame, study) -> DataFrame:
