@@ -10,6 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyfold.operators.skew import spread
 from tallyfold.sources.wide_csv import MALFORMED, UNCASTABLE, InvalidInput
 from tallyfold.study import FOREIGN_KEYS, PRIMARY_KEYS, SUBJECT_INVARIANTS, TABLES, Study
 
@@ -39,33 +40,53 @@ def _finding(rule: str, key: str = "`sample`", column: str = "NULL", detail: str
     return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
 
 
+def _short_finding(rule: str, column: str = "NULL", detail: str = "NULL", major: str = "0") -> str:
+    """SQL of what tells a row's finding from its others; ``_whole_findings`` adds the rest."""
+    parts = {"rule_no": f"CAST({RULES.index(rule)} AS INT)", "major": f"CAST({major} AS INT)",
+             "column": f"CAST({column} AS STRING)", "detail": f"CAST({detail} AS STRING)"}
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
+
+
+def _whole_findings(found: str) -> str:
+    """SQL of a row's findings, in the shape of ``_finding``, from its key and short ones."""
+    rules = ", ".join(f"'{rule}'" for rule in RULES)
+    parts = {"rule_no": "f.rule_no", "major": "f.major", "rule": f"array({rules})[f.rule_no]",
+             "key": f"{found}.key", "column": "f.column", "detail": "f.detail", "minor": "0"}
+    whole = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
+    return f"transform({found}.short, f -> {whole})"
+
+
 def _row_findings(df: DataFrame, study: Study) -> tuple[str, str]:
-    """SQL of a row's findings as an array, and of the condition that it can have any."""
+    """SQL of a row's key and short findings, and of the condition that it can have any."""
     total = " + ".join(f"coalesce(`{c}`, 0L)" for c in study.components)
     broken = {}
     if MALFORMED in df.columns:
-        broken[f"{MALFORMED} IS NOT NULL"] = _finding("malformed_row", detail=MALFORMED)
-    broken |= {f"`{c}` < 0": _finding("negative_count", column=repr(c), detail=f"`{c}`", major=i)
+        broken[f"{MALFORMED} IS NOT NULL"] = _short_finding("malformed_row", detail=MALFORMED)
+    broken |= {f"`{c}` < 0": _short_finding("negative_count", column=repr(c), detail=f"`{c}`",
+                                             major=i)
               for i, c in enumerate(study.components)}
-    broken[f"{total} = 0"] = _finding("zero_total")
-    broken.update({f"`{c}` IS NULL": _finding("missing_key", column=repr(c), major=i)
+    broken[f"{total} = 0"] = _short_finding("zero_total")
+    broken.update({f"`{c}` IS NULL": _short_finding("missing_key", column=repr(c), major=i)
                    for i, c in enumerate(("project", "subject", "sample"))})
     found = ", ".join(f"IF({condition}, {finding}, NULL)" for condition, finding in broken.items())
     found, suspect = f"array_compact(array({found}))", " OR ".join(broken)
     if UNCASTABLE in df.columns:
-        uncast = _finding("not_integer", column="name", major="i")
+        uncast = _short_finding("not_integer", column="name", major="i")
         found = f"concat({found}, transform({UNCASTABLE}, (name, i) -> {uncast}))"
         suspect += f" OR size({UNCASTABLE}) > 0"
-    return found, suspect
+    return f"named_struct('key', CAST(`sample` AS STRING), 'short', {found})", suspect
 
 
 def violations(df: DataFrame, study: Study) -> DataFrame:
     """Every broken rule of the wide input; order by ``report_order()`` to read them.
 
+    Hardly any two rows share a group, so a task holds its rows: of a stored table, ``spread`` them.
+
     The input is scanned once. Each row is expanded by grain: for its sample, for its subject and for
     its own findings (none for most rows, which so are one group), and one aggregate serves all
     three. Samples are counted; of a subject's attributes the least and the largest 64-bit hash are
-    kept, whose difference is a drift; findings are counted and given back as often as they occur.
+    kept, whose difference is a drift; findings are counted and given back as often as they occur. They
+    go through the aggregate without what follows from the rule and the row.
     """
     found, suspect = _row_findings(df, study)
     # NULL is no value, but for the response, whose NULL has a hash like any text.
@@ -90,7 +111,7 @@ def violations(df: DataFrame, study: Study) -> DataFrame:
                         f"({of_subject} AND _subject IS NOT NULL AND ({drifts}))").selectExpr(
         f"""inline(CASE WHEN {of_sample} THEN array({repeated})
           WHEN {of_subject} THEN array_compact(array({drifted}))
-          ELSE flatten(array_repeat(_found, CAST(n AS INT))) END)""")
+          ELSE flatten(array_repeat({_whole_findings('_found')}, CAST(n AS INT))) END)""")
 
 
 def drift(df: DataFrame, owner: str, columns: Iterable[str],
@@ -126,7 +147,8 @@ def first_violation(found: DataFrame) -> dict | None:
 
 
 def require_valid(df: DataFrame, study: Study) -> None:
-    worst = first_violation(violations(df, study))
+    """Refuse a stored wide table that breaks a rule."""
+    worst = first_violation(violations(spread(df), study))
     if worst is not None:
         raise InvalidInput(MESSAGES[worst["rule"]].format(**worst))
 
@@ -196,7 +218,10 @@ def join_cardinality(facts: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def table_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, rule, key, n): missing values, repeated primary keys, orphans, negative counts."""
+    """(table, rule, key, n): missing values, repeated primary keys, orphans, negative counts.
+
+    The tables are stored ones; keys are spread over tasks before they are counted.
+    """
     parts = []
 
     def add(table: str, rule: str, found: DataFrame, key: Column, n: Column) -> None:

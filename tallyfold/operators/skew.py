@@ -12,12 +12,13 @@ BUCKETS, ROWS_PER_TASK, MOST_TASKS = 1 << 14, 1_000_000, 10_000
 ROWS_HELD = 500_000
 
 
-def parts_of(spark: SparkSession, rows: int, rows_per_task: int = ROWS_HELD) -> int:
-    """Tasks for so many rows: one for each core, more where one would get more than its rows."""
-    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+def parts_of(spark: SparkSession, rows: int, rows_per_task: int | None = None) -> int:
+    """Tasks for so many rows: one for each core, more where one would get more than its rows
+    (ROWS_HELD, unless given)."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // (rows_per_task or ROWS_HELD)))
 
 
-def spread(stored: DataFrame, rows_per_task: int = ROWS_HELD) -> DataFrame:
+def spread(stored: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """The rows of a stored table dealt evenly over tasks by their number.
 
     A scan's tasks are cut by the bytes of the files: a small file is one task, whatever an expression
@@ -25,7 +26,7 @@ def spread(stored: DataFrame, rows_per_task: int = ROWS_HELD) -> DataFrame:
     from the files' footers; those of one task stay where they are.
     """
     rows = stored.count()
-    return stored if rows <= rows_per_task else stored.repartition(
+    return stored if rows <= (rows_per_task or ROWS_HELD) else stored.repartition(
         parts_of(stored.sparkSession, rows, rows_per_task))
 
 

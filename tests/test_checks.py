@@ -1,10 +1,11 @@
 import pytest
 
 from tallyfold import CLINICAL
-from tallyfold.operators import checks
+from tallyfold.operators import checks, normalize as norm, skew
 from tallyfold.operators.normalize import normalize
 from tallyfold.sources.tables import empty_tables
 from tallyfold.sources.wide_csv import InvalidInput, column_differences, require_columns
+from verification.queries import QUERIES
 
 COUNTS = {c: 0 for c in CLINICAL.components}
 
@@ -161,3 +162,44 @@ def test_all_rules_in_one_scan(spark, wide_frame, tmp_path):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("HashAggregate") + plan.count(
         "SortAggregate") + plan.count("ObjectHashAggregate") == 2
+
+
+def test_a_finding_is_aggregated_without_what_follows_from_it(spark, wide_frame):
+    """Rule names, keys and positions are added behind the shuffle."""
+    df = checks.violations(wide_frame({"b_cell": -1}), CLINICAL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    before = plan[plan.index("Aggregate"):]
+    assert "'rule'" not in before and "negative_count" not in before and ", rule," not in before
+    assert [tuple(r) for r in df.select(*checks.VIOLATION_COLUMNS).collect()] == [
+        ("negative_count", "v-204", "b_cell", "-1")]
+
+
+@pytest.mark.parametrize("name", ["malformed_rows", "input_violations", "first_violation",
+                                  "refused_load"])
+def test_rows_of_checks_are_spread_by_their_number(spark, tmp_path, star_folder, monkeypatch, name):
+    """A task's share of almost unique keys is bounded by rows, not by the files' bytes."""
+    few, made = QUERIES[name](spark, star_folder).collect(), []
+    monkeypatch.setattr(skew, "ROWS_HELD", 7)
+    real = skew.parts_of
+    monkeypatch.setattr(skew, "parts_of", lambda *a: made.append(real(*a)) or made[-1])
+    many = QUERIES[name](spark, star_folder).collect()
+    assert sorted(map(str, few)) == sorted(map(str, many)) and few and max(made) > 4
+
+
+@pytest.fixture
+def star_folder(spark, tmp_path):
+    made = {
+        "nation": spark.range(3).selectExpr("id AS n_nationkey", "concat('n', id) AS n_name"),
+        "customer": spark.range(10).selectExpr(
+            "id AS c_custkey", "id % 3 AS c_nationkey", "id * 1000D AS c_acctbal",
+            "'BUILDING' AS c_mktsegment"),
+        "orders": spark.range(30).selectExpr(
+            "id AS o_orderkey", "id % 10 AS o_custkey", "'O' AS o_orderstatus"),
+        "lineitem": spark.range(40).selectExpr(
+            "id % 20 AS l_orderkey", "id AS l_partkey", "id % 4 AS l_suppkey",
+            "CAST(id % 3 AS INT) AS l_linenumber", "id % 51 + 0D AS l_quantity",
+            "id * 100D AS l_extendedprice", "0.04D AS l_discount", "0.02D AS l_tax",
+            "IF(id % 2 = 0, 'A', 'R') AS l_returnflag", "'F' AS l_linestatus")}
+    for name, df in made.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
