@@ -233,10 +233,10 @@ def table_violations(tables: dict[str, DataFrame]) -> DataFrame:
         add(name, "missing_value", missing_values(tables[name], required), F.col("column"),
             F.col("n"))
         key = list(PRIMARY_KEYS[name])
-        add(name, "duplicate_key", duplicate_keys(tables[name], key), F.concat_ws("|", *key),
+        add(name, "duplicate_key", duplicate_keys(spread(tables[name].select(*key)), key), F.concat_ws("|", *key),
             F.col("n"))
     for child, key, parent in FOREIGN_KEYS:
-        found = orphans(tables[child], key, tables[parent], PRIMARY_KEYS[parent][0])
+        found = orphans(spread(tables[child].select(key)), key, tables[parent], PRIMARY_KEYS[parent][0])
         add(child, "orphan", found, F.col(key), F.col("n"))
     add("cell_counts", "negative_count", negative_counts(tables["cell_counts"]),
         F.concat_ws("|", "sample_id", "population"), F.lit(1))

@@ -175,7 +175,7 @@ def test_a_finding_is_aggregated_without_what_follows_from_it(spark, wide_frame)
 
 
 @pytest.mark.parametrize("name", ["malformed_rows", "input_violations", "first_violation",
-                                  "refused_load"])
+                                  "refused_load", "table_violations"])
 def test_rows_of_checks_are_spread_by_their_number(spark, tmp_path, star_folder, monkeypatch, name):
     """A task's share of almost unique keys is bounded by rows, not by the files' bytes."""
     few, made = QUERIES[name](spark, star_folder).collect(), []
