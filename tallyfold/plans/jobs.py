@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from tallyfold.functions.scalars import canonical_order
+from tallyfold.functions.scalars import component_rank
 from tallyfold.operators.boxplot import annotate, boxes_of_ranks, boxplot_order
 from tallyfold.operators.checks import require_valid
 from tallyfold.operators.cohort import (
@@ -17,6 +17,7 @@ from tallyfold.operators.compare import (
     one_scope, per_timepoint, scope_ranks, scope_statistics, stats_order)
 from tallyfold.operators.composition import composition, composition_of_wide
 from tallyfold.operators.normalize import normalize, sample_metadata, with_metadata
+from tallyfold.operators.skew import parts_of
 from tallyfold.plans.summary import significance_summary
 from tallyfold.sources.tables import (
     drop_folder, new_run, prune_runs, publish, published_run, read_optional, read_tables, scope,
@@ -67,13 +68,18 @@ def table_frequencies(tables: dict[str, DataFrame], study: Study) -> DataFrame:
 def ordered_frequencies(tables: dict[str, DataFrame], study: Study) -> DataFrame:
     """The same in canonical order. Wide rows are totalled along the row, sorted, and then unpivoted
     in component order, so one row per sample moves. Without them, one range partitioning of the
-    count table by sample serves the totals and the global sort alike."""
+    count table by sample, into parts by the number of samples, and one sort in each part serve the
+    totals and the global order alike."""
     if "wide" in tables:
         columns = tables["wide"].select("sample", *study.components)
         return composition_of_wide(columns.orderBy("sample"), study.components)
     counts = tables["cell_counts"].withColumnRenamed("sample_id", "sample")
-    ranged = composition(counts.repartitionByRange("sample"), one_row_per_component=True)
-    return ranged.orderBy(*canonical_order("sample", "population", study.components))
+    rank = component_rank(F.col("population"), study.components)
+    order = [F.col("sample").asc(), F.col("_rank").asc_nulls_last()]
+    parts = parts_of(counts.sparkSession, tables["samples"].count() * len(study.components))
+    ranged = counts.repartitionByRange(parts, "sample").withColumn("_rank", rank)
+    return composition(ranged.sortWithinPartitions(*order), keep=["_rank"],
+                       one_row_per_component=True).orderBy(*order).drop("_rank")
 
 
 def metadata_of(tables: dict[str, DataFrame]) -> DataFrame:

@@ -4,7 +4,9 @@ from tallyfold import CLINICAL
 from tallyfold.operators import checks, normalize as norm, skew
 from tallyfold.operators.normalize import normalize
 from tallyfold.sources.tables import empty_tables
+from tallyfold.plans.jobs import ordered_frequencies
 from tallyfold.sources.wide_csv import InvalidInput, column_differences, require_columns
+from verification import star
 from verification.queries import QUERIES
 
 COUNTS = {c: 0 for c in CLINICAL.components}
@@ -214,3 +216,13 @@ def test_rebuilt_tables_are_made_from_stored_rows(spark, star_folder, monkeypatc
     rows = QUERIES["rebuild_tables"](spark, star_folder).collect()
     assert len(plans) == 1 and "Join" not in plans[0] and "Aggregate" not in plans[0]
     assert sum(r.name == "samples" for r in rows) == 20
+
+
+def test_ordered_frequencies_sort_once_in_parts_by_rows(spark, star_folder, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_HELD", 20)
+    made = ordered_frequencies(star.tables(spark, star_folder), star.STAR)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan[:plan.index("Window")].count("Sort [") == 0
+    keys = [(r.sample, star.STAR.components.index(r.population)) for r in made.collect()]
+    assert keys == sorted(keys) and len(keys) == 180
+    assert made.rdd.getNumPartitions() == 9
