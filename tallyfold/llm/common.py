@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tallyfold.sources.tables import staged  # noqa: F401  the operators' intermediate tables
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped: set[str] = set()
 
 
@@ -30,6 +32,18 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query are deleted when it ends, not when the driver's garbage
+    collection comes to it: a job of many staged tables keeps those of one at a time."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def text_or_empty(column: str | Column) -> Column:
     """The text as a string; null counts as the empty text."""
     return F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"),

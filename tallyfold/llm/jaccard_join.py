@@ -11,6 +11,9 @@ first had over n - t tokens that the other lacks.
 A frequent token's class depends on the band of set sizes, so that a class has a handful of tokens in
 a prefix of any length; sets near the end of a band are indexed in the next one too.
 
+An entry is kept only where another set of its key has a size and a place in the order that allow a link,
+so that what two sets share by chance costs neither text nor bitmap.
+
 Candidates are compared by bitmaps, whose differing bits bound from below in how many tokens sets differ,
 and what passes is verified exactly. In the first rounds every set is held against one other: of the
 first sets of its entries, in an order that differs by round, the nearest by bitmap, which connects
@@ -20,6 +23,7 @@ entries that have several. No group of linked sets is written out as pairs.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyfold.llm.common import staged, text_or_empty
+from tallyfold.llm.common import shuffles_deleted, staged, text_or_empty
 from tallyfold.llm.components import connected
 
 WIDTH = 1 << 22  # counters of the frequency sketch: 16 MB, whatever the corpus
@@ -37,6 +41,7 @@ PIECE, PIECE_WORDS = 1 << 20, 1 << 17  # bytes taken apart together; words of a
 BAND = 4  # a band of set sizes ends at this many times its start
 ROUNDS, BITS = 3, 256  # rounds of one candidate for each set; bits of a bitmap
 _BIT_COLUMNS = [f"b{i}" for i in range(BITS // 64)]
+SIEVE = 1 << 25  # bits of the bitmap that says which digests are wanted: 4 MB, whatever the corpus
 CELL = 1_024  # sets of an entry that are compared with as many others in a task
 #: An entry with more sets is a large one; of a set with more large entries they aren't listed.
 HOT, MOST_LARGE = 64, 256
@@ -154,60 +159,77 @@ class NewSets:
         return np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2), fresh
 
 
-def prints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(id, n, high, low) of docs (id, text): the size and a 128-bit digest of each set."""
+def read_sets(docs: DataFrame, shingle: int, width: int = WIDTH) -> DataFrame:
+    """(id, n, high, low, chunk, counts) of docs (id, text): the size and a 128-bit digest of each
+    set; and rows with a chunk, a task's partial sums of the frequency sketch of ``width`` counters.
+
+    A task counts each set once, but for those that it has forgotten. Partial sums are packed in the
+    fewest bytes a counter.
+    """
     kind = docs.schema["id"].dataType
+    chunk = min(CHUNK, width)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, known = Shingles(shingle), NewSets()
+        shingles, known, totals = Shingles(shingle), NewSets(), np.zeros(width, np.int32)
+        ids = pa.array([], pa.null())
         for batch in batches:
             sizes, digests = [], [np.zeros((0, 2), np.int64)]
             for some in _sets(batch["text"], shingles):
                 sizes += [len(s) for s in some]
-                digests.append(known.new(some)[0])
-            both = np.concatenate(digests)
+                rows, fresh = known.new(some)
+                digests.append(rows)
+                found = [some[i] for i in fresh]
+                places = np.concatenate([np.zeros(0, np.uint64), *found]) % np.uint64(width)
+                np.add.at(totals, places.astype(np.int64), 1)
+            both, ids = np.concatenate(digests), batch["id"]
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array(sizes, pa.int64()), pa.array(both[:, 0]),
-                 pa.array(both[:, 1])], ["id", "n", "high", "low"])
+                [ids, pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]),
+                 pa.nulls(len(sizes), pa.int64()), pa.nulls(len(sizes), pa.binary())], names)
+        places = np.flatnonzero(totals.reshape(-1, chunk).any(axis=1))
+        none = pa.nulls(len(places), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(places), ids.type), none, none, none, pa.array(places, pa.int64()),
+             pa.array([_packed(totals[p * chunk:(p + 1) * chunk]) for p in places.tolist()],
+                      pa.binary())], names)
+
+    names = ["id", "n", "high", "low", "chunk", "counts"]
+    return docs.mapInArrow(read, f"id {kind.simpleString()}, n long, high long, low long, "
+                                 "chunk long, counts binary")
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype(np.min_scalar_type(int(counts.max()))).tobytes(), 1)
 
-    return docs.mapInArrow(read, f"id {kind.simpleString()}, n long, high long, low long")
 
+def _unpacked(packed: bytes, chunk: int) -> np.ndarray:
+    data = zlib.decompress(packed)
+    return np.frombuffer(data, f"u{len(data) // chunk}").astype(np.int64)
 
-def frequency_sketch(docs: DataFrame, shingle: int, width: int = WIDTH) -> np.ndarray:
+
+def frequency_sketch(docs: DataFrame, shingle: int, width: int = WIDTH,
+                     read: DataFrame | None = None) -> np.ndarray:
     """How often the sets have a token of each residue modulo ``width``; all texts are counted, but
-    for repeats that a task remembers.
+    for repeats that a task remembers. ``read`` is what ``read_sets`` gave for them, if it is stored.
 
     Partial sums are added by chunk in Spark; only the ``width`` totals come to the driver.
     """
     chunk = min(CHUNK, width)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, known, totals = Shingles(shingle), NewSets(), np.zeros(width, np.int32)
-        for batch in batches:
-            for some in _sets(batch["text"], shingles):
-                found = [some[i] for i in known.new(some)[1]]
-                places = np.concatenate([np.zeros(0, np.uint64), *found]) % np.uint64(width)
-                np.add.at(totals, places.astype(np.int64), 1)
-        places = np.flatnonzero(totals.reshape(-1, chunk).any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(places, pa.int64()),
-             pa.array([totals[p * chunk:(p + 1) * chunk].tobytes() for p in places.tolist()],
-                      pa.binary())], ["chunk", "counts"])
+    if read is None:
+        read = read_sets(docs.select(F.lit(None).cast("long").alias("id"), "text"), shingle, width)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for place, counts in zip(batch["chunk"].to_pylist(), batch["counts"]):
-                part = np.frombuffer(counts.as_buffer(), np.int32).astype(np.int64)
+                part = _unpacked(counts.as_py(), chunk)
                 sums[place] = sums[place] + part if place in sums else part
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int64()),
              pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["chunk", "counts"])
 
-    kind = "chunk long, counts binary"
     parts = min(32, -(-width // chunk))
-    summed = docs.select("text").mapInArrow(count, kind).repartition(parts, "chunk").mapInArrow(
-        add, kind)
+    summed = read.where("chunk IS NOT NULL").select("chunk", "counts").repartition(
+        parts, "chunk").mapInArrow(add, "chunk long, counts binary")
     totals = np.zeros(width, np.int64)
     for row in summed.collect():  # at most ``width`` counters in all
         totals[row["chunk"] * chunk:(row["chunk"] + 1) * chunk] = np.frombuffer(row["counts"],
@@ -305,17 +327,55 @@ def postings(docs: DataFrame, shingle: int, prefixes: Prefixes) -> DataFrame:
         index, "key long, high long, low long, n int, place int")
 
 
+def with_partners(entries: DataFrame, percent: int) -> DataFrame:
+    """``entries`` (key, high, low, n, place), distinct, without most of those whose key no other set
+    has at a size and place that allow a link; where two sets have a key, exactly those are left out.
+
+    A set's ``cap`` is the largest size of a partner that its place allows: two sets of a key may be
+    linked where neither is larger than the other's cap.
+    """
+    by_size = Window.partitionBy("key").orderBy("n", "place", "high", "low")
+    before = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    return entries.withColumn("cap", F.expr(
+        f"{100 + percent}L * (n - place) div {percent}L - n")).withColumns({
+            "smallest": F.min("n").over(before), "reach": F.max("cap").over(before),
+            "next": F.lead("n").over(by_size), "next_cap": F.lead("cap").over(by_size),
+            "third": F.lead("n", 2).over(by_size)}).where(
+        "(reach >= n AND smallest <= cap) OR (next <= cap AND (next_cap >= n OR third IS NOT NULL))"
+    ).select(*entries.columns)
+
+
+def sieve(digests: DataFrame, bits: int = SIEVE) -> np.ndarray:
+    """A bitmap of ``bits`` bits, whatever the corpus, that has those of the residues of digests (low)."""
+    place = F.expr(f"pmod(low, {bits}L) + 1")  # Spark's bitmaps count from 1
+    out = np.zeros((-(-bits // 32768), 4096), np.uint8)
+    for row in digests.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("set")).collect():
+        out[row["bucket"] - 1] = np.frombuffer(row["set"], np.uint8)
+    return out.reshape(-1)
+
+
+def _passes(bitmap: np.ndarray, low: np.ndarray, bits: int = SIEVE) -> np.ndarray:
+    place = low % bits
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(row, text): a text of each of the sets ``wanted`` (high, low, row), from docs (text)."""
+    """(row, text): a text of each of the sets ``wanted`` (high, low, row), from docs (text). A sieve
+    keeps most other texts from being sent."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(wanted))
+
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, known = Shingles(shingle), NewSets()
         for batch in batches:
             at = 0
             for some in _sets(batch["text"], shingles):
                 digests, fresh = known.new(some)
+                fresh = np.array(fresh, np.int64)
+                fresh = fresh[_passes(shared.value, digests[fresh, 1])]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(digests[fresh, 0]), pa.array(digests[fresh, 1]),
-                    batch["text"].take(pa.array(np.array(fresh, np.int64) + at))],
+                    batch["text"].take(pa.array(fresh + at))],
                     ["high", "low", "text"])
                 at += len(some)
 
@@ -324,7 +384,8 @@ def texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets reach the threshold. Texts are sent, being smaller than sets."""
+    """The pairs (u, v) whose sets reach the threshold. Texts are sent, being smaller than sets, and
+    only those of the pairs."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(shingle)
         last, left = None, None
@@ -341,8 +402,9 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([batch["u"], batch["v"]], ["u", "v"]).filter(
                 pa.array(kept, pa.bool_()))
 
-    both = (pairs.join(texts.select(F.col("row").alias("v"), F.col("text").alias("b")), "v")
-            .join(texts.select(F.col("row").alias("u"), F.col("text").alias("a")), "u"))
+    left, right = (texts.toDF(of, text).join(pairs.select(of), of, "left_semi")
+                   for of, text in (("u", "a"), ("v", "b")))
+    both = pairs.join(right, "v").join(left, "u")
     return both.select("u", "v", "a", "b").mapInArrow(check, "u long, v long")
 
 
@@ -374,7 +436,9 @@ def _bits_apart(left: str, right: str) -> str:
     return " + ".join(f"bit_count({left}.{c} ^ {right}.{c})" for c in _BIT_COLUMNS)
 
 
-def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
+def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:  # nothing is linked yet
+        return shared.withColumn("root", F.col("row"))
     return shared.join(roots, shared["row"] == roots["node"], "left").withColumn(
         "root", F.coalesce("root", "row")).drop("node")
 
@@ -393,7 +457,7 @@ def _allowed(left: str, right: str, percent: int) -> str:
             f"- 2 * ceil({percent}D * ({left}.n + {right}.n) / {100 + percent}D - 1e-9)")
 
 
-def _one_each(shared: DataFrame, roots: DataFrame, percent: int, number: int) -> DataFrame:
+def _one_each(shared: DataFrame, roots: DataFrame | None, percent: int, number: int) -> DataFrame:
     """Candidates (u, v): for every set, of the first sets of its entries, in an order that differs by
     round, the one with the nearest bitmap of those that may be linked and aren't connected yet."""
     turn = F.col("row") if number == 0 else F.xxhash64("row", F.lit(number))
@@ -408,7 +472,7 @@ def _one_each(shared: DataFrame, roots: DataFrame, percent: int, number: int) ->
         F.col("best.row").alias("u"), "v")
 
 
-def _across(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _across(shared: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
     """Candidates (u, v): the pairs of an entry that lie in different components and may be linked.
 
     The sets of an entry are dealt into parts, and each pair of parts is a cell of bounded size.
@@ -434,27 +498,30 @@ def _across(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("l.row").alias("u"), F.col("r.row").alias("v")).distinct()
 
 
-def linked_sets(docs: DataFrame, distinct: DataFrame, shingle: int, percent: int) -> DataFrame:
+def linked_sets(docs: DataFrame, distinct: DataFrame, prefixes: Prefixes,
+                shingle: int) -> DataFrame:
     """(node, root) of the rows of ``distinct`` (high, low, row), the sets of docs (text), that links
     connect; roots are left out."""
-    prefixes = Prefixes(frequency_sketch(docs, shingle), percent)
+    percent = prefixes.percent
     # A set has one row in an entry, and many entries, so no entry has a large share of the rows.
     entry, both = Window.partitionBy("key"), F.struct("high", "low")
-    several = staged(postings(docs, shingle, prefixes).withColumn(
+    several = staged(with_partners(postings(docs, shingle, prefixes).withColumn(
         "least", F.min(both).over(entry)).withColumn("most", F.max(both).over(entry)).where(
-        "least <> most").drop("least", "most").distinct(), "several")
+        "least <> most").drop("least", "most").distinct(), percent), "several")
     wanted = staged(several.select("high", "low").distinct().join(distinct, ["high", "low"]),
                     "wanted")
     texts = staged(texts_of(docs, wanted, shingle), "texts")
     known = staged(wanted.join(bitmaps(texts, shingle), "row"), "bitmaps")
     shared = staged(several.join(known, ["high", "low"]).drop("high", "low"), "shared")
-    roots = docs.sparkSession.createDataFrame([], "node long, root long")
+    roots = None
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        found = verified(staged(pairs, "candidates"), texts, shingle, percent)
+        return connected(found if roots is None else roots.toDF("u", "v").unionByName(found))
+
     for number in range(ROUNDS):
-        tested = staged(_one_each(shared, roots, percent, number), "candidates")
-        roots = connected(roots.toDF("u", "v").unionByName(
-            verified(tested, texts, shingle, percent)))
-    rest = staged(_across(shared, roots, percent), "candidates")
-    return connected(roots.toDF("u", "v").unionByName(verified(rest, texts, shingle, percent)))
+        roots = tested(_one_each(shared, roots, percent, number))
+    return tested(_across(shared, roots, percent))
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
@@ -466,15 +533,18 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     component has no other. Texts without words (null, empty, white space) have an empty set and
     are linked with nothing; repeated rows are members like others. An empty table gives an empty
     one; other columns are not looked at. Shingles are compared by 64-bit hashes, sets by 128-bit
-    digests of these. ``docs`` is read four times and must give the same texts each time.
+    digests of these. ``docs`` is read three times and must give the same texts each time.
     """
     read = docs.select(F.col(id_column).alias("id"), text_or_empty(text).alias("text"))
-    printed = staged(prints(read, shingle), "prints")
-    distinct = staged(printed.where("n > 0").groupBy("high", "low").agg(
-        F.min("id").alias("least")).withColumn("row", F.monotonically_increasing_id()), "distinct")
-    roots = linked_sets(read, distinct.drop("least"), shingle, percent)
-    grouped = staged(distinct.join(roots, F.col("row") == F.col("node"), "left").select(
-        "high", "low", F.coalesce("root", "row").alias("root"), "least"), "grouped")
+    with shuffles_deleted(docs.sparkSession):
+        sets = staged(read_sets(read, shingle), "sets")
+        prefixes = Prefixes(frequency_sketch(read, shingle, read=sets), percent)
+        printed = sets.where("chunk IS NULL").drop("chunk", "counts")
+        distinct = staged(printed.where("n > 0").groupBy("high", "low").agg(
+            F.min("id").alias("least")).withColumn("row", F.monotonically_increasing_id()), "distinct")
+        roots = linked_sets(read, distinct.drop("least"), prefixes, shingle)
+        grouped = staged(distinct.join(roots, F.col("row") == F.col("node"), "left").select(
+            "high", "low", F.coalesce("root", "row").alias("root"), "least"), "grouped")
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     found = grouped.join(least, "root").select("high", "low", "component_id")
     full = printed.where("n > 0").join(found, ["high", "low"]).select(

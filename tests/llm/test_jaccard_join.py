@@ -1,4 +1,6 @@
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -210,3 +212,78 @@ def test_query_equals_brute_force(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id)
            for r in QUERIES["op11_ngram_jaccard_join"](spark, sf_dir).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("percent", [60, 85, 100])
+def test_entries_without_partners_are_left_out(spark, percent):
+    """A row with an allowed partner stays; of two sets of a key those that can't be linked go."""
+    rng = random.Random(percent)
+    rows = []
+    for key in range(400):
+        for one in range(2 if key % 2 else rng.randrange(1, 9)):
+            n = rng.randrange(10, 60)
+            rows.append((key, one, 7, n, 0 if key % 5 == 0 else rng.randrange(n)))
+    kind = "key long, high long, low long, n int, place int"
+    kept = jaccard_join.with_partners(spark.createDataFrame(rows, kind), percent)
+    assert kept.columns == ["key", "high", "low", "n", "place"]
+    kept = {tuple(r) for r in kept.collect()}
+
+    def allowed(a, b):
+        return (100 + percent) * min(a[3] - a[4], b[3] - b[4]) >= percent * (a[3] + b[3])
+
+    want = {a for a in rows for b in rows if a[0] == b[0] and a[1] != b[1] and allowed(a, b)}
+    pairs = {r for r in rows if r[0] % 2}
+    assert want and want <= kept < set(rows) and kept & pairs == want & pairs
+
+
+def test_only_wanted_texts_are_sent(spark):
+    """The sieve passes all wanted digests, and of others few; a text of each wanted set is found."""
+    given = [f"a{i} b c d e" for i in range(200)] * 2
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "id long, text string")
+    sets = jaccard_join.read_sets(docs, 4).where("chunk IS NULL")
+    assert sets.count() == 400
+    wanted = sets.where("id < 20").select("high", "low", "id").toDF("high", "low", "row").cache()
+    bitmap = jaccard_join.sieve(wanted)
+    assert bitmap.nbytes * 8 == jaccard_join.SIEVE and 0 < np.unpackbits(bitmap).sum() <= 20
+    low = np.array([r.low for r in sets.collect()])
+    passed = jaccard_join._passes(bitmap, low)
+    assert passed[:20].all() and passed[200:220].all() and passed.sum() < 50
+    got = {r.row: r.text for r in jaccard_join.texts_of(docs, wanted, 4).collect()}
+    assert got == dict(enumerate(given[:20]))
+
+
+def test_partial_sums_are_packed_and_summed(spark):
+    """Counts beyond a byte, and stored sums, give the sketch that the texts give."""
+    for counts in ([0, 3, 1, 0], [255, 256, 0, 1], [70_000, 1, 2, 3]):
+        packed = jaccard_join._packed(np.array(counts, np.int32))
+        assert jaccard_join._unpacked(packed, 4).tolist() == counts
+    given = [f"{'same words stand here ' * 2}e{i}" for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(given)), "id long, text string").repartition(3)
+    plain = np.zeros(64, np.int64)
+    for text in given:
+        for found in jaccard_join.Shingles(4).sets([text.encode()]):
+            np.add.at(plain, (found % np.uint64(64)).astype(np.int64), 1)
+    stored = jaccard_join.read_sets(docs, 4, 64).cache()
+    for read in (None, stored):
+        assert (jaccard_join.frequency_sketch(docs, 4, 64, read) == plain).all()
+    assert plain.max() >= 600
+
+
+def test_shuffle_files_are_deleted_with_their_query(spark):
+    """The operator leaves no shuffle files of its many staged tables, and the setting as it was."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager(
+        ).diskBlockManager().localDirsString()
+
+    def files():
+        return {f for d in folders for f in Path(d).rglob("shuffle_*")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(name, None)
+    given = corpus(random.Random(8), groups=3, copies=4)
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    jaccard_join.jaccard_components(frame)
+    for _ in range(50):  # deleted in the background
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(name, None) == setting
