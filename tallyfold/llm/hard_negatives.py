@@ -9,11 +9,15 @@ the rows asked for. Only rows that no level could decide are scored exactly.
 Rows are dealt into shards and anchors into blocks, both of bounded size; a cell of one shard and one
 block is a task's work, and the cells' best rows are merged by rank. Positives come first; their
 scores then give the range in which an anchor's negatives lie.
+
+Within a cell, a group of anchors goes through the rows together, tile by tile in order of ids: the bounds
+and scores of a tile are matrix products. What a row must score rises with the rows found so far, and
+a row leaves a tile when its bounds rule it out for all anchors of the group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +27,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyfold.llm.common import best_of, parts, staged
 
 #: Rows of a small part, most parts, rows of the largest part.
-SHARDS, BLOCKS = (800, 12, 1 << 16), (1_024, 16, 1_024)
+SHARDS, BLOCKS = (800, 12, 1 << 16), (8_192, 16, 8_192)
+#: Anchors of a group, how many of them are asked first whether they need a row, rows of the first and
+#: of the largest tile.
+GROUP, FEW, TILES = 128, 8, (32, 2_048)
 SMALLEST_SEGMENT = 4
 #: Rounding of the bounds stays far below half a unit for scores below 2 ** 50.
 SLACK = 0.5
@@ -54,10 +61,12 @@ def summaries(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _matrix(lists: pa.Array) -> np.ndarray:
     """One row for each list, missing elements at the end as zeros."""
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    out = np.zeros((len(sizes), int(sizes.max(initial=0))))
+    values, longest = lists.flatten().to_numpy(zero_copy_only=False), int(sizes.max(initial=0))
+    if (sizes == longest).all():
+        return values.reshape(len(sizes), longest)
+    out = np.zeros((len(sizes), longest))
     row = np.repeat(np.arange(len(sizes)), sizes)
-    out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = (
-        lists.flatten().to_numpy(zero_copy_only=False))
+    out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = values
     return out
 
 
@@ -92,68 +101,112 @@ def summarised(vectors: DataFrame, id_column: str, vector: str, label: str | Col
 
 
 class Rows:
-    """Vectors with their summaries, level by level."""
+    """Vectors with their summaries, level by level, in order of ids."""
 
     def __init__(self, table: pa.Table):
         self.row, self.id = table["row"].to_numpy(), table["id"].to_numpy()
-        self.label = np.array(table["label"].to_pylist(), str)
+        labels = table["label"].combine_chunks().dictionary_encode()
+        self.label, self.labels = labels.indices.to_numpy(), labels.dictionary.to_pylist()
         self.vector, self.means, self.deviations = (
             _matrix(table[c].combine_chunks()) for c in ("vector", "means", "deviations"))
         ends = np.cumsum([len(starts) for starts in levels(self.vector.shape[1])])
         self.levels = [slice(a, b) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
-    def bounds(self, level: slice, rows: np.ndarray, other: "Rows", at: int):
-        """(least, most) scores of the rows with one row of ``other``, by this level's segments."""
-        middle = self.means[rows, level] @ other.means[at, level]
-        apart = self.deviations[rows, level] @ other.deviations[at, level] + SLACK
+    def labels_of(self, other: "Rows") -> np.ndarray:
+        """The labels of the other rows by their numbers here, -1 for those that no row here has."""
+        number = {label: i for i, label in enumerate(self.labels)}
+        return np.array([number.get(label, -1) for label in other.labels], np.int64)[other.label]
+
+    def bounds(self, level: slice, rows: np.ndarray, other: "Rows", at: np.ndarray):
+        """(least, most) scores of the rows with some rows of ``other``, by this level's segments."""
+        middle = self.means[rows, level] @ other.means[at, level].T
+        apart = self.deviations[rows, level] @ other.deviations[at, level].T + SLACK
         return middle - apart, middle + apart
 
-    def score(self, rows: np.ndarray, other: "Rows", at: int) -> np.ndarray:
-        return np.rint(self.vector[rows] @ other.vector[at]).astype(np.int64)
-
-
-def _kth(values: np.ndarray, k: int) -> float:
-    """The k-th largest value, or what no value is below."""
-    return float(np.partition(values, -k)[-k]) if len(values) >= k else -np.inf
-
-
-def _first(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -score))[:k]
-
-
-def positives(shard: Rows, anchors: Rows, at: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, scores): the first k rows of the shard with the anchor's label, itself left out."""
-    rows = np.flatnonzero((shard.label == anchors.label[at]) & (shard.row != anchors.row[at]))
-    for level in shard.levels:
-        if len(rows) <= k:
-            break
-        least, most = shard.bounds(level, rows, anchors, at)
-        rows = rows[most >= _kth(least, k)]
-    score = shard.score(rows, anchors, at)
-    best = _first(score, shard.id[rows], k)
-    return rows[best], score[best]
-
-
-def negatives(shard: Rows, anchors: Rows, at: int, ranges: list[tuple[int, int]], k: int):
-    """For each range of scores (low, high): (rows, scores), the first k rows of other labels."""
-    other = np.flatnonzero(shard.label != anchors.label[at])
-    left = [other] * len(ranges)
-    for level in shard.levels:
-        rows = np.unique(np.concatenate(left))
-        least, most = shard.bounds(level, rows, anchors, at)
-        for i, (low, high) in enumerate(ranges):
-            place = np.searchsorted(rows, left[i])
-            a, b = least[place], most[place]
-            sure = _kth(a[(a >= low) & (b <= high)], k)
-            left[i] = left[i][(b >= low) & (a <= high) & (b >= sure)]
-    rows = np.unique(np.concatenate(left))
-    score = shard.score(rows, anchors, at)
-    for i, (low, high) in enumerate(ranges):
-        mine = score[np.searchsorted(rows, left[i])]
-        inside = (mine >= low) & (mine <= high)
-        found, mine = left[i][inside], mine[inside]
-        best = _first(mine, shard.id[found], k)
-        yield found[best], mine[best]
+    def score(self, rows: np.ndarray, other: "Rows", at: np.ndarray) -> np.ndarray:
+        return np.rint(self.vector[rows] @ other.vector[at].T).astype(np.int64)
+
+
+Wanted = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def first_rows(shard: Rows, rows: np.ndarray, anchors: Rows, at: np.ndarray, low: np.ndarray,
+               high: np.ndarray, k: int, wanted: Wanted) -> tuple[np.ndarray, ...]:
+    """(place in ``at``, range, row, score): the first k rows for each anchor and range of scores.
+
+    low, high: a row for each anchor, a column for each range. wanted: which pairs of a row and a
+    place in ``at`` count. Once k rows are known, one of a greater id has to score higher than the k-th.
+    """
+    place, range_, found, score = (np.zeros(0, np.int64) for _ in range(4))
+    floor, highest, start, size = low.copy(), high.max(axis=1), 0, TILES[0]
+    while start < len(rows):
+        tile, lowest = rows[start:start + size], floor.min(axis=1)
+        start, size = start + size, min(2 * size, TILES[1])
+        for level in shard.levels:
+            stays = np.zeros(len(tile), bool)
+            for some in (slice(FEW), slice(FEW, None)):  # a row that one anchor needs stays
+                open_ = np.flatnonzero(~stays)
+                least, most = shard.bounds(level, tile[open_], anchors, at[some])
+                stays[open_] = ~((most < lowest[some]) | (least > highest[some])).all(axis=1)
+            tile = tile[stays]
+        scores = shard.score(tile, anchors, at)
+        r, a = np.nonzero((scores >= lowest) & (scores <= highest))
+        pairs = wanted(tile[r], a)
+        r, a = r[pairs], a[pairs]
+        exact = scores[r, a]
+        pair, i = np.nonzero((exact[:, None] >= floor[a]) & (exact[:, None] <= high[a]))
+        place, range_ = np.concatenate([place, a[pair]]), np.concatenate([range_, i])
+        found, score = np.concatenate([found, tile[r[pair]]]), np.concatenate([score, exact[pair]])
+        by = np.lexsort((found, -score, range_, place))
+        key = place[by] * low.shape[1] + range_[by]
+        rank = np.arange(len(key)) - np.searchsorted(key, key)
+        last = by[rank == k - 1]
+        floor[place[last], range_[last]] = score[last] + 1
+        place, range_, found, score = (x[by[rank < k]] for x in (place, range_, found, score))
+    return place, range_, found, score
+
+
+def _groups(at: np.ndarray) -> list[np.ndarray]:
+    return [at[i:i + GROUP] for i in range(0, len(at), GROUP)]
+
+
+def _joined(parts_: list[tuple[np.ndarray, ...]], columns: int) -> list[np.ndarray]:
+    return [*map(np.concatenate, zip((np.zeros(0, np.int64),) * columns, *parts_))]
+
+
+def positives(shard: Rows, anchors: Rows, at: int | np.ndarray, k: int) -> list[np.ndarray]:
+    """(anchor, row, score): the first k rows of the shard with each anchor's label, itself left out."""
+    at, labels, out = np.atleast_1d(at), shard.labels_of(anchors), []
+    for label in np.unique(labels[at]):
+        rows = np.flatnonzero(shard.label == label)
+        for some in _groups(at[labels[at] == label]):
+            every = np.iinfo(np.int64)
+            low, high = np.full((len(some), 1), every.min), np.full((len(some), 1), every.max)
+            place, _, found, score = first_rows(
+                shard, rows, anchors, some, low, high, k,
+                lambda r, a: shard.row[r] != anchors.row[some[a]])
+            out.append((some[place], found, score))
+    return _joined(out, 3)
+
+
+def negatives(shard: Rows, anchors: Rows, ranges: list[list[tuple[int, int]]],
+              k: int) -> list[np.ndarray]:
+    """(anchor, range, row, score): for each of an anchor's ranges of scores (low, high) the first k
+    rows of other labels."""
+    every, labels, out = np.iinfo(np.int64), shard.labels_of(anchors), []
+    low = np.full((len(ranges), max(map(len, ranges), default=0)), every.max)
+    high = np.full(low.shape, every.min)  # no score lies in a range that isn't there
+    for at, own in enumerate(ranges):
+        for i, (least, most) in enumerate(own):
+            if least <= most:
+                low[at, i], high[at, i] = least, most
+    rows, at = np.arange(len(shard.row)), np.argsort(labels, kind="stable")
+    for some in _groups(at if low.size else at[:0]):
+        place, range_, found, score = first_rows(
+            shard, rows, anchors, some, low[some], high[some], k,
+            lambda r, a: shard.label[r] != labels[some[a]])
+        out.append((some[place], range_, found, score))
+    return _joined(out, 4)
 
 
 def _cells(rows: DataFrame, anchors: DataFrame, shard_sizes: tuple, block_sizes: tuple) -> DataFrame:
@@ -176,6 +229,7 @@ def _cells(rows: DataFrame, anchors: DataFrame, shard_sizes: tuple, block_sizes:
 
 
 def _both(cell: pa.Table) -> tuple[Rows, Rows, pa.Table]:
+    cell = cell.sort_by("id")
     asked = cell.filter(cell["anchor"])
     return Rows(cell.filter(pc.invert(cell["anchor"]))), Rows(asked), asked
 
@@ -199,11 +253,8 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, id_column: str = "vec_
 
     def find_positives(cell: pa.Table) -> pa.Table:
         shard, asked, _ = _both(cell)
-        out = [(np.zeros(0, np.int64),) * 3]
-        for at in range(len(asked.row) if len(shard.row) else 0):
-            found, score = positives(shard, asked, at, n_positives)
-            out.append((np.full(len(found), asked.row[at]), shard.id[found], score))
-        return pa.table(dict(zip(("anchor", "positive_id", "score"), map(np.concatenate, zip(*out)))))
+        anchor, row, score = positives(shard, asked, np.arange(len(asked.row)), n_positives)
+        return pa.table({"anchor": asked.row[anchor], "positive_id": shard.id[row], "score": score})
 
     near = _cells(rows, anchors.withColumn("scores", F.lit(None).cast("array<bigint>")), shard_sizes,
                   block_sizes).applyInArrow(
@@ -216,15 +267,11 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, id_column: str = "vec_
 
     def find_negatives(cell: pa.Table) -> pa.Table:
         shard, asked, table = _both(cell)
-        out = [(np.zeros(0, np.int64),) * 4]
-        for at, scores in enumerate(table["scores"].to_pylist() if len(shard.row) else []):
-            ranges = [(-(-low * s // 100), high * s // 100) for s in scores]
-            for place, (found, score) in enumerate(negatives(shard, asked, at, ranges,
-                                                             n_negatives)):
-                n = len(found)
-                out.append((np.full(n, asked.row[at]), np.full(n, place + 1), shard.id[found], score))
-        names = "anchor", "place", "negative_id", "negative_score"
-        return pa.table(dict(zip(names, map(np.concatenate, zip(*out)))))
+        ranges = [[(-(-low * s // 100), high * s // 100) for s in scores]
+                  for scores in table["scores"].to_pylist()]
+        anchor, place, row, score = negatives(shard, asked, ranges, n_negatives)
+        return pa.table({"anchor": asked.row[anchor], "place": place + 1,
+                         "negative_id": shard.id[row], "negative_score": score})
 
     asked = anchors.join(wanted, anchors["row"] == wanted["anchor"]).select(*rows.columns, "scores")
     far = _cells(rows, asked, shard_sizes, block_sizes).applyInArrow(

@@ -111,6 +111,72 @@ def test_rows_are_left_out_before_they_are_scored(spark, monkeypatch):
     assert sum(scored) < 20 * 200 * 0.3
 
 
+def table_of(rows):
+    """A cell's rows, as the operator deals them."""
+    import pyarrow as pa
+
+    whole = np.floor(256 * np.array([v for _, v, _ in rows]))
+    lists = [hard_negatives._lists(part) for part in (whole, *hard_negatives.summaries(whole))]
+    return pa.table({"row": range(len(rows)), "id": [i for i, _, _ in rows],
+                     "label": [str(c) for _, _, c in rows], "vector": lists[0], "means": lists[1],
+                     "deviations": lists[2]})
+
+
+def test_anchors_of_a_cell_are_searched_together(monkeypatch):
+    """Products of a tile with many anchors, not passes over the rows for each anchor and range."""
+    rng = np.random.default_rng(5)
+    cell = hard_negatives.Rows(table_of(
+        [(i, rng.normal(0, 0.125, 64), int(rng.integers(0, 10))) for i in range(1_000)]))
+    calls, score, bounds = [], hard_negatives.Rows.score, hard_negatives.Rows.bounds
+    monkeypatch.setattr(hard_negatives.Rows, "score",
+                        lambda *given: calls.append(given) or score(*given))
+    monkeypatch.setattr(hard_negatives.Rows, "bounds",
+                        lambda *given: calls.append(given) or bounds(*given))
+    hard_negatives.positives(cell, cell, np.arange(1_000), 5)
+    assert len(calls) < 1_000
+    calls.clear()
+    found = hard_negatives.negatives(cell, cell, [[(0, 6_000), (3_000, 9_000)]] * 1_000, 10)
+    assert len(calls) < 1_000 and len(found[0]) == 20_000
+
+
+def test_rows_are_copied_once_for_thousands_of_anchors(spark):
+    rows = spark.range(20).select(F.col("id").alias("row"))
+    anchors = spark.range(4_000).select(F.col("id").alias("row"), F.lit(None).cast(
+        "array<bigint>").alias("scores"))
+    cells = hard_negatives._cells(rows, anchors, hard_negatives.SHARDS, hard_negatives.BLOCKS)
+    assert sum(r["count"] for r in cells.count().collect()) == 4_020
+
+
+@pytest.mark.parametrize("order", ["mixed", "rising", "falling", "copies"])
+def test_tiles_give_the_first_rows_and_ties_by_id(monkeypatch, order):
+    """More rows than a tile, more anchors than a group, in any order of scores; ranges without rows."""
+    monkeypatch.setattr(hard_negatives, "GROUP", 7)
+    monkeypatch.setattr(hard_negatives, "FEW", 2)
+    monkeypatch.setattr(hard_negatives, "TILES", (4, 32))
+    rng = np.random.default_rng(6)
+    lengths = {"mixed": rng.permutation(300), "rising": np.arange(300),
+               "falling": np.arange(300)[::-1], "copies": rng.integers(0, 3, 300)}[order]
+    rows = [(i, np.full(8, (1 + n) / 64), int(rng.integers(0, 3))) for i, n in enumerate(lengths)]
+    shard, anchors = hard_negatives.Rows(table_of(rows)), hard_negatives.Rows(table_of(
+        [(i, v, c) for i, v, c in rows[::10]] + [(400, np.ones(8), 9)]))  # a label of no row
+    exact = np.array([anchors.vector[a] @ shard.vector.T for a in range(31)]).astype(np.int64)
+    same = np.array([[c == d for _, _, d in rows] for _, _, c in [*rows[::10], (0, 0, 9)]])
+    got = sorted(zip(*(x.tolist() for x in hard_negatives.positives(
+        shard, anchors, np.arange(31), 5))))
+    want, ranges = [], []
+    for a in range(31):
+        others = [i for i in range(300) if same[a, i] and i != anchors.row[a]]
+        want += [(a, i, exact[a, i]) for i in sorted(others, key=lambda i: (-exact[a, i], i))[:5]]
+        top = int(exact[a].max())
+        ranges.append([(top // 4, top // 2), (top // 3, top - 1), (9, 3), (-5, 10 * top)][:a % 5])
+    assert got == sorted(want)
+    got = sorted(zip(*(x.tolist() for x in hard_negatives.negatives(shard, anchors, ranges, 10))))
+    want = [(a, n, i, exact[a, i]) for a in range(31) for n, (low, high) in enumerate(ranges[a])
+            for i in sorted((i for i in range(300) if not same[a, i] and low <= exact[a, i] <= high),
+                            key=lambda i: (-exact[a, i], i))[:10]]
+    assert got == sorted(want) and want
+
+
 def test_query_equals_its_sql(spark):
     sf_dir, name = "/root/testdata/sf0.001", "op13_hard_negatives"
     got = QUERIES[name](spark, sf_dir)
